@@ -19,7 +19,7 @@ KEYWORDS = ["license", "data", "share"]
 AS_OF = datetime(2024, 1, 3, 0, 0, 0)
 DAYS = 1
 SOURCES = ["src0", "src1", "src2", "src3", "src4"]
-NEWEST_LIMIT = 50
+NEWEST_LIMIT = 10
 SLICE = (0.25, 0.75)
 TREND_EVERY = "1 hour"
 OPTION_PREFIX = "e"
