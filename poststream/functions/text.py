@@ -9,6 +9,7 @@ once per task and the lexicon travels with the plan.
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -47,11 +48,19 @@ def clean_text(c: ColumnOrName) -> Column:
 # lexicon matching
 # --------------------------------------------------------------------------
 
-def _escape(term: str) -> str:
+# characters that survive cleaning; everything else (and whitespace) turns
+# into the single blank between tokens
+KEPT = "abcdefghijklmnopqrstuvwxyz0123456789+#./-"
+GAP = r"[^a-z0-9+#./\-]+"
+
+
+def _escape(term: str, gap: bool = False) -> str:
     out = []
     for ch in term:
         code = ord(ch)
-        if ch.isascii() and ch.isalnum():
+        if gap and ch == " ":
+            out.append(GAP)
+        elif ch.isascii() and ch.isalnum():
             out.append(ch)
         elif code < 0x20 or code >= 0x7F:
             out.append("\\x{%x}" % code)
@@ -65,7 +74,7 @@ def _ordered(terms: Iterable[str]) -> list[str]:
     return sorted(uniq, key=lambda t: (-len(t), t))
 
 
-def _trie_body(terms: Sequence[str]) -> str:
+def _trie_body(terms: Sequence[str], gap: bool = False) -> str:
     end = object()
     root: dict = {}
     for t in terms:
@@ -75,7 +84,7 @@ def _trie_body(terms: Sequence[str]) -> str:
         node[end] = True
 
     def emit(node: dict) -> str:
-        branches = [_escape(ch) + emit(child)
+        branches = [_escape(ch, gap) + emit(child)
                     for ch, child in sorted(((k, v) for k, v in node.items() if k is not end),
                                             key=lambda kv: kv[0])]
         if not branches:
@@ -90,8 +99,14 @@ def _trie_body(terms: Sequence[str]) -> str:
     return emit(root)
 
 
+def _alternation(ordered: Sequence[str], trie: bool | None, gap: bool = False) -> str:
+    use_trie = len(ordered) > TRIE_THRESHOLD if trie is None else trie
+    return _trie_body(ordered, gap) if use_trie else "|".join(_escape(t, gap) for t in ordered)
+
+
 def skill_pattern(terms: Iterable[str], trie: bool | None = None) -> str:
-    """Regex that finds lexicon terms as whole tokens, longest term first.
+    """Regex that finds lexicon terms as whole tokens of the cleaned text,
+    longest term first.
 
     A term matches where no word character precedes its first and none
     follows its last character.  Small lexicons become a flat alternation,
@@ -100,20 +115,67 @@ def skill_pattern(terms: Iterable[str], trie: bool | None = None) -> str:
     ordered = _ordered(terms)
     if not ordered:
         return ""
-    use_trie = len(ordered) > TRIE_THRESHOLD if trie is None else trie
-    body = _trie_body(ordered) if use_trie else "|".join(_escape(t) for t in ordered)
-    return r"(?<!\w)(?:" + body + r")(?!\w)"
+    return r"(?<!\w)(?:" + _alternation(ordered, trie) + r")(?!\w)"
+
+
+def _matchable(term: str) -> bool:
+    """Can the term occur in cleaned text at all?  (Only kept characters and
+    single blanks survive cleaning.)"""
+    return all(ch in KEPT or ch == " " for ch in term) and "  " not in term
+
+
+@dataclass(frozen=True)
+class SkillMatcher:
+    """Compiled lexicon.
+
+    ``raw`` matches the lower-cased text directly: a blank inside a term
+    stands for any run of non-kept characters, edges are checked against
+    ``[a-z0-9]`` -- exactly the tokens the cleaned text would give, without
+    rewriting every text twice.  The few matches are normalised afterwards.
+    ``raw`` is None when a term starts or ends with a blank (cleaning trims
+    the text, which the raw form cannot see); then the cleaned path runs.
+    """
+    pattern: str
+    raw: str | None
+    gap: bool
+
+    def column(self, c: ColumnOrName) -> Column:
+        empty = F.array().cast("array<string>")
+        if not self.pattern:
+            return empty
+        if self.raw is None:
+            found = F.regexp_extract_all(clean_text(c), F.lit(self.pattern), F.lit(0))
+        else:
+            found = F.regexp_extract_all(F.lower(_col(c)), F.lit(self.raw), F.lit(0))
+            if self.gap:
+                found = F.transform(found, lambda m: F.regexp_replace(m, GAP, " "))
+        return F.coalesce(found, empty)
+
+
+def skill_matcher(terms: Iterable[str], trie: bool | None = None) -> SkillMatcher:
+    ordered = _ordered(terms)
+    pattern = skill_pattern(ordered, trie)
+    live = [t for t in ordered if _matchable(t)]
+    if not live:
+        return SkillMatcher("", None, False)
+    if any(t[0] == " " or t[-1] == " " for t in live):
+        return SkillMatcher(pattern, None, False)
+    raw = r"(?<![a-z0-9])(?:" + _alternation(live, trie, gap=True) + r")(?![a-z0-9])"
+    return SkillMatcher(pattern, raw, any(" " in t for t in live))
 
 
 def extract_skills(c: ColumnOrName, terms: Iterable[str] | None = None,
-                   pattern: str | None = None, cleaned: bool = False) -> Column:
+                   pattern: str | None = None, matcher: SkillMatcher | None = None,
+                   cleaned: bool = False) -> Column:
     """All non-overlapping lexicon matches, left to right, duplicates kept.
 
     Never NULL: NULL or empty text, or an empty lexicon, give ``[]`` so that a
-    later ``size(...) == 0`` test sees zero.
+    later ``size(...) == 0`` test sees zero.  Pass ``terms`` (or a prepared
+    ``matcher``) for the fast path; a bare cleaned-text ``pattern`` is matched
+    against ``clean_text(c)`` (or ``c`` itself when ``cleaned``).
     """
     if pattern is None:
-        pattern = skill_pattern(terms or [])
+        return (matcher or skill_matcher(terms or [])).column(c)
     empty = F.array().cast("array<string>")
     if not pattern:
         return empty

@@ -8,20 +8,34 @@ being duplicated when projections collapse.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..defaults import NO_SKILL_CATEGORY
-from ..functions.text import extract_skills, post_text, skills_text
+from ..functions.text import SkillMatcher, extract_skills, post_text, skill_matcher, skills_text
 
 ENRICHED_COLUMNS = ["category", "id", "title", "selftext", "created_utc", "skills_array"]
 
 
-def with_skills(df: DataFrame, pattern: str, title: str = "title",
+Skills = SkillMatcher | str | Sequence[str]
+
+
+def skills_column(skills: Skills, text: str = "text"):
+    """Extraction for a matcher, a cleaned-text pattern, or a list of terms."""
+    if isinstance(skills, SkillMatcher):
+        return extract_skills(text, matcher=skills)
+    if isinstance(skills, str):
+        return extract_skills(text, pattern=skills)
+    return extract_skills(text, matcher=skill_matcher(skills))
+
+
+def with_skills(df: DataFrame, skills: Skills, title: str = "title",
                 body: str = "selftext") -> DataFrame:
     """Add ``text`` (title + body), ``skills_array`` and ``skills`` text."""
     return (df.withColumn("text", post_text(title, body))
-              .withColumn("skills_array", extract_skills("text", pattern=pattern))
+              .withColumn("skills_array", skills_column(skills))
               .withColumn("skills", skills_text("skills_array")))
 
 
@@ -38,8 +52,8 @@ def enriched(df: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     return df.select(*ENRICHED_COLUMNS, *keep)
 
 
-def build_index(posts: DataFrame, pattern: str, predicted: str = "predicted_category",
+def build_index(posts: DataFrame, skills: Skills, predicted: str = "predicted_category",
                 keep: tuple[str, ...] = ()) -> DataFrame:
     """Skills, override and projection on posts that already carry a
     prediction column (from a model, or a label when checking)."""
-    return enriched(category_override(with_skills(posts, pattern), predicted), keep)
+    return enriched(category_override(with_skills(posts, skills), predicted), keep)

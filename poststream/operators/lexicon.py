@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..defaults import CSV_MISSING_MARKERS
-from ..functions.text import skill_pattern
+from ..functions.text import SkillMatcher, skill_matcher, skill_pattern
 
 # Shipping bound for the lexicon literal; a larger lexicon raises instead of
 # being cut.
@@ -66,6 +66,11 @@ def lexicon_pattern(lexicon: DataFrame, max_terms: int = MAX_TERMS) -> str:
     return skill_pattern(lexicon_terms(lexicon, max_terms))
 
 
+def lexicon_matcher(lexicon: DataFrame, max_terms: int = MAX_TERMS) -> SkillMatcher:
+    """The matcher that ships the (size-checked) lexicon with the plan."""
+    return skill_matcher(lexicon_terms(lexicon, max_terms))
+
+
 def lexicon_coverage(index: DataFrame, lexicon: DataFrame,
                      skills: str = "skills_array") -> DataFrame:
     """Posts per lexicon term, terms without any post included with 0.

@@ -71,7 +71,9 @@ def top_terms(df: DataFrame, col: str, n: int, other: bool = True, share: bool =
             rest = (df.where((F.size(vals) > 0) & ~F.arrays_overlap(vals, top_list))
                     .agg(F.count(F.lit(1)).alias("posts")))
         else:
-            total = df.select(F.count(F.col(col))).scalar()
+            # the total comes from the per-value counts (same plan as the top
+            # list, so the shuffle is reused instead of scanning df again)
+            total = counts.agg(F.sum("posts")).scalar()
             rest = top.agg((total - F.coalesce(F.sum("posts"), F.lit(0))).alias("posts"))
         rest = rest.where(F.col("posts") > 0).select(
             F.lit(OTHER_BUCKET).alias(name), F.col("posts").cast("long").alias("posts"),

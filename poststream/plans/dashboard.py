@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..defaults import (BARS_SIZES, CATEGORY_PIE_SIZE, CSV_MISSING_MARKERS, SKILL_CLOUD_SIZE,
                         TREEMAP_SIZES)
-from ..functions.text import clean_text, post_text, skill_pattern, skills_text
+from ..functions.text import clean_text, post_text, skill_matcher, skills_text
 from ..operators import lexicon as lx
 from ..operators import terms as tm
 from ..operators.enrich import build_index
@@ -15,7 +15,7 @@ from ..session import materialize
 from . import fixtures as fx
 from .registry import query
 
-PATTERN = skill_pattern(fx.LEXICON)
+MATCHER = skill_matcher(fx.LEXICON)
 
 PRELUDE = f"""WITH {fx.POSTS_CTE},
 txt AS (SELECT *, concat_ws(' ', title, selftext) AS text FROM posts),
@@ -25,19 +25,18 @@ idx AS (SELECT CASE WHEN len(skills_array) = 0 THEN 'other' ELSE category END AS
         FROM sk)"""
 
 
-def index(spark: SparkSession, sf_dir: str, checkpoint: bool = False) -> DataFrame:
+def index(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Enriched posts with the fixture label standing in for the model's
     prediction (the model itself has its own queries)."""
     p = fx.posts(spark, sf_dir).withColumn("label", F.col("category"))
-    idx = build_index(p, PATTERN, predicted="category", keep=("subreddit", "label"))
-    return materialize(idx) if checkpoint else idx
+    return build_index(p, MATCHER, predicted="category", keep=("subreddit", "label"))
 
 
 def panel_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Narrow index for panels that read it twice (counts, then the rest
-    bucket): extraction runs once and is checkpointed."""
-    return index(spark, sf_dir, checkpoint=True).select(
-        "id", "category", "created_utc", "skills_array")
+    bucket): extraction runs once, only the narrow columns are checkpointed."""
+    return materialize(index(spark, sf_dir).select(
+        "id", "category", "created_utc", "skills_array"))
 
 
 # ----------------------------------------------------------------- text ----

@@ -15,7 +15,7 @@ from ..sources import wire
 from ..streaming import stream as st
 from . import fixtures as fx
 from .classify import _fit
-from .dashboard import PATTERN
+from .dashboard import MATCHER
 from .ingest import BASE, SHAPED, _iso_sql
 from .registry import query
 
@@ -74,7 +74,7 @@ def q_stream_enriched(spark, sf_dir):
     from ..operators.model import load_model
     loaded = load_model(model_path)
     folder = _topic(spark, _messages(spark, sf_dir))
-    docs = st.enrich_stream(_posts_stream(spark, folder), PATTERN, loaded)
+    docs = st.enrich_stream(_posts_stream(spark, folder), MATCHER, loaded)
     out, writer = _to_folder(docs, "enriched")
     _run(writer)
     return spark.read.parquet(out)

@@ -73,11 +73,12 @@ def parse_posts(messages: DataFrame, schema: T.StructType = RECORD_SCHEMA
 
 # ------------------------------------------------------------- transforms ----
 
-def enrich_stream(posts: DataFrame, pattern: str, model) -> DataFrame:
+def enrich_stream(posts: DataFrame, skills, model) -> DataFrame:
     """Text -> skills -> model -> override -> index document (stateless; the
-    same plan serves batch DataFrames)."""
-    scored = score(with_skills(posts, pattern), model) if model is not None else \
-        with_skills(posts, pattern).withColumn("predicted_category", F.lit(None).cast("string"))
+    same plan serves batch DataFrames).  ``skills``: a matcher, pattern or
+    term list."""
+    scored = score(with_skills(posts, skills), model) if model is not None else \
+        with_skills(posts, skills).withColumn("predicted_category", F.lit(None).cast("string"))
     return enriched(category_override(scored))
 
 

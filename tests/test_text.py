@@ -50,10 +50,13 @@ def brute_force(text, terms):
     return out
 
 
-def _extract(spark, texts, terms, trie=None):
+def _extract(spark, texts, terms, trie=None, raw=False):
     df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
-    pat = tx.skill_pattern(terms, trie=trie)
-    rows = df.select("i", tx.extract_skills("t", pattern=pat).alias("s")).collect()
+    if raw:
+        col = tx.extract_skills("t", matcher=tx.skill_matcher(terms, trie=trie))
+    else:
+        col = tx.extract_skills("t", pattern=tx.skill_pattern(terms, trie=trie))
+    rows = df.select("i", col.alias("s")).collect()
     return [r.s for r in sorted(rows, key=lambda r: r.i)]
 
 
@@ -67,6 +70,34 @@ def test_edge_rows_trie(spark):
     assert got == [e for _, e in EDGE_ROWS]
 
 
+def test_edge_rows_raw_path(spark):
+    assert tx.skill_matcher(EDGE_LEXICON).raw is not None
+    for trie in (False, True):
+        got = _extract(spark, [t for t, _ in EDGE_ROWS], EDGE_LEXICON, trie=trie, raw=True)
+        assert got == [e for _, e in EDGE_ROWS]
+
+
+MULTI = ["of the", "of", "the", "a b", "b", "c++", "+1", "x.y", "y", "- -", "Upper", "u_v",
+         "  two"]
+
+
+@settings(max_examples=40, deadline=None)
+@given(st.lists(st.text(alphabet="abcfhoteuxy .,+1-_\t\nU", max_size=30), min_size=1,
+                max_size=40))
+def test_raw_path_equals_cleaned_path(spark, texts):
+    terms = [t for t in MULTI if not t.startswith(" ")]
+    want = [brute_force(t, terms) for t in texts]
+    assert _extract(spark, texts, terms, raw=True) == want
+    assert _extract(spark, texts, terms, raw=True, trie=True) == want
+
+
+def test_blank_edged_term_falls_back_to_cleaned_path(spark):
+    m = tx.skill_matcher(["java", " aws"])
+    assert m.raw is None
+    assert _extract(spark, ["x+, aws java", "  aws"], ["java", " aws"], raw=True) == \
+        [brute_force("x+, aws java", ["java", " aws"]), brute_force("  aws", ["java", " aws"])]
+
+
 def test_brute_force_matches_edge_rows():
     for text, expected in EDGE_ROWS:
         assert brute_force(text, EDGE_LEXICON) == expected
