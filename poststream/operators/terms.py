@@ -6,6 +6,12 @@ level, map-side combine first, so a skill that sits in a third of all posts
 costs one partial row per task, not a hot reducer).  Top lists are bounded by
 the panel size; they reach the rest-bucket pass as scalar subqueries (Spark
 evaluates them once and inlines a literal), never as a cross join.
+
+No operator here filters rows on an input column before aggregating: a
+filter would be pushed below the projection that derives the column (e.g. a
+category computed from the extracted skills) and evaluate that expression a
+second time.  Conditions become conditional counts, and empty groups are
+dropped after the aggregation, where nothing can be pushed down.
 """
 
 from __future__ import annotations
@@ -43,9 +49,14 @@ def _with_share(df: DataFrame, count_col: str = "posts") -> DataFrame:
 def _term_counts(df: DataFrame, col: str, name: str) -> DataFrame:
     if _is_array(df, col):
         values = df.select(F.explode(_distinct_values(col)).alias(name))
-    else:
-        values = df.select(F.col(col).alias(name)).where(F.col(name).isNotNull())
-    return values.groupBy(name).agg(F.count(F.lit(1)).alias("posts"))
+        return values.groupBy(name).agg(F.count(F.lit(1)).alias("posts"))
+    # NULL forms one group whose count(col) is 0; it is dropped afterwards
+    return (df.groupBy(F.col(col).alias(name)).agg(F.count(F.col(col)).alias("posts"))
+            .where(F.col("posts") > 0))
+
+
+def _count_if(cond: Column) -> Column:
+    return F.count(F.when(cond, F.lit(1)))
 
 
 def top_terms(df: DataFrame, col: str, n: int, other: bool = True, share: bool = False,
@@ -68,8 +79,8 @@ def top_terms(df: DataFrame, col: str, n: int, other: bool = True, share: bool =
         if _is_array(df, col):
             top_list = top.select(F.collect_list(name)).scalar()
             vals = _distinct_values(col)
-            rest = (df.where((F.size(vals) > 0) & ~F.arrays_overlap(vals, top_list))
-                    .agg(F.count(F.lit(1)).alias("posts")))
+            rest = df.agg(_count_if((F.size(vals) > 0) & ~F.arrays_overlap(vals, top_list))
+                          .alias("posts"))
         else:
             # the total comes from the per-value counts (same plan as the top
             # list, so the shuffle is reused instead of scanning df again)
@@ -99,15 +110,15 @@ def nested_terms(df: DataFrame, outer: str, inner: str, n_outer: int, n_inner: i
     outer_top = (_term_counts(df, outer, outer_name)
                  .orderBy(F.desc("posts"), F.asc(outer_name)).limit(n_outer))
     outer_list = outer_top.select(F.collect_list(outer_name)).scalar()
-    based = df.where(F.col(outer).isNotNull())
-    bucket = F.when(F.array_contains(outer_list, F.col(outer)), F.col(outer))
+    bucket = (F.when(F.col(outer).isNull(), F.lit(None).cast("string"))
+              .when(F.array_contains(outer_list, F.col(outer)), F.col(outer)))
     if other:
         bucket = bucket.otherwise(F.lit(OTHER_BUCKET))
-    based = based.select(bucket.alias(outer_name), _distinct_values(inner).alias("_vals")) \
-        .where(F.col(outer_name).isNotNull())
+    based = df.select(bucket.alias(outer_name), _distinct_values(inner).alias("_vals"))
 
     pairs = based.select(outer_name, F.explode("_vals").alias(inner_name))
-    counts = pairs.groupBy(outer_name, inner_name).agg(F.count(F.lit(1)).alias("posts"))
+    counts = (pairs.groupBy(outer_name, inner_name)
+              .agg(F.count(F.col(outer_name)).alias("posts")).where(F.col("posts") > 0))
     # per group at most |lexicon| rows: the window sorts small groups
     w = Window.partitionBy(outer_name).orderBy(F.desc("posts"), F.asc(inner_name))
     top = counts.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= n_inner)
@@ -116,9 +127,10 @@ def nested_terms(df: DataFrame, outer: str, inner: str, n_outer: int, n_inner: i
         top_map = top.groupBy(outer_name).agg(F.collect_list(inner_name).alias("_top")) \
             .select(F.map_from_entries(F.collect_list(F.struct(outer_name, "_top")))).scalar()
         group_top = F.try_element_at(top_map, F.col(outer_name))
-        rest = (based.where((F.size("_vals") > 0)
-                            & ~F.coalesce(F.arrays_overlap("_vals", group_top), F.lit(False)))
-                .groupBy(outer_name).agg(F.count(F.lit(1)).alias("posts"))
+        in_rest = (F.col(outer_name).isNotNull() & (F.size("_vals") > 0)
+                   & ~F.coalesce(F.arrays_overlap("_vals", group_top), F.lit(False)))
+        rest = (based.groupBy(outer_name).agg(_count_if(in_rest).alias("posts"))
+                .where(F.col("posts") > 0)
                 .select(outer_name, F.lit(OTHER_BUCKET).alias(inner_name), "posts",
                         F.lit(n_inner + 1).alias("rank")))
         result = result.unionByName(rest)
@@ -131,17 +143,19 @@ def term_options(df: DataFrame, col: str, prefix: str = "", name: str | None = N
     """Option list: distinct values with post counts; prefix search is
     case-insensitive; empty prefix lists all."""
     name = name or col
-    values = df.where(F.col(col).isNotNull())
+    cond = F.col(col).isNotNull()
     if prefix:
-        values = values.where(F.startswith(F.lower(F.col(col)), F.lit(prefix.lower())))
-    return values.groupBy(F.col(col).alias(name)).agg(F.count(F.lit(1)).alias("posts"))
+        cond = cond & F.startswith(F.lower(F.col(col)), F.lit(prefix.lower()))
+    return (df.groupBy(F.col(col).alias(name)).agg(_count_if(cond).alias("posts"))
+            .where(F.col("posts") > 0))
 
 
 def occurrences(df: DataFrame, col: str, name: str | None = None) -> DataFrame:
     """Term frequency as occurrences: duplicates inside a post count."""
     name = name or col
-    return (df.select(F.explode(F.col(col)).alias(name)).where(F.col(name).isNotNull())
-            .groupBy(name).agg(F.count(F.lit(1)).alias("occurrences")))
+    return (df.select(F.explode(F.col(col)).alias(name))
+            .groupBy(name).agg(F.count(F.col(name)).alias("occurrences"))
+            .where(F.col("occurrences") > 0))
 
 
 def trend(df: DataFrame, ts: str, every: str = "1 hour", by: str | None = None,

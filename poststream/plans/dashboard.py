@@ -250,12 +250,13 @@ CHOSEN = ["en", "fr"]
 
 @query("category_filter", PRELUDE + " SELECT id, category FROM idx WHERE category IN ('en', 'fr')")
 def q_category_filter(spark, sf_dir):
-    return tm.choose(index(spark, sf_dir), "category", CHOSEN).select("id", "category")
+    return tm.choose(panel_index(spark, sf_dir), "category", CHOSEN).select("id", "category")
 
 
 @query("filtered_categories", PRELUDE + ",\n" + _slice_sql(*fx.SLICE)
        + ",\nchosen AS (SELECT * FROM sliced WHERE category IN ('en', 'fr')),\n"
        + _top_sql("chosen", "category", "category", CATEGORY_PIE_SIZE, True, False))
 def q_filtered_categories(spark, sf_dir):
-    panel = tm.panel_filter(index(spark, sf_dir), "created_utc", *fx.SLICE, "category", CHOSEN)
+    panel = tm.panel_filter(panel_index(spark, sf_dir), "created_utc", *fx.SLICE, "category",
+                            CHOSEN)
     return tm.top_terms(panel, "category", CATEGORY_PIE_SIZE, share=True)
