@@ -15,7 +15,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..defaults import DAYS_BACK, FIRST_RUN_LIMIT, JOB_KEYWORDS
+from ..defaults import BODY_CHARS, DAYS_BACK, FIRST_RUN_LIMIT, JOB_KEYWORDS
 from ..functions.text import is_relevant, iso_timestamp, job_text, truncate_body
 from .topn import top_n_per_group
 
@@ -133,15 +133,18 @@ def route(df: DataFrame, pattern: str, tag: str = "tag") -> DataFrame:
 
 # ---------------------------------------------------------------- shaping ----
 
-def shape_record(df: DataFrame, source: str = "subreddit", keep: Sequence[str] = ()) -> DataFrame:
+def shape_record(df: DataFrame, source: str = "subreddit", keep: Sequence[str] = (),
+                 body_chars: int | None = BODY_CHARS) -> DataFrame:
     """The six wire fields, all text: id, title, created_utc (ISO-8601 UTC),
-    selftext (first 5,000 characters), subreddit, url (plus ``keep``)."""
+    selftext (first ``body_chars`` characters; None keeps the whole body),
+    subreddit, url (plus ``keep``)."""
     url = F.col("url").cast("string") if "url" in df.columns else F.lit(None).cast("string")
+    body = F.col("selftext") if body_chars is None else truncate_body("selftext", body_chars)
     return df.select(
         F.col("id").cast("string").alias("id"),
         F.col("title").cast("string").alias("title"),
         iso_timestamp("created_utc").alias("created_utc"),
-        truncate_body("selftext").alias("selftext"),
+        body.cast("string").alias("selftext"),
         F.col(source).cast("string").alias("subreddit"),
         url.alias("url"),
         *[F.col(c) for c in keep],

@@ -16,7 +16,7 @@ from ..streaming import stream as st
 from . import fixtures as fx
 from .classify import _fit
 from .dashboard import MATCHER
-from .ingest import BASE, SHAPED, _iso_sql
+from .ingest import BASE, _iso_sql
 from .registry import query
 
 FILES = 4
@@ -24,8 +24,10 @@ DELAY = "30 days"  # covers the fixture's time span, so no record is late
 
 
 def _messages(spark: SparkSession, sf_dir: str, posts: DataFrame | None = None) -> DataFrame:
+    """Whole posts as wire messages (bodies are not cut here, so every
+    stream job works on whole texts)."""
     p = posts if posts is not None else fx.posts(spark, sf_dir)
-    return wire.encode_json(ig.shape_record(p), binary=True)
+    return wire.encode_json(ig.shape_record(p, body_chars=None), binary=True)
 
 
 def _topic(spark: SparkSession, messages: DataFrame, folder: str | None = None) -> str:
@@ -57,7 +59,8 @@ def _posts_stream(spark: SparkSession, folder: str) -> DataFrame:
     return good
 
 
-@query("stream_posts_scan", BASE + SHAPED + " SELECT id, title, created_utc, selftext FROM shaped")
+@query("stream_posts_scan", BASE + f""" SELECT id, title, {_iso_sql('created_utc')} AS created_utc,
+ selftext FROM posts""")
 def q_stream_posts_scan(spark, sf_dir):
     folder = _topic(spark, _messages(spark, sf_dir))
     posts = _posts_stream(spark, folder).select("id", "title", "created_utc", "selftext")
@@ -159,6 +162,6 @@ def q_compact_latest(spark, sf_dir):
 @query("latest_per_id", UPSERT_SQL)
 def q_latest_per_id(spark, sf_dir):
     first, second = _versions(spark, sf_dir)
-    shaped = ig.shape_record(first).withColumn("batch_id", F.lit(0)).unionByName(
-        ig.shape_record(second).withColumn("batch_id", F.lit(1)))
+    shaped = ig.shape_record(first, body_chars=None).withColumn("batch_id", F.lit(0)).unionByName(
+        ig.shape_record(second, body_chars=None).withColumn("batch_id", F.lit(1)))
     return st.latest_per_id(shaped.drop("url")).select("id", "title", "created_utc")

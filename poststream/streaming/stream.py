@@ -131,8 +131,23 @@ def batch_writer(path: str, partitions: int | None = None) -> Callable[[DataFram
 
 
 def upsert_by_key(df: DataFrame, path: str, checkpoint: str, output_mode: str = "append",
-                  trigger: dict | None = None, name: str | None = None) -> DataStreamWriter:
-    """Keyed store as a micro-batch log; read it with ``read_keyed``."""
+                  trigger: dict | None = None, name: str | None = None,
+                  fmt: str | None = None, key: str = "id",
+                  options: dict[str, str] | None = None) -> DataStreamWriter:
+    """Keyed store as a micro-batch log; read it with ``read_keyed``.
+
+    With ``fmt`` (a document-index connector such as
+    ``org.elasticsearch.spark.sql``) the rows pass straight to that sink with
+    the key as document id (``es.mapping.id``) and ``path`` as the resource;
+    the connector jar must be on the classpath.
+    """
+    if fmt:
+        opts = {"es.resource": path, "es.mapping.id": key, **(options or {})}
+        w = (df.writeStream.format(fmt).options(**opts)
+             .option("checkpointLocation", checkpoint).outputMode(output_mode))
+        if name:
+            w = w.queryName(name)
+        return w.trigger(**(trigger or {"processingTime": FLUSH_EVERY}))
     w = (df.writeStream.foreachBatch(batch_writer(path))
          .option("checkpointLocation", checkpoint).outputMode(output_mode))
     if name:
