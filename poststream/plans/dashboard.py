@@ -10,7 +10,7 @@ from ..defaults import (BARS_SIZES, CATEGORY_PIE_SIZE, CSV_MISSING_MARKERS, SKIL
 from ..functions.text import clean_text, post_text, skill_matcher, skills_text
 from ..operators import lexicon as lx
 from ..operators import terms as tm
-from ..operators.enrich import build_index
+from ..operators.enrich import ENRICHED_COLUMNS, category_override, with_skills
 from ..session import materialize
 from . import fixtures as fx
 from .registry import query
@@ -27,9 +27,14 @@ idx AS (SELECT CASE WHEN len(skills_array) = 0 THEN 'other' ELSE category END AS
 
 def index(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Enriched posts with the fixture label standing in for the model's
-    prediction (the model itself has its own queries)."""
-    p = fx.posts(spark, sf_dir).withColumn("label", F.col("category"))
-    return build_index(p, MATCHER, predicted="category", keep=("subreddit", "label"))
+    prediction (the model itself has its own queries).  Skills are extracted
+    on the document side; the event join then moves arrays, not texts, unless
+    the caller keeps title or body."""
+    docs = fx.doc_posts(spark, sf_dir).withColumn("label", F.col("category"))
+    enriched = category_override(with_skills(docs, MATCHER), "category")
+    idx = fx.with_time(enriched.select("doc_id", "id", "title", "selftext", "subreddit",
+                                       "label", "category", "skills_array"), spark, sf_dir)
+    return idx.select(*ENRICHED_COLUMNS, "subreddit", "label")
 
 
 def panel_index(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -30,25 +30,41 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def posts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """id, title, selftext, subreddit, category, created_utc, created_epoch, kind."""
+def doc_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The document side of the view: doc_id, id, title, selftext, subreddit,
+    category.  Per-document work (skill extraction) is done on this side,
+    before the join, so the join's shuffle carries its small results and not
+    the texts."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
-    events = table(spark, sf_dir, "events").select("event_id", "ts", "event_type")
-    joined = docs.join(events, docs.doc_id == events.event_id, "inner")
     title = F.substring_index(F.col("text"), "\n", 1)
-    created = F.col("ts").cast("timestamp")
-    return joined.select(
+    return docs.select(
+        "doc_id",
         F.col("doc_id").cast("string").alias("id"),
         title.alias("title"),
         F.expr("substr(text, length(substring_index(text, '\n', 1)) + 2)").alias("selftext"),
         F.col("source").alias("subreddit"),
         F.col("lang").alias("category"),
+    )
+
+
+def with_time(df: DataFrame, spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Join the event side: created_utc (UTC timestamp), created_epoch, kind."""
+    events = table(spark, sf_dir, "events").select("event_id", "ts", "event_type")
+    created = F.col("ts").cast("timestamp")
+    joined = df.join(events, df.doc_id == events.event_id, "inner")
+    return joined.select(
+        *[c for c in df.columns if c != "doc_id"],
         created.alias("created_utc"),
         F.floor(F.unix_micros(created) / F.lit(1_000_000)).cast("long").alias("created_epoch"),
         F.col("event_type").alias("kind"),
     )
 
 
+def posts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """id, title, selftext, subreddit, category, created_utc, created_epoch, kind."""
+    return with_time(doc_posts(spark, sf_dir), spark, sf_dir)
+
+
 POSTS_CTE = """posts AS (
   SELECT CAST(d.doc_id AS VARCHAR) AS id,
          string_split(d.text, chr(10))[1] AS title,
