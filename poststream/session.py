@@ -54,17 +54,20 @@ def apply_runtime_settings(spark: SparkSession) -> None:
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder named by ``spark.checkpoint.dir``.
+    """The shared folder for checkpoints and scratch tables.
 
-    On a cluster this is set by the deployment and points at shared storage.
-    Only when it is unset (local tests) a private temp folder is chosen.
+    On a cluster ``spark.checkpoint.dir`` is set by the deployment and points
+    at shared storage; it is only read here.  Only when nothing is set (local
+    tests) a private temp folder is chosen.
     """
     sc = spark.sparkContext
-    current = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
-    if not current:
-        current = tempfile.mkdtemp(prefix="poststream-ckpt-")
-    sc.setCheckpointDir(current)
-    return sc.getCheckpointDir() or current
+    active = sc.getCheckpointDir()
+    if active:
+        return active
+    configured = spark.conf.get("spark.checkpoint.dir", None) or \
+        sc.getConf().get("spark.checkpoint.dir", None)
+    sc.setCheckpointDir(configured or tempfile.mkdtemp(prefix="poststream-ckpt-"))
+    return sc.getCheckpointDir()
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

@@ -41,7 +41,7 @@ def kafka_source_options(bootstrap: str, topic: str = TOPIC, starting: str = "ea
     then increments capped per trigger; ``minPartitions`` spreads a topic
     with few partitions over more tasks."""
     opts = {"kafka.bootstrap.servers": bootstrap, "subscribe": topic,
-            "startingOffsets": starting, "failOnDataLoss": "false"}
+            "startingOffsets": starting}
     if max_per_trigger:
         opts["maxOffsetsPerTrigger"] = str(max_per_trigger)
     if min_partitions:
@@ -121,6 +121,30 @@ def publish_stream(df: DataFrame, fmt: str = "kafka", options: dict[str, str] |
     return writer.options(**opts).outputMode("append").trigger(processingTime=every)
 
 
+def quarantine_writer(good_path: str, bad_path: str, schema: T.StructType = RECORD_SCHEMA
+                      ) -> Callable[[DataFrame, int], None]:
+    """foreachBatch function for raw messages: parse each micro-batch once
+    (persisted while both sides are written), good rows to ``good_path``, bad
+    ones with their reason to ``bad_path``, each under ``batch_id=N``.  A bad
+    message never stops the stream."""
+    def write(batch: DataFrame, batch_id: int) -> None:
+        good, bad = decode_json(batch, schema)
+        parsed = batch.persist()
+        try:
+            good.write.mode("overwrite").parquet(f"{good_path}/batch_id={batch_id}")
+            bad.write.mode("overwrite").parquet(f"{bad_path}/batch_id={batch_id}")
+        finally:
+            parsed.unpersist()
+    return write
+
+
+def observe_sent(df: DataFrame, name: str = "sent") -> DataFrame:
+    """Attach a 'posts sent' metric to a batch or streaming plan.  Streams
+    report it per micro-batch in ``lastProgress.observedMetrics``; batch runs
+    read it through ``pyspark.sql.Observation``."""
+    return df.observe(name, F.count(F.lit(1)).alias("sent"))
+
+
 def batch_writer(path: str, partitions: int | None = None) -> Callable[[DataFrame, int], None]:
     """foreachBatch function: the batch goes to ``path/batch_id=N``,
     overwriting that folder so a replay of batch N is idempotent."""

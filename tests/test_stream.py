@@ -131,3 +131,31 @@ def test_run_until_stopped_restarts():
     assert n == 2 and waits == [60, 60]
     with pytest.raises(StreamingQueryException):
         st.run_until_stopped(lambda: _FakeQuery(True), retries=1, sleep=lambda s: None)
+
+
+def test_quarantine_writer_splits_each_batch(spark):
+    msgs = spark.createDataFrame(
+        [("1", '{"id":"1","title":"a"}'), ("2", "{bad"), ("3", '{"title":"x"}')],
+        "key string, value string")
+    good, bad = scratch_path(spark, "t-good"), scratch_path(spark, "t-bad")
+    st.quarantine_writer(good, bad)(msgs, 0)
+    assert [r.id for r in st.read_log(spark, good).collect()] == ["1"]
+    assert sorted(r.reason for r in st.read_log(spark, bad).collect()) == \
+        ["malformed json", "missing id"]
+
+
+def test_observe_sent_in_batch_and_stream(spark):
+    from pyspark.sql import Observation
+    obs = Observation("sent")
+    df = _posts(spark, range(4))
+    df.observe(obs, F.count(F.lit(1)).alias("sent")).write.format("noop").mode("overwrite").save()
+    assert obs.get["sent"] == 4
+    folder = scratch_path(spark, "t-obs")
+    _write(spark, _posts(spark, range(3)), folder)
+    q = (st.observe_sent(_stream(spark, folder)).writeStream.format("noop")
+         .option("checkpointLocation", scratch_path(spark, "t-obs-ckpt"))
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+    seen = [p["observedMetrics"]["sent"]["sent"] for p in q.recentProgress
+            if p.get("observedMetrics")]
+    assert sum(seen) == 3
