@@ -99,6 +99,21 @@ def q_stream_dedup(spark, sf_dir):
     return spark.read.parquet(out)
 
 
+@query("stream_dedup_batches", BASE + f""" SELECT id, title, {_iso_sql('created_utc')} AS created_utc
+ FROM posts""")
+def q_stream_dedup_batches(spark, sf_dir):
+    """R3 without per-key state: each micro-batch is deduplicated by a batch
+    aggregation and anti-joined with the ids of earlier batches."""
+    folder = _topic(spark, _messages(spark, sf_dir))
+    _topic(spark, _messages(spark, sf_dir, _labelled(spark, sf_dir)), folder)  # re-sends
+    out, seen = scratch_path(spark, "dedup-out"), scratch_path(spark, "dedup-seen")
+    writer = st.dedup_writer(out, seen, "id", keep=["id", "title", "created_utc"])
+    _run(_posts_stream(spark, folder).writeStream.foreachBatch(writer)
+         .option("checkpointLocation", scratch_path(spark, "dedup-ckpt"))
+         .trigger(availableNow=True))
+    return st.read_log(spark, out).drop("batch_id")
+
+
 @query("stream_trend", BASE + """ SELECT date_trunc('hour', created_utc) AS bucket, subreddit,
  count(*) AS posts FROM posts GROUP BY ALL""")
 def q_stream_trend(spark, sf_dir):

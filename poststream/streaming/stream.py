@@ -94,6 +94,33 @@ def dedup_stream(posts: DataFrame, key: str = "id", ts: str = "event_time",
     return out
 
 
+def dedup_writer(out_path: str, seen_path: str, key: str = "id",
+                 keep: Sequence[str] | None = None) -> Callable[[DataFrame, int], None]:
+    """foreachBatch dedup that survives a hot key.
+
+    Each micro-batch is deduplicated with a batch aggregation (partial
+    combine, so a post re-sent millions of times is cut down on the map side
+    instead of landing in one task), then anti-joined with the ids seen in
+    earlier batches.  New rows go to ``out_path/batch_id=N`` and their ids to
+    ``seen_path/batch_id=N``, both overwritten, and only batches below N count
+    as seen, so a replayed batch N produces the same output again.
+    """
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        first = batch.dropDuplicates([key])
+        if _exists(spark, seen_path):
+            seen = read_log(spark, seen_path).where(F.col("batch_id") < batch_id)
+            first = first.join(seen.select(key).distinct(), key, "left_anti")
+        fresh = first.persist()
+        try:
+            out = fresh.select(*keep) if keep else fresh
+            out.write.mode("overwrite").parquet(f"{out_path}/batch_id={batch_id}")
+            fresh.select(key).write.mode("overwrite").parquet(f"{seen_path}/batch_id={batch_id}")
+        finally:
+            fresh.unpersist()
+    return write
+
+
 def trend_counts(posts: DataFrame, ts: str = "event_time", every: str = "1 hour",
                  delay: str = "1 day", by: str | None = None) -> DataFrame:
     """Running posts per tumbling window (and ``by``) with a watermark."""

@@ -159,3 +159,16 @@ def test_observe_sent_in_batch_and_stream(spark):
     seen = [p["observedMetrics"]["sent"]["sent"] for p in q.recentProgress
             if p.get("observedMetrics")]
     assert sum(seen) == 3
+
+
+def test_dedup_writer_hot_key_and_replay(spark):
+    out, seen = scratch_path(spark, "t-dw-out"), scratch_path(spark, "t-dw-seen")
+    w = st.dedup_writer(out, seen, keep=["id", "title"])
+    hot = spark.range(5000).select(F.lit("hot").alias("id"), F.lit("x").alias("title"))
+    batch0 = hot.unionByName(_posts(spark, range(3)).select("id", "title"))
+    w(batch0, 0)
+    batch1 = _posts(spark, range(2, 5)).select("id", "title").unionByName(hot.limit(10))
+    w(batch1, 1)
+    w(batch1, 1)                                   # replay after a crash
+    ids = sorted(r.id for r in st.read_log(spark, out).collect())
+    assert ids == ["0", "1", "2", "3", "4", "hot"]
