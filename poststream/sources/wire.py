@@ -37,29 +37,49 @@ def encode_json(df: DataFrame, key: str = "id", binary: bool = False) -> DataFra
     return df.select(F.col(key).cast("string").alias("key"), value.alias("value"))
 
 
-def decode_json(df: DataFrame, schema: T.StructType = RECORD_SCHEMA, value: str = "value",
-                key: str | None = "key", require: str | None = "id"
-                ) -> tuple[DataFrame, DataFrame]:
-    """Parse ``value`` (binary or text) into the schema's columns.
+def tag_messages(df: DataFrame, schema: T.StructType = RECORD_SCHEMA, value: str = "value",
+                 key: str | None = "key", require: str | None = "id") -> DataFrame:
+    """Parse ``value`` (binary or text) once: ``_key``, ``_raw``, parsed
+    struct ``_m`` and ``_reason`` (NULL for a good message).
 
-    Returns ``(good, quarantine)``.  Quarantine holds messages that are NULL,
-    not valid JSON, or lack the ``require`` field; columns ``key``, ``value``
-    (raw text) and ``reason``.
+    The parse sits in a one-element ``explode``: a filter on the parsed
+    fields cannot be pushed below a generator, whereas below a plain
+    projection Catalyst would inline ``from_json`` into the filter and parse
+    every message twice.
     """
     with_corrupt = T.StructType(list(schema.fields) + [T.StructField(CORRUPT, T.StringType())])
     raw = F.col(value).cast("string")
+    parse = F.from_json(raw, with_corrupt, {"mode": "PERMISSIVE",
+                                            "columnNameOfCorruptRecord": CORRUPT})
     parsed = df.select(
         (F.col(key).cast("string") if key else F.lit(None).cast("string")).alias("_key"),
         raw.alias("_raw"),
-        F.from_json(raw, with_corrupt, {"mode": "PERMISSIVE",
-                                        "columnNameOfCorruptRecord": CORRUPT}).alias("_m"))
+        F.explode(F.array(parse)).alias("_m"))
     reason = (F.when(F.col("_raw").isNull(), F.lit("null message"))
               .when(F.col(f"_m.{CORRUPT}").isNotNull(), F.lit("malformed json")))
     if require:
         reason = reason.when(F.col(f"_m.{require}").isNull(), F.lit(f"missing {require}"))
-    tagged = parsed.withColumn("_reason", reason)
+    return parsed.withColumn("_reason", reason)
+
+
+def split_tagged(tagged: DataFrame, schema: T.StructType = RECORD_SCHEMA
+                 ) -> tuple[DataFrame, DataFrame]:
+    """(good rows in the schema's columns, quarantine: key, value, reason)."""
     good = tagged.where(F.col("_reason").isNull()).select(
         *[F.col(f"_m.{f.name}").alias(f.name) for f in schema.fields])
     quarantine = tagged.where(F.col("_reason").isNotNull()).select(
         F.col("_key").alias("key"), F.col("_raw").alias("value"), F.col("_reason").alias("reason"))
     return good, quarantine
+
+
+def decode_json(df: DataFrame, schema: T.StructType = RECORD_SCHEMA, value: str = "value",
+                key: str | None = "key", require: str | None = "id"
+                ) -> tuple[DataFrame, DataFrame]:
+    """Parse ``value`` (binary or text) into the schema's columns.
+
+    Returns ``(good, quarantine)``.  Quarantine holds messages that are NULL,
+    not valid JSON, or lack the ``require`` field; columns ``key``, ``value``
+    (raw text) and ``reason``.  When both sides are written, persist the
+    result of ``tag_messages`` and call ``split_tagged`` so parsing runs once.
+    """
+    return split_tagged(tag_messages(df, schema, value, key, require), schema)

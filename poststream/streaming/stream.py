@@ -26,7 +26,7 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 from ..defaults import FLUSH_EVERY, TOPIC
 from ..operators.enrich import category_override, enriched, with_skills
 from ..operators.model import score
-from ..sources.wire import RECORD_SCHEMA, decode_json, encode_json
+from ..sources.wire import RECORD_SCHEMA, decode_json, encode_json, split_tagged, tag_messages
 
 MESSAGE_SCHEMA = T.StructType([T.StructField("key", T.StringType()),
                                T.StructField("value", T.BinaryType())])
@@ -155,8 +155,8 @@ def quarantine_writer(good_path: str, bad_path: str, schema: T.StructType = RECO
     ones with their reason to ``bad_path``, each under ``batch_id=N``.  A bad
     message never stops the stream."""
     def write(batch: DataFrame, batch_id: int) -> None:
-        good, bad = decode_json(batch, schema)
-        parsed = batch.persist()
+        parsed = tag_messages(batch, schema).persist()
+        good, bad = split_tagged(parsed, schema)
         try:
             good.write.mode("overwrite").parquet(f"{good_path}/batch_id={batch_id}")
             bad.write.mode("overwrite").parquet(f"{bad_path}/batch_id={batch_id}")
