@@ -33,10 +33,16 @@ def skills_column(skills: Skills, text: str = "text"):
 
 def with_skills(df: DataFrame, skills: Skills, title: str = "title",
                 body: str = "selftext") -> DataFrame:
-    """Add ``text`` (title + body), ``skills_array`` and ``skills`` text."""
-    return (df.withColumn("text", post_text(title, body))
-              .withColumn("skills_array", skills_column(skills))
-              .withColumn("skills", skills_text("skills_array")))
+    """Add ``text`` (title + body), ``skills_array`` and ``skills`` text.
+
+    The extraction sits in a one-element ``explode``: later filters on the
+    skills or on anything derived from them (the category, the skills text)
+    stay above that generator instead of being inlined below it, so the regex
+    runs once per post whatever the query filters on.
+    """
+    with_text = df.withColumn("text", post_text(title, body))
+    return (with_text.select("*", F.explode(F.array(skills_column(skills))).alias("skills_array"))
+            .withColumn("skills", skills_text("skills_array")))
 
 
 def category_override(df: DataFrame, predicted: str = "predicted_category",
