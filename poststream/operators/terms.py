@@ -59,6 +59,16 @@ def _count_if(cond: Column) -> Column:
     return F.count(F.when(cond, F.lit(1)))
 
 
+def _set_histogram(df: DataFrame, col: str, by: Sequence[str] = ()) -> DataFrame:
+    """Posts per distinct value set (and ``by``): ``_set`` (sorted distinct
+    non-NULL values), ``_n``.  One pass with map-side combine; term counts,
+    top lists and rest buckets are all derived from this shuffle output (AQE
+    reuses it), so the input (e.g. the skill extraction) is read once."""
+    values = F.array_sort(_distinct_values(col))
+    return df.groupBy(*[F.col(b) for b in by], values.alias("_set")) \
+        .agg(F.count(F.lit(1)).alias("_n"))
+
+
 def top_terms(df: DataFrame, col: str, n: int, other: bool = True, share: bool = False,
               name: str | None = None) -> DataFrame:
     """Top ``n`` values of ``col`` by posts, plus a rest bucket.
@@ -69,18 +79,27 @@ def top_terms(df: DataFrame, col: str, n: int, other: bool = True, share: bool =
     bucket with no post is left out.  ``share`` is posts / panel total.
     """
     name = name or col
-    counts = _term_counts(df, col, name)
+    multi = _is_array(df, col)
+    if multi:
+        hist = _set_histogram(df, col)
+        # explode_outer: a plain explode lets Catalyst infer size(_set) > 0
+        # into this branch's histogram only, and the shuffle is not reused
+        counts = (hist.select(F.explode_outer("_set").alias(name), "_n")
+                  .groupBy(name).agg(F.sum("_n").alias("posts"))
+                  .where(F.col(name).isNotNull()))
+    else:
+        counts = _term_counts(df, col, name)
     w = Window.orderBy(F.desc("posts"), F.asc(name))
     # TakeOrderedAndProject: each task keeps its own n best rows
     top = counts.orderBy(F.desc("posts"), F.asc(name)).limit(n)
     top = top.select(name, "posts", F.row_number().over(w).alias("rank"))
     result = top
     if other:
-        if _is_array(df, col):
+        if multi:
             top_list = top.select(F.collect_list(name)).scalar()
-            vals = _distinct_values(col)
-            rest = df.agg(_count_if((F.size(vals) > 0) & ~F.arrays_overlap(vals, top_list))
-                          .alias("posts"))
+            in_rest = (F.size("_set") > 0) & ~F.arrays_overlap("_set", top_list)
+            rest = hist.agg(F.coalesce(F.sum(F.when(in_rest, F.col("_n"))), F.lit(0))
+                            .alias("posts"))
         else:
             # the total comes from the per-value counts (same plan as the top
             # list, so the shuffle is reused instead of scanning df again)
@@ -104,21 +123,26 @@ def nested_terms(df: DataFrame, outer: str, inner: str, n_outer: int, n_inner: i
     The outer rest bucket pools all remaining outer values and is split by
     ``inner`` the same way.  The inner rest bucket of a group counts the
     group's posts that have an inner value but none of the group's top list.
+    Everything is derived from one (outer, value set) histogram.
     """
     outer_name = outer_name or outer
     inner_name = inner_name or inner
-    outer_top = (_term_counts(df, outer, outer_name)
-                 .orderBy(F.desc("posts"), F.asc(outer_name)).limit(n_outer))
+    hist = _set_histogram(df, inner, [outer])
+    outer_counts = (hist.groupBy(F.col(outer).alias(outer_name))
+                    .agg(F.sum(F.when(F.col(outer).isNotNull(), F.col("_n"))).alias("posts"))
+                    .where(F.col("posts") > 0))
+    outer_top = outer_counts.orderBy(F.desc("posts"), F.asc(outer_name)).limit(n_outer)
     outer_list = outer_top.select(F.collect_list(outer_name)).scalar()
     bucket = (F.when(F.col(outer).isNull(), F.lit(None).cast("string"))
               .when(F.array_contains(outer_list, F.col(outer)), F.col(outer)))
     if other:
         bucket = bucket.otherwise(F.lit(OTHER_BUCKET))
-    based = df.select(bucket.alias(outer_name), _distinct_values(inner).alias("_vals"))
+    based = hist.select(bucket.alias(outer_name), "_set", "_n")
 
-    pairs = based.select(outer_name, F.explode("_vals").alias(inner_name))
+    pairs = based.select(outer_name, F.explode_outer("_set").alias(inner_name), "_n")
     counts = (pairs.groupBy(outer_name, inner_name)
-              .agg(F.count(F.col(outer_name)).alias("posts")).where(F.col("posts") > 0))
+              .agg(F.sum(F.when(F.col(outer_name).isNotNull(), F.col("_n"))).alias("posts"))
+              .where((F.col("posts") > 0) & F.col(inner_name).isNotNull()))
     # per group at most |lexicon| rows: the window sorts small groups
     w = Window.partitionBy(outer_name).orderBy(F.desc("posts"), F.asc(inner_name))
     top = counts.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= n_inner)
@@ -127,9 +151,9 @@ def nested_terms(df: DataFrame, outer: str, inner: str, n_outer: int, n_inner: i
         top_map = top.groupBy(outer_name).agg(F.collect_list(inner_name).alias("_top")) \
             .select(F.map_from_entries(F.collect_list(F.struct(outer_name, "_top")))).scalar()
         group_top = F.try_element_at(top_map, F.col(outer_name))
-        in_rest = (F.col(outer_name).isNotNull() & (F.size("_vals") > 0)
-                   & ~F.coalesce(F.arrays_overlap("_vals", group_top), F.lit(False)))
-        rest = (based.groupBy(outer_name).agg(_count_if(in_rest).alias("posts"))
+        in_rest = (F.col(outer_name).isNotNull() & (F.size("_set") > 0)
+                   & ~F.coalesce(F.arrays_overlap("_set", group_top), F.lit(False)))
+        rest = (based.groupBy(outer_name).agg(F.sum(F.when(in_rest, F.col("_n"))).alias("posts"))
                 .where(F.col("posts") > 0)
                 .select(outer_name, F.lit(OTHER_BUCKET).alias(inner_name), "posts",
                         F.lit(n_inner + 1).alias("rank")))

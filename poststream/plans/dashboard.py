@@ -11,7 +11,6 @@ from ..functions.text import clean_text, post_text, skill_matcher, skills_text
 from ..operators import lexicon as lx
 from ..operators import terms as tm
 from ..operators.enrich import ENRICHED_COLUMNS, category_override, with_skills
-from ..session import materialize
 from . import fixtures as fx
 from .registry import query
 
@@ -38,10 +37,10 @@ def index(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def panel_index(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Narrow index for panels that read it twice (counts, then the rest
-    bucket): extraction runs once, only the narrow columns are checkpointed."""
-    return materialize(index(spark, sf_dir).select(
-        "id", "category", "created_utc", "skills_array"))
+    """The columns the dashboard panels read.  Panels pre-aggregate it into a
+    histogram of skill sets and derive counts and rest buckets from that one
+    shuffle, so the extraction runs once without a checkpoint."""
+    return index(spark, sf_dir).select("id", "category", "created_utc", "skills_array")
 
 
 # ----------------------------------------------------------------- text ----
