@@ -38,7 +38,9 @@ def with_skills(df: DataFrame, skills: Skills, title: str = "title",
     The extraction sits in a one-element ``explode``: later filters on the
     skills or on anything derived from them (the category, the skills text)
     stay above that generator instead of being inlined below it, so the regex
-    runs once per post whatever the query filters on.
+    runs once per post whatever the query filters on.  The price: Catalyst
+    keeps the generator even when no column of it is read, so questions that
+    need no skills (counts, time ranges) should read the posts themselves.
     """
     with_text = df.withColumn("text", post_text(title, body))
     return (with_text.select("*", F.explode(F.array(skills_column(skills))).alias("skills_array"))

@@ -201,11 +201,15 @@ def _fraction_of(lo_us: Column, hi_us: Column, frac: float) -> Column:
     return F.timestamp_micros(lo_us + F.round((hi_us - lo_us) * F.lit(float(frac))).cast("long"))
 
 
-def time_slice(df: DataFrame, ts: str, lo: float, hi: float) -> DataFrame:
+def time_slice(df: DataFrame, ts: str, lo: float, hi: float,
+               bounds_from: DataFrame | None = None) -> DataFrame:
     """Rows with ``start <= ts < end`` where start and end are fractions of
-    the data's own time range (min and max come in as scalar subqueries)."""
-    bounds = df.agg(F.min(F.unix_micros(F.col(ts))).alias("a"),
-                    F.max(F.unix_micros(F.col(ts))).alias("b"))
+    the data's own time range (min and max come in as scalar subqueries).
+    ``bounds_from``: a cheaper frame with the same times (e.g. the posts
+    before enrichment) to take the range from."""
+    src = bounds_from if bounds_from is not None else df
+    bounds = src.agg(F.min(F.unix_micros(F.col(ts))).alias("a"),
+                     F.max(F.unix_micros(F.col(ts))).alias("b"))
     a = bounds.select("a").scalar()
     b = bounds.select("b").scalar()
     start, end = _fraction_of(a, b, lo), _fraction_of(a, b, hi)
@@ -218,6 +222,7 @@ def choose(df: DataFrame, col: str, values: Sequence[str] | None) -> DataFrame:
 
 
 def panel_filter(df: DataFrame, ts: str, lo: float, hi: float, col: str,
-                 values: Sequence[str] | None) -> DataFrame:
+                 values: Sequence[str] | None, bounds_from: DataFrame | None = None
+                 ) -> DataFrame:
     """Controls in dashboard order: time slice first, then the options."""
-    return choose(time_slice(df, ts, lo, hi), col, values)
+    return choose(time_slice(df, ts, lo, hi, bounds_from), col, values)

@@ -129,7 +129,8 @@ def q_lexicon_coverage(spark, sf_dir):
 
 @query("total_posts", PRELUDE + " SELECT nullif(count(*), 0) AS total_posts FROM idx")
 def q_total_posts(spark, sf_dir):
-    return tm.total_posts(index(spark, sf_dir))
+    # the index holds one row per post; counting needs no skill extraction
+    return tm.total_posts(fx.posts(spark, sf_dir))
 
 
 def _top_sql(src: str, col: str, name: str, n: int, share: bool, multi: bool) -> str:
@@ -245,8 +246,8 @@ sliced AS (SELECT idx.* FROM idx, bounds
 @query("time_slice", PRELUDE + ",\n" + _slice_sql(*fx.SLICE)
        + " SELECT id, category, created_utc FROM sliced")
 def q_time_slice(spark, sf_dir):
-    return tm.time_slice(index(spark, sf_dir), "created_utc", *fx.SLICE).select(
-        "id", "category", "created_utc")
+    return tm.time_slice(index(spark, sf_dir), "created_utc", *fx.SLICE,
+                         bounds_from=fx.posts(spark, sf_dir)).select("id", "category", "created_utc")
 
 
 CHOSEN = ["en", "fr"]
@@ -262,5 +263,5 @@ def q_category_filter(spark, sf_dir):
        + _top_sql("chosen", "category", "category", CATEGORY_PIE_SIZE, True, False))
 def q_filtered_categories(spark, sf_dir):
     panel = tm.panel_filter(panel_index(spark, sf_dir), "created_utc", *fx.SLICE, "category",
-                            CHOSEN)
+                            CHOSEN, bounds_from=fx.posts(spark, sf_dir))
     return tm.top_terms(panel, "category", CATEGORY_PIE_SIZE, share=True)
