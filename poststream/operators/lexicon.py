@@ -7,11 +7,12 @@ as a literal regex in the plan, so its size is checked before it is shipped.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..defaults import CSV_MISSING_MARKERS
 from ..functions.text import SkillMatcher, skill_matcher, skill_pattern
+from .topn import global_rank
 
 # Shipping bound for the lexicon literal; a larger lexicon raises instead of
 # being cut.
@@ -43,10 +44,11 @@ def load_lexicon(df: DataFrame, column: str = "skill") -> DataFrame:
 def order_terms(lexicon: DataFrame) -> DataFrame:
     """Terms longest first (ties alphabetical) with their 1-based position.
 
-    One global ordering over the lexicon, which is bounded by ``MAX_TERMS``.
+    Ranked with a distributed sort, so a lexicon derived from the data (a
+    vocabulary) never has to fit one task.
     """
-    w = Window.orderBy(F.desc(F.length("skill")), F.asc("skill"))
-    return lexicon.select("skill", F.row_number().over(w).alias("position"))
+    terms = lexicon.select("skill")
+    return global_rank(terms, [F.desc(F.length("skill")), F.asc("skill")], "position")
 
 
 def lexicon_size(lexicon: DataFrame) -> DataFrame:

@@ -16,6 +16,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import materialize
+
 DEFAULT_SALT_BUCKETS = 64
 
 
@@ -35,3 +37,31 @@ def top_n_per_group(df: DataFrame, groups: Sequence[str], order: Sequence[Column
     w2 = Window.partitionBy(*groups).orderBy(*order)
     out = stage1.withColumn("_rn", F.row_number().over(w2)).where(F.col("_rn") <= n)
     return out.withColumnRenamed("_rn", rank_col) if rank_col else out.drop("_rn")
+
+
+def global_rank(df: DataFrame, order: Sequence[Column], rank_col: str = "position"
+                ) -> DataFrame:
+    """1-based consecutive position of every row under ``order`` (a total
+    order), without pulling all rows into one task.
+
+    The rows are range-partitioned and sorted by ``order`` (Spark samples the
+    ranges, so a heavy key range is split like any other), each row gets its
+    partition id and index inside the partition, and the sorted result is
+    checkpointed so those ids stay fixed.  Per-partition counts -- one row
+    per partition -- give each partition's offset, which a broadcast join
+    adds back.
+    """
+    ids = df.orderBy(*order).withColumn("_mid", F.monotonically_increasing_id())
+    # reliable checkpoint: recomputation must not re-sample the range bounds
+    ids = materialize(ids)
+    mask = (1 << 33) - 1
+    ids = ids.select("*", F.shiftright("_mid", 33).alias("_part"),
+                     (F.col("_mid").bitwiseAND(F.lit(mask))).alias("_local"))
+    sizes = ids.groupBy("_part").agg(F.count(F.lit(1)).alias("_size"))
+    # one row per partition: a single ordered window over them is small
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select("_part", F.coalesce(F.sum("_size").over(before), F.lit(0))
+                           .alias("_offset"))
+    ranked = ids.join(F.broadcast(offsets), "_part")
+    return ranked.select(*df.columns, (F.col("_offset") + F.col("_local") + 1)
+                         .cast("long").alias(rank_col))

@@ -106,7 +106,7 @@ def q_lexicon_size(spark, sf_dir):
 
 
 @query("lexicon_order", RAW_LEXICON_SQL + """ SELECT skill,
- CAST(row_number() OVER (ORDER BY length(skill) DESC, skill) AS INTEGER) AS position FROM lex""")
+ row_number() OVER (ORDER BY length(skill) DESC, skill) AS position FROM lex""")
 def q_lexicon_order(spark, sf_dir):
     return lx.order_terms(lx.load_lexicon(_raw_lexicon(spark, sf_dir)))
 

@@ -5,7 +5,7 @@ import re
 from pyspark.sql import functions as F
 
 from poststream.operators import ingest as ig
-from poststream.operators.topn import top_n_per_group
+from poststream.operators.topn import global_rank, top_n_per_group
 
 
 def test_tag_patterns():
@@ -78,3 +78,14 @@ def test_union_sources(spark):
     p = _posts(spark)
     u = ig.union_sources([p.where("subreddit = 'techjobs'"), p.where("subreddit = 'other'")])
     assert u.count() == 4
+
+
+def test_global_rank_is_consecutive_across_partitions(spark):
+    rnd = random.Random(3)
+    words = ["w" * rnd.randint(1, 6) + str(i) for i in range(3000)]
+    df = spark.createDataFrame([(w,) for w in words], "skill string").repartition(7)
+    ranked = global_rank(df, [F.desc(F.length("skill")), F.asc("skill")], "position")
+    got = sorted((r.position, r.skill) for r in ranked.collect())
+    want = sorted(words, key=lambda w: (-len(w), w))
+    assert [p for p, _ in got] == list(range(1, len(words) + 1))
+    assert [w for _, w in got] == want
