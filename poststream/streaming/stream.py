@@ -53,14 +53,19 @@ def read_posts_stream(spark: SparkSession, fmt: str = "kafka",
                       options: dict[str, str] | None = None, path: str | None = None,
                       schema: T.StructType = MESSAGE_SCHEMA,
                       max_files_per_trigger: int | None = None) -> DataFrame:
-    """Unbounded message rows (``key``, ``value``) from Kafka or a folder."""
+    """Unbounded message rows (``key``, ``value``) from Kafka or a folder.
+
+    ``fmt="text"`` reads JSON-lines files (one message per line, no key), as
+    a log forwarder writes them; other file formats need the message schema.
+    """
     reader = spark.readStream.format(fmt).options(**(options or {}))
-    if fmt != "kafka":
-        reader = reader.schema(schema)
-        if max_files_per_trigger:
-            reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
-        return reader.load(path)
-    return reader.load()
+    if fmt == "kafka":
+        return reader.load()
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
+    if fmt == "text":
+        return reader.load(path).select(F.lit(None).cast("string").alias("key"), "value")
+    return reader.schema(schema).load(path)
 
 
 def parse_posts(messages: DataFrame, schema: T.StructType = RECORD_SCHEMA

@@ -172,3 +172,19 @@ def test_dedup_writer_hot_key_and_replay(spark):
     w(batch1, 1)                                   # replay after a crash
     ids = sorted(r.id for r in st.read_log(spark, out).collect())
     assert ids == ["0", "1", "2", "3", "4", "hot"]
+
+
+def test_json_lines_folder_stream(spark, tmp_path):
+    folder = tmp_path / "lines"
+    folder.mkdir()
+    (folder / "a.json").write_text('{"id":"1","title":"x","created_utc":"2024-01-01T00:00:00+00:00"}\n'
+                                  '{bad\n')
+    raw = st.read_posts_stream(spark, "text", path=str(folder))
+    good, bad = st.parse_posts(raw)
+    out = scratch_path(spark, "t-lines")
+    (good.writeStream.format("parquet").option("path", out)
+     .option("checkpointLocation", scratch_path(spark, "t-lines-ckpt"))
+     .trigger(availableNow=True).start().awaitTermination())
+    rows = spark.read.parquet(out).collect()
+    assert [r.id for r in rows] == ["1"]
+    assert rows[0].event_time.year == 2024
