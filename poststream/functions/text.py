@@ -224,7 +224,8 @@ def iso_timestamp(c: ColumnOrName) -> Column:
 # --------------------------------------------------------------------------
 
 def job_text(title: ColumnOrName, body: ColumnOrName) -> Column:
-    """Lower-cased ``title + " " + body`` used by the keyword test."""
+    """Lower-cased ``title + " " + body`` used by the keyword test (a NULL
+    part counts as empty text)."""
     return F.lower(F.concat(F.coalesce(_col(title), F.lit("")), F.lit(" "),
                             F.coalesce(_col(body), F.lit(""))))
 

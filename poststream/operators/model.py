@@ -2,8 +2,9 @@
 
 Pipeline: label indexer (fitted on the whole set, most frequent label = 0)
 -> tokenizer on commas -> hashing term frequencies (20,000 slots) ->
-multinomial logistic regression -> index back to the label text.  Training
-is distributed by Spark ML (gradients are tree-aggregated over partitions).
+logistic regression (multinomial for more than two labels) -> index back to
+the label text.  Training is distributed by Spark ML (gradients are
+tree-aggregated over partitions).
 
 Splits and folds come from a hash of the post id, so they do not depend on
 how the input happens to be partitioned (``randomSplit`` does).
@@ -83,7 +84,7 @@ def build_classifier(indexer: StringIndexerModel, num_features: int = NUM_FEATUR
                                toLowercase=False, minTokenLength=1)
     hashing = HashingTF(inputCol="tokens", outputCol="features", numFeatures=num_features)
     lr = LogisticRegression(featuresCol="features", labelCol="label", maxIter=max_iter,
-                            regParam=reg_param, family="multinomial")
+                            regParam=reg_param)   # family "auto": multinomial for > 2 labels
     back = IndexToString(inputCol="prediction", outputCol="predicted_category",
                          labels=indexer.labels)
     return Pipeline(stages=[indexer, tokenizer, hashing, lr, back])
