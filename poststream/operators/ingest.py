@@ -56,16 +56,26 @@ def recent(df: DataFrame, as_of: datetime | str | Column, days: int = DAYS_BACK,
 
 
 def unseen(df: DataFrame, ledger: DataFrame, key: str = "id",
-           ledger_key: str | None = None) -> DataFrame:
+           ledger_key: str | None = None, max_candidates: int | None = None) -> DataFrame:
     """Drop posts whose id is in the ledger.
 
-    The ledger is made distinct first; its hash exchange on the key is the
-    one the anti join needs, so this costs no extra shuffle.  AQE splits a
-    skewed key partition on the post side.
+    Without a bound: the ledger is made distinct first; its hash exchange on
+    the key is the one the anti join needs, so this costs no extra shuffle,
+    and AQE splits a skewed key partition on the post side.
+
+    With ``max_candidates`` (a proven bound on ``df``'s rows, e.g. n newest
+    posts per source): the candidate ids are broadcast to cut the ever-growing
+    ledger down to the ids that matter (a scan, no ledger shuffle), and that
+    remainder -- at most ``max_candidates`` ids -- is broadcast into the anti
+    join.
     """
     lk = ledger_key or key
-    seen = ledger.select(F.col(lk).cast("string").alias(key)).distinct()
-    return df.join(seen, key, "left_anti")
+    ids = ledger.select(F.col(lk).cast("string").alias(key))
+    if max_candidates is None:
+        return df.join(ids.distinct(), key, "left_anti")
+    candidates = F.broadcast(df.select(F.col(key).cast("string").alias(key)).distinct())
+    seen = ids.join(candidates, key, "left_semi").distinct()
+    return df.join(F.broadcast(seen), key, "left_anti")
 
 
 def relevant(df: DataFrame, keywords: Sequence[str] = JOB_KEYWORDS, title: str = "title",
@@ -158,8 +168,22 @@ def sent_counts(df: DataFrame, source: str = "subreddit") -> DataFrame:
 
 def prepare(df: DataFrame, ledger: DataFrame, as_of: datetime | str | Column,
             sources: Sequence[str], keywords: Sequence[str] = JOB_KEYWORDS,
-            limit: int = FIRST_RUN_LIMIT, days: int = DAYS_BACK) -> DataFrame:
-    """One ingest run, in the original order of decisions."""
-    picked = newest_per_source(select_sources(df, sources), limit)
-    fresh = unseen(recent(picked, as_of, days), ledger)
-    return shape_record(relevant(fresh, keywords))
+            limit: int = FIRST_RUN_LIMIT, days: int = DAYS_BACK, key: str = "id",
+            source: str = "subreddit", ts: str = "created_utc") -> DataFrame:
+    """One ingest run, in the original order of decisions.
+
+    Late materialization: newest-n, age and the ledger lookup run on the
+    narrow (id, source, created) columns, so the per-source shuffles never
+    carry texts.  At most ``limit`` posts per source survive, a proven bound;
+    their rows come back through a broadcast semi join (the texts are
+    scanned once, not shuffled) for the keyword test and the record shape.
+    """
+    bound = limit * max(1, len(list(sources)))
+    narrow = select_sources(df, sources, source).select(key, source, ts)
+    picked = newest_per_source(narrow, limit, source, ts, key)
+    fresh = unseen(recent(picked, as_of, days, ts), ledger, key, max_candidates=bound)
+    # semi join on the id alone, so it can be pushed below a join that
+    # assembles the posts (ids are unique per source, as post ids are)
+    rows = select_sources(df, sources, source).join(F.broadcast(fresh.select(key)), key,
+                                                    "left_semi")
+    return shape_record(relevant(rows, keywords), source)
