@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from ..defaults import BODY_CHARS, DAYS_BACK, FIRST_RUN_LIMIT, JOB_KEYWORDS
 from ..functions.text import is_relevant, iso_timestamp, job_text, truncate_body
+from ..session import materialize
 from .topn import top_n_per_group
 
 RECORD_COLUMNS = ["id", "title", "created_utc", "selftext", "subreddit", "url"]
@@ -181,7 +182,10 @@ def prepare(df: DataFrame, ledger: DataFrame, as_of: datetime | str | Column,
     bound = limit * max(1, len(list(sources)))
     narrow = select_sources(df, sources, source).select(key, source, ts)
     picked = newest_per_source(narrow, limit, source, ts, key)
-    fresh = unseen(recent(picked, as_of, days, ts), ledger, key, max_candidates=bound)
+    # the bounded candidate set feeds both sides of the ledger lookup: write
+    # it once (a few thousand narrow rows) instead of computing it twice
+    candidates = materialize(recent(picked, as_of, days, ts))
+    fresh = unseen(candidates, ledger, key, max_candidates=bound)
     # semi join on the id alone, so it can be pushed below a join that
     # assembles the posts (ids are unique per source, as post ids are)
     rows = select_sources(df, sources, source).join(F.broadcast(fresh.select(key)), key,

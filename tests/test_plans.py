@@ -92,12 +92,18 @@ def test_panels_reuse_one_histogram_shuffle(spark):
     assert final.count("Scan parquet") <= 2 * 2   # documents + events, main plan + subquery
 
 
-def test_ingest_windows_shuffle_narrow_rows(no_broadcast_no_aqe):
-    import __spark_entry__ as E
+def test_ingest_windows_shuffle_narrow_rows(no_broadcast_no_aqe, monkeypatch):
+    from poststream.operators import ingest as ig
+    captured = []
+    monkeypatch.setattr(ig, "materialize", lambda df: captured.append(df) or df)
     spark = no_broadcast_no_aqe
-    plan = explain(E.queries()["ingest_batch"](spark, SF_SMALL))
+    ledger = fx.table(spark, SF_SMALL, "labels").select(F.col("doc_id").cast("string").alias("id"))
+    ig.prepare(fx.posts(spark, SF_SMALL), ledger, fx.AS_OF, fx.SOURCES, fx.KEYWORDS)
+    assert len(captured) == 1                    # the bounded candidate set
+    assert set(captured[0].columns) == {"id", "subreddit", "created_utc"}
+    plan = explain(captured[0])
     blocks = re.findall(r"\(\d+\) Exchange\s*\nInput \[\d+\]: \[([^\]]*)\]\s*\nArguments: "
                         r"hashpartitioning\(subreddit#", plan)
-    assert len(blocks) >= 2                      # salted stage and final stage
+    assert len(blocks) == 2                      # salted stage and final stage
     for cols in blocks:
         assert "title#" not in cols and "selftext#" not in cols and "text#" not in cols
