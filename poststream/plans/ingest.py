@@ -182,7 +182,7 @@ def q_seen_ledger_append(spark, sf_dir):
 
 # ------------------------------------------------------------------ wire ----
 
-def _messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+def bad_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Wire messages for every post; those of kind 'error' arrive cut in half
     (not JSON), those of kind 'view' without their id field."""
     shaped = ig.shape_record(fx.posts(spark, sf_dir), keep=("kind",))
@@ -207,7 +207,7 @@ def q_json_roundtrip(spark, sf_dir):
  CASE kind WHEN 'error' THEN 'malformed json' WHEN 'view' THEN 'missing id' END AS reason
  FROM posts""")
 def q_quarantine_bad_json(spark, sf_dir):
-    msgs = _messages(spark, sf_dir)
+    msgs = bad_messages(spark, sf_dir)
     good, bad = wire.decode_json(msgs, wire.RECORD_SCHEMA)
     return (good.select(F.col("id").alias("key"), F.lit("good").alias("status"),
                         F.lit(None).cast("string").alias("reason"))

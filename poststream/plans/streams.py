@@ -15,7 +15,9 @@ from ..sources import wire
 from ..streaming import stream as st
 from . import fixtures as fx
 from .classify import _fit
-from .dashboard import MATCHER
+from ..operators.enrich import with_skills
+from .dashboard import MATCHER, PRELUDE
+from .ingest import bad_messages
 from .ingest import BASE, _iso_sql
 from .registry import query
 
@@ -94,6 +96,39 @@ def q_stream_enriched(spark, sf_dir):
     return spark.read.parquet(out)
 
 
+@query("stream_skills", PRELUDE + " SELECT id, skills_array, array_to_string(skills_array, ', ') "
+       "AS skills FROM sk")
+def q_stream_skills(spark, sf_dir):
+    """The stream enrichment's text path (whole texts -> skills) without the
+    model, so it compares with SQL; the full path is ``stream_enriched``."""
+    folder = _topic(spark, _messages(spark, sf_dir))
+    posts = with_skills(_posts_stream(spark, folder), MATCHER)
+    out, writer = _to_folder(posts.select("id", "skills_array", "skills"), "skills")
+    _run(writer)
+    return spark.read.parquet(out)
+
+
+@query("stream_quarantine", BASE + """ SELECT id AS key,
+ CASE WHEN kind IN ('error', 'view') THEN 'quarantine' ELSE 'good' END AS status,
+ CASE kind WHEN 'error' THEN 'malformed json' WHEN 'view' THEN 'missing id' END AS reason
+ FROM posts""")
+def q_stream_quarantine(spark, sf_dir):
+    """Bad messages in a stream: each micro-batch parsed once, good rows and
+    quarantined ones (with their reason) written side by side."""
+    folder = _topic(spark, bad_messages(spark, sf_dir))
+    raw = st.read_posts_stream(spark, "parquet", path=folder,
+                               max_files_per_trigger=_files_per_trigger(spark, folder))
+    good, bad = scratch_path(spark, "q-good"), scratch_path(spark, "q-bad")
+    _run(raw.writeStream.foreachBatch(st.quarantine_writer(good, bad))
+         .option("checkpointLocation", scratch_path(spark, "q-ckpt"))
+         .trigger(availableNow=True))
+    return (st.read_log(spark, good).select(F.col("id").alias("key"),
+                                            F.lit("good").alias("status"),
+                                            F.lit(None).cast("string").alias("reason"))
+            .unionByName(st.read_log(spark, bad).select(
+                "key", F.lit("quarantine").alias("status"), "reason")))
+
+
 def _labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
     ids = fx.table(spark, sf_dir, "labels").select(F.col("doc_id").cast("string").alias("id"))
     return fx.posts(spark, sf_dir).join(ids, "id", "left_semi")
