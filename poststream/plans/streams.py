@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import ingest as ig
-from ..session import scratch_path
+from ..session import count_files, scratch_path
 from ..sources import wire
 from ..streaming import stream as st
 from . import fixtures as fx
@@ -43,10 +43,7 @@ def _topic(spark: SparkSession, messages: DataFrame, folder: str | None = None)
 def _files_per_trigger(spark: SparkSession, folder: str) -> int:
     """Files per micro-batch so that a run takes about ``BATCHES`` batches
     (a metadata listing, no data read)."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(folder)  # noqa: SLF001
-    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())  # noqa: SLF001
-    files = sum(1 for st_ in fs.listStatus(path) if st_.getPath().getName().endswith(".parquet"))
-    return max(1, -(-files // BATCHES))
+    return max(1, -(-count_files(spark, folder) // BATCHES))
 
 
 def _run(writer) -> None:

@@ -76,6 +76,25 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(base, f"{name}-{uuid.uuid4().hex[:12]}")
 
 
+def _fs_path(spark: SparkSession, path: str):
+    jpath = spark._jvm.org.apache.hadoop.fs.Path(path)  # noqa: SLF001
+    return jpath, jpath.getFileSystem(spark._jsc.hadoopConfiguration())  # noqa: SLF001
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Does a file or folder exist (on any Hadoop file system)?"""
+    jpath, fs = _fs_path(spark, path)
+    return bool(fs.exists(jpath))
+
+
+def count_files(spark: SparkSession, folder: str, suffix: str = ".parquet") -> int:
+    """Number of data files directly in a folder (a metadata listing)."""
+    jpath, fs = _fs_path(spark, folder)
+    if not fs.exists(jpath):
+        return 0
+    return sum(1 for st in fs.listStatus(jpath) if st.getPath().getName().endswith(suffix))
+
+
 def materialize(df: DataFrame) -> DataFrame:
     """Cut lineage with a reliable checkpoint in ``spark.checkpoint.dir``.
 

@@ -11,14 +11,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import path_exists
+
 LEDGER_SCHEMA = T.StructType([T.StructField("id", T.StringType())])
 
 
 def read_ledger(spark: SparkSession, path: str) -> DataFrame:
     """Ids in the ledger (empty when the ledger does not exist yet)."""
-    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)  # noqa: SLF001
-    fs = jvm_path.getFileSystem(spark._jsc.hadoopConfiguration())  # noqa: SLF001
-    if not fs.exists(jvm_path):
+    if not path_exists(spark, path):
         return spark.createDataFrame([], LEDGER_SCHEMA)
     return spark.read.schema(LEDGER_SCHEMA).parquet(path)
 

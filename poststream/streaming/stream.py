@@ -26,6 +26,7 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 from ..defaults import FLUSH_EVERY, TOPIC
 from ..operators.enrich import category_override, enriched, with_skills
 from ..operators.model import score
+from ..session import path_exists
 from ..sources.wire import RECORD_SCHEMA, decode_json, encode_json, split_tagged, tag_messages
 
 MESSAGE_SCHEMA = T.StructType([T.StructField("key", T.StringType()),
@@ -113,7 +114,7 @@ def dedup_writer(out_path: str, seen_path: str, key: str = "id",
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         first = batch.dropDuplicates([key])
-        if _exists(spark, seen_path):
+        if path_exists(spark, seen_path):
             seen = read_log(spark, seen_path).where(F.col("batch_id") < batch_id)
             first = first.join(seen.select(key).distinct(), key, "left_anti")
         fresh = first.persist()
@@ -223,11 +224,6 @@ def latest_per_id(df: DataFrame, key: Sequence[str] | str = "id",
     return latest.select(*keys, "_v.*")
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    p = spark._jvm.org.apache.hadoop.fs.Path(path)  # noqa: SLF001
-    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)  # noqa: SLF001
-
-
 def read_log(spark: SparkSession, path: str, since: int = -1) -> DataFrame:
     """Micro-batch folders of a keyed log newer than ``since``, with their
     ``batch_id`` (the filter prunes whole folders)."""
@@ -241,7 +237,7 @@ def read_keyed(spark: SparkSession, path: str, key: Sequence[str] | str = "id",
     """Current documents: latest row per key over the base (folded up to
     batch ``since``) and the newer log batches."""
     log = read_log(spark, path, since)
-    if base and _exists(spark, base):
+    if base and path_exists(spark, base):
         log = spark.read.parquet(base).withColumn("batch_id", F.lit(since).cast("long")) \
             .unionByName(log.withColumn("batch_id", F.col("batch_id").cast("long")))
     return latest_per_id(log, key, order).drop("batch_id")
@@ -260,7 +256,7 @@ def compact(spark: SparkSession, path: str, out: str, base: str | None = None,
     if last is None:
         last = since
     newer = latest_per_id(log.where(F.col("batch_id") <= last), keys, order).drop("batch_id")
-    if base and _exists(spark, base):
+    if base and path_exists(spark, base):
         kept = spark.read.parquet(base).join(newer.select(*keys), keys, "left_anti")
         folded = kept.unionByName(newer)
     else:
