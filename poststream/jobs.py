@@ -15,13 +15,16 @@ from __future__ import annotations
 
 import argparse
 import json
-from collections.abc import Sequence
+import time
+from collections.abc import Callable, Sequence
+from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from .defaults import DAYS_BACK, FIRST_RUN_LIMIT, JOB_KEYWORDS, JOB_SOURCES, TOPIC
+from .defaults import (DAYS_BACK, FIRST_RUN_LIMIT, JOB_KEYWORDS, JOB_SOURCES, LATER_RUN_LIMIT,
+                       TOPIC)
 from .operators import ingest as ig
 from .operators import lexicon as lx
 from .operators import model as ml
@@ -92,6 +95,33 @@ def ingest(spark: SparkSession, posts: DataFrame, ledger_path: str, out_path: st
     return sent.count()
 
 
+def ingest_loop(spark: SparkSession, read_posts: Callable[[], DataFrame], ledger_path: str,
+                out_path: str, as_of: Callable[[], str] | None = None,
+                sources: Sequence[str] = JOB_SOURCES, keywords: Sequence[str] = JOB_KEYWORDS,
+                every_seconds: float = 60.0, runs: int | None = None,
+                sleep: Callable[[float], None] = time.sleep) -> list[int]:
+    """Repeated ingest runs: a backfill first (``FIRST_RUN_LIMIT`` newest
+    posts per source), then increments (``LATER_RUN_LIMIT``), a pause
+    between runs, and a failed run is reported and retried after the pause
+    instead of stopping the loop.  ``runs=None`` loops forever.  Returns the
+    number of posts sent per successful run."""
+    sent: list[int] = []
+    first = True
+    attempt = 0
+    while runs is None or attempt < runs:
+        attempt += 1
+        try:
+            stamp = as_of() if as_of else datetime.now(timezone.utc).strftime("%Y-%m-%d %H:%M:%S")
+            limit = FIRST_RUN_LIMIT if first else LATER_RUN_LIMIT
+            sent.append(ingest(spark, read_posts(), ledger_path, out_path, stamp, sources,
+                               keywords, limit))
+            first = False
+        except Exception as exc:  # noqa: BLE001 - a failed run must not end the loop
+            print(f"ingest run failed, retrying after {every_seconds} s: {exc}")
+        sleep(every_seconds)
+    return sent
+
+
 def main(argv: Sequence[str] | None = None) -> None:
     p = argparse.ArgumentParser(prog="poststream.jobs")
     sub = p.add_subparsers(dest="cmd", required=True)

@@ -57,3 +57,26 @@ def test_ingest_run_appends_ledger(spark):
     assert jobs.ingest(spark, posts, ledger, out, "2024-01-03 00:00:00") == 2
     assert jobs.ingest(spark, posts, ledger, out, "2024-01-03 00:00:00") == 0   # seen now
     assert spark.read.parquet(out).count() == 2
+
+
+def test_ingest_loop_backfill_then_increments_and_survives_failure(spark):
+    t0 = dt.datetime(2024, 1, 3)
+    rows = [(str(i), f"hiring {i}", "x", "techjobs", t0 - dt.timedelta(minutes=i))
+            for i in range(60)]
+    posts = spark.createDataFrame(
+        rows, "id string, title string, selftext string, subreddit string, created_utc timestamp")
+    calls = []
+
+    def read():
+        calls.append(1)
+        if len(calls) == 2:
+            raise RuntimeError("source down")
+        return posts
+
+    waits = []
+    ledger, out = scratch_path(spark, "loop-ledger"), scratch_path(spark, "loop-out")
+    sent = jobs.ingest_loop(spark, read, ledger, out, as_of=lambda: "2024-01-03 00:00:00",
+                            sources=["techjobs"], runs=3, sleep=waits.append, every_seconds=60)
+    assert sent == [60, 0]        # backfill took all 60; the increment finds nothing new
+    assert waits == [60, 60, 60]
+    assert spark.read.parquet(out).count() == 60
