@@ -30,14 +30,11 @@ TAG_PREFIX = "reddit.jobs"
 TAG_SUFFIX = "post"
 TOPIC = "redditjob"
 FLUSH_EVERY = "5 seconds"
-POLL_EVERY = "60 seconds"
+POLL_SECONDS = 60
 
 # The category used when a post has no skill at all.
 NO_SKILL_CATEGORY = "other"
 
-# Job categories the shipped classifier knew, in label-index order.
-SHIPPED_LABELS = ["Frontend", "Backend", "Cloud/Network", "Cybersecurity", "Fullstack", "IA"]
-
 # Classifier settings (hashing width, grid, folds, split).
 NUM_FEATURES = 20000
 GRID_MAX_ITER = [50, 100]

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from .defaults import (DAYS_BACK, FIRST_RUN_LIMIT, JOB_KEYWORDS, JOB_SOURCES, LATER_RUN_LIMIT,
-                       TOPIC)
+                       POLL_SECONDS, TOPIC)
 from .operators import ingest as ig
 from .operators import lexicon as lx
 from .operators import model as ml
@@ -90,7 +90,8 @@ def ingest(spark: SparkSession, posts: DataFrame, ledger_path: str, out_path: st
     sent = ig.prepare(posts, lg.read_ledger(spark, ledger_path), as_of, sources, keywords,
                       limit, days)
     sent = materialize(sent)
-    wire.encode_json(sent).write.mode("append").parquet(out_path)
+    routed = ig.route(ig.with_tag(sent)).drop("tag")      # emitted as reddit.jobs.post
+    wire.encode_json(routed).write.mode("append").parquet(out_path)
     lg.append_ledger(sent, ledger_path)
     return sent.count()
 
@@ -98,7 +99,7 @@ def ingest(spark: SparkSession, posts: DataFrame, ledger_path: str, out_path: st
 def ingest_loop(spark: SparkSession, read_posts: Callable[[], DataFrame], ledger_path: str,
                 out_path: str, as_of: Callable[[], str] | None = None,
                 sources: Sequence[str] = JOB_SOURCES, keywords: Sequence[str] = JOB_KEYWORDS,
-                every_seconds: float = 60.0, runs: int | None = None,
+                every_seconds: float = POLL_SECONDS, runs: int | None = None,
                 sleep: Callable[[float], None] = time.sleep) -> list[int]:
     """Repeated ingest runs: a backfill first (``FIRST_RUN_LIMIT`` newest
     posts per source), then increments (``LATER_RUN_LIMIT``), a pause

@@ -15,7 +15,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..defaults import BODY_CHARS, DAYS_BACK, FIRST_RUN_LIMIT, JOB_KEYWORDS
+from ..defaults import (BODY_CHARS, DAYS_BACK, FIRST_RUN_LIMIT, JOB_KEYWORDS, TAG_PREFIX,
+                        TAG_SUFFIX)
 from ..functions.text import is_relevant, iso_timestamp, job_text, truncate_body
 from ..session import materialize
 from .topn import top_n_per_group
@@ -137,7 +138,13 @@ def tag_regex(pattern: str) -> str:
     return "^(?:" + "|".join(_tag_body(p) for p in pattern.split()) + ")$"
 
 
-def route(df: DataFrame, pattern: str, tag: str = "tag") -> DataFrame:
+def with_tag(df: DataFrame, tag: str = f"{TAG_PREFIX}.{TAG_SUFFIX}", col: str = "tag"
+             ) -> DataFrame:
+    """Label records with the transport tag they are emitted under."""
+    return df.withColumn(col, F.lit(tag))
+
+
+def route(df: DataFrame, pattern: str = f"{TAG_PREFIX}.**", tag: str = "tag") -> DataFrame:
     """Records whose tag matches the match pattern."""
     return df.where(F.col(tag).rlike(tag_regex(pattern)))
 

@@ -23,6 +23,14 @@ def test_tag_patterns():
     assert m("x.y a.b", "a.b")
 
 
+def test_default_route_keeps_emitted_tag(spark):
+    df = spark.createDataFrame([("1",)], "id string")
+    tagged = ig.with_tag(df)
+    assert tagged.first().tag == "reddit.jobs.post"
+    assert ig.route(tagged).count() == 1
+    assert ig.route(ig.with_tag(df, "reddit.other.post")).count() == 0
+
+
 def test_top_n_per_group_with_hot_group_equals_brute_force(spark):
     rnd = random.Random(7)
     rows = []
