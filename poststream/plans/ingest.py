@@ -9,6 +9,7 @@ from ..defaults import FIRST_RUN_LIMIT
 from ..functions.text import (epoch_to_utc, iso_timestamp, job_text, keyword_hits,
                               title_preview, truncate_body)
 from ..operators import ingest as ig
+from ..operators import terms as tm
 from ..sources import ledger as lg
 from ..sources import wire
 from . import fixtures as fx
@@ -98,6 +99,15 @@ def q_keyword_hits(spark, sf_dir):
         "id", keyword_hits(job_text("title", "selftext"), fx.KEYWORDS).alias("hits"))
 
 
+@query("keyword_frequency", BASE + f""" SELECT keyword, count(*) AS posts FROM (
+ SELECT unnest(list_filter({_KW_LIST}, lambda k: contains({_JOB_TEXT}, k))) AS keyword FROM posts)
+ GROUP BY keyword""")
+def q_keyword_frequency(spark, sf_dir):
+    hits = fx.posts(spark, sf_dir).select(
+        keyword_hits(job_text("title", "selftext"), fx.KEYWORDS).alias("hits"))
+    return tm.occurrences(hits, "hits", name="keyword").withColumnRenamed("occurrences", "posts")
+
+
 @query("truncate_body", BASE + " SELECT id, substr(selftext, 1, 5000) AS selftext FROM posts")
 def q_truncate_body(spark, sf_dir):
     return fx.posts(spark, sf_dir).select("id", truncate_body("selftext").alias("selftext"))
