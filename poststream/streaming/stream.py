@@ -178,19 +178,32 @@ def observe_sent(df: DataFrame, name: str = "sent") -> DataFrame:
     return df.observe(name, F.count(F.lit(1)).alias("sent"))
 
 
-def batch_writer(path: str, partitions: int | None = None) -> Callable[[DataFrame, int], None]:
+def with_day(df: DataFrame, ts: str = "created_utc", col: str = "day") -> DataFrame:
+    """Add the UTC creation day, the partition column of a day-partitioned
+    store (a post's creation time does not change between versions)."""
+    return df.withColumn(col, F.to_date(F.col(ts).cast("timestamp")))
+
+
+def batch_writer(path: str, partitions: int | None = None,
+                 partition_by: Sequence[str] = ()) -> Callable[[DataFrame, int], None]:
     """foreachBatch function: the batch goes to ``path/batch_id=N``,
-    overwriting that folder so a replay of batch N is idempotent."""
+    overwriting that folder so a replay of batch N is idempotent.
+    ``partition_by`` (e.g. ``["day"]``) splits each batch folder further, so
+    readers filtering on it skip whole folders."""
     def write(batch: DataFrame, batch_id: int) -> None:
         out = batch.repartition(partitions) if partitions else batch
-        out.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+        writer = out.write.mode("overwrite")
+        if partition_by:
+            writer = writer.partitionBy(*partition_by)
+        writer.parquet(f"{path}/batch_id={batch_id}")
     return write
 
 
 def upsert_by_key(df: DataFrame, path: str, checkpoint: str, output_mode: str = "append",
                   trigger: dict | None = None, name: str | None = None,
                   fmt: str | None = None, key: str = "id",
-                  options: dict[str, str] | None = None) -> DataStreamWriter:
+                  options: dict[str, str] | None = None,
+                  partition_by: Sequence[str] = ()) -> DataStreamWriter:
     """Keyed store as a micro-batch log; read it with ``read_keyed``.
 
     With ``fmt`` (a document-index connector such as
@@ -205,7 +218,7 @@ def upsert_by_key(df: DataFrame, path: str, checkpoint: str, output_mode: str =
         if name:
             w = w.queryName(name)
         return w.trigger(**(trigger or {"processingTime": FLUSH_EVERY}))
-    w = (df.writeStream.foreachBatch(batch_writer(path))
+    w = (df.writeStream.foreachBatch(batch_writer(path, partition_by=partition_by))
          .option("checkpointLocation", checkpoint).outputMode(output_mode))
     if name:
         w = w.queryName(name)
@@ -245,7 +258,8 @@ def read_keyed(spark: SparkSession, path: str, key: Sequence[str] | str = "id",
 
 def compact(spark: SparkSession, path: str, out: str, base: str | None = None,
             since: int = -1, key: Sequence[str] | str = "id",
-            order: Sequence[str] = ("batch_id", "created_utc")) -> int:
+            order: Sequence[str] = ("batch_id", "created_utc"),
+            partition_by: Sequence[str] = ()) -> int:
     """Fold the log batches newer than ``since`` into a new base at ``out``:
     base rows whose key has no newer version, plus the newest of the newer
     versions.  The old base stays readable until readers switch.  Returns the
@@ -261,7 +275,10 @@ def compact(spark: SparkSession, path: str, out: str, base: str | None = None,
         folded = kept.unionByName(newer)
     else:
         folded = newer
-    folded.write.mode("overwrite").parquet(out)
+    writer = folded.write.mode("overwrite")
+    if partition_by:
+        writer = writer.partitionBy(*partition_by)
+    writer.parquet(out)
     return int(last)
 
 

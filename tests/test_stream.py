@@ -188,3 +188,20 @@ def test_json_lines_folder_stream(spark, tmp_path):
     rows = spark.read.parquet(out).collect()
     assert [r.id for r in rows] == ["1"]
     assert rows[0].event_time.year == 2024
+
+
+def test_day_partitioned_log_prunes_folders(spark):
+    import contextlib
+    import io
+    log = scratch_path(spark, "t-days")
+    w = st.batch_writer(log, partition_by=["day"])
+    w(st.with_day(_posts(spark, range(30)).select("id", "title", "created_utc")), 0)
+    day_one = st.read_log(spark, log).where(F.col("day") == dt.date(2024, 1, 1))
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        day_one.explain()
+    assert "PartitionFilters: [isnotnull(day" in buf.getvalue()
+    assert day_one.count() == 24
+    base = scratch_path(spark, "t-days-base")
+    st.compact(spark, log, base, partition_by=["day"])
+    assert spark.read.parquet(base).where(F.col("day") == dt.date(2024, 1, 2)).count() == 6
