@@ -22,7 +22,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..defaults import OTHER_BUCKET
+from ..defaults import (BARS_SIZES, CATEGORY_PIE_SIZE, OTHER_BUCKET, SKILL_CLOUD_SIZE,
+                        TREEMAP_SIZES)
+from ..session import materialize
 
 SHARE_DIGITS = 6
 
@@ -59,7 +61,7 @@ def _count_if(cond: Column) -> Column:
     return F.count(F.when(cond, F.lit(1)))
 
 
-def _set_histogram(df: DataFrame, col: str, by: Sequence[str] = ()) -> DataFrame:
+def set_histogram(df: DataFrame, col: str, by: Sequence[str] = ()) -> DataFrame:
     """Posts per distinct value set (and ``by``): ``_set`` (sorted distinct
     non-NULL values), ``_n``.  One pass with map-side combine; term counts,
     top lists and rest buckets are all derived from this shuffle output (AQE
@@ -69,6 +71,66 @@ def _set_histogram(df: DataFrame, col: str, by: Sequence[str] = ()) -> DataFrame
         .agg(F.count(F.lit(1)).alias("_n"))
 
 
+def _ranked_top(counts: DataFrame, name: str, n: int) -> DataFrame:
+    # TakeOrderedAndProject: each task keeps its own n best rows; the
+    # ranking window then runs over at most n rows
+    w = Window.orderBy(F.desc("posts"), F.asc(name))
+    top = counts.orderBy(F.desc("posts"), F.asc(name)).limit(n)
+    return top.select(name, "posts", F.row_number().over(w).alias("rank"))
+
+
+def _with_rest(top: DataFrame, rest: DataFrame | None, name: str, n: int,
+               share: bool) -> DataFrame:
+    result = top
+    if rest is not None:
+        rest = rest.where(F.col("posts") > 0).select(
+            F.lit(OTHER_BUCKET).alias(name), F.col("posts").cast("long").alias("posts"),
+            F.lit(n + 1).alias("rank"))
+        result = top.unionByName(rest)
+    return _with_share(result) if share else result
+
+
+def top_terms_hist(hist: DataFrame, n: int, other: bool = True, share: bool = False,
+                   name: str = "term") -> DataFrame:
+    """``top_terms`` of an array column, from its ``set_histogram`` (any
+    ``by`` columns are summed over)."""
+    # explode_outer: a plain explode lets Catalyst infer size(_set) > 0 into
+    # this branch's histogram only, and the shuffle would not be reused
+    counts = (hist.select(F.explode_outer("_set").alias(name), "_n")
+              .groupBy(name).agg(F.sum("_n").alias("posts"))
+              .where(F.col(name).isNotNull()))
+    top = _ranked_top(counts, name, n)
+    rest = None
+    if other:
+        top_list = top.select(F.collect_list(name)).scalar()
+        in_rest = (F.size("_set") > 0) & ~F.arrays_overlap("_set", top_list)
+        rest = hist.agg(F.coalesce(F.sum(F.when(in_rest, F.col("_n"))), F.lit(0))
+                        .alias("posts"))
+    return _with_rest(top, rest, name, n, share)
+
+
+def _top_values(counts: DataFrame, name: str, n: int, other: bool, share: bool) -> DataFrame:
+    top = _ranked_top(counts, name, n)
+    rest = None
+    if other:
+        # the total comes from the per-value counts (same plan as the top
+        # list, so the shuffle is reused instead of scanning the input again)
+        total = counts.agg(F.sum("posts")).scalar()
+        rest = top.agg((total - F.coalesce(F.sum("posts"), F.lit(0))).alias("posts"))
+    return _with_rest(top, rest, name, n, share)
+
+
+def top_values_hist(hist: DataFrame, col: str, n: int, other: bool = True,
+                    share: bool = False, name: str | None = None) -> DataFrame:
+    """``top_terms`` of a plain column that is a ``by`` column of a
+    ``set_histogram``."""
+    name = name or col
+    counts = (hist.groupBy(F.col(col).alias(name))
+              .agg(F.sum(F.when(F.col(col).isNotNull(), F.col("_n"))).alias("posts"))
+              .where(F.col("posts") > 0))
+    return _top_values(counts, name, n, other, share)
+
+
 def top_terms(df: DataFrame, col: str, n: int, other: bool = True, share: bool = False,
               name: str | None = None) -> DataFrame:
     """Top ``n`` values of ``col`` by posts, plus a rest bucket.
@@ -79,55 +141,17 @@ def top_terms(df: DataFrame, col: str, n: int, other: bool = True, share: bool =
     bucket with no post is left out.  ``share`` is posts / panel total.
     """
     name = name or col
-    multi = _is_array(df, col)
-    if multi:
-        hist = _set_histogram(df, col)
-        # explode_outer: a plain explode lets Catalyst infer size(_set) > 0
-        # into this branch's histogram only, and the shuffle is not reused
-        counts = (hist.select(F.explode_outer("_set").alias(name), "_n")
-                  .groupBy(name).agg(F.sum("_n").alias("posts"))
-                  .where(F.col(name).isNotNull()))
-    else:
-        counts = _term_counts(df, col, name)
-    w = Window.orderBy(F.desc("posts"), F.asc(name))
-    # TakeOrderedAndProject: each task keeps its own n best rows
-    top = counts.orderBy(F.desc("posts"), F.asc(name)).limit(n)
-    top = top.select(name, "posts", F.row_number().over(w).alias("rank"))
-    result = top
-    if other:
-        if multi:
-            top_list = top.select(F.collect_list(name)).scalar()
-            in_rest = (F.size("_set") > 0) & ~F.arrays_overlap("_set", top_list)
-            rest = hist.agg(F.coalesce(F.sum(F.when(in_rest, F.col("_n"))), F.lit(0))
-                            .alias("posts"))
-        else:
-            # the total comes from the per-value counts (same plan as the top
-            # list, so the shuffle is reused instead of scanning df again)
-            total = counts.agg(F.sum("posts")).scalar()
-            rest = top.agg((total - F.coalesce(F.sum("posts"), F.lit(0))).alias("posts"))
-        rest = rest.where(F.col("posts") > 0).select(
-            F.lit(OTHER_BUCKET).alias(name), F.col("posts").cast("long").alias("posts"),
-            F.lit(n + 1).alias("rank"))
-        result = top.unionByName(rest)
-    if share:
-        result = _with_share(result)
-    return result
-
+    if _is_array(df, col):
+        return top_terms_hist(set_histogram(df, col), n, other, share, name)
+    return _top_values(_term_counts(df, col, name), name, n, other, share)
 
-def nested_terms(df: DataFrame, outer: str, inner: str, n_outer: int, n_inner: int,
-                 other: bool = True, share: bool = False,
-                 outer_name: str | None = None, inner_name: str | None = None) -> DataFrame:
-    """Top ``n_outer`` values of ``outer``; inside each, top ``n_inner`` of
-    the array column ``inner``; rest buckets at both levels.
 
-    The outer rest bucket pools all remaining outer values and is split by
-    ``inner`` the same way.  The inner rest bucket of a group counts the
-    group's posts that have an inner value but none of the group's top list.
-    Everything is derived from one (outer, value set) histogram.
-    """
+def nested_terms_hist(hist: DataFrame, outer: str, n_outer: int, n_inner: int,
+                      other: bool = True, share: bool = False,
+                      outer_name: str | None = None, inner_name: str = "term") -> DataFrame:
+    """``nested_terms`` from a ``set_histogram`` of the inner column by
+    ``outer``."""
     outer_name = outer_name or outer
-    inner_name = inner_name or inner
-    hist = _set_histogram(df, inner, [outer])
     outer_counts = (hist.groupBy(F.col(outer).alias(outer_name))
                     .agg(F.sum(F.when(F.col(outer).isNotNull(), F.col("_n"))).alias("posts"))
                     .where(F.col("posts") > 0))
@@ -163,6 +187,48 @@ def nested_terms(df: DataFrame, outer: str, inner: str, n_outer: int, n_inner: i
     return result
 
 
+def nested_terms(df: DataFrame, outer: str, inner: str, n_outer: int, n_inner: int,
+                 other: bool = True, share: bool = False,
+                 outer_name: str | None = None, inner_name: str | None = None) -> DataFrame:
+    """Top ``n_outer`` values of ``outer``; inside each, top ``n_inner`` of
+    the array column ``inner``; rest buckets at both levels.
+
+    The outer rest bucket pools all remaining outer values and is split by
+    ``inner`` the same way.  The inner rest bucket of a group counts the
+    group's posts that have an inner value but none of the group's top list.
+    Everything is derived from one (outer, value set) histogram.
+    """
+    return nested_terms_hist(set_histogram(df, inner, [outer]), outer, n_outer, n_inner,
+                             other, share, outer_name, inner_name or inner)
+
+
+def panels(df: DataFrame, category: str = "category", skills: str = "skills_array",
+           sizes: dict | None = None, checkpoint: bool = True) -> dict[str, DataFrame]:
+    """All dashboard panels from one pass over the index.
+
+    The (category, skill set) histogram is built once and, by default,
+    checkpointed (it is small next to the index and lives in
+    ``spark.checkpoint.dir``); every panel is derived from it, so a refresh
+    reads the index once instead of once per panel.
+    """
+    sz = {"pie": CATEGORY_PIE_SIZE, "cloud": SKILL_CLOUD_SIZE, "treemap": TREEMAP_SIZES,
+          "bars": BARS_SIZES, **(sizes or {})}
+    hist = set_histogram(df, skills, [category])
+    if checkpoint:
+        hist = materialize(hist)
+    total = hist.agg(F.nullif(F.coalesce(F.sum("_n"), F.lit(0)), F.lit(0)).cast("long")
+                     .alias("total_posts"))
+    return {
+        "total_posts": total,
+        "category_share": top_values_hist(hist, category, sz["pie"], share=True),
+        "top_skills": top_terms_hist(hist, sz["cloud"], name="skill"),
+        "category_skill_treemap": nested_terms_hist(hist, category, *sz["treemap"], share=True,
+                                                    inner_name="skill"),
+        "category_skill_bars": nested_terms_hist(hist, category, *sz["bars"],
+                                                 inner_name="skill"),
+    }
+
+
 def term_options(df: DataFrame, col: str, prefix: str = "", name: str | None = None) -> DataFrame:
     """Option list: distinct values with post counts; prefix search is
     case-insensitive; empty prefix lists all."""

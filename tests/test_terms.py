@@ -87,3 +87,21 @@ def test_time_slice_fraction_bounds(spark):
     chosen = tm.panel_filter(df, "created_utc", 0.0, 1.0, "category", ["y"]).count()
     assert chosen == 0
     assert tm.choose(df, "category", []).count() == 9
+
+
+def test_panels_from_one_histogram_equal_single_panels(spark):
+    from conftest import SF_SMALL
+    from poststream.plans import dashboard as db
+    idx = db.panel_index(spark, SF_SMALL)
+    got = tm.panels(idx)
+
+    def rows(df):
+        return sorted(tuple(r) for r in df.collect())
+
+    assert rows(got["top_skills"]) == rows(tm.top_terms(idx, "skills_array", 30, name="skill"))
+    assert rows(got["category_share"]) == rows(tm.top_terms(idx, "category", 8, share=True))
+    assert rows(got["category_skill_treemap"]) == rows(
+        tm.nested_terms(idx, "category", "skills_array", 7, 20, share=True, inner_name="skill"))
+    assert rows(got["category_skill_bars"]) == rows(
+        tm.nested_terms(idx, "category", "skills_array", 7, 30, inner_name="skill"))
+    assert got["total_posts"].first()[0] == tm.total_posts(idx).first()[0]
