@@ -265,3 +265,51 @@ def q_filtered_categories(spark, sf_dir):
     panel = tm.panel_filter(panel_index(spark, sf_dir), "created_utc", *fx.SLICE, "category",
                             CHOSEN, bounds_from=fx.posts(spark, sf_dir))
     return tm.top_terms(panel, "category", CATEGORY_PIE_SIZE, share=True)
+
+
+# ------------------------------------------------------- one-pass refresh ----
+
+def _sub(body: str) -> str:
+    return "(WITH " + body + ")"
+
+
+DASHBOARD_SQL = PRELUDE + f"""
+SELECT 'total_posts' AS panel, CAST(NULL AS VARCHAR) AS category, CAST(NULL AS VARCHAR) AS skill,
+       nullif(count(*), 0) AS posts, CAST(NULL AS INTEGER) AS rank, CAST(NULL AS DOUBLE) AS share
+FROM idx
+UNION ALL
+SELECT 'category_share', category, NULL, posts, rank, share
+FROM {_sub(_top_sql("idx", "category", "category", CATEGORY_PIE_SIZE, True, False))}
+UNION ALL
+SELECT 'top_skills', NULL, skill, posts, rank, NULL
+FROM {_sub(_top_sql("idx", "skills_array", "skill", SKILL_CLOUD_SIZE, False, True))}
+UNION ALL
+SELECT 'category_skill_treemap', category, skill, posts, rank, share
+FROM {_sub(_nested_sql("idx", *TREEMAP_SIZES, True))}
+UNION ALL
+SELECT 'category_skill_bars', category, skill, posts, rank, NULL
+FROM {_sub(_nested_sql("idx", *BARS_SIZES, False))}"""
+
+
+@query("dashboard_panels", DASHBOARD_SQL)
+def q_dashboard_panels(spark, sf_dir):
+    """All five panels from one pass over the index (one checkpointed
+    skill-set histogram), stacked with a ``panel`` column."""
+    got = tm.panels(panel_index(spark, sf_dir))
+    cols = ["panel", "category", "skill", "posts", "rank", "share"]
+
+    def shape(name: str, df: DataFrame) -> DataFrame:
+        present = set(df.columns)
+        types = {"category": "string", "skill": "string", "posts": "long", "rank": "int",
+                 "share": "double"}
+        return df.select(F.lit(name).alias("panel"), *[
+            (F.col(c) if c in present else F.lit(None)).cast(types[c]).alias(c)
+            for c in cols[1:]])
+
+    stacked = None
+    for name, df in got.items():
+        if name == "total_posts":
+            df = df.withColumnRenamed("total_posts", "posts")
+        part = shape(name, df)
+        stacked = part if stacked is None else stacked.unionByName(part)
+    return stacked
