@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..defaults import NO_SKILL_CATEGORY
@@ -22,7 +22,7 @@ ENRICHED_COLUMNS = ["category", "id", "title", "selftext", "created_utc", "skill
 Skills = SkillMatcher | str | Sequence[str]
 
 
-def skills_column(skills: Skills, text: str = "text"):
+def skills_column(skills: Skills, text: Column | str = "text") -> Column:
     """Extraction for a matcher, a cleaned-text pattern, or a list of terms."""
     if isinstance(skills, SkillMatcher):
         return extract_skills(text, matcher=skills)
@@ -32,19 +32,27 @@ def skills_column(skills: Skills, text: str = "text"):
 
 
 def with_skills(df: DataFrame, skills: Skills, title: str = "title",
-                body: str = "selftext") -> DataFrame:
+                body: str = "selftext", text: str | None = None) -> DataFrame:
     """Add ``text`` (title + body), ``skills_array`` and ``skills`` text.
 
+    ``text``: name of a column that already holds the whole post text (it is
+    matched directly and kept as is).
+
     The extraction sits in a one-element ``explode``: later filters on the
     skills or on anything derived from them (the category, the skills text)
     stay above that generator instead of being inlined below it, so the regex
-    runs once per post whatever the query filters on.  The price: Catalyst
-    keeps the generator even when no column of it is read, so questions that
-    need no skills (counts, time ranges) should read the posts themselves.
+    runs once per post whatever the query filters on.  The text expression
+    goes into the generator itself, so the joined text is never copied into
+    an intermediate row.  The price: Catalyst keeps the generator even when
+    no column of it is read, so questions that need no skills (counts, time
+    ranges) should read the posts themselves.
     """
-    with_text = df.withColumn("text", post_text(title, body))
-    return (with_text.select("*", F.explode(F.array(skills_column(skills))).alias("skills_array"))
-            .withColumn("skills", skills_text("skills_array")))
+    text_expr = F.col(text) if text else post_text(title, body)
+    out = df.select("*", F.explode(F.array(skills_column(skills, text_expr)))
+                    .alias("skills_array"))
+    if not text:
+        out = out.withColumn("text", text_expr)
+    return out.withColumn("skills", skills_text("skills_array"))
 
 
 def category_override(df: DataFrame, predicted: str = "predicted_category",

@@ -30,7 +30,7 @@ def index(spark: SparkSession, sf_dir: str) -> DataFrame:
     on the document side; the event join then moves arrays, not texts, unless
     the caller keeps title or body."""
     docs = fx.doc_posts(spark, sf_dir).withColumn("label", F.col("category"))
-    enriched = category_override(with_skills(docs, MATCHER), "category")
+    enriched = category_override(with_skills(docs, MATCHER, text="text"), "category")
     idx = fx.with_time(enriched.select("doc_id", "id", "title", "selftext", "subreddit",
                                        "label", "category", "skills_array"), spark, sf_dir)
     return idx.select(*ENRICHED_COLUMNS, "subreddit", "label")

@@ -32,9 +32,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def doc_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The document side of the view: doc_id, id, title, selftext, subreddit,
-    category.  Per-document work (skill extraction) is done on this side,
-    before the join, so the join's shuffle carries its small results and not
-    the texts."""
+    category, and the whole document ``text`` (title and body joined by the
+    first line break; matching it equals matching ``title + " " + body``).
+    Per-document work (skill extraction) is done on this side, before the
+    join, so the join's shuffle carries its small results and not the texts."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
     title = F.substring_index(F.col("text"), "\n", 1)
     return docs.select(
@@ -44,6 +45,7 @@ def doc_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.expr("substr(text, length(substring_index(text, '\n', 1)) + 2)").alias("selftext"),
         F.col("source").alias("subreddit"),
         F.col("lang").alias("category"),
+        "text",
     )
 
 
@@ -62,7 +64,7 @@ def with_time(df: DataFrame, spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def posts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """id, title, selftext, subreddit, category, created_utc, created_epoch, kind."""
-    return with_time(doc_posts(spark, sf_dir), spark, sf_dir)
+    return with_time(doc_posts(spark, sf_dir).drop("text"), spark, sf_dir)
 
 
 POSTS_CTE = """posts AS (
