@@ -6,6 +6,8 @@
         --checkpoint out/ckpt
     python -m poststream.jobs ingest --posts posts.parquet --ledger out/ledger \
         --out out/messages --as-of 2024-01-03T00:00:00
+    python -m poststream.jobs loop --posts posts.parquet --ledger out/ledger \
+        --out out/messages            # backfill, then increments every 60 s
 
 Paths should be on shared storage; checkpoints default to a folder below
 ``spark.checkpoint.dir``.
@@ -146,6 +148,11 @@ def main(argv: Sequence[str] | None = None) -> None:
     i.add_argument("--out", required=True)
     i.add_argument("--as-of", required=True)
     i.add_argument("--limit", type=int, default=FIRST_RUN_LIMIT)
+    lp = sub.add_parser("loop")
+    lp.add_argument("--posts", required=True)
+    lp.add_argument("--ledger", required=True)
+    lp.add_argument("--out", required=True)
+    lp.add_argument("--every", type=float, default=POLL_SECONDS)
     args = p.parse_args(argv)
 
     spark = get_session()
@@ -158,10 +165,13 @@ def main(argv: Sequence[str] | None = None) -> None:
         st.run_until_stopped(lambda: classify(spark, args.lexicon, args.model, args.index, ckpt,
                                               args.source_format, opts, args.source_path,
                                               args.quarantine))
-    else:
+    elif args.cmd == "ingest":
         n = ingest(spark, spark.read.parquet(args.posts), args.ledger, args.out, args.as_of,
                    limit=args.limit)
         print(json.dumps({"sent": n}))
+    else:
+        ingest_loop(spark, lambda: spark.read.parquet(args.posts), args.ledger, args.out,
+                    every_seconds=args.every)
 
 
 if __name__ == "__main__":
