@@ -107,3 +107,11 @@ def test_ingest_windows_shuffle_narrow_rows(no_broadcast_no_aqe, monkeypatch):
     assert len(blocks) == 2                      # salted stage and final stage
     for cols in blocks:
         assert "title#" not in cols and "selftext#" not in cols and "text#" not in cols
+
+
+def test_panels_read_the_histogram_not_the_index(spark):
+    got = tm.panels(db.panel_index(spark, SF_SMALL))
+    for name, df in got.items():
+        plan = explain(df)
+        assert "Scan parquet" not in plan, name
+        assert "regexp_extract_all" not in plan, name
