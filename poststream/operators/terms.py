@@ -230,14 +230,15 @@ def panels(df: DataFrame, category: str = "category", skills: str = "skills_arra
 
 
 def term_options(df: DataFrame, col: str, prefix: str = "", name: str | None = None) -> DataFrame:
-    """Option list: distinct values with post counts; prefix search is
-    case-insensitive; empty prefix lists all."""
+    """Option list: distinct values with post counts, most posts first;
+    prefix search is case-insensitive; empty prefix lists all."""
     name = name or col
     cond = F.col(col).isNotNull()
     if prefix:
         cond = cond & F.startswith(F.lower(F.col(col)), F.lit(prefix.lower()))
     return (df.groupBy(F.col(col).alias(name)).agg(_count_if(cond).alias("posts"))
-            .where(F.col("posts") > 0))
+            .where(F.col("posts") > 0)
+            .orderBy(F.desc("posts"), F.asc(name)))      # options listed by count
 
 
 def occurrences(df: DataFrame, col: str, name: str | None = None) -> DataFrame:
