@@ -87,7 +87,8 @@ def _with_rest(top: DataFrame, rest: DataFrame | None, name: str, n: int,
             F.lit(OTHER_BUCKET).alias(name), F.col("posts").cast("long").alias("posts"),
             F.lit(n + 1).alias("rank"))
         result = top.unionByName(rest)
-    return _with_share(result) if share else result
+    result = _with_share(result) if share else result
+    return result.orderBy("rank")                 # at most n + 1 rows
 
 
 def top_terms_hist(hist: DataFrame, n: int, other: bool = True, share: bool = False,
