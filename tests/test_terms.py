@@ -105,3 +105,13 @@ def test_panels_from_one_histogram_equal_single_panels(spark):
     assert rows(got["category_skill_bars"]) == rows(
         tm.nested_terms(idx, "category", "skills_array", 7, 30, inner_name="skill"))
     assert got["total_posts"].first()[0] == tm.total_posts(idx).first()[0]
+
+
+def test_outputs_come_in_display_order(spark):
+    t = dt.datetime(2024, 1, 1)
+    rows = [(str(i), c, [s], t) for i, (c, s) in enumerate(zip("aaabbcd", "xxyyzzw"))]
+    df = _idx(spark, rows)
+    ranks = [r.rank for r in tm.top_terms(df, "category", 2).collect()]
+    assert ranks == sorted(ranks) and ranks[-1] == 3          # rest bucket last
+    opts = [r.category for r in tm.term_options(df, "category").collect()]
+    assert opts == ["a", "b", "c", "d"]
