@@ -77,8 +77,8 @@ def pieces(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> pa.Array:
     np.cumsum(lens, out=out[1:])
     if len(starts) and (out[-1] != ends[-1] - starts[0] or (starts[1:] != ends[:-1]).any()):
         keep = np.zeros(len(data) + 1, np.int8)
-        np.add.at(keep, starts, 1)
-        np.add.at(keep, ends, -1)
+        keep[starts] += 1  # starts and ends are each distinct
+        keep[ends] -= 1
         data = data[np.cumsum(keep[:-1], dtype=np.int8).astype(bool)]
     elif len(starts):
         data = data[starts[0]: ends[-1]]

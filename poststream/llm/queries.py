@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from poststream.llm import mixing, packing
+from poststream.llm import compression, dac, mixing, packing, simhash
 from poststream.llm.tokens import tokenizer_path
+from poststream.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -34,6 +35,30 @@ def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "size", "source_size", "target", "taken")
 
 
+@_query("op2_compression_bands")
+def op2_compression_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base counts, base rule and the compression verdict of every document."""
+    return compression.compression_bands(documents(spark, sf_dir)).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+        "base_failed", "kept", "ratio", "odd_chunks")
+
+
+@_query("op4_simhash_components")
+def op4_simhash_components(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and near-duplicate component of every document."""
+    return simhash.near_duplicates(documents(spark, sf_dir)).select(
+        "doc_id", simhash.hex16().alias("fingerprint"), "component_id")
+
+
+@_query("op8_addressable_tokens")
+def op8_addressable_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's ids as read back from the written files."""
+    folder = scratch_path(spark, "token-files")
+    dac.write_ids(documents(spark, sf_dir), folder, tokenizer_path("word_bpe_49k.json"))
+    return dac.read_documents(spark, folder).select(
+        "doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
 @_query("op10_harmonic_packing")
 def op10_harmonic_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every piece of every tokenized document with its place in a sequence."""
