@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from poststream.llm import compression, dac, mixing, packing, simhash
+from poststream.llm import compression, dac, langid, licenses, mixing, packing, pii, resample, \
+    simhash, winnow
 from poststream.llm.tokens import tokenizer_path
 from poststream.session import scratch_path
 
@@ -43,6 +44,12 @@ def op2_compression_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
         "base_failed", "kept", "ratio", "odd_chunks")
 
 
+@_query("op3_winnowing")
+def op3_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Winnowing fingerprint of every document and of its edited text."""
+    return winnow.fingerprint_pairs(documents(spark, sf_dir))
+
+
 @_query("op4_simhash_components")
 def op4_simhash_components(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and near-duplicate component of every document."""
@@ -50,6 +57,25 @@ def op4_simhash_components(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", simhash.hex16().alias("fingerprint"), "component_id")
 
 
+@_query("op5_license_scan")
+def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The licenses that each document names."""
+    return licenses.scan(documents(spark, sf_dir))
+
+
+@_query("op6_language_id")
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Predicted language of every document, with the held-out mark."""
+    return langid.identify(documents(spark, sf_dir)).select(
+        "doc_id", "held_out", "lang_pred", "score")
+
+
+@_query("op7_personal_data")
+def op7_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in every document: base counts and all spans."""
+    return pii.summary(documents(spark, sf_dir))
+
+
 @_query("op8_addressable_tokens")
 def op8_addressable_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's ids as read back from the written files."""
@@ -59,6 +85,13 @@ def op8_addressable_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+@_query("op9_importance_resampling")
+def op9_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Importance weight and draw of every document."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return resample.resample(documents(spark, sf_dir), labels)
+
+
 @_query("op10_harmonic_packing")
 def op10_harmonic_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every piece of every tokenized document with its place in a sequence."""
