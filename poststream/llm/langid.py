@@ -226,10 +226,21 @@ def held_out(doc_id: Column) -> Column:
 
 
 def identify(docs: DataFrame) -> DataFrame:
-    """Add ``held_out``, ``lang_pred`` and ``score`` to ``docs``, trained on its
+    """(doc_id, held_out, lang_pred, score) of every document, learned from the
     rows that are not held out."""
+    docs = docs.select("doc_id", "text", "lang")
     model = train(docs.where(~held_out(F.col("doc_id"))))
-    return (docs.withColumn("held_out", held_out(F.col("doc_id")))
-            .withColumn("_p", predictor(model)("text"))
-            .withColumn("lang_pred", F.col("_p.lang")).withColumn("score", F.col("_p.score"))
-            .drop("_p"))
+    return docs.select("doc_id", held_out(F.col("doc_id")).alias("held_out"),
+                       predictor(model)("text").alias("p")).select(
+        "doc_id", "held_out", F.col("p.lang").alias("lang_pred"), F.col("p.score").alias("score"))
+
+
+def in_known_language(docs: DataFrame, least_score: float = 0.5) -> DataFrame:
+    """The rows of ``docs`` (all columns) whose language is told with a score of
+    ``least_score`` or more.  Texts without a letter go; if no row has a language
+    to learn from, all others stay."""
+    model = train(docs.where(~held_out(F.col("doc_id"))))
+    if not model.langs:
+        return docs.where(F.coalesce(F.rlike("text", F.lit(r"\p{L}")), F.lit(False)))
+    told = predictor(model)("text")
+    return docs.where((told["lang"] != UNKNOWN) & (told["score"] >= least_score))

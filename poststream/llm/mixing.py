@@ -3,9 +3,9 @@
 Each source gets a target number of words.  Whole multiples of the source are
 taken as repeats of every document; for the rest, documents are ordered by a
 60-bit hash of their id and a prefix is taken.  The end of the prefix is found
-without sorting: words are summed by source and hash bucket (12 bits), the
+without sorting: words are summed by source and hash bucket (15 bits), the
 bucket in which the budget is used up is found, and only that bucket is split
-further (five levels of 12 bits reach single hash values).  A document is then
+further (four levels of 15 bits reach single hash values).  A document is then
 taken if its hash is at or below its source's threshold.
 
 Prefixes are nested: a larger budget only adds documents.  The hash value that
@@ -22,8 +22,8 @@ from pyspark.sql import functions as F
 from poststream.llm.tables import stored
 
 WORD = r"[^\x20\x09-\x0D]+"
-DIGIT_BITS = 12
-LEVELS = 5
+DIGIT_BITS = 15
+LEVELS = 4
 HASH_BITS = DIGIT_BITS * LEVELS
 MAX_REPEAT = 3
 WEIGHTS = 3
@@ -118,21 +118,40 @@ def thresholds(docs_sized: DataFrame, goals: DataFrame) -> DataFrame:
                        .alias("threshold"))
 
 
-def mix(docs: DataFrame) -> DataFrame:
-    """(doc_id, size, source, source_size, target, taken) of every document."""
+def plan(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(sized documents, one row per source with its target, whole repeats and
+    threshold), both written below the checkpoint folder."""
     narrow = stored(sized(docs), "mix-sizes")
     goals = stored(targets(narrow), "mix-targets")
     limits = thresholds(narrow, goals).select(F.col("source").alias("s"), "repeats", "threshold")
-    plan = goals.join(limits, F.expr("source <=> s"), "left").select(
-        F.col("source").alias("name"), "source_size", "target", "repeats", "threshold")
+    found = goals.join(limits, F.expr("source <=> s"), "left").select(
+        F.col("source").alias("name"), "source_size", "target",
+        F.coalesce("repeats", F.lit(0)).alias("repeats"), "threshold")
+    return narrow, stored(found, "mix-plan")
+
+
+def _times() -> Column:
+    return F.col("repeats") + F.coalesce((F.col("hash") <= F.col("threshold")).cast("long"), F.lit(0))
+
+
+def mix(docs: DataFrame) -> DataFrame:
+    """(doc_id, size, source, source_size, target, taken) of every document."""
+    narrow, sources = plan(docs)
     # one row per source: broadcast if the written table is small, else a
     # sort-merge join in which a hot source is split
-    plan = stored(plan, "mix-plan")
-    times = F.coalesce(F.col("repeats"), F.lit(0)) + F.coalesce(
-        (F.col("hash") <= F.col("threshold")).cast("long"), F.lit(0))
-    return narrow.join(plan, F.expr("source <=> name")).select(
+    return narrow.join(sources, F.expr("source <=> name")).select(
         "doc_id", "size", "source", "source_size", "target",
-        (F.col("size") * times).alias("taken"))
+        (F.col("size") * _times()).alias("taken"))
+
+
+def mixed(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs`` that the mix takes, each as often as it is taken."""
+    _, sources = plan(docs)
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), "source",
+                       id_hash(F.col("doc_id")).alias("hash"))
+    return (rows.join(sources, F.expr("source <=> name"))
+            .select("row", F.explode(F.array_repeat(F.lit(True), _times().cast("int"))).alias("copy"))
+            .select("row.*"))
 
 
 MIX_SQL = r"""

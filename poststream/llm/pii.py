@@ -269,8 +269,8 @@ def _score(weights: list[float]) -> str:
 
 def find(docs: DataFrame, weights: list[float] | None = None, text: str = "text") -> DataFrame:
     """Add to ``docs`` the base spans ``s_<kind>`` and ``added`` (kind, start,
-    end, score); all columns of ``docs`` stay.  ``weights``: a classifier
-    trained before, else it is trained on ``docs``."""
+    end, score); ``docs`` should have no other columns of these names.
+    ``weights``: a classifier trained before, else it is trained on ``docs``."""
     if weights is None:
         weights = span_classifier(vote_counts(docs))
     found = with_candidates(with_base(docs.withColumn(
@@ -301,31 +301,35 @@ def summary(docs: DataFrame) -> DataFrame:
 
 
 def redact(docs: DataFrame) -> DataFrame:
-    """``docs`` with every span in ``text`` replaced by ``[KIND]``; overlapping
-    spans become one, named after the first.  Other columns stay."""
+    """``docs`` with every span in ``text`` replaced by ``[KIND]`` and ``n_chars``
+    (if there is one) counted anew; overlapping spans become one, named after
+    the first.  Other columns, and rows without spans, stay as they are."""
     columns = docs.columns
-    df = find(docs)
-    df = df.withColumn("_spans", F.expr(
+    df = find(docs.select(F.struct(*[F.col(f"`{c}`") for c in columns]).alias("row"), "text"))
+    df = df.withColumn("spans", F.expr(
         "array_sort(transform(concat(" + ", ".join(f"s_{b[0]}" for b in BASE)
         + ", transform(added, c -> struct(c.kind as kind, c.start as start, c.end as end))), "
         "c -> struct(c.start as start, c.end as end, c.kind as kind)))"))
-    df = df.withColumn("_ends", F.expr("transform(_spans, c -> c.end)"))
-    df = _prefix(df, "_ends", "_reach", "greatest(s, x)")
+    df = df.withColumn("ends", F.expr("transform(spans, c -> c.end)"))
+    df = _prefix(df, "ends", "reach", "greatest(s, x)")
     # blocks of spans with the text they cover, so that cutting stays local
-    df = df.withColumn("_parts", F.expr(f"""
-        transform(sequence(0, greatest(size(_spans) - 1, 0) div {BLOCK}), k ->
-          struct(get(_reach, k * {BLOCK}) as at, slice(_spans, k * {BLOCK} + 1, {BLOCK}) as spans,
-                 slice(_reach, k * {BLOCK} + 1, {BLOCK}) as reach,
-                 substring(text, cast(get(_reach, k * {BLOCK}) as int) + 1,
-                   cast(get(_reach, least((k + 1) * {BLOCK}, size(_spans)))
-                        - get(_reach, k * {BLOCK}) as int)) as base))"""))
-    df = df.withColumn("_cut", F.expr("""
+    df = df.withColumn("parts", F.expr(f"""
+        transform(sequence(0, greatest(size(spans) - 1, 0) div {BLOCK}), k ->
+          struct(get(reach, k * {BLOCK}) as at, slice(spans, k * {BLOCK} + 1, {BLOCK}) as spans,
+                 slice(reach, k * {BLOCK} + 1, {BLOCK}) as reach,
+                 substring(text, cast(get(reach, k * {BLOCK}) as int) + 1,
+                   cast(get(reach, least((k + 1) * {BLOCK}, size(spans)))
+                        - get(reach, k * {BLOCK}) as int)) as base))"""))
+    df = df.withColumn("cut", F.expr("""
         concat(
-          array_join(transform(_parts, p -> array_join(transform(p.spans, (c, i) ->
+          array_join(transform(parts, p -> array_join(transform(p.spans, (c, i) ->
             if(c.start >= get(p.reach, i),
                concat(substring(p.base, cast(get(p.reach, i) - p.at as int) + 1,
                                 cast(c.start - get(p.reach, i) as int)), '[', upper(c.kind), ']'),
                '')), '')), ''),
-          substring(text, cast(get(_reach, size(_spans)) as int) + 1))"""))
-    return df.withColumn("text", F.when(F.size("_spans") == 0, F.col("text"))
-                         .otherwise(F.col("_cut"))).select(*columns)
+          substring(text, cast(get(reach, size(spans)) as int) + 1))"""))
+    none = F.size("spans") == 0
+    new = {"text": F.col("cut"), "n_chars": F.char_length("cut").cast("long")}
+    return df.select(*[
+        (F.when(none, F.col(f"row.`{c}`")).otherwise(new[c]) if c in new else F.col(f"row.`{c}`"))
+        .alias(c) for c in columns])

@@ -28,7 +28,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from poststream.llm.arrowtext import IS_BLANK, slices, text_buffer, word_bounds
@@ -85,16 +85,22 @@ def fingerprints_of(column: pa.Array, shingle: int = SHINGLE) -> np.ndarray:
 
 
 def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """(doc_id, fp, node): ``node`` is the fingerprint in a mixed order."""
+    """(doc_id, row_hash, fp, node): ``row_hash`` is over all columns, ``node``
+    is the fingerprint in a mixed order."""
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch):
                 fp = fingerprints_of(part.column(1), shingle)
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array(fp.view(np.int64)), pa.array((fp * MIX).view(np.int64))],
-                    ["doc_id", "fp", "node"])
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text") \
-        .mapInArrow(task, "doc_id long, fp long, node long")
+                    [part.column(0), part.column(2), pa.array(fp.view(np.int64)),
+                     pa.array((fp * MIX).view(np.int64))], ["doc_id", "row_hash", "fp", "node"])
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", row_hash(docs)) \
+        .mapInArrow(task, "doc_id long, row_hash long, fp long, node long")
+
+
+def row_hash(docs: DataFrame):
+    """A hash over all columns of a row."""
+    return F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns]).alias("row_hash")
 
 
 def forest(left: np.ndarray, right: np.ndarray | None, radius: int = RADIUS) -> np.ndarray:
@@ -215,15 +221,34 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
-    """(doc_id, fp, component_id) of every document."""
+    """(doc_id, row_hash, fp, component_id, label) of every document; ``label``
+    names the component even where it has no id."""
     marked = stored(fingerprints(docs, shingle), "simhash")
     nodes = stored(marked.groupBy("fp", "node").agg(F.min("doc_id").alias("rep")), "simhash-nodes")
     labels = components(links(nodes.select("fp", "node"), radius))
     named = stored(nodes.join(labels, "node", "left")
                    .selectExpr("node", "rep", "coalesce(label, node) as label"), "simhash-named")
     least = stored(named.groupBy("label").agg(F.min("rep").alias("component_id")), "simhash-least")
-    of_node = stored(named.join(least, "label").select("node", "component_id"), "simhash-of-node")
-    return marked.join(of_node, "node").select("doc_id", "fp", "component_id")
+    of_node = stored(named.join(least, "label").select("node", "component_id", "label"),
+                     "simhash-of-node")
+    return marked.join(of_node, "node").select("doc_id", "row_hash", "fp", "component_id", "label")
+
+
+def keep_one(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
+    """One row of ``docs`` for each component, all columns: the one with the
+    smallest id (rows with NULL ids only if there are no others; equal ids by a
+    hash of the row; of equal rows any one)."""
+    groups = near_duplicates(docs, shingle, radius)
+    least = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row_hash"))
+    keep = stored(groups.groupBy("label").agg(least.alias("k")).selectExpr(
+        "coalesce(k.doc_id, 0) as id", "k.doc_id is null as no_id", "k.row_hash as h"), "simhash-keep")
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
+                       F.coalesce(F.col("doc_id").cast("long"), F.lit(0)).alias("id"),
+                       F.col("doc_id").isNull().alias("no_id"), row_hash(docs).alias("h"))
+    key = ["id", "no_id", "h"]
+    first = Window.partitionBy(*key).orderBy("h")   # equal rows; the join deals them out already
+    return (rows.join(keep, key).withColumn("nth", F.row_number().over(first))
+            .where("nth = 1").select("row.*"))
 
 
 def hex16(fp: str = "fp"):
