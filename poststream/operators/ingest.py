@@ -12,16 +12,17 @@ from collections.abc import Sequence
 from datetime import datetime
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..defaults import (BODY_CHARS, DAYS_BACK, FIRST_RUN_LIMIT, JOB_KEYWORDS, TAG_PREFIX,
                         TAG_SUFFIX)
 from ..functions.text import is_relevant, iso_timestamp, job_text, truncate_body
-from ..session import materialize
+from ..session import stored
+from ..sources.wire import RECORD_FIELDS
 from .topn import top_n_per_group
 
-RECORD_COLUMNS = ["id", "title", "created_utc", "selftext", "subreddit", "url"]
+RECORD_COLUMNS = list(RECORD_FIELDS)
 
 
 def select_sources(df: DataFrame, names: Sequence[str], col: str = "subreddit") -> DataFrame:
@@ -58,26 +59,15 @@ def recent(df: DataFrame, as_of: datetime | str | Column, days: int = DAYS_BACK,
 
 
 def unseen(df: DataFrame, ledger: DataFrame, key: str = "id",
-           ledger_key: str | None = None, max_candidates: int | None = None) -> DataFrame:
+           ledger_key: str | None = None) -> DataFrame:
     """Drop posts whose id is in the ledger.
 
-    Without a bound: the ledger is made distinct first; its hash exchange on
-    the key is the one the anti join needs, so this costs no extra shuffle,
-    and AQE splits a skewed key partition on the post side.
-
-    With ``max_candidates`` (a proven bound on ``df``'s rows, e.g. n newest
-    posts per source): the candidate ids are broadcast to cut the ever-growing
-    ledger down to the ids that matter (a scan, no ledger shuffle), and that
-    remainder -- at most ``max_candidates`` ids -- is broadcast into the anti
-    join.
+    A plain anti join on the ledger's rows: repeats in the ledger change
+    nothing, and with no aggregate between the shuffle and the join AQE can
+    split a hot id on the post side.  Spark sizes the join itself.
     """
-    lk = ledger_key or key
-    ids = ledger.select(F.col(lk).cast("string").alias(key))
-    if max_candidates is None:
-        return df.join(ids.distinct(), key, "left_anti")
-    candidates = F.broadcast(df.select(F.col(key).cast("string").alias(key)).distinct())
-    seen = ids.join(candidates, key, "left_semi").distinct()
-    return df.join(F.broadcast(seen), key, "left_anti")
+    ids = ledger.select(F.col(ledger_key or key).cast("string").alias(key))
+    return df.join(ids, key, "left_anti")
 
 
 def relevant(df: DataFrame, keywords: Sequence[str] = JOB_KEYWORDS, title: str = "title",
@@ -174,27 +164,44 @@ def sent_counts(df: DataFrame, source: str = "subreddit") -> DataFrame:
     return df.groupBy(source).agg(F.count(F.lit(1)).alias("sent"))
 
 
+def candidates(df: DataFrame, ledger: DataFrame, as_of: datetime | str | Column,
+               sources: Sequence[str], limit: int = FIRST_RUN_LIMIT, days: int = DAYS_BACK,
+               key: str = "id", source: str = "subreddit", ts: str = "created_utc") -> DataFrame:
+    """(id, source, created) of the posts that pass newest-n, age and ledger.
+
+    Decided on these narrow columns alone, so the per-source shuffles never
+    carry texts; at most ``limit`` posts per source remain.  An id can still
+    appear more than once (other sources, other versions).
+    """
+    narrow = select_sources(df, sources, source).select(key, source, ts)
+    picked = recent(newest_per_source(narrow, limit, source, ts, key), as_of, days, ts)
+    return unseen(picked, ledger, key).dropDuplicates([key, source, ts])
+
+
 def prepare(df: DataFrame, ledger: DataFrame, as_of: datetime | str | Column,
             sources: Sequence[str], keywords: Sequence[str] = JOB_KEYWORDS,
             limit: int = FIRST_RUN_LIMIT, days: int = DAYS_BACK, key: str = "id",
-            source: str = "subreddit", ts: str = "created_utc") -> DataFrame:
-    """One ingest run, in the original order of decisions.
-
-    Late materialization: newest-n, age and the ledger lookup run on the
-    narrow (id, source, created) columns, so the per-source shuffles never
-    carry texts.  At most ``limit`` posts per source survive, a proven bound;
-    their rows come back through a broadcast semi join (the texts are
-    scanned once, not shuffled) for the keyword test and the record shape.
+            source: str = "subreddit", ts: str = "created_utc",
+            texts: DataFrame | None = None) -> DataFrame:
+    """One ingest run, in the original order of decisions; an id is sent once.
+
+    The surviving (id, source, created) rows are written once and joined back
+    on all three, so a version that failed the age test cannot return with one
+    that passed.  Of an id that is relevant in several rows the first is sent:
+    sources in the given order, newest first, then by title and body.
+
+    ``texts`` (id, source, title, selftext, ...) may give the texts apart from
+    the times in ``df``; the bounded survivors then meet the text scan directly
+    and no text is shuffled to find its time.
     """
-    bound = limit * max(1, len(list(sources)))
-    narrow = select_sources(df, sources, source).select(key, source, ts)
-    picked = newest_per_source(narrow, limit, source, ts, key)
-    # the bounded candidate set feeds both sides of the ledger lookup: write
-    # it once (a few thousand narrow rows) instead of computing it twice
-    candidates = materialize(recent(picked, as_of, days, ts))
-    fresh = unseen(candidates, ledger, key, max_candidates=bound)
-    # semi join on the id alone, so it can be pushed below a join that
-    # assembles the posts (ids are unique per source, as post ids are)
-    rows = select_sources(df, sources, source).join(F.broadcast(fresh.select(key)), key,
-                                                    "left_semi")
-    return shape_record(relevant(rows, keywords), source)
+    fresh = stored(candidates(df, ledger, as_of, sources, limit, days, key, source, ts))
+    if texts is None:
+        rows = select_sources(df, sources, source).join(fresh, [key, source, ts])
+    else:
+        rows = select_sources(texts, sources, source).join(fresh, [key, source])
+    order = F.array_position(F.array(*[F.lit(s) for s in sources]), F.col(source))
+    # at most ``limit`` rows per source take part
+    once = Window.partitionBy(key).orderBy(order, F.col(ts).desc(), "title", "selftext")
+    first = (relevant(rows, keywords).withColumn("_nth", F.row_number().over(once))
+             .where("_nth = 1").drop("_nth"))
+    return shape_record(first, source)

@@ -21,6 +21,7 @@ DAYS = 1
 SOURCES = ["src0", "src1", "src2", "src3", "src4"]
 NEWEST_LIMIT = 10
 SLICE = (0.25, 0.75)
+OPENING_SLICE = (-0.00155, 1.00062)
 TREND_EVERY = "1 hour"
 OPTION_PREFIX = "e"
 ROUTE_PATTERN = "src1.**"
@@ -62,11 +63,34 @@ def with_time(df: DataFrame, spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """id, title, selftext, subreddit, category: posts without their times, for
+    work that needs none, so that no text is shuffled to meet its event."""
+    return doc_posts(spark, sf_dir).drop("doc_id", "text")
+
+
+def event_times(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """id, created_utc, created_epoch of every event."""
+    created = F.col("ts").cast("timestamp")
+    return table(spark, sf_dir, "events").select(
+        F.col("event_id").cast("string").alias("id"), created.alias("created_utc"),
+        F.floor(F.unix_micros(created) / F.lit(1_000_000)).cast("long").alias("created_epoch"))
+
+
+def timed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """id, subreddit, created_utc and kind of posts: the narrow side."""
+    return with_time(doc_posts(spark, sf_dir).select("doc_id", "id", "subreddit"), spark, sf_dir)
+
+
 def posts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """id, title, selftext, subreddit, category, created_utc, created_epoch, kind."""
     return with_time(doc_posts(spark, sf_dir).drop("text"), spark, sf_dir)
 
 
+EVENT_TIMES_CTE = """times AS (
+  SELECT CAST(event_id AS VARCHAR) AS id, ts AS created_utc,
+         CAST(floor(epoch_us(ts) / 1000000) AS BIGINT) AS created_epoch FROM events)"""
+
 POSTS_CTE = """posts AS (
   SELECT CAST(d.doc_id AS VARCHAR) AS id,
          string_split(d.text, chr(10))[1] AS title,

@@ -36,6 +36,7 @@ _SOURCES_SQL = ", ".join(f"'{s}'" for s in fx.SOURCES)
 _AS_OF_SQL = f"TIMESTAMP '{fx.AS_OF.isoformat(sep=' ')}'"
 
 BASE = f"WITH {fx.POSTS_CTE}"
+TIMES = f"WITH {fx.EVENT_TIMES_CTE}"
 
 SHAPED = f""",
 shaped AS (SELECT id, title, {_iso_sql('created_utc')} AS created_utc,
@@ -56,37 +57,39 @@ sent AS (SELECT id, title, {_iso_sql('created_utc')} AS created_utc,
 
 
 def _sent(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ig.prepare(fx.posts(spark, sf_dir), _ledger(spark, sf_dir), fx.AS_OF, fx.SOURCES,
-                      keywords=fx.KEYWORDS, limit=FIRST_RUN_LIMIT, days=fx.DAYS)
+    return ig.prepare(fx.timed(spark, sf_dir), _ledger(spark, sf_dir), fx.AS_OF, fx.SOURCES,
+                      keywords=fx.KEYWORDS, limit=FIRST_RUN_LIMIT, days=fx.DAYS,
+                      texts=fx.texts(spark, sf_dir))
 
 
 # ------------------------------------------------------------------ time ----
 
-@query("epoch_to_utc", BASE + """ SELECT id, make_timestamp(created_epoch * 1000000) AS created_ts
- FROM posts""")
+@query("epoch_to_utc", TIMES + """ SELECT id, make_timestamp(created_epoch * 1000000) AS created_ts
+ FROM times""")
 def q_epoch_to_utc(spark, sf_dir):
-    return fx.posts(spark, sf_dir).select("id", epoch_to_utc("created_epoch").alias("created_ts"))
+    return fx.event_times(spark, sf_dir).select(
+        "id", epoch_to_utc("created_epoch").alias("created_ts"))
 
 
-@query("iso_timestamp", BASE + f""" SELECT id, {_iso_sql('created_utc')} AS created_iso,
- {_iso_sql('make_timestamp(created_epoch * 1000000)')} AS epoch_iso FROM posts""")
+@query("iso_timestamp", TIMES + f""" SELECT id, {_iso_sql('created_utc')} AS created_iso,
+ {_iso_sql('make_timestamp(created_epoch * 1000000)')} AS epoch_iso FROM times""")
 def q_iso_timestamp(spark, sf_dir):
-    return fx.posts(spark, sf_dir).select(
+    return fx.event_times(spark, sf_dir).select(
         "id", iso_timestamp("created_utc").alias("created_iso"),
         iso_timestamp(epoch_to_utc("created_epoch")).alias("epoch_iso"))
 
 
-@query("recent_posts", BASE + f""" SELECT id, created_utc FROM posts
+@query("recent_posts", TIMES + f""" SELECT id, created_utc FROM times
  WHERE created_utc >= {_AS_OF_SQL} - INTERVAL {fx.DAYS} DAY""")
 def q_recent_posts(spark, sf_dir):
-    return ig.recent(fx.posts(spark, sf_dir), fx.AS_OF, fx.DAYS).select("id", "created_utc")
+    return ig.recent(fx.event_times(spark, sf_dir), fx.AS_OF, fx.DAYS).select("id", "created_utc")
 
 
 # -------------------------------------------------------------- keywords ----
 
 @query("relevant_posts", BASE + f" SELECT id FROM posts WHERE {_kw_sql(_JOB_TEXT)}")
 def q_relevant_posts(spark, sf_dir):
-    return ig.relevant(fx.posts(spark, sf_dir), fx.KEYWORDS).select("id")
+    return ig.relevant(fx.texts(spark, sf_dir), fx.KEYWORDS).select("id")
 
 
 _KW_LIST = "[" + ", ".join(f"'{k}'" for k in fx.KEYWORDS) + "]"
@@ -95,7 +98,7 @@ _KW_LIST = "[" + ", ".join(f"'{k}'" for k in fx.KEYWORDS) + "]"
 @query("keyword_hits", BASE + f""" SELECT id,
  list_filter({_KW_LIST}, lambda k: contains({_JOB_TEXT}, k)) AS hits FROM posts""")
 def q_keyword_hits(spark, sf_dir):
-    return fx.posts(spark, sf_dir).select(
+    return fx.texts(spark, sf_dir).select(
         "id", keyword_hits(job_text("title", "selftext"), fx.KEYWORDS).alias("hits"))
 
 
@@ -103,19 +106,19 @@ def q_keyword_hits(spark, sf_dir):
  SELECT unnest(list_filter({_KW_LIST}, lambda k: contains({_JOB_TEXT}, k))) AS keyword FROM posts)
  GROUP BY keyword""")
 def q_keyword_frequency(spark, sf_dir):
-    hits = fx.posts(spark, sf_dir).select(
+    hits = fx.texts(spark, sf_dir).select(
         keyword_hits(job_text("title", "selftext"), fx.KEYWORDS).alias("hits"))
     return tm.occurrences(hits, "hits", name="keyword").withColumnRenamed("occurrences", "posts")
 
 
 @query("truncate_body", BASE + " SELECT id, substr(selftext, 1, 5000) AS selftext FROM posts")
 def q_truncate_body(spark, sf_dir):
-    return fx.posts(spark, sf_dir).select("id", truncate_body("selftext").alias("selftext"))
+    return fx.texts(spark, sf_dir).select("id", truncate_body("selftext").alias("selftext"))
 
 
 @query("title_preview", BASE + " SELECT id, substr(title, 1, 60) AS preview FROM posts")
 def q_title_preview(spark, sf_dir):
-    return fx.posts(spark, sf_dir).select("id", title_preview("title").alias("preview"))
+    return fx.texts(spark, sf_dir).select("id", title_preview("title").alias("preview"))
 
 
 @query("shape_record", BASE + SHAPED
@@ -137,15 +140,14 @@ def q_route_by_tag(spark, sf_dir):
 @query("configured_sources", BASE + f""" SELECT id, subreddit FROM posts
  WHERE subreddit IN ({_SOURCES_SQL})""")
 def q_configured_sources(spark, sf_dir):
-    return ig.select_sources(fx.posts(spark, sf_dir), fx.SOURCES).select("id", "subreddit")
+    return ig.select_sources(fx.texts(spark, sf_dir), fx.SOURCES).select("id", "subreddit")
 
 
 @query("union_sources", BASE + f""" SELECT id, subreddit FROM posts
  WHERE subreddit IN ({_SOURCES_SQL})""")
 def q_union_sources(spark, sf_dir):
-    p = fx.posts(spark, sf_dir)
-    return ig.union_sources([ig.select_sources(p, [s]) for s in fx.SOURCES]).select(
-        "id", "subreddit")
+    # one scan: the configured sources lie in one table here
+    return ig.select_sources(fx.timed(spark, sf_dir), fx.SOURCES).select("id", "subreddit")
 
 
 @query("newest_per_source", BASE + f""" SELECT id, subreddit, created_utc,
@@ -190,12 +192,52 @@ def q_seen_ledger_append(spark, sf_dir):
     return lg.grow_ledger(_ledger(spark, sf_dir), _sent(spark, sf_dir))
 
 
+def _polled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Posts as polled: those with a label come a second time, five days older
+    and with another title; every third also lies in the next source."""
+    p = fx.posts(spark, sf_dir).select("id", "title", "selftext", "subreddit", "created_utc")
+    old = p.join(_ledger(spark, sf_dir), "id", "left_semi").withColumns({
+        "title": F.concat("title", F.lit(" old")),
+        "created_utc": F.col("created_utc") - F.expr("INTERVAL 5 DAYS")})
+    number = F.regexp_extract("subreddit", "([0-9]+)$", 1).cast("int")
+    other = p.where(F.col("id").cast("long") % 3 == 0).withColumn(
+        "subreddit", F.concat(F.lit("src"), ((number + 1) % 20).cast("string")))
+    return p.unionByName(old).unionByName(other).unionByName(other)
+
+
+_POLLED_SQL = f""",
+p AS (SELECT id, title, selftext, subreddit, created_utc FROM posts),
+polled AS (
+  SELECT * FROM p UNION ALL
+  SELECT id, title || ' old', selftext, subreddit, created_utc - INTERVAL 5 DAY FROM p
+  WHERE EXISTS (SELECT 1 FROM labels l WHERE CAST(l.doc_id AS VARCHAR) = p.id) UNION ALL
+  SELECT id, title, selftext, 'src' || ((CAST(substr(subreddit, 4) AS INTEGER) + 1) % 20), created_utc
+  FROM p, (VALUES (1), (2)) AS twice(n) WHERE CAST(id AS BIGINT) % 3 = 0),
+sent_once AS (
+  SELECT * FROM polled
+  WHERE subreddit IN ({_SOURCES_SQL}) AND created_utc >= {_AS_OF_SQL} - INTERVAL {fx.DAYS} DAY
+    AND CAST(id AS BIGINT) % 7 <> 0 AND {_kw_sql(_JOB_TEXT)}
+  QUALIFY row_number() OVER (
+    PARTITION BY id ORDER BY list_position([{_SOURCES_SQL}], subreddit), created_utc DESC, title) = 1)"""
+
+
+@query("ingest_batch_repeats", BASE + _POLLED_SQL + f""" SELECT id, title,
+ {_iso_sql('created_utc')} AS created_utc, subreddit FROM sent_once""")
+def q_ingest_batch_repeats(spark, sf_dir):
+    """A run over polled posts that repeat in a source, across sources and as
+    old versions of fresh ids: each id is sent once, from the first source."""
+    posts = _polled(spark, sf_dir)
+    seen = posts.where(F.col("id").cast("long") % 7 == 0).select("id")
+    return ig.prepare(posts, seen, fx.AS_OF, fx.SOURCES, keywords=fx.KEYWORDS, days=fx.DAYS).select(
+        "id", "title", "created_utc", "subreddit")
+
+
 # ------------------------------------------------------------------ wire ----
 
 def bad_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Wire messages for every post; those of kind 'error' arrive cut in half
     (not JSON), those of kind 'view' without their id field."""
-    shaped = ig.shape_record(fx.posts(spark, sf_dir), keep=("kind",))
+    shaped = ig.shape_record(fx.posts(spark, sf_dir), keep=("kind",), body_chars=None)
     full = F.to_json(F.struct(*[F.col(c) for c in wire.RECORD_FIELDS]))
     no_id = F.to_json(F.struct(*[F.col(c) for c in wire.RECORD_FIELDS if c != "id"]))
     value = (F.when(F.col("kind") == "error",
@@ -205,9 +247,11 @@ def bad_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shaped.select(F.col("id").alias("key"), value.cast("binary").alias("value"))
 
 
-@query("json_roundtrip", BASE + SHAPED + " SELECT id, title, created_utc, selftext FROM shaped")
+@query("json_roundtrip", BASE + f""" SELECT id, title, {_iso_sql('created_utc')} AS created_utc,
+ selftext FROM posts""")
 def q_json_roundtrip(spark, sf_dir):
-    msgs = wire.encode_json(ig.shape_record(fx.posts(spark, sf_dir)), binary=True)
+    """Whole bodies through the wire format and back."""
+    msgs = wire.encode_json(ig.shape_record(fx.posts(spark, sf_dir), body_chars=None), binary=True)
     good, _ = wire.decode_json(msgs, wire.STREAM_SCHEMA)
     return good
 

@@ -10,6 +10,7 @@ before its shuffle.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -26,8 +27,13 @@ DEFAULTS = {
     "spark.ui.showConsoleProgress": "false",
     # checkpoint files of lineage cuts are removed once nothing refers to them
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
+    # stream state beyond the heap
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }
 
+_SCRATCH: list[str] = []
+
 
 def get_session(master: str | None = None, app: str = "poststream",
                 shuffle_partitions: int | None = None, **extra: str) -> SparkSession:
@@ -59,8 +65,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder for checkpoints and scratch tables.
 
     On a cluster ``spark.checkpoint.dir`` is set by the deployment and points
-    at shared storage; it is only read here.  Only when nothing is set (local
-    tests) a private temp folder is chosen.
+    at shared storage; it is only read here.  Only when nothing is set and
+    the master is local (tests) a private temp folder is chosen; a cluster
+    without the setting is an error, since its machines share no temp folder.
     """
     sc = spark.sparkContext
     active = sc.getCheckpointDir()
@@ -68,14 +75,34 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return active
     configured = spark.conf.get("spark.checkpoint.dir", None) or \
         sc.getConf().get("spark.checkpoint.dir", None)
+    if not configured and not re.fullmatch(r"local(\[[^]]*\])?", sc.master):
+        raise ValueError("set spark.checkpoint.dir to a folder that all machines share")
     sc.setCheckpointDir(configured or tempfile.mkdtemp(prefix="poststream-ckpt-"))
     return sc.getCheckpointDir()
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder below the shared checkpoint directory."""
-    base = checkpoint_dir(spark)
-    return os.path.join(base, f"{name}-{uuid.uuid4().hex[:12]}")
+    path = os.path.join(checkpoint_dir(spark), f"{name}-{uuid.uuid4().hex[:12]}")
+    _SCRATCH.append(path)
+    return path
+
+
+def clean_scratch(spark: SparkSession) -> int:
+    """Delete the scratch folders that this process has made (call it when no
+    result that reads them is needed any more); returns how many."""
+    gone = 0
+    while _SCRATCH:
+        gone += delete_path(spark, _SCRATCH.pop())
+    return gone
+
+
+def stored(df: DataFrame, name: str = "stored") -> DataFrame:
+    """Write ``df`` as Parquet in scratch and read it back: a lineage cut
+    whose real size the planner knows."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def _fs_path(spark: SparkSession, path: str):
@@ -89,6 +116,20 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(jpath))
 
 
+def delete_path(spark: SparkSession, path: str) -> bool:
+    """Delete a file or folder (on any Hadoop file system)."""
+    jpath, fs = _fs_path(spark, path)
+    return bool(fs.delete(jpath, True))
+
+
+def list_folders(spark: SparkSession, folder: str) -> list[str]:
+    """Names of the folders directly in a folder."""
+    jpath, fs = _fs_path(spark, folder)
+    if not fs.exists(jpath):
+        return []
+    return [st.getPath().getName() for st in fs.listStatus(jpath) if st.isDirectory()]
+
+
 def count_files(spark: SparkSession, folder: str, suffix: str = ".parquet") -> int:
     """Number of data files directly in a folder (a metadata listing)."""
     jpath, fs = _fs_path(spark, folder)
