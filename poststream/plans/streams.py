@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from ..operators import ingest as ig
 from ..session import count_files, scratch_path
 from ..sources import wire
+from ..sources.ledger import append_ledger
 from ..streaming import stream as st
 from . import fixtures as fx
 from .classify import _fit
@@ -22,7 +23,6 @@ from .ingest import BASE, _iso_sql
 from .registry import query
 
 BATCHES = 4        # micro-batches per run (files per trigger follow from the file count)
-DELAY = "30 days"  # covers the fixture's time span, so no record is late
 
 
 def _messages(spark: SparkSession, sf_dir: str, posts: DataFrame | None = None) -> DataFrame:
@@ -136,7 +136,7 @@ def _labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_stream_dedup(spark, sf_dir):
     folder = _topic(spark, _messages(spark, sf_dir))
     _topic(spark, _messages(spark, sf_dir, _labelled(spark, sf_dir)), folder)  # re-sends
-    unique = st.dedup_stream(_posts_stream(spark, folder), "id", "event_time", DELAY)
+    unique = st.dedup_stream(_posts_stream(spark, folder), "id")
     out, writer = _to_folder(unique.select("id", "title", "created_utc"), "dedup")
     _run(writer)
     return spark.read.parquet(out)
@@ -157,11 +157,31 @@ def q_stream_dedup_batches(spark, sf_dir):
     return st.read_log(spark, out).drop("batch_id")
 
 
+@query("stream_dedup_late", BASE + f""" SELECT id, title, {_iso_sql('created_utc')} AS created_utc
+ FROM posts WHERE CAST(id AS BIGINT) % 7 <> 0""")
+def q_stream_dedup_late(spark, sf_dir):
+    """Newest posts first, then older ones that were never seen, in a later
+    run on the same checkpoint; ids of the ledger stay out."""
+    p = fx.posts(spark, sf_dir)
+    newer = F.col("created_utc") >= F.lit(fx.AS_OF)
+    ledger = scratch_path(spark, "late-ledger")
+    append_ledger(p.where(F.col("id").cast("long") % 7 == 0), ledger)
+    out, seen = scratch_path(spark, "late-out"), scratch_path(spark, "late-seen")
+    ckpt = scratch_path(spark, "late-ckpt")
+    writer = st.dedup_writer(out, seen, "id", keep=["id", "title", "created_utc"], ledger_path=ledger)
+    folder = None
+    for part in (p.where(newer), p.where(~newer).unionByName(p.where(newer))):
+        folder = _topic(spark, _messages(spark, sf_dir, part), folder)
+        _run(_posts_stream(spark, folder).writeStream.foreachBatch(writer)
+             .option("checkpointLocation", ckpt).trigger(availableNow=True))
+    return st.read_log(spark, out).drop("batch_id")
+
+
 @query("stream_trend", BASE + """ SELECT date_trunc('hour', created_utc) AS bucket, subreddit,
  count(*) AS posts FROM posts GROUP BY ALL""")
 def q_stream_trend(spark, sf_dir):
     folder = _topic(spark, _messages(spark, sf_dir))
-    counts = st.trend_counts(_posts_stream(spark, folder), "event_time", fx.TREND_EVERY, DELAY,
+    counts = st.trend_counts(_posts_stream(spark, folder), "event_time", fx.TREND_EVERY,
                              by="subreddit")
     log, ckpt = scratch_path(spark, "trend-log"), scratch_path(spark, "trend-ckpt")
     _run(st.upsert_by_key(counts, log, ckpt, output_mode="update"))

@@ -7,18 +7,19 @@ built here and the file sources drive the tests.
 The keyed document store is an append-only log of micro-batches: each batch
 lands in its own ``batch_id=N`` folder, written with overwrite, so a replayed
 batch after a crash rewrites the same folder (idempotent).  Readers take the
-latest row per key (a partial + final aggregation, not a window, so one key
-with many versions is combined on the map side).  ``compact`` folds the log
-into a new base folder.
+latest row per key, chosen on narrow columns (a partial limit per key on the
+map side).  ``compact`` folds the log into a new base folder, and ``retire``
+removes folded batches once readers use it.
 """
 
 from __future__ import annotations
 
 import time
 from collections.abc import Callable, Sequence
+from functools import reduce
+from operator import and_
 
-from pyspark.errors import StreamingQueryException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
@@ -26,7 +27,8 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 from ..defaults import FLUSH_EVERY, TOPIC
 from ..operators.enrich import category_override, enriched, with_skills
 from ..operators.model import score
-from ..session import path_exists
+from ..session import delete_path, list_folders, path_exists
+from ..sources.ledger import read_ledger
 from ..sources.wire import RECORD_SCHEMA, decode_json, encode_json, split_tagged, tag_messages
 
 MESSAGE_SCHEMA = T.StructType([T.StructField("key", T.StringType()),
@@ -88,20 +90,20 @@ def enrich_stream(posts: DataFrame, skills, model) -> DataFrame:
     return enriched(category_override(scored))
 
 
-def dedup_stream(posts: DataFrame, key: str = "id", ts: str = "event_time",
-                 delay: str = "7 days", ledger: DataFrame | None = None) -> DataFrame:
-    """Drop repeats of a key seen within ``delay`` of event time (state is
-    evicted behind the watermark); ids older than that are caught by the
-    ledger anti join (a static side, re-read each micro-batch)."""
-    out = posts.withWatermark(ts, delay).dropDuplicatesWithinWatermark([key])
-    if ledger is not None:
-        seen = ledger.select(F.col(key).cast("string").alias(key)).distinct()
-        out = out.join(seen, key, "left_anti")
-    return out
+def dedup_stream(posts: DataFrame, key: str = "id") -> DataFrame:
+    """Each key once, however late its first message comes.
+
+    There is no watermark: a key behind one would be dropped although it was
+    never seen.  So the state holds one entry per key (in RocksDB, see
+    ``session.DEFAULTS``); ``dedup_writer`` keeps the keys in a table instead,
+    also knows the ledger of earlier jobs, and survives a hot key.
+    """
+    return posts.dropDuplicates([key])
 
 
 def dedup_writer(out_path: str, seen_path: str, key: str = "id",
-                 keep: Sequence[str] | None = None) -> Callable[[DataFrame, int], None]:
+                 keep: Sequence[str] | None = None, ledger_path: str | None = None
+                 ) -> Callable[[DataFrame, int], None]:
     """foreachBatch dedup that survives a hot key.
 
     Each micro-batch is deduplicated with a batch aggregation (partial
@@ -109,14 +111,19 @@ def dedup_writer(out_path: str, seen_path: str, key: str = "id",
     instead of landing in one task), then anti-joined with the ids seen in
     earlier batches.  New rows go to ``out_path/batch_id=N`` and their ids to
     ``seen_path/batch_id=N``, both overwritten, and only batches below N count
-    as seen, so a replayed batch N produces the same output again.
+    as seen, so a replayed batch N produces the same output again.  Ids in
+    the ledger at ``ledger_path``, read anew for each batch, count as seen too.
+    The anti joins take the ids as they are, so AQE can split a hot one.
     """
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         first = batch.dropDuplicates([key])
         if path_exists(spark, seen_path):
             seen = read_log(spark, seen_path).where(F.col("batch_id") < batch_id)
-            first = first.join(seen.select(key).distinct(), key, "left_anti")
+            first = first.join(seen.select(key), key, "left_anti")
+        if ledger_path:
+            ledger = read_ledger(spark, ledger_path)
+            first = first.join(ledger.select(F.col("id").alias(key)), key, "left_anti")
         fresh = first.persist()
         try:
             out = fresh.select(*keep) if keep else fresh
@@ -128,10 +135,17 @@ def dedup_writer(out_path: str, seen_path: str, key: str = "id",
 
 
 def trend_counts(posts: DataFrame, ts: str = "event_time", every: str = "1 hour",
-                 delay: str = "1 day", by: str | None = None) -> DataFrame:
-    """Running posts per tumbling window (and ``by``) with a watermark."""
+                 delay: str | None = None, by: str | None = None) -> DataFrame:
+    """Running posts per tumbling window (and ``by``).
+
+    Every post counts, however late: the state is one row per window and
+    value, so it grows with the time covered, not with the posts.  With
+    ``delay`` windows are closed that far behind the newest post and later
+    posts are left out.
+    """
     keys = [F.window(F.col(ts), every).alias("w")] + ([F.col(by)] if by else [])
-    return (posts.withWatermark(ts, delay).groupBy(*keys)
+    timed = posts.withWatermark(ts, delay) if delay else posts
+    return (timed.groupBy(*keys)
             .agg(F.count(F.lit(1)).alias("posts"))
             .select(F.col("w.start").alias("bucket"), *([by] if by else []), "posts"))
 
@@ -227,14 +241,27 @@ def upsert_by_key(df: DataFrame, path: str, checkpoint: str, output_mode: str =
 
 def latest_per_id(df: DataFrame, key: Sequence[str] | str = "id",
                   order: Sequence[str] = ("batch_id", "created_utc")) -> DataFrame:
-    """Newest version per key: largest ``order`` tuple, then the remaining
-    columns as tie-breaker (so equal candidates give one fixed answer)."""
+    """Newest version per key: largest ``order`` tuple, then the largest hash
+    of the row (so equal candidates give one fixed answer).
+
+    The winner is chosen on the key, the order columns and the hash; whole rows
+    cross one shuffle only, the join that brings the winners back.
+    """
     keys = [key] if isinstance(key, str) else list(key)
     rest = [c for c in df.columns if c not in keys]
-    ordering = F.struct(*[F.col(c) for c in order], *[F.col(c) for c in rest if c not in order])
-    latest = df.groupBy(*keys).agg(F.max_by(F.struct(*[F.col(c) for c in rest]), ordering)
-                                   .alias("_v"))
-    return latest.select(*keys, "_v.*")
+    row = F.xxhash64(*[F.col(c) for c in rest]).alias("_row")
+    newest = [F.col(c).desc_nulls_last() for c in order] + [F.col("_row").desc()]
+    best = Window.partitionBy(*keys).orderBy(*newest)
+    winner = (df.select(*keys, *order, row).withColumn("_nth", F.row_number().over(best))
+              .where("_nth = 1")
+              .select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)],
+                      F.col("_row").alias("_best")))
+    same_key = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)])
+    back = df.withColumn("_row", row).join(winner, same_key & (F.col("_row") == F.col("_best")))
+    # equal rows of a key: one of them
+    one = Window.partitionBy(*keys, "_row").orderBy("_row")
+    return (back.withColumn("_nth", F.row_number().over(one)).where("_nth = 1")
+            .select(*keys, *rest))
 
 
 def read_log(spark: SparkSession, path: str, since: int = -1) -> DataFrame:
@@ -282,26 +309,33 @@ def compact(spark: SparkSession, path: str, out: str, base: str | None = None,
     return int(last)
 
 
+def retire(spark: SparkSession, path: str, upto: int) -> int:
+    """Delete the log batches up to ``upto`` that ``compact`` has folded; call
+    it after readers have switched to the new base.  Returns their number."""
+    gone = 0
+    for name in list_folders(spark, path):
+        number = name.removeprefix("batch_id=")
+        if name.startswith("batch_id=") and number.isdigit() and int(number) <= upto:
+            gone += delete_path(spark, f"{path}/{name}")
+    return gone
+
+
 # --------------------------------------------------------------- lifecycle ----
 
 def run_until_stopped(start: Callable[[], StreamingQuery], retries: int | None = None,
                       wait_seconds: float = 60.0,
                       sleep: Callable[[float], None] = time.sleep) -> int:
-    """Start the query and restart it from its checkpoint after a failure,
-    waiting between attempts.  Returns the number of restarts; stops when the
+    """Start the query and restart it from its checkpoint after any failure,
+    of the start too, waiting between attempts.  Returns the number of restarts; stops when the
     query ends normally or after ``retries`` restarts (None: never give up)."""
     restarts = 0
     while True:
-        query = start()
         try:
-            query.awaitTermination()
+            start().awaitTermination()
             return restarts
-        except StreamingQueryException:
+        except Exception:  # noqa: BLE001 - a failed start is retried as well
             if retries is not None and restarts >= retries:
                 raise
             restarts += 1
             sleep(wait_seconds)
 
-
-def event_time(col: str = "created_utc") -> Column:
-    return F.col(col).cast("timestamp")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from poststream.operators import ingest as ig
 from poststream.session import scratch_path
 from poststream.sources import wire
+from poststream.sources.ledger import append_ledger
 from poststream.streaming import stream as st
 
 
@@ -66,18 +67,27 @@ def test_compact_folds_log(spark):
         == got
 
 
-def test_stream_equals_batch_and_dedup_with_ledger(spark):
+def test_stream_dedup_keeps_each_id_once(spark):
     folder = scratch_path(spark, "t-dedup")
     _write(spark, _posts(spark, range(6)), folder)
     _write(spark, _posts(spark, range(4)), folder)   # re-sent copies
-    ledger = spark.createDataFrame([("5",)], "id string")
     out = scratch_path(spark, "t-dedup-out")
-    q = (st.dedup_stream(_stream(spark, folder), delay="30 days", ledger=ledger)
+    q = (st.dedup_stream(_stream(spark, folder))
          .select("id").writeStream.format("parquet").option("path", out)
          .option("checkpointLocation", scratch_path(spark, "t-dedup-ckpt"))
          .trigger(availableNow=True).start())
     q.awaitTermination()
-    assert sorted(r.id for r in spark.read.parquet(out).collect()) == ["0", "1", "2", "3", "4"]
+    assert sorted(r.id for r in spark.read.parquet(out).collect()) == ["0", "1", "2", "3", "4", "5"]
+
+
+def test_late_unseen_posts_and_fresh_ledger(spark):
+    out, seen = scratch_path(spark, "t-late-out"), scratch_path(spark, "t-late-seen")
+    ledger = scratch_path(spark, "t-late-ledger")
+    w = st.dedup_writer(out, seen, keep=["id"], ledger_path=ledger)
+    w(_posts(spark, [900, 901]), 0)
+    append_ledger(_posts(spark, [7]), ledger)       # after the stream has begun
+    w(_posts(spark, [1, 7, 901]), 1)                # far older than batch 0, never seen
+    assert sorted(r.id for r in st.read_log(spark, out).collect()) == ["1", "900", "901"]
 
 
 def test_enrich_stream_without_model(spark):
@@ -133,6 +143,26 @@ def test_run_until_stopped_restarts():
         st.run_until_stopped(lambda: _FakeQuery(True), retries=1, sleep=lambda s: None)
 
 
+def test_run_until_stopped_retries_a_failing_start():
+    calls = []
+
+    def start():
+        calls.append(1)
+        if len(calls) < 3:
+            raise OSError("no broker yet")
+        return _FakeQuery(False)
+    assert st.run_until_stopped(start, retries=3, sleep=lambda s: None) == 2
+
+
+def test_retire_removes_folded_batches(spark):
+    log = scratch_path(spark, "t-retire")
+    w = st.batch_writer(log)
+    for n in range(3):
+        w(_posts(spark, [n]).select("id", "title", "created_utc"), n)
+    assert st.retire(spark, log, 1) == 2
+    assert [r.id for r in st.read_log(spark, log).collect()] == ["2"]
+
+
 def test_quarantine_writer_splits_each_batch(spark):
     msgs = spark.createDataFrame(
         [("1", '{"id":"1","title":"a"}'), ("2", "{bad"), ("3", '{"title":"x"}')],
