@@ -18,9 +18,6 @@ from ..defaults import BODY_CHARS, TITLE_PREVIEW_CHARS
 
 ColumnOrName = Column | str
 
-# Lexicons above this many terms are matched through a prefix trie instead of a
-# flat alternation; both give the same matches.
-TRIE_THRESHOLD = 64
 
 
 def _col(c: ColumnOrName) -> Column:
@@ -100,7 +97,7 @@ def _trie_body(terms: Sequence[str], gap: bool = False) -> str:
 
 
 def _alternation(ordered: Sequence[str], trie: bool | None, gap: bool = False) -> str:
-    use_trie = len(ordered) > TRIE_THRESHOLD if trie is None else trie
+    use_trie = True if trie is None else trie
     return _trie_body(ordered, gap) if use_trie else "|".join(_escape(t, gap) for t in ordered)
 
 
@@ -109,8 +106,9 @@ def skill_pattern(terms: Iterable[str], trie: bool | None = None) -> str:
     longest term first.
 
     A term matches where no word character precedes its first and none
-    follows its last character.  Small lexicons become a flat alternation,
-    large ones a prefix trie (same matches, far fewer attempts per position).
+    follows its last character.  The terms form a prefix trie, which makes far
+    fewer attempts per position than a flat alternation (``trie=False``) and
+    finds the same matches.
     """
     ordered = _ordered(terms)
     if not ordered:
@@ -239,12 +237,14 @@ def keyword_hits(text: ColumnOrName, keywords: Sequence[str]) -> Column:
 
 def is_relevant(text: ColumnOrName, keywords: Sequence[str]) -> Column:
     """True when any keyword occurs in ``text`` (substring, so "hire" also
-    matches "shire")."""
-    t = _col(text)
-    cond = F.lit(False)
-    for k in keywords:
-        cond = cond | t.contains(k)
-    return cond
+    matches "shire"): one pass over the text for all keywords."""
+    if not keywords:
+        return F.lit(False)
+    return _col(text).rlike("|".join(_quoted(k) for k in keywords))
+
+
+def _quoted(text: str) -> str:
+    return "".join(ch if ch.isalnum() or ch == " " else "\\" + ch for ch in text)
 
 
 def title_preview(c: ColumnOrName, n: int = TITLE_PREVIEW_CHARS) -> Column:

@@ -137,8 +137,10 @@ def score(df: DataFrame, model: PipelineModel) -> DataFrame:
 
 
 def sample(df: DataFrame, n: int = 20) -> DataFrame:
-    """A few predictions to eyeball."""
-    return df.select("skills", "category", "predicted_category").limit(n)
+    """A few predictions to eyeball, the same ones in every run."""
+    cols = ["skills", "category", "predicted_category"]
+    order = (["id"] if "id" in df.columns else []) + cols
+    return df.orderBy(*order).select(*cols).limit(n)
 
 
 def save_model(model: PipelineModel, path: str) -> None:

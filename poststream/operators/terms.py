@@ -272,7 +272,8 @@ def _fraction_of(lo_us: Column, hi_us: Column, frac: float) -> Column:
 def time_slice(df: DataFrame, ts: str, lo: float, hi: float,
                bounds_from: DataFrame | None = None) -> DataFrame:
     """Rows with ``start <= ts < end`` where start and end are fractions of
-    the data's own time range (min and max come in as scalar subqueries).
+    the data's own time range (min and max come in as scalar subqueries); a
+    slice up to 1 or beyond includes the newest post.
     ``bounds_from``: a cheaper frame with the same times (e.g. the posts
     before enrichment) to take the range from."""
     src = bounds_from if bounds_from is not None else df
@@ -281,7 +282,8 @@ def time_slice(df: DataFrame, ts: str, lo: float, hi: float,
     a = bounds.select("a").scalar()
     b = bounds.select("b").scalar()
     start, end = _fraction_of(a, b, lo), _fraction_of(a, b, hi)
-    return df.where((F.col(ts) >= start) & (F.col(ts) < end))
+    until = F.col(ts) <= end if hi >= 1 else F.col(ts) < end
+    return df.where((F.col(ts) >= start) & until)
 
 
 def choose(df: DataFrame, col: str, values: Sequence[str] | None) -> DataFrame:

@@ -47,12 +47,12 @@ def panel_index(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("post_text", PRELUDE + " SELECT id, text FROM txt")
 def q_post_text(spark, sf_dir):
-    return fx.posts(spark, sf_dir).select("id", post_text("title", "selftext").alias("text"))
+    return fx.texts(spark, sf_dir).select("id", post_text("title", "selftext").alias("text"))
 
 
 @query("clean_text", PRELUDE + f" SELECT id, {fx.duck_clean('text')} AS clean FROM txt")
 def q_clean_text(spark, sf_dir):
-    return fx.posts(spark, sf_dir).select(
+    return fx.texts(spark, sf_dir).select(
         "id", clean_text(post_text("title", "selftext")).alias("clean"))
 
 
@@ -83,7 +83,7 @@ def q_enriched_posts(spark, sf_dir):
 def _raw_lexicon(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A raw lexicon table derived from the documents: the first word of every
     title, under a header that needs normalising (' Skill ')."""
-    return fx.posts(spark, sf_dir).select(
+    return fx.texts(spark, sf_dir).select(
         F.substring_index(F.col("title"), " ", 1).alias(" Skill "))
 
 
@@ -243,6 +243,20 @@ sliced AS (SELECT idx.* FROM idx, bounds
              AND created_utc < make_timestamp(a + CAST(round((b - a) * {float(hi)}) AS BIGINT)))"""
 
 
+@query("time_slice_all", PRELUDE + " SELECT id, created_utc FROM idx WHERE created_utc IS NOT NULL")
+def q_time_slice_all(spark, sf_dir):
+    """The whole range, newest post included."""
+    return tm.time_slice(panel_index(spark, sf_dir), "created_utc", 0.0, 1.0,
+                         bounds_from=fx.posts(spark, sf_dir)).select("id", "created_utc")
+
+
+@query("time_slice_opening", PRELUDE + " SELECT id, created_utc FROM idx WHERE created_utc IS NOT NULL")
+def q_time_slice_opening(spark, sf_dir):
+    """The state the dashboard opens in: fractions just outside the range."""
+    return tm.time_slice(panel_index(spark, sf_dir), "created_utc", *fx.OPENING_SLICE,
+                         bounds_from=fx.posts(spark, sf_dir)).select("id", "created_utc")
+
+
 @query("time_slice", PRELUDE + ",\n" + _slice_sql(*fx.SLICE)
        + " SELECT id, category, created_utc FROM sliced")
 def q_time_slice(spark, sf_dir):
