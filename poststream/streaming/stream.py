@@ -255,11 +255,15 @@ def latest_per_id(df: DataFrame, key: Sequence[str] | str = "id",
     winner = (df.select(*keys, *order, row).withColumn("_nth", F.row_number().over(best))
               .where("_nth = 1")
               .select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)],
-                      F.col("_row").alias("_best")))
-    same_key = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)])
-    back = df.withColumn("_row", row).join(winner, same_key & (F.col("_row") == F.col("_best")))
+                      F.xxhash64(*keys).alias("_at"), F.col("_row").alias("_best")))
+    # joined on two hashes, so that the rows lie as the last step needs them
+    same_key = reduce(and_, [F.coalesce(F.col(k) == F.col(f"_k{i}"),
+                                        F.col(k).isNull() & F.col(f"_k{i}").isNull())
+                             for i, k in enumerate(keys)])
+    back = df.withColumns({"_row": row, "_key": F.xxhash64(*keys)}).join(
+        winner, (F.col("_key") == F.col("_at")) & (F.col("_row") == F.col("_best")) & same_key)
     # equal rows of a key: one of them
-    one = Window.partitionBy(*keys, "_row").orderBy("_row")
+    one = Window.partitionBy("_key", "_row", *keys).orderBy("_row")
     return (back.withColumn("_nth", F.row_number().over(one)).where("_nth = 1")
             .select(*keys, *rest))
 

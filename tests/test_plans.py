@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
+from poststream.operators import ingest as ig
 from poststream.operators import model as ml
 from poststream.operators import terms as tm
 from poststream.operators.topn import top_n_per_group
@@ -77,10 +78,36 @@ def test_top_n_per_group_limits_before_each_shuffle(no_broadcast_no_aqe):
     assert len(partial) == 2
 
 
-def test_latest_per_id_combines_map_side(spark):
-    df = fx.posts(spark, SF_SMALL).select("id", "title", "created_utc") \
-        .withColumn("batch_id", F.lit(0))
-    assert "partial_max_by" in explain(st.latest_per_id(df))
+def test_latest_per_id_picks_winners_on_narrow_rows(no_broadcast_no_aqe):
+    spark = no_broadcast_no_aqe
+    path = scratch_path(spark, "plan-log")
+    fx.posts(spark, SF_SMALL).select("id", "title", "selftext", "created_utc") \
+        .withColumn("batch_id", F.lit(0)).write.parquet(path)
+    plan = explain(st.latest_per_id(spark.read.parquet(path)))
+    assert "SortAggregate" not in plan and "row_number(), 1, Partial" in plan
+    exchanges = re.findall(r"\(\d+\) Exchange\s*\nInput \[\d+\]: \[([^\]]*)\]", plan)
+    assert [("selftext#" in cols) for cols in exchanges].count(True) == 1   # rows come back once
+
+
+def test_unseen_lets_a_hot_id_be_split(spark):
+    keep = {k: spark.conf.get(k) for k in (
+        "spark.sql.autoBroadcastJoinThreshold",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes")}
+    try:
+        for k, v in zip(keep, ("-1", "20k", "2", "10k")):
+            spark.conf.set(k, v)
+        posts = spark.range(200_000).selectExpr(
+            "if(id % 5 < 4, 'hot', string(id)) as id", "md5(string(id)) as title").repartition(16)
+        ledger = spark.range(50_000).selectExpr("string(id * 3) as id")
+        df = ig.unseen(posts, ledger)
+        assert df.where("id = 'hot'").count() == 160_000
+        df.collect()
+        assert "SortMergeJoin(skew=true)" in explain(df, "simple")
+    finally:
+        for k, v in keep.items():
+            spark.conf.set(k, v)
 
 
 def test_panels_reuse_one_histogram_shuffle(spark):
@@ -92,23 +119,39 @@ def test_panels_reuse_one_histogram_shuffle(spark):
     assert final.count("Scan parquet") <= 2 * 2   # documents + events, main plan + subquery
 
 
-def test_ingest_windows_shuffle_narrow_rows(no_broadcast_no_aqe, monkeypatch):
-    from poststream.operators import ingest as ig
+def _exchanged(plan):
+    return re.findall(r"\(\d+\) Exchange\s*\nInput \[\d+\]: \[([^\]]*)\]\s*\nArguments: "
+                      r"hashpartitioning\((\w+)#", plan)
+
+
+def test_ingest_shuffles_narrow_rows(no_broadcast_no_aqe, monkeypatch):
     captured = []
-    monkeypatch.setattr(ig, "materialize", lambda df: captured.append(df) or df)
+    monkeypatch.setattr(ig, "stored", lambda df: captured.append(df) or df)
     spark = no_broadcast_no_aqe
     ledger = fx.table(spark, SF_SMALL, "labels").select(F.col("doc_id").cast("string").alias("id"))
-    ig.prepare(fx.posts(spark, SF_SMALL), ledger, fx.AS_OF, fx.SOURCES, fx.KEYWORDS)
-    assert len(captured) == 1                    # the bounded candidate set
+    ig.prepare(fx.timed(spark, SF_SMALL), ledger, fx.AS_OF, fx.SOURCES, fx.KEYWORDS,
+               texts=fx.texts(spark, SF_SMALL))
     assert set(captured[0].columns) == {"id", "subreddit", "created_utc"}
-    plan = explain(captured[0])
-    blocks = re.findall(r"\(\d+\) Exchange\s*\nInput \[\d+\]: \[([^\]]*)\]\s*\nArguments: "
-                        r"hashpartitioning\(subreddit#", plan)
-    assert len(blocks) == 2                      # salted stage and final stage
-    for cols in blocks:
+    blocks = _exchanged(explain(captured[0]))
+    assert sum(key == "subreddit" for _, key in blocks) == 2    # salted stage and final stage
+    for cols, _ in blocks:
         assert "title#" not in cols and "selftext#" not in cols and "text#" not in cols
 
 
+def test_ingest_texts_meet_the_survivors_without_a_time_join(spark):
+    from poststream.plans.registry import QUERIES
+    plan = explain(QUERIES["ingest_batch"](spark, SF_SMALL))
+    assert "events.parquet" not in plan          # decided before, on narrow rows
+    assert plan.count("documents.parquet") == 1
+
+
+@pytest.mark.parametrize("name", ["post_text", "clean_text", "keyword_hits", "truncate_body",
+                                  "title_preview", "relevant_posts"])
+def test_text_queries_shuffle_nothing(no_broadcast_no_aqe, name):
+    from poststream.plans.registry import QUERIES
+    assert "Exchange" not in explain(QUERIES[name](no_broadcast_no_aqe, SF_SMALL))
+
+
 def test_panels_read_the_histogram_not_the_index(spark):
     got = tm.panels(db.panel_index(spark, SF_SMALL))
     for name, df in got.items():
