@@ -154,8 +154,8 @@ def _longs(values) -> str:
 
 def scan(docs: DataFrame, templates: list[tuple[str, str]] | None = None) -> DataFrame:
     """(doc_id, license, containment, first_word, places): the licenses that
-    each document names, the best containment, the word where the first match
-    was found and the number of matching windows."""
+    each document names, the best containment, the word with which the first
+    matching window begins and the number of matching windows."""
     spark = docs.sparkSession
     index = Index(spark, templates or TEMPLATES)
     df = with_shingles(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), "text", "sh") \

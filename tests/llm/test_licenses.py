@@ -24,7 +24,7 @@ def test_changed_words_and_places(spark):
          (4, f"{mit}\n{filler}\n{mit.upper()}"), (5, None), (6, "")], "doc_id long, text string")
     got = {r["doc_id"]: r for r in L.scan(frame).collect()}
     assert set(got) == {1, 2, 4} and all(r["license"] == "MIT" for r in got.values())
-    assert got[1]["containment"] == 1.0 and got[1]["first_word"] >= 296 and 0.8 <= got[2]["containment"] < 1
+    assert got[1]["containment"] == 1.0 and abs(got[1]["first_word"] - 300) <= 16 and 0.8 <= got[2]["containment"] < 1
 
 
 def test_every_template_is_found_at_every_offset(spark):
