@@ -39,6 +39,7 @@ NO_SKILL_CATEGORY = "other"
 NUM_FEATURES = 20000
 GRID_MAX_ITER = [50, 100]
 GRID_REG_PARAM = [0.01, 0.1]
+BEST_MAX_ITER, BEST_REG_PARAM = 50, 0.01      # best point of the grid search
 NUM_FOLDS = 3
 TRAIN_PARTS, SPLIT_PARTS = 8, 10
 

@@ -6,6 +6,9 @@
         --checkpoint out/ckpt
     python -m poststream.jobs ingest --posts posts.parquet --ledger out/ledger \
         --out out/messages --as-of 2024-01-03T00:00:00
+    python -m poststream.jobs publish --messages out/messages --bootstrap broker:9092
+    python -m poststream.jobs compact --index out/index --out out/base
+    python -m poststream.jobs panels --index out/index --out out/panels
     python -m poststream.jobs loop --posts posts.parquet --ledger out/ledger \
         --out out/messages            # backfill, then increments every 60 s
 
@@ -30,6 +33,7 @@ from .defaults import (DAYS_BACK, FIRST_RUN_LIMIT, JOB_KEYWORDS, JOB_SOURCES, LA
 from .operators import ingest as ig
 from .operators import lexicon as lx
 from .operators import model as ml
+from .operators import terms
 from .session import get_session, materialize, scratch_path
 from .sources import ledger as lg
 from .sources import wire
@@ -56,13 +60,18 @@ def train(spark: SparkSession, training_path: str, model_path: str, compat: bool
 def classify(spark: SparkSession, lexicon_path: str, model_path: str, index_path: str,
              checkpoint: str | None = None, source_format: str = "kafka",
              source_options: dict[str, str] | None = None, source_path: str | None = None,
-             quarantine_path: str | None = None, trigger: dict | None = None) -> StreamingQuery:
+             quarantine_path: str | None = None, trigger: dict | None = None,
+             sink_format: str | None = None, sink_options: dict[str, str] | None = None
+             ) -> StreamingQuery:
     """Messages -> parse -> skills -> model -> category -> keyed index.
 
     One query: each micro-batch is parsed once (persisted), good messages
     are enriched into ``index_path/batch_id=N`` and bad ones, with their
     reason, into ``quarantine_path/batch_id=N``; both are overwritten on a
-    replay, so a restart from the checkpoint is idempotent."""
+    replay, so a restart from the checkpoint is idempotent.  With
+    ``sink_format`` the documents go to that document-index connector instead
+    (``index_path`` is its resource; the id as document key makes a replay
+    write the same documents)."""
     matcher = lx.lexicon_matcher(lx.read_lexicon_csv(spark, lexicon_path))
     model = ml.load_model(model_path)
     raw = st.read_posts_stream(spark, source_format, source_options, source_path)
@@ -72,7 +81,11 @@ def classify(spark: SparkSession, lexicon_path: str, model_path: str, index_path
         try:
             good, bad = wire.split_tagged(tagged)
             docs = st.enrich_stream(good, matcher, model)
-            docs.write.mode("overwrite").parquet(f"{index_path}/batch_id={batch_id}")
+            if sink_format:
+                (docs.write.format(sink_format).mode("append")
+                 .options(**st.index_options(index_path, options=sink_options)).save())
+            else:
+                docs.write.mode("overwrite").parquet(f"{index_path}/batch_id={batch_id}")
             if quarantine_path:
                 bad.write.mode("overwrite").parquet(f"{quarantine_path}/batch_id={batch_id}")
         finally:
@@ -98,6 +111,38 @@ def ingest(spark: SparkSession, posts: DataFrame, ledger_path: str, out_path: st
     return sent.count()
 
 
+def publish(spark: SparkSession, messages_path: str, fmt: str = "kafka",
+            options: dict[str, str] | None = None, out_path: str | None = None,
+            checkpoint: str | None = None, trigger: dict | None = None) -> StreamingQuery:
+    """Send the messages that ingest runs wrote, each once per checkpoint, to a
+    topic (or another folder): the link from ``ingest`` to ``classify``."""
+    raw = st.read_posts_stream(spark, "parquet", path=messages_path, schema=st.TEXT_MESSAGES)
+    writer = st.publish_messages(raw, fmt, options, checkpoint or scratch_path(spark, "publish-ckpt"),
+                                 path=out_path)
+    return (writer.trigger(**trigger) if trigger else writer).start()
+
+
+def compact(spark: SparkSession, index_path: str, out: str, base: str | None = None,
+            since: int = -1, retire: bool = False) -> int:
+    """Fold the index log into a new base; ``retire`` also deletes the folded
+    batches (only when no reader uses the old base any more)."""
+    last = st.compact(spark, index_path, out, base, since)
+    if retire:
+        st.retire(spark, index_path, last)
+    return last
+
+
+def panels(spark: SparkSession, index_path: str, out: str, base: str | None = None,
+           since: int = -1) -> dict[str, int]:
+    """Refresh all dashboard panels from the index; rows written per panel."""
+    index = st.read_keyed(spark, index_path, base=base, since=since)
+    rows = {}
+    for name, df in terms.panels(index).items():
+        df.write.mode("overwrite").json(f"{out}/{name}")
+        rows[name] = spark.read.schema(df.schema).json(f"{out}/{name}").count()
+    return rows
+
+
 def ingest_loop(spark: SparkSession, read_posts: Callable[[], DataFrame], ledger_path: str,
                 out_path: str, as_of: Callable[[], str] | None = None,
                 sources: Sequence[str] = JOB_SOURCES, keywords: Sequence[str] = JOB_KEYWORDS,
@@ -125,7 +170,7 @@ def ingest_loop(spark: SparkSession, read_posts: Callable[[], DataFrame], ledger
     return sent
 
 
-def main(argv: Sequence[str] | None = None) -> None:
+def parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="poststream.jobs")
     sub = p.add_subparsers(dest="cmd", required=True)
     t = sub.add_parser("train")
@@ -142,6 +187,28 @@ def main(argv: Sequence[str] | None = None) -> None:
     c.add_argument("--bootstrap")
     c.add_argument("--topic", default=TOPIC)
     c.add_argument("--quarantine")
+    c.add_argument("--sink-format", help="document-index connector; default: Parquet log")
+    c.add_argument("--sink-option", action="append", default=[], metavar="KEY=VALUE")
+    c.add_argument("--max-per-trigger", type=int, help="offsets per micro-batch")
+    c.add_argument("--min-partitions", type=int, help="tasks to spread the topic over")
+    pb = sub.add_parser("publish")
+    pb.add_argument("--messages", required=True)
+    pb.add_argument("--format", default="kafka")
+    pb.add_argument("--bootstrap")
+    pb.add_argument("--topic", default=TOPIC)
+    pb.add_argument("--out")
+    pb.add_argument("--checkpoint")
+    pn = sub.add_parser("panels")
+    pn.add_argument("--index", required=True)
+    pn.add_argument("--out", required=True)
+    pn.add_argument("--base")
+    pn.add_argument("--since", type=int, default=-1)
+    cp = sub.add_parser("compact")
+    cp.add_argument("--index", required=True)
+    cp.add_argument("--out", required=True)
+    cp.add_argument("--base")
+    cp.add_argument("--since", type=int, default=-1)
+    cp.add_argument("--retire", action="store_true")
     i = sub.add_parser("ingest")
     i.add_argument("--posts", required=True)
     i.add_argument("--ledger", required=True)
@@ -153,18 +220,40 @@ def main(argv: Sequence[str] | None = None) -> None:
     lp.add_argument("--ledger", required=True)
     lp.add_argument("--out", required=True)
     lp.add_argument("--every", type=float, default=POLL_SECONDS)
-    args = p.parse_args(argv)
+    return p
+
+
+def source_options(args: argparse.Namespace) -> dict[str, str]:
+    """Reader options of the classify command."""
+    if args.source_format != "kafka":
+        return {}
+    return st.kafka_source_options(args.bootstrap, args.topic, max_per_trigger=args.max_per_trigger,
+                                   min_partitions=args.min_partitions)
 
+
+def main(argv: Sequence[str] | None = None) -> None:
+    args = parser().parse_args(argv)
     spark = get_session()
     if args.cmd == "train":
         print(json.dumps(train(spark, args.training, args.model, args.compat)))
     elif args.cmd == "classify":
-        opts = (st.kafka_source_options(args.bootstrap, args.topic)
-                if args.source_format == "kafka" else {})
+        opts = source_options(args)
+        sink = dict(x.split("=", 1) for x in args.sink_option)
         ckpt = args.checkpoint or scratch_path(spark, "classify-ckpt")
         st.run_until_stopped(lambda: classify(spark, args.lexicon, args.model, args.index, ckpt,
                                               args.source_format, opts, args.source_path,
-                                              args.quarantine))
+                                              args.quarantine, sink_format=args.sink_format,
+                                              sink_options=sink))
+    elif args.cmd == "publish":
+        opts = {"kafka.bootstrap.servers": args.bootstrap, "topic": args.topic} \
+            if args.format == "kafka" else {}
+        ckpt = args.checkpoint or scratch_path(spark, "publish-ckpt")
+        st.run_until_stopped(lambda: publish(spark, args.messages, args.format, opts, args.out, ckpt))
+    elif args.cmd == "panels":
+        print(json.dumps(panels(spark, args.index, args.out, args.base, args.since)))
+    elif args.cmd == "compact":
+        print(json.dumps({"folded": compact(spark, args.index, args.out, args.base, args.since,
+                                            args.retire)}))
     elif args.cmd == "ingest":
         n = ingest(spark, spark.read.parquet(args.posts), args.ledger, args.out, args.as_of,
                    limit=args.limit)

@@ -23,14 +23,10 @@ from pyspark.ml.tuning import CrossValidator, CrossValidatorModel, ParamGridBuil
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..defaults import (GRID_MAX_ITER, GRID_REG_PARAM, NUM_FEATURES, NUM_FOLDS, SPLIT_PARTS,
-                        TRAIN_PARTS)
+from ..defaults import (BEST_MAX_ITER, BEST_REG_PARAM, GRID_MAX_ITER, GRID_REG_PARAM, NUM_FEATURES,
+                        NUM_FOLDS, SPLIT_PARTS, TRAIN_PARTS)
 from ..functions.text import skills_text
-
-# Best setting of the original grid search.
-BEST_MAX_ITER = 50
-BEST_REG_PARAM = 0.01
-
+from ..session import materialize
 
 def drop_missing(df: DataFrame, cols: Sequence[str] = ("skills", "category")) -> DataFrame:
     """Training rows need both the skills text and the category."""
@@ -108,12 +104,22 @@ def evaluator() -> MulticlassClassificationEvaluator:
 
 def tune(train: DataFrame, pipeline: Pipeline, grid=None, folds: int = NUM_FOLDS,
          key: str = "id", parallelism: int = 4) -> CrossValidatorModel:
-    """k-fold grid search by accuracy; folds from the key hash (repeatable)."""
+    """k-fold grid search by accuracy; folds from the key hash (repeatable).
+
+    Labels and features do not depend on the grid, so they are built once and
+    written; only the regression is fitted per fold and grid point.
+    ``bestModel`` is the whole pipeline again.
+    """
     grid = grid or param_grid(pipeline)
-    with_folds = train.withColumn("fold", bucket(key, folds).cast("int"))
-    cv = CrossValidator(estimator=pipeline, estimatorParamMaps=grid, evaluator=evaluator(),
-                        numFolds=folds, foldCol="fold", parallelism=parallelism)
-    return cv.fit(with_folds)
+    stages, lr = pipeline.getStages(), _lr(pipeline)
+    at = stages.index(lr)
+    front = Pipeline(stages=stages[:at]).fit(train)
+    features = materialize(front.transform(train.withColumn("fold", bucket(key, folds).cast("int")))
+                           .select("label", "features", "fold"))
+    cv = CrossValidator(estimator=lr, estimatorParamMaps=grid, evaluator=evaluator(),
+                        numFolds=folds, foldCol="fold", parallelism=parallelism).fit(features)
+    cv.bestModel = PipelineModel(front.stages + [cv.bestModel] + stages[at + 1:])
+    return cv
 
 
 def tune_report(cv_model: CrossValidatorModel) -> list[tuple[int, float, float]]:

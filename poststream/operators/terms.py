@@ -1,11 +1,14 @@
 """Dashboard aggregations over the enriched post index.
 
 "Count of records" counts posts: a skill found three times in one post counts
-once.  Every panel is a partial + final hash aggregation (one shuffle per
-level, map-side combine first, so a skill that sits in a third of all posts
-costs one partial row per task, not a hot reducer).  Top lists are bounded by
-the panel size; they reach the rest-bucket pass as scalar subqueries (Spark
-evaluates them once and inlines a literal), never as a cross join.
+once.  Every panel is a partial + final hash aggregation over (category, skill)
+pairs: map-side combine comes first, so what a task shuffles is bounded by
+categories times lexicon terms, and a skill that sits in a third of all posts
+is one partial row per task, not a hot reducer.  Top lists are bounded by
+the panel size; they reach the rest buckets as scalar subqueries (Spark
+evaluates them once and inlines a literal), never as a cross join.  A rest
+bucket is a conditional count in a second pass, so the input should be a stored
+index (as ``panels`` makes it), not a plan that extracts skills.
 
 No operator here filters rows on an input column before aggregating: a
 filter would be pushed below the projection that derives the column (e.g. a
@@ -24,7 +27,7 @@ from pyspark.sql import types as T
 
 from ..defaults import (BARS_SIZES, CATEGORY_PIE_SIZE, OTHER_BUCKET, SKILL_CLOUD_SIZE,
                         TREEMAP_SIZES)
-from ..session import materialize
+from ..session import stored
 
 SHARE_DIGITS = 6
 
@@ -61,16 +64,6 @@ def _count_if(cond: Column) -> Column:
     return F.count(F.when(cond, F.lit(1)))
 
 
-def set_histogram(df: DataFrame, col: str, by: Sequence[str] = ()) -> DataFrame:
-    """Posts per distinct value set (and ``by``): ``_set`` (sorted distinct
-    non-NULL values), ``_n``.  One pass with map-side combine; term counts,
-    top lists and rest buckets are all derived from this shuffle output (AQE
-    reuses it), so the input (e.g. the skill extraction) is read once."""
-    values = F.array_sort(_distinct_values(col))
-    return df.groupBy(*[F.col(b) for b in by], values.alias("_set")) \
-        .agg(F.count(F.lit(1)).alias("_n"))
-
-
 def _ranked_top(counts: DataFrame, name: str, n: int) -> DataFrame:
     # TakeOrderedAndProject: each task keeps its own n best rows; the
     # ranking window then runs over at most n rows
@@ -91,25 +84,6 @@ def _with_rest(top: DataFrame, rest: DataFrame | None, name: str, n: int,
     return result.orderBy("rank")                 # at most n + 1 rows
 
 
-def top_terms_hist(hist: DataFrame, n: int, other: bool = True, share: bool = False,
-                   name: str = "term") -> DataFrame:
-    """``top_terms`` of an array column, from its ``set_histogram`` (any
-    ``by`` columns are summed over)."""
-    # explode_outer: a plain explode lets Catalyst infer size(_set) > 0 into
-    # this branch's histogram only, and the shuffle would not be reused
-    counts = (hist.select(F.explode_outer("_set").alias(name), "_n")
-              .groupBy(name).agg(F.sum("_n").alias("posts"))
-              .where(F.col(name).isNotNull()))
-    top = _ranked_top(counts, name, n)
-    rest = None
-    if other:
-        top_list = top.select(F.collect_list(name)).scalar()
-        in_rest = (F.size("_set") > 0) & ~F.arrays_overlap("_set", top_list)
-        rest = hist.agg(F.coalesce(F.sum(F.when(in_rest, F.col("_n"))), F.lit(0))
-                        .alias("posts"))
-    return _with_rest(top, rest, name, n, share)
-
-
 def _top_values(counts: DataFrame, name: str, n: int, other: bool, share: bool) -> DataFrame:
     top = _ranked_top(counts, name, n)
     rest = None
@@ -121,17 +95,6 @@ def _top_values(counts: DataFrame, name: str, n: int, other: bool, share: bool)
     return _with_rest(top, rest, name, n, share)
 
 
-def top_values_hist(hist: DataFrame, col: str, n: int, other: bool = True,
-                    share: bool = False, name: str | None = None) -> DataFrame:
-    """``top_terms`` of a plain column that is a ``by`` column of a
-    ``set_histogram``."""
-    name = name or col
-    counts = (hist.groupBy(F.col(col).alias(name))
-              .agg(F.sum(F.when(F.col(col).isNotNull(), F.col("_n"))).alias("posts"))
-              .where(F.col("posts") > 0))
-    return _top_values(counts, name, n, other, share)
-
-
 def top_terms(df: DataFrame, col: str, n: int, other: bool = True, share: bool = False,
               name: str | None = None) -> DataFrame:
     """Top ``n`` values of ``col`` by posts, plus a rest bucket.
@@ -142,32 +105,42 @@ def top_terms(df: DataFrame, col: str, n: int, other: bool = True, share: bool =
     bucket with no post is left out.  ``share`` is posts / panel total.
     """
     name = name or col
-    if _is_array(df, col):
-        return top_terms_hist(set_histogram(df, col), n, other, share, name)
-    return _top_values(_term_counts(df, col, name), name, n, other, share)
-
-
-def nested_terms_hist(hist: DataFrame, outer: str, n_outer: int, n_inner: int,
-                      other: bool = True, share: bool = False,
-                      outer_name: str | None = None, inner_name: str = "term") -> DataFrame:
-    """``nested_terms`` from a ``set_histogram`` of the inner column by
-    ``outer``."""
-    outer_name = outer_name or outer
-    outer_counts = (hist.groupBy(F.col(outer).alias(outer_name))
-                    .agg(F.sum(F.when(F.col(outer).isNotNull(), F.col("_n"))).alias("posts"))
-                    .where(F.col("posts") > 0))
-    outer_top = outer_counts.orderBy(F.desc("posts"), F.asc(outer_name)).limit(n_outer)
+    counts = _term_counts(df, col, name)
+    if not _is_array(df, col):
+        return _top_values(counts, name, n, other, share)
+    top = _ranked_top(counts, name, n)
+    rest = None
+    if other:
+        values = _distinct_values(col)
+        top_list = top.select(F.collect_list(name)).scalar()
+        rest = df.agg(_count_if((F.size(values) > 0) & ~F.arrays_overlap(values, top_list))
+                      .alias("posts"))
+    return _with_rest(top, rest, name, n, share)
+
+
+def nested_terms(df: DataFrame, outer: str, inner: str, n_outer: int, n_inner: int,
+                 other: bool = True, share: bool = False,
+                 outer_name: str | None = None, inner_name: str | None = None) -> DataFrame:
+    """Top ``n_outer`` values of ``outer``; inside each, top ``n_inner`` of
+    the array column ``inner``; rest buckets at both levels.
+
+    The outer rest bucket pools all remaining outer values and is split by
+    ``inner`` the same way.  The inner rest bucket of a group counts the
+    group's posts that have an inner value but none of the group's top list.
+    """
+    outer_name, inner_name = outer_name or outer, inner_name or inner
+    outer_top = (_term_counts(df, outer, outer_name)
+                 .orderBy(F.desc("posts"), F.asc(outer_name)).limit(n_outer))
     outer_list = outer_top.select(F.collect_list(outer_name)).scalar()
     bucket = (F.when(F.col(outer).isNull(), F.lit(None).cast("string"))
               .when(F.array_contains(outer_list, F.col(outer)), F.col(outer)))
     if other:
         bucket = bucket.otherwise(F.lit(OTHER_BUCKET))
-    based = hist.select(bucket.alias(outer_name), "_set", "_n")
+    based = df.select(bucket.alias(outer_name), _distinct_values(inner).alias("_values"))
 
-    pairs = based.select(outer_name, F.explode_outer("_set").alias(inner_name), "_n")
+    pairs = based.select(outer_name, F.explode("_values").alias(inner_name))
     counts = (pairs.groupBy(outer_name, inner_name)
-              .agg(F.sum(F.when(F.col(outer_name).isNotNull(), F.col("_n"))).alias("posts"))
-              .where((F.col("posts") > 0) & F.col(inner_name).isNotNull()))
+              .agg(F.count(outer_name).alias("posts")).where(F.col("posts") > 0))
     # per group at most |lexicon| rows: the window sorts small groups
     w = Window.partitionBy(outer_name).orderBy(F.desc("posts"), F.asc(inner_name))
     top = counts.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= n_inner)
@@ -176,57 +149,38 @@ def nested_terms_hist(hist: DataFrame, outer: str, n_outer: int, n_inner: int,
         top_map = top.groupBy(outer_name).agg(F.collect_list(inner_name).alias("_top")) \
             .select(F.map_from_entries(F.collect_list(F.struct(outer_name, "_top")))).scalar()
         group_top = F.try_element_at(top_map, F.col(outer_name))
-        in_rest = (F.col(outer_name).isNotNull() & (F.size("_set") > 0)
-                   & ~F.coalesce(F.arrays_overlap("_set", group_top), F.lit(False)))
-        rest = (based.groupBy(outer_name).agg(F.sum(F.when(in_rest, F.col("_n"))).alias("posts"))
+        in_rest = (F.col(outer_name).isNotNull() & (F.size("_values") > 0)
+                   & ~F.coalesce(F.arrays_overlap("_values", group_top), F.lit(False)))
+        rest = (based.groupBy(outer_name).agg(_count_if(in_rest).alias("posts"))
                 .where(F.col("posts") > 0)
                 .select(outer_name, F.lit(OTHER_BUCKET).alias(inner_name), "posts",
                         F.lit(n_inner + 1).alias("rank")))
         result = result.unionByName(rest)
-    if share:
-        result = _with_share(result)
-    return result
-
-
-def nested_terms(df: DataFrame, outer: str, inner: str, n_outer: int, n_inner: int,
-                 other: bool = True, share: bool = False,
-                 outer_name: str | None = None, inner_name: str | None = None) -> DataFrame:
-    """Top ``n_outer`` values of ``outer``; inside each, top ``n_inner`` of
-    the array column ``inner``; rest buckets at both levels.
-
-    The outer rest bucket pools all remaining outer values and is split by
-    ``inner`` the same way.  The inner rest bucket of a group counts the
-    group's posts that have an inner value but none of the group's top list.
-    Everything is derived from one (outer, value set) histogram.
-    """
-    return nested_terms_hist(set_histogram(df, inner, [outer]), outer, n_outer, n_inner,
-                             other, share, outer_name, inner_name or inner)
+    return _with_share(result) if share else result
 
 
 def panels(df: DataFrame, category: str = "category", skills: str = "skills_array",
-           sizes: dict | None = None, checkpoint: bool = True) -> dict[str, DataFrame]:
-    """All dashboard panels from one pass over the index.
+           sizes: dict | None = None, store: bool = True) -> dict[str, DataFrame]:
+    """All dashboard panels of an index.
 
-    The (category, skill set) histogram is built once and, by default,
-    checkpointed (it is small next to the index and lives in
-    ``spark.checkpoint.dir``); every panel is derived from it, so a refresh
-    reads the index once instead of once per panel.
+    Only the two columns that they read are taken; by default those are written
+    below ``spark.checkpoint.dir`` first, so an index that is still a plan
+    extracts its skills once for all panels (``store=False`` for one that is
+    already a table).
     """
     sz = {"pie": CATEGORY_PIE_SIZE, "cloud": SKILL_CLOUD_SIZE, "treemap": TREEMAP_SIZES,
           "bars": BARS_SIZES, **(sizes or {})}
-    hist = set_histogram(df, skills, [category])
-    if checkpoint:
-        hist = materialize(hist)
-    total = hist.agg(F.nullif(F.coalesce(F.sum("_n"), F.lit(0)), F.lit(0)).cast("long")
-                     .alias("total_posts"))
+    index = df.select(category, skills)
+    if store:
+        index = stored(index, "panel-index")
     return {
-        "total_posts": total,
-        "category_share": top_values_hist(hist, category, sz["pie"], share=True),
-        "top_skills": top_terms_hist(hist, sz["cloud"], name="skill"),
-        "category_skill_treemap": nested_terms_hist(hist, category, *sz["treemap"], share=True,
-                                                    inner_name="skill"),
-        "category_skill_bars": nested_terms_hist(hist, category, *sz["bars"],
-                                                 inner_name="skill"),
+        "total_posts": total_posts(index),
+        "category_share": top_terms(index, category, sz["pie"], share=True),
+        "top_skills": top_terms(index, skills, sz["cloud"], name="skill"),
+        "category_skill_treemap": nested_terms(index, category, skills, *sz["treemap"], share=True,
+                                               inner_name="skill"),
+        "category_skill_bars": nested_terms(index, category, skills, *sz["bars"],
+                                            inner_name="skill"),
     }
 
 

@@ -70,7 +70,18 @@ def q_accuracy_metric(spark, sf_dir):
     return ml.accuracy(index(spark, sf_dir), "label", "category")
 
 
+_FITS: dict[tuple[str, str], tuple] = {}
+
+
 def _fit(spark: SparkSession, sf_dir: str):
+    """(training table with its split, model), fitted once per session."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _FITS:
+        _FITS[key] = _fit_new(spark, sf_dir)
+    return _FITS[key]
+
+
+def _fit_new(spark: SparkSession, sf_dir: str):
     data = _split_training(spark, sf_dir)
     train = data.where(F.col("split") == "train")
     indexer = ml.fit_label_indexer(data)          # whole set, before the split
@@ -78,8 +89,20 @@ def _fit(spark: SparkSession, sf_dir: str):
     return data, model
 
 
-@query("classify_posts")
+@query("classify_posts", TRAIN_SQL + f""" SELECT id, category,
+ CASE WHEN {_BUCKET_SQL.format(parts=10)} < 8 THEN 'train' ELSE 'test' END AS split,
+ true AS label_known FROM kept""")
 def q_classify_posts(spark, sf_dir):
+    """Every post scored; the columns that do not depend on fitted weights: its
+    split, and that the prediction is one of the training labels."""
+    data, model = _fit(spark, sf_dir)
+    known = ml.fit_label_indexer(data).labels
+    return ml.score(data, model).select(
+        "id", "category", "split", F.col("predicted_category").isin(known).alias("label_known"))
+
+
+@query("predicted_categories")
+def q_predicted_categories(spark, sf_dir):
     data, model = _fit(spark, sf_dir)
     return ml.score(data, model).select("id", "category", "predicted_category", "split")
 

@@ -11,6 +11,7 @@ from ..functions.text import clean_text, post_text, skill_matcher, skills_text
 from ..operators import lexicon as lx
 from ..operators import terms as tm
 from ..operators.enrich import ENRICHED_COLUMNS, category_override, with_skills
+from ..session import stored
 from . import fixtures as fx
 from .registry import query
 
@@ -37,10 +38,10 @@ def index(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def panel_index(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The columns the dashboard panels read.  Panels pre-aggregate it into a
-    histogram of skill sets and derive counts and rest buckets from that one
-    shuffle, so the extraction runs once without a checkpoint."""
-    return index(spark, sf_dir).select("id", "category", "created_utc", "skills_array")
+    """The columns the dashboard panels read, as a stored table: panels go over
+    it twice, and the skills are extracted once."""
+    return stored(index(spark, sf_dir).select("id", "category", "created_utc", "skills_array"),
+                  "panel-index")
 
 
 # ----------------------------------------------------------------- text ----
@@ -307,9 +308,8 @@ FROM {_sub(_nested_sql("idx", *BARS_SIZES, False))}"""
 
 @query("dashboard_panels", DASHBOARD_SQL)
 def q_dashboard_panels(spark, sf_dir):
-    """All five panels from one pass over the index (one checkpointed
-    skill-set histogram), stacked with a ``panel`` column."""
-    got = tm.panels(panel_index(spark, sf_dir))
+    """All five panels from one stored index, stacked with a ``panel`` column."""
+    got = tm.panels(panel_index(spark, sf_dir), store=False)
     cols = ["panel", "category", "skill", "posts", "rank", "share"]
 
     def shape(name: str, df: DataFrame) -> DataFrame:

@@ -17,6 +17,7 @@ from ..streaming import stream as st
 from . import fixtures as fx
 from .classify import _fit
 from ..operators.enrich import with_skills
+from ..operators.model import load_model, save_model
 from .dashboard import MATCHER, PRELUDE
 from .ingest import bad_messages
 from .ingest import BASE, _iso_sql
@@ -83,8 +84,7 @@ def q_stream_posts_scan(spark, sf_dir):
 def q_stream_enriched(spark, sf_dir):
     _, model = _fit(spark, sf_dir)
     model_path = scratch_path(spark, "model")
-    model.write().overwrite().save(model_path)
-    from ..operators.model import load_model
+    save_model(model, model_path)
     loaded = load_model(model_path)
     folder = _topic(spark, _messages(spark, sf_dir))
     docs = st.enrich_stream(_posts_stream(spark, folder), MATCHER, loaded)
@@ -93,6 +93,22 @@ def q_stream_enriched(spark, sf_dir):
     return spark.read.parquet(out)
 
 
+@query("stream_model_parity", BASE + " SELECT count(*) AS posts, CAST(0 AS BIGINT) AS differences"
+       " FROM posts")
+def q_stream_model_parity(spark, sf_dir):
+    """Posts that the stream and a batch run over the same posts enriched, and
+    how many of them differ in category or skills."""
+    _, model = _fit(spark, sf_dir)
+    batch = st.enrich_stream(fx.texts(spark, sf_dir).withColumn(
+        "created_utc", F.lit(None).cast("string")), MATCHER, model).select(
+        "id", F.struct("category", "skills_array").alias("batch"))
+    stream = q_stream_enriched(spark, sf_dir).select(
+        "id", F.struct("category", "skills_array").alias("stream"))
+    return stream.join(batch, "id", "full").agg(
+        F.count("stream").alias("posts"),
+        F.count_if(~F.col("stream").eqNullSafe(F.col("batch"))).alias("differences"))
+
+
 @query("stream_skills", PRELUDE + " SELECT id, skills_array, array_to_string(skills_array, ', ') "
        "AS skills FROM sk")
 def q_stream_skills(spark, sf_dir):

@@ -33,6 +33,9 @@ from ..sources.wire import RECORD_SCHEMA, decode_json, encode_json, split_tagged
 
 MESSAGE_SCHEMA = T.StructType([T.StructField("key", T.StringType()),
                                T.StructField("value", T.BinaryType())])
+# as batch runs write them
+TEXT_MESSAGES = T.StructType([T.StructField("key", T.StringType()),
+                              T.StructField("value", T.StringType())])
 
 
 # ----------------------------------------------------------------- sources ----
@@ -157,7 +160,15 @@ def publish_stream(df: DataFrame, fmt: str = "kafka", options: dict[str, str] |
                    key: str = "id", path: str | None = None) -> DataStreamWriter:
     """Records as JSON messages to a topic (or folder), flushed every
     ``every``.  The event time stays inside the payload."""
-    writer = encode_json(df, key=key, binary=(fmt == "kafka")).writeStream.format(fmt)
+    return publish_messages(encode_json(df, key=key, binary=(fmt == "kafka")), fmt, options,
+                            checkpoint, every, path)
+
+
+def publish_messages(messages: DataFrame, fmt: str = "kafka",
+                     options: dict[str, str] | None = None, checkpoint: str | None = None,
+                     every: str = FLUSH_EVERY, path: str | None = None) -> DataStreamWriter:
+    """Messages that are already encoded (``key``, ``value``) to a topic or folder."""
+    writer = messages.writeStream.format(fmt)
     opts = dict(options or {})
     if fmt == "kafka":
         opts.setdefault("topic", TOPIC)
@@ -213,6 +224,13 @@ def batch_writer(path: str, partitions: int | None = None,
     return write
 
 
+def index_options(resource: str, key: str = "id",
+                  options: dict[str, str] | None = None) -> dict[str, str]:
+    """Writer options of the document-index connector: the key becomes the
+    document id, so a later version replaces an earlier one."""
+    return {"es.resource": resource, "es.mapping.id": key, **(options or {})}
+
+
 def upsert_by_key(df: DataFrame, path: str, checkpoint: str, output_mode: str = "append",
                   trigger: dict | None = None, name: str | None = None,
                   fmt: str | None = None, key: str = "id",
@@ -226,8 +244,7 @@ def upsert_by_key(df: DataFrame, path: str, checkpoint: str, output_mode: str =
     the connector jar must be on the classpath.
     """
     if fmt:
-        opts = {"es.resource": path, "es.mapping.id": key, **(options or {})}
-        w = (df.writeStream.format(fmt).options(**opts)
+        w = (df.writeStream.format(fmt).options(**index_options(path, key, options))
              .option("checkpointLocation", checkpoint).outputMode(output_mode))
         if name:
             w = w.queryName(name)

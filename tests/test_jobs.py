@@ -2,6 +2,7 @@ import datetime as dt
 
 from poststream import jobs
 from poststream.operators import ingest as ig
+from poststream.operators import model as ml
 from poststream.session import scratch_path
 from poststream.sources import wire
 from poststream.streaming import stream as st
@@ -80,3 +81,45 @@ def test_ingest_loop_backfill_then_increments_and_survives_failure(spark):
     assert sent == [60, 0]        # backfill took all 60; the increment finds nothing new
     assert waits == [60, 60, 60]
     assert spark.read.parquet(out).count() == 60
+
+
+def test_options_reach_the_reader_and_the_sink():
+    args = jobs.parser().parse_args(
+        ["classify", "--lexicon", "l", "--model", "m", "--index", "predjob", "--bootstrap", "b:9092",
+         "--max-per-trigger", "500", "--min-partitions", "8", "--sink-format", "some.index",
+         "--sink-option", "es.nodes=n1"])
+    opts = jobs.source_options(args)
+    assert opts["maxOffsetsPerTrigger"] == "500" and opts["minPartitions"] == "8"
+    assert args.sink_format == "some.index" and args.sink_option == ["es.nodes=n1"]
+    assert st.index_options("predjob", options={"es.nodes": "n1"}) == {
+        "es.resource": "predjob", "es.mapping.id": "id", "es.nodes": "n1"}
+
+
+def test_chain_from_ingest_to_panels(spark, tmp_path):
+    """ingest -> publish -> classify -> compact -> panels, from file to file."""
+    t0 = dt.datetime(2024, 1, 3)
+    posts = spark.createDataFrame(
+        [("1", "hiring python", "aws", "techjobs", t0), ("2", "hiring react", "", "techjobs", t0),
+         ("3", "hiring", "nobody", "techjobs", t0)],
+        "id string, title string, selftext string, subreddit string, created_utc timestamp")
+    path = {n: scratch_path(spark, f"chain-{n}") for n in
+            ("ledger", "messages", "topic", "model", "index", "base", "panels", "pub", "ckpt")}
+    assert jobs.ingest(spark, posts, path["ledger"], path["messages"], "2024-01-03 00:00:00") == 3
+    now = {"availableNow": True}
+    jobs.publish(spark, path["messages"], "parquet", {}, path["topic"], path["pub"],
+                 trigger=now).awaitTermination()
+    rows = spark.createDataFrame([(str(i), s, c) for i, (s, c) in enumerate(
+        [("python, aws", "Backend"), ("react", "Frontend")] * 6)], "id string, skills string, category string")
+    ml.save_model(ml.build_classifier(ml.fit_label_indexer(rows), max_iter=5).fit(rows), path["model"])
+    lex = tmp_path / "skills.csv"
+    lex.write_text("Skill\nPython\nAWS\nreact\n")
+    topic = spark.read.parquet(path["topic"])
+    assert topic.columns == ["key", "value"] and topic.count() == 3
+    topic.select("key", topic.value.cast("binary").alias("value")).write.parquet(path["topic"] + "-b")
+    jobs.classify(spark, str(lex), path["model"], path["index"], path["ckpt"],
+                  source_format="parquet", source_path=path["topic"] + "-b", trigger=now).awaitTermination()
+    assert jobs.compact(spark, path["index"], path["base"]) == 0
+    got = jobs.panels(spark, path["index"], path["panels"])
+    assert got["total_posts"] == 1 and got["top_skills"] == 3
+    share = {r.category: r.posts for r in spark.read.json(path["panels"] + "/category_share").collect()}
+    assert share == {"Backend": 1, "Frontend": 1, "other": 1}

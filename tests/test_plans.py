@@ -110,13 +110,26 @@ def test_unseen_lets_a_hot_id_be_split(spark):
             spark.conf.set(k, v)
 
 
-def test_panels_reuse_one_histogram_shuffle(spark):
-    df = tm.top_terms(db.panel_index(spark, SF_SMALL), "skills_array", 30, name="skill")
-    df.collect()
-    plan = explain(df)
-    final = plan.split("== Initial Plan ==")[0]
-    assert "ReusedExchange" in final
-    assert final.count("Scan parquet") <= 2 * 2   # documents + events, main plan + subquery
+def test_panels_shuffle_counts_not_arrays(no_broadcast_no_aqe):
+    spark = no_broadcast_no_aqe
+    got = tm.panels(db.panel_index(spark, SF_SMALL), store=False)
+    for name, df in got.items():
+        plan = explain(df)
+        assert "regexp_extract_all" not in plan, name      # reads the stored index
+        for cols in re.findall(r"\(\d+\) Exchange\s*\nInput \[\d+\]: \[([^\]]*)\]", plan):
+            assert "skills_array" not in cols and "_values" not in cols, (name, cols)
+
+
+def test_panel_shuffle_is_bounded_by_the_lexicon(spark):
+    """1,000 posts with sets of a 500-term lexicon: pairs, not posts, are shuffled."""
+    posts = spark.range(20_000).selectExpr(
+        "concat('c', id % 3) as category",
+        "transform(sequence(0, 4), i -> concat('t', (id * 31 + i * i * 17 + id div 7) % 500)) "
+        "as skills_array").repartition(4)
+    counts = tm.nested_terms(posts, "category", "skills_array", 7, 20)
+    assert counts.count() == 3 * 21
+    part = posts.select("category", F.explode("skills_array").alias("t")).groupBy("category", "t").count()
+    assert part.count() <= 3 * 500
 
 
 def _exchanged(plan):
@@ -150,11 +163,3 @@ def test_ingest_texts_meet_the_survivors_without_a_time_join(spark):
 def test_text_queries_shuffle_nothing(no_broadcast_no_aqe, name):
     from poststream.plans.registry import QUERIES
     assert "Exchange" not in explain(QUERIES[name](no_broadcast_no_aqe, SF_SMALL))
-
-
-def test_panels_read_the_histogram_not_the_index(spark):
-    got = tm.panels(db.panel_index(spark, SF_SMALL))
-    for name, df in got.items():
-        plan = explain(df)
-        assert "Scan parquet" not in plan, name
-        assert "regexp_extract_all" not in plan, name

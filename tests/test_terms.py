@@ -84,12 +84,14 @@ def test_time_slice_fraction_bounds(spark):
     df = _idx(spark, rows)
     got = sorted(int(r.id) for r in tm.time_slice(df, "created_utc", 0.25, 0.75).collect())
     assert got == [2, 3, 4, 5]          # [min + 2h, min + 6h)
+    for lo, hi in ((0.0, 1.0), (-0.00155, 1.00062)):      # the newest post belongs to the range
+        assert tm.time_slice(df, "created_utc", lo, hi).count() == 9
     chosen = tm.panel_filter(df, "created_utc", 0.0, 1.0, "category", ["y"]).count()
     assert chosen == 0
     assert tm.choose(df, "category", []).count() == 9
 
 
-def test_panels_from_one_histogram_equal_single_panels(spark):
+def test_panels_equal_single_panels(spark):
     from conftest import SF_SMALL
     from poststream.plans import dashboard as db
     idx = db.panel_index(spark, SF_SMALL)
