@@ -1,8 +1,8 @@
-"""Skill lexicon: load, order, size, ship to the matcher, coverage report.
+"""Skill lexicon: load, order, size, match, coverage report.
 
-The lexicon is a dimension chosen by the user (hundreds to a few hundred
-thousand terms), not data that grows with the posts.  It reaches the executors
-as a literal regex in the plan, so its size is checked before it is shipped.
+A lexicon that a user wrote (hundreds to a few hundred thousand terms) reaches
+the executors as a literal regex in the plan.  A lexicon held as a table, of
+any size, is matched by a join (``match_by_join``) and never collected.
 """
 
 from __future__ import annotations
@@ -11,12 +11,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..defaults import CSV_MISSING_MARKERS
-from ..functions.text import SkillMatcher, skill_matcher, skill_pattern
+from ..functions.text import SkillMatcher, clean_text, skill_matcher
 from .topn import global_rank
 
-# Shipping bound for the lexicon literal; a larger lexicon raises instead of
-# being cut.
-MAX_TERMS = 500_000
+# an atom of cleaned text: a run of word characters, or one other character
+ATOM = "[a-z0-9_]+|[^a-z0-9_]"
 
 
 def read_lexicon_csv(spark: SparkSession, path: str) -> DataFrame:
@@ -55,22 +54,53 @@ def lexicon_size(lexicon: DataFrame) -> DataFrame:
     return lexicon.agg(F.count_distinct("skill").alias("lexicon_size"))
 
 
-def lexicon_terms(lexicon: DataFrame, max_terms: int = MAX_TERMS) -> list[str]:
-    """Bring the (bounded) lexicon to the driver to build the match pattern."""
-    probe = lexicon.select("skill").limit(max_terms + 1).collect()
-    if len(probe) > max_terms:
-        raise ValueError(f"lexicon has more than {max_terms} terms; raise MAX_TERMS "
-                         "deliberately, the pattern ships with every task")
-    return [r.skill for r in probe]
+def lexicon_terms(lexicon: DataFrame) -> list[str]:
+    """The terms of a lexicon that a user wrote, for the literal pattern.  A
+    lexicon derived from data belongs in ``match_by_join``."""
+    return [r.skill for r in lexicon.select("skill").collect()]
 
 
-def lexicon_pattern(lexicon: DataFrame, max_terms: int = MAX_TERMS) -> str:
-    return skill_pattern(lexicon_terms(lexicon, max_terms))
+def lexicon_matcher(lexicon: DataFrame) -> SkillMatcher:
+    """The matcher that ships a user's lexicon with the plan."""
+    return skill_matcher(lexicon_terms(lexicon))
 
 
-def lexicon_matcher(lexicon: DataFrame, max_terms: int = MAX_TERMS) -> SkillMatcher:
-    """The matcher that ships the (size-checked) lexicon with the plan."""
-    return skill_matcher(lexicon_terms(lexicon, max_terms))
+def match_by_join(posts: DataFrame, lexicon: DataFrame, key: str = "id", text: str = "text",
+                  out: str = "skills_array") -> DataFrame:
+    """(key, ``out``): the same terms as ``extract_skills``, for a lexicon of
+    any size that stays a table.
+
+    Every run of atoms of the cleaned text that could be a term (no longer than
+    the longest term, word edges at both ends) is joined to the lexicon; from a
+    post's hits the leftmost is taken, of those the longest, then the next one
+    that begins after it.  The lexicon has each term once, so the join makes at
+    most one row per run, and a frequent term is split by AQE like any hot key.
+    ``key`` must be unique.
+    """
+    terms = lexicon.select("skill").where("skill <> ''").distinct()
+    atoms = f"regexp_extract_all(%s, '{ATOM}', 0)"
+    longest = terms.agg(F.max(F.size(F.expr(atoms % "skill")))).first()[0] or 0
+    cut = posts.select(F.col(key), F.expr(atoms % "clean").alias("a")) if "clean" in posts.columns \
+        else posts.select(F.col(key), clean_text(text).alias("clean")).select(
+            F.col(key), F.expr(atoms % "clean").alias("a"))
+    word = "%s rlike '^[a-z0-9_]'"
+    opens = f"({word % 'get(a, i)'} or not coalesce({word % 'get(a, i - 1)'}, false))"
+    closes = f"({word % 'get(a, i + n - 1)'} or not coalesce({word % 'get(a, i + n)'}, false))"
+    runs = F.expr(
+        f"flatten(transform(filter(sequence(0, greatest(size(a) - 1, 0)), i -> size(a) > 0 and {opens}), "
+        f"i -> transform(filter(sequence(1, greatest(least({longest}, size(a) - i), 1)), n -> {closes}), "
+        f"n -> struct(i as start, -n as size, array_join(slice(a, i + 1, n), '') as skill))))")
+    hits = (cut.select(F.col(key), F.explode_outer(runs).alias("r"))
+            .select(F.col(key), "r.start", "r.size", "r.skill").where("skill is not null")
+            .join(terms, "skill"))
+    fold = F.expr(
+        "aggregate(array_sort(collect_list(struct(start, size, skill))), "
+        "named_struct('upto', 0, 'got', cast(array() as array<string>)), "
+        "(s, x) -> if(x.start >= s.upto, named_struct('upto', x.start - x.size, "
+        "'got', concat(s.got, array(x.skill))), s), s -> s.got)")
+    found = hits.groupBy(key).agg(fold.alias(out))
+    none = F.array().cast("array<string>")
+    return posts.select(key).join(found, key, "left").select(key, F.coalesce(out, none).alias(out))
 
 
 def lexicon_coverage(index: DataFrame, lexicon: DataFrame,

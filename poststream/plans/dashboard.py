@@ -62,6 +62,13 @@ def q_extract_skills(spark, sf_dir):
     return index(spark, sf_dir).select("id", "skills_array")
 
 
+@query("lexicon_match_join", PRELUDE + " SELECT id, skills_array FROM sk")
+def q_lexicon_match_join(spark, sf_dir):
+    """The same matches with the lexicon as a table."""
+    lexicon = spark.createDataFrame([(t,) for t in fx.LEXICON], "skill string")
+    return lx.match_by_join(fx.doc_posts(spark, sf_dir).select("id", "text"), lexicon)
+
+
 @query("skills_text", PRELUDE + " SELECT id, array_to_string(skills_array, ', ') AS skills FROM sk")
 def q_skills_text(spark, sf_dir):
     return index(spark, sf_dir).select("id", skills_text("skills_array").alias("skills"))

@@ -1,5 +1,7 @@
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from poststream.functions.text import extract_skills, skill_pattern
 from poststream.operators import lexicon as lx
 
 
@@ -23,14 +25,23 @@ def test_order_and_size(spark):
     order = [r.skill for r in lx.order_terms(lex).orderBy("position").collect()]
     assert order == ["c++", "ab", "go", "c"]
     assert lx.lexicon_size(lex).first()[0] == 4
-    assert lx.lexicon_terms(lex, max_terms=10)
-
-
-def test_lexicon_size_guard(spark):
-    lex = spark.createDataFrame([(str(i),) for i in range(5)], "skill string")
-    import pytest
-    with pytest.raises(ValueError):
-        lx.lexicon_terms(lex, max_terms=4)
+    assert sorted(lx.lexicon_terms(lex)) == ["ab", "c", "c++", "go"]
+
+
+def test_match_by_join_equals_the_pattern(spark):
+    terms = ["c", "c++", "c#", "java", "node.js", "node", ".net", "ci/cd", "machine learning",
+             "javascript", "go", "of the", "of", "the", " aws", "###", "+1", "a b c"]
+    texts = ["C++, Java & java; Node.js\tMachine\nLearning asp.net .NET CI/CD c++11 Go-lang", "", None,
+             "Java Script JAVASCRIPT _java_ \u00e9 go c#", "of the of the the of", "###+1 +1 a b c a b",
+             "x aws .net.net go/go go.go", "machine  learning machine learning"]
+    posts = spark.createDataFrame(list(enumerate(texts)), "id long, text string")
+    lexicon = spark.createDataFrame([(t,) for t in terms], "skill string")
+    want = {r.id: r.k for r in posts.select("id", extract_skills(
+        F.coalesce("text", F.lit("")), pattern=skill_pattern(terms)).alias("k")).collect()}
+    got = {r.id: r.skills_array for r in lx.match_by_join(posts, lexicon).collect()}
+    assert got == want
+    none = lx.match_by_join(posts, lexicon.where("false"))
+    assert {tuple(r.skills_array) for r in none.collect()} == {()}
 
 
 def test_coverage_keeps_zero_terms(spark):
