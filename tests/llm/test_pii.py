@@ -1,9 +1,7 @@
 import hashlib
+import random
 import re
 
-from hypothesis import given, settings
-from hypothesis import strategies as st
-
 from poststream.llm import pii as P
 
 PLAIN = {
@@ -56,20 +54,16 @@ def test_summary_equals_brute_force(docs, rows):
     assert secret == "secret:9:27,secret:32:52"
 
 
-def test_odd_texts(spark):
-    check(spark, [
+def test_odd_and_random_texts(spark):
+    rng = random.Random(11)
+    noise = ["".join(rng.choice("a1.@+- 5(4)_é") for _ in range(rng.randint(0, 60))) for _ in range(600)]
+    check(spark, noise + [
         "a@b.c_d@e.f a@b.c+d@e.f x@y", "@@@ a@@b.c .@-.-", "1.2.3.4.5.6.7.8 1.2.3 256.1.1.1 0255.0.0.1",
         "1" * 20_000, "7 " * 3000, "4111 1111 1111 1111-4111", "4111111111111111 5", "x" * 5000 + "@y.z",
         "+1 (523) 555-1055+44 20 7946 0958", "+" * 50 + "1", "é+1 523 555 1055 \U0001F600 1.1.1.1",
         "4111-1111 11111111 +4111111111111111", "1.1.1.1 " * 300, ".".join(["1"] * 500), "5 - 5", None, ""])
 
 
-@settings(max_examples=5, deadline=None)
-@given(st.lists(st.text(alphabet="a1.@+- 5(4)_é", max_size=60), min_size=40, max_size=40))
-def test_random_texts(spark, texts):
-    check(spark, texts)
-
-
 def test_redact(spark, docs, rows):
     out = P.redact(docs)
     assert out.columns == docs.columns and out.count() == len(rows)
