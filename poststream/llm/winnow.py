@@ -20,6 +20,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from poststream.llm.tables import stored
+
 K = 5
 WINDOW = 8
 TOKEN = r"[^\x20\x09-\x0D]{1,16}"
@@ -98,8 +100,8 @@ def _group_of(cuts: list[int], groups: int) -> Column:
 
 
 def neighbours(docs: DataFrame) -> DataFrame:
-    """(doc_id, text, next_text) plus the winnowed column ``own`` and the hashes
-    of the next document: descending ``doc_id`` (NULL last, equal ids by a hash
+    """(doc_id, text, hashes, fingerprint) and ``next_text``, ``next_hashes`` of
+    the next document: descending ``doc_id`` (NULL last, equal ids by a hash
     of the text), and the first document again after the last.
 
     Documents are grouped in ranges of ids; the first document of each range
@@ -118,16 +120,18 @@ def neighbours(docs: DataFrame) -> DataFrame:
     to = firsts.select("top", F.coalesce(
         F.lag("g").over(down),
         F.first("g").over(Window.orderBy("g"))).alias("to"))
-    guests = (keyed.join(to.select(F.col("top.i").alias("i"), F.col("top.j").alias("j"), "to"),
-                         F.expr("doc_id <=> i and h = j"))
+    to = stored(to.select(F.col("top.i").alias("i"), F.col("top.j").alias("j"), "to"), "winnow-firsts")
+    guests = (keyed.join(to, F.expr("doc_id <=> i and h = j"))
               .dropDuplicates(["to"])
               .select("doc_id", "text", "h", F.col("to").alias("g"), F.lit(True).alias("guest")))
     rows = with_winnow(keyed.withColumn("guest", F.lit(False)).unionByName(guests), "text", "own") \
         .withColumn("hashes", F.expr("array_distinct(own.hash)"))
     order = Window.partitionBy("g").orderBy(
         "guest", F.col("doc_id").desc_nulls_last(), F.col("h").desc())
+    # one lead per column: a struct of them would cross the shuffle as a copy
     return (rows.withColumn("fingerprint", digest("own")).drop("own")
-            .withColumn("next", F.lead(F.struct("text", "hashes")).over(order))
+            .withColumns({"next_text": F.lead("text").over(order),
+                          "next_hashes": F.lead("hashes").over(order)})
             .where("not guest"))
 
 
@@ -140,11 +144,11 @@ def fingerprint_pairs(docs: DataFrame) -> DataFrame:
     third = F.floor(F.col("n_chars") / 3).cast("int")
     rows = rows.withColumn("edited", F.concat(
         F.substring("text", F.lit(1), (F.col("n_chars") - third).cast("int")),
-        F.substring(F.col("next.text"), F.lit(1), third)))
+        F.substring("next_text", F.lit(1), third)))
     rows = with_winnow(rows, "edited", "new").withColumn(
         "new_hashes", F.expr("array_distinct(new.hash)"))
     return rows.select(
         "doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), "fingerprint",
         digest("new").alias("edited_fingerprint"),
         likeness("hashes", "new_hashes").alias("near_edited"),
-        likeness("hashes", "next.hashes").alias("near_next"))
+        likeness("hashes", "next_hashes").alias("near_next"))
