@@ -3,9 +3,9 @@
 Each source gets a target number of words.  Whole multiples of the source are
 taken as repeats of every document; for the rest, documents are ordered by a
 60-bit hash of their id and a prefix is taken.  The end of the prefix is found
-without sorting: words are summed by source and hash bucket (15 bits), the
+without sorting: words are summed by source and hash bucket (12 bits), the
 bucket in which the budget is used up is found, and only that bucket is split
-further (four levels of 15 bits reach single hash values).  A document is then
+further (five levels of 12 bits reach single hash values).  A document is then
 taken if its hash is at or below its source's threshold.
 
 Prefixes are nested: a larger budget only adds documents.  The hash value that
@@ -22,8 +22,8 @@ from pyspark.sql import functions as F
 from poststream.llm.tables import stored
 
 WORD = r"[^\x20\x09-\x0D]+"
-DIGIT_BITS = 15
-LEVELS = 4
+DIGIT_BITS = 12
+LEVELS = 5
 HASH_BITS = DIGIT_BITS * LEVELS
 MAX_REPEAT = 3
 WEIGHTS = 3
