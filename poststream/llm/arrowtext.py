@@ -4,7 +4,8 @@ Arrow hands a task its texts as one byte buffer plus offsets.  Word edges,
 line edges and counts are found on that buffer in a few vector passes, so no
 Python object is made per word.  Batches are cut into slices of a few MB
 (``slices``); a longer single text is one slice of its own, so memory is
-bounded by the slice size and the longest text.
+bounded by the slice size and the longest text.  ``whole_texts`` keeps the
+batches themselves small.
 """
 
 from __future__ import annotations
@@ -13,13 +14,26 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
-SLICE_BYTES = 4 << 20
+BATCH_ROWS = 1024
+SLICE_BYTES = 1 << 20
 BLANKS = (0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D)
 IS_BLANK = np.zeros(256, bool)
 IS_BLANK[list(BLANKS)] = True
 
 
+def whole_texts(docs: DataFrame, *columns: Column | str) -> DataFrame:
+    """``docs`` with ``doc_id``, ``text`` and further columns, sent to Python in
+    batches of at most ``BATCH_ROWS`` rows (a session setting: the default of
+    10,000 whole texts would be held several times over in each task)."""
+    conf, name = docs.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(conf.get(name)) <= BATCH_ROWS:
+        conf.set(name, str(BATCH_ROWS))
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", *columns)
+
+
 def text_buffer(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """(bytes, offsets) of a string column; NULL counts as the empty text."""
     column = column.fill_null("") if column.null_count else column
@@ -48,6 +62,16 @@ def slices(batch: pa.RecordBatch, column: str = "text",
         row = end
 
 
+def release() -> None:
+    """Give free memory back at the end of a task: Python workers live on."""
+    import ctypes
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):   # another C library
+        pass
+
+
 def word_bounds(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(starts, ends, words before each text) of runs of non-blank bytes."""
     if not len(data):

@@ -30,8 +30,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from poststream.llm.arrowtext import slices
-from poststream.llm.tokens import encoder, with_end
+from poststream.llm.arrowtext import release, slices, whole_texts
+from poststream.llm.tokens import encoder, splitting_kind, with_end
 
 CHUNK_BITS = 8
 BLOCK_BITS = 512
@@ -94,8 +94,10 @@ def decode_levels(levels: list) -> np.ndarray:
 
 
 def _segments(path: str, end_id: int):
+    kind = splitting_kind(path)
+
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = encoder(path)
+        enc = encoder(path, kind)
         number = TaskContext.get().partitionId()
         held_ids, held_docs, held_counts, held = [], [], [], 0
         first, segment = 0, 0
@@ -126,13 +128,13 @@ def _segments(path: str, end_id: int):
                         held_ids, held_docs, held_counts, held = [], [], [], 0
         if held_docs:
             yield flush()
+        release()
     return task
 
 
 def write_ids(docs: DataFrame, folder: str, path: str, end_id: int = 1) -> None:
     """Tokenize ``docs`` (doc_id, text) in ``doc_id`` order into ``folder``."""
-    keyed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text",
-                        F.xxhash64("text").alias("h"),
+    keyed = whole_texts(docs, F.xxhash64("text").alias("h"),
                         (F.monotonically_increasing_id() % 1021).alias("salt"))
     keys = [F.col("doc_id").asc_nulls_first(), F.col("h"), F.col("salt")]
     ordered = keyed.repartitionByRange(*keys).sortWithinPartitions(*keys)

@@ -27,6 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from poststream.llm.arrowtext import whole_texts
 from poststream.llm.vectors import gather
 
 BUCKETS = 1 << 14
@@ -157,9 +158,9 @@ def best_temperature(logits: np.ndarray, labels: np.ndarray) -> float:
     return float(np.exp((a + b) / 2))
 
 
-def train(rows: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc_id") -> Model:
+def train(rows: DataFrame, lang: str = "lang", key: str = "doc_id") -> Model:
     """Train on all ``rows`` with a text and a language."""
-    rows = rows.select(F.col(text).alias("text"), F.col(lang).alias("lang"),
+    rows = whole_texts(rows, F.col(lang).alias("lang"),
                        F.pmod(F.xxhash64(key, F.lit("langid")), F.lit(1 << 30)).alias("draw")) \
         .where("text is not null and lang is not null")
     sizes = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}

@@ -32,9 +32,9 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from poststream.llm.arrowtext import slices
+from poststream.llm.arrowtext import release, slices, whole_texts
 from poststream.llm.tables import stored
-from poststream.llm.tokens import encoder, with_end
+from poststream.llm.tokens import encoder, splitting_kind, with_end
 
 CAPACITY = 2048
 SLACK_SHARE = 64     # a piece may leave 1/64 of its length unused
@@ -112,8 +112,10 @@ class _Bins:
 
 def fill_bins(docs: DataFrame, path: str, end_id: int, capacity: int = CAPACITY) -> DataFrame:
     """Step 1: tokenized pieces with their sequence, or none if left over."""
+    kind = splitting_kind(path)
+
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = encoder(path)
+        enc = encoder(path, kind)
         bins = _Bins(TaskContext.get().partitionId(), capacity)
         for batch in batches:
             for part in slices(batch):
@@ -124,7 +126,8 @@ def fill_bins(docs: DataFrame, path: str, end_id: int, capacity: int = CAPACITY)
                 yield bins.take()
         bins.rest()
         yield bins.take()
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(task, PIECES)
+        release()
+    return whole_texts(docs).mapInArrow(task, PIECES)
 
 
 def _fill_left(left: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from poststream.llm.arrowtext import IS_BLANK, slices, text_buffer, word_bounds
+from poststream.llm.arrowtext import IS_BLANK, slices, text_buffer, whole_texts, word_bounds
 from poststream.llm.tables import stored
 from poststream.llm.vectors import gather
 
@@ -79,7 +79,7 @@ def good_ids(labels: DataFrame, at_most: int = TARGET_DOCS) -> tuple[DataFrame,
 
 def log_ratio(docs: DataFrame, ids: DataFrame) -> np.ndarray:
     """log(target / raw) of every bucket, each count plus one."""
-    rows = docs.join(ids, F.col("doc_id") == F.col("good_id"), "left") \
+    rows = whole_texts(docs).join(ids, F.col("doc_id") == F.col("good_id"), "left") \
         .select("text", F.col("good_id").isNotNull().alias("good"))
 
     def count(vector: np.ndarray, batch: pa.RecordBatch) -> None:
@@ -107,7 +107,7 @@ def weighed(docs: DataFrame, ratio: np.ndarray) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), pa.array(n), pa.array(total / np.sqrt(np.maximum(n, 1)))],
                     ["doc_id", "n_grams", "log_weight"])
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
+    return whole_texts(docs).mapInArrow(
         task, "doc_id long, n_grams long, log_weight double")
 
 

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from poststream.llm.arrowtext import IS_BLANK, slices, text_buffer, word_bounds
+from poststream.llm.arrowtext import IS_BLANK, release, slices, text_buffer, whole_texts, word_bounds
 from poststream.llm.tables import stored
 
 SHINGLE = 4
@@ -94,7 +94,8 @@ def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), part.column(2), pa.array(fp.view(np.int64)),
                      pa.array((fp * MIX).view(np.int64))], ["doc_id", "row_hash", "fp", "node"])
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", row_hash(docs)) \
+        release()
+    return whole_texts(docs, row_hash(docs)) \
         .mapInArrow(task, "doc_id long, row_hash long, fp long, node long")
 
 

@@ -2,13 +2,15 @@
 
 Byte-pair merges never cross the borders that the tokenizer's own splitting
 pattern draws, and a change from a non-blank to a blank byte is always such a
-border.  Texts are therefore cut there on the Arrow buffer, the distinct
-pieces of a slice are found with a dictionary encode, and only pieces not seen
-before reach the tokenizer.  ``tests/llm/test_tokens.py`` compares the ids
+border; so is a change from an ASCII letter to an ASCII sign.  Texts are
+therefore cut there on the Arrow buffer, the distinct pieces of a slice are
+found with a dictionary encode, and only pieces not seen before reach the
+tokenizer (plain words go straight to its merge model).  ``tests/llm/test_tokens.py`` compares the ids
 with plain ``encode`` calls on odd texts.
 
 A byte-level pattern looks at the blank after a blank, so a text with blanks
 outside ASCII (where the cut could fall inside such a run) stays one piece.
+Slices that hold ``<|``, with which special tokens begin, are cut at blanks only.
 Any tokenizer whose splitting rule is not one of the two known kinds encodes
 whole texts.  NULL encodes as the empty text.
 """
@@ -26,11 +28,33 @@ from poststream.llm.arrowtext import IS_BLANK, codes, pieces, spans_gather, text
 
 WIDE_BLANK = re.compile("[" + "".join(map(chr, (
     0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000))) + "]")
-CACHE_WORDS = 300_000
+CACHE_WORDS = 80_000
 CACHED_BYTES = 64
+SPECIAL = b"<|"
+IS_LETTER = np.zeros(256, bool)
+IS_LETTER[[*range(65, 91), *range(97, 123)]] = True
+UPPER = np.zeros(256, np.uint8)
+UPPER[65:91] = 32
+IS_SIGN = np.zeros(256, bool)
+IS_SIGN[[c for c in range(33, 127) if not chr(c).isalnum()]] = True
+# letters whose normal form and lower case are one letter each
+PLAIN_WORD = re.compile(r"( ?)([A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xfe]+)\Z")
 
 
-def _kind(path: str) -> str:
+def _byte_letters() -> dict[int, str]:
+    """The letter that byte-level vocabularies write for each byte: printable
+    Latin-1 signs for themselves, the others in order from code point 256."""
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = [b for b in range(256) if b not in plain]
+    return {**{b: chr(b) for b in plain}, **{b: chr(256 + i) for i, b in enumerate(rest)}}
+
+
+BYTE_LETTERS = _byte_letters()
+
+
+def splitting_kind(path: str) -> str:
+    """How texts may be cut before the tokenizer: found once, on the driver, as
+    the whole vocabulary has to be read for it."""
     with open(path, encoding="utf-8") as fh:
         spec = json.load(fh)
     pre = spec.get("pre_tokenizer") or {}
@@ -50,17 +74,33 @@ def _kind(path: str) -> str:
 class TokenEncoder:
     """Encodes Arrow text columns; one per Python worker (see ``encoder``)."""
 
-    def __init__(self, path: str, cache_words: int = CACHE_WORDS):
+    def __init__(self, path: str, kind: str, cache_words: int = CACHE_WORDS):
         from tokenizers import Tokenizer
         self.tok = Tokenizer.from_file(path)
-        self.kind = _kind(path)
+        self.kind = kind
+        self.model = self.tok.model
         self.limit = cache_words
         self.young: dict[bytes, bytes] = {}
         self.old: dict[bytes, bytes] = {}
 
+    def _word(self, text: str) -> bytes | None:
+        """Ids of a plain word; None if it isn't one."""
+        if self.kind == "text" or not (found := PLAIN_WORD.match(text)):
+            return None
+        text = found[2].lower() if self.kind == "word" else text
+        if text.isascii():
+            letters = BYTE_LETTERS[32] + text[1:] if text[0] == " " else text
+        else:
+            letters = text.encode("utf-8").decode("latin-1").translate(BYTE_LETTERS)
+        return array.array("I", [t.id for t in self.model.tokenize(letters)]).tobytes()
+
     def _plain(self, texts: list[str]) -> list[bytes]:
-        out = self.tok.encode_batch_fast(texts, add_special_tokens=False)
-        return [array.array("I", e.ids).tobytes() for e in out]
+        out = [self._word(t) for t in texts]
+        rest = [i for i, ids in enumerate(out) if ids is None]
+        for i, e in zip(rest, self.tok.encode_batch_fast([texts[i] for i in rest],
+                                                         add_special_tokens=False)):
+            out[i] = array.array("I", e.ids).tobytes()
+        return out
 
     def _lookup(self, words: list[bytes]) -> list[bytes]:
         young, old = self.young, self.old
@@ -90,27 +130,29 @@ class TokenEncoder:
         n = len(off) - 1
         if not len(data):
             return np.zeros(0, np.uint32), np.zeros(n, np.int64)
-        edge = np.zeros(len(data) + 1, bool)
-        edge[off] = True
-        starts_text = edge[:-1]
-        if self.kind == "text":
-            cut = starts_text.copy()
-        else:
+        starts_text = np.zeros(len(data) + 1, bool)
+        starts_text[off] = True
+        starts_text = starts_text[:-1]
+        cut = starts_text.copy()
+        if self.kind != "text":
             blank = IS_BLANK[data]
-            cut = starts_text.copy()
-            cut[1:] |= blank[1:] & ~blank[:-1]
-            if self.kind == "blank+word":
-                for row in self._wide_rows(data, off):
-                    cut[off[row]: off[row + 1]] = False
-                    cut[off[row]] = True
+            if SPECIAL not in data.tobytes():
+                cut[1:] |= IS_LETTER[data[:-1]] & IS_SIGN[data[1:]]
+                if self.kind == "word":
+                    data = data + UPPER[data]
         if self.kind == "word":  # blanks carry nothing: cut and drop them
             word = ~blank
-            first = word.copy()
-            first[1:] &= ~word[:-1] | starts_text[1:]
+            first = word & cut
+            first[1:] |= word[1:] & ~word[:-1]
             last = word.copy()
-            last[:-1] &= ~word[1:] | starts_text[1:]
+            last[:-1] &= ~word[1:] | cut[1:]
             starts, ends = np.flatnonzero(first), np.flatnonzero(last) + 1
         else:
+            if self.kind == "blank+word":
+                cut[1:] |= blank[1:] & ~blank[:-1]
+                for row in self._wide_rows(data, off):
+                    cut[off[row]: off[row + 1]] = False
+                    cut[off[row]] = True
             starts = np.flatnonzero(cut)
             ends = np.append(starts[1:], len(data))
         code, distinct = codes(pieces(data, starts, ends))
@@ -134,10 +176,11 @@ class TokenEncoder:
 _ENCODERS: dict[str, TokenEncoder] = {}
 
 
-def encoder(path: str) -> TokenEncoder:
+def encoder(path: str, kind: str) -> TokenEncoder:
     """The encoder of this Python worker for a tokenizer file."""
     if path not in _ENCODERS:
-        _ENCODERS[path] = TokenEncoder(path)
+        _ENCODERS.clear()   # a worker that turns to another file lets the last one go
+        _ENCODERS[path] = TokenEncoder(path, kind)
     return _ENCODERS[path]
 
 

@@ -10,6 +10,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from poststream.llm.arrowtext import release
+
 GROUPS = 512
 
 
@@ -28,6 +30,7 @@ def gather(df: DataFrame, width: int,
         yield pa.RecordBatch.from_arrays(
             [pa.array([TaskContext.get().partitionId()], pa.int64()),
              pa.array([vector.tobytes()], pa.binary())], ["task", "vector"])
+        release()
 
     def total(rows):
         import pandas as pd

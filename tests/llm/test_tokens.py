@@ -4,7 +4,7 @@ import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
-from poststream.llm.tokens import TokenEncoder, tokenizer_path, with_end
+from poststream.llm.tokens import TokenEncoder, splitting_kind, tokenizer_path, with_end
 
 ODD = ["", " ", "a", "  a  b ", "it's 's 're\n\n x", "a  \n b c  d", "x<|endoftext|>\n\ny",
        "  <|endoftext|> foo <|startoftext|>", "<|STARTOFTEXT|>", "É é Σ ΑΣ ΑΣ.", "é ́x",
@@ -17,7 +17,8 @@ def test_ids_equal_plain_encode(name):
     rng = random.Random(5)
     signs = "abEZ 1',.(-\n\t é.<|>sAΣ\x1ć ÀÞ"
     texts = ODD + ["".join(rng.choice(signs) for _ in range(rng.randint(0, 40))) for _ in range(1500)]
-    plain, enc = Tokenizer.from_file(tokenizer_path(name)), TokenEncoder(tokenizer_path(name), 100)
+    plain, enc = Tokenizer.from_file(tokenizer_path(name)), TokenEncoder(
+        tokenizer_path(name), splitting_kind(tokenizer_path(name)), 100)
     for _ in range(2):  # the second time from the cache
         for part in (texts, texts[:3]):
             ids, counts = enc.encode(pa.array(part, pa.string()))
