@@ -1,11 +1,16 @@
 """Personal data: fixed patterns plus spans found by weak supervision.
 
 Base spans (email, ip, card, phone) are the leftmost non-overlapping matches of
-a fixed pattern per kind that pass a check.  Further candidates (keys and
-passwords, phone numbers without a country code, national ids) are judged by
-labelers that vote for, against or not at all: regular expressions on the
-value, a gazetteer of naming words before it, and the context (assignment
-signs, quotes, plain prose).  Votes are counted by pattern over the whole
+a fixed pattern per kind that pass a check.  Further candidates are phone numbers
+without a country code, national ids, and three kinds of keys and passwords, none
+with an upper bound: ``secret``, 16 or more letters and digits, both among them;
+``key``, the same with ``_ + / -`` inside and perhaps ``=`` behind; ``password``,
+any value up to a blank or quote that follows a naming word and an assignment
+sign, if it is not one of the other two (punctuation behind it is left out).
+Spans of different kinds may overlap, as those of the base kinds.
+They are judged by labelers that vote for, against or not at all: regular
+expressions on the value, a gazetteer of naming words before it, and the context
+(assignment signs, quotes, plain prose).  Votes are counted by pattern over the whole
 corpus; expectation-maximisation on those counts estimates how reliable each
 labeler is for data and non-data, and a logistic span classifier is trained on
 the resulting probabilities.  Its score decides which candidates are added.
@@ -33,6 +38,15 @@ LEFT, RIGHT = 24, 8     # code points of context
 
 # kind, pattern, condition to look at all, check of a match x
 LOCAL = "[A-Za-z0-9._%+-]"
+JOINED = "[A-Za-z0-9_+/-]"
+MIXED = "(?=[A-Za-z_+/-]*+[0-9])(?=[0-9_+/-]*+[A-Za-z])"     # a letter and a digit
+QUOTE, CLOSING = "[\"'`]", r"[,;.)\]}>]"
+# fixed values: naming words in front of a value
+SURE_WORDS = "passwor[dt]|passwd|passphrase|pwd|secret|credential|api.?key|access.?key|" \
+             "kennwort|mot de passe|contrase.a"
+SECRET_WORDS = "password|passwd|passphrase|pwd|secret|token|credential|auth|bearer|api.?key|access.?key|key"
+PHONE_WORDS = "phone|telephone|tel|call|mobile|cell|fax|whatsapp|contact"
+ID_WORDS = "ssn|social security|national id|tax id|id no|identity"
 BASE = [
     ("email",
      rf"(?:(?<!{LOCAL})|\G){LOCAL}++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++",
@@ -53,8 +67,19 @@ BASE = [
 ]
 CANDIDATES = [
     ("secret",
-     r"(?<![A-Za-z0-9])(?=[A-Za-z]*+[0-9])(?=[0-9]*+[A-Za-z])[A-Za-z0-9]{16,256}+(?![A-Za-z0-9])",
+     r"(?<![A-Za-z0-9])(?=[A-Za-z]*+[0-9])(?=[0-9]*+[A-Za-z])[A-Za-z0-9]{16,}+",
      "{t} rlike '[0-9]'"),
+    ("key",
+     rf"(?<!{JOINED})(?=[_+/-]*+[A-Za-z0-9]++[_+/-]++[A-Za-z0-9]){MIXED}{JOINED}{{16,}}+={{0,2}}+",
+     "{t} rlike '[0-9]'"),
+    ("password",
+     # the first lookbehinds only save time
+     rf"(?<=[:=>\x20\t\"'`])(?<=[:=>][\x20\t]{{0,2}}{QUOTE}?)"
+     rf"(?<=(?i:{SURE_WORDS}|{SECRET_WORDS}){QUOTE}?\]?[\x20\t]{{0,2}}(?::=|=>|={{1,3}}|:)"
+     rf"[\x20\t]{{0,2}}{QUOTE}?)(?![:=>])"
+     rf"(?!{MIXED}{JOINED}{{16,}}+={{0,2}}+{CLOSING}*+(?:\s|{QUOTE}|\z))"
+     rf"(?:[^\s\"'`,;.)\]}}>]++|{CLOSING}++(?=[^\s\"'`]))++",
+     "contains({t}, ':') or contains({t}, '=')"),
     ("local_phone",
      r"(?<![0-9.-])\(?[0-9]{3}\)?[ .-][0-9]{3}[ .-][0-9]{4}(?![0-9-])",
      "{t} rlike '[0-9]'"),
@@ -64,32 +89,38 @@ CANDIDATES = [
 ]
 KINDS = [b[0] for b in BASE] + [c[0] for c in CANDIDATES]
 
-# fixed values: naming words in front of a value
-SECRET_WORDS = "password|passwd|passphrase|pwd|secret|token|credential|auth|bearer|api.?key|access.?key|key"
-PHONE_WORDS = "phone|telephone|tel|call|mobile|cell|fax|whatsapp|contact"
-ID_WORDS = "ssn|social security|national id|tax id|id no|identity"
-
 # labelers on a candidate c (kind, value, before, after): condition for, against
 LABELERS = [
     # regular expressions on the value
     ("known_shape",
      "c.value rlike '^(?:AKIA|ASIA)[0-9A-Z]{16}$|^(?:ghp|gho|glpat|xox[a-z]|sk)[0-9A-Za-z]{16,}$'"
+     " or c.value rlike '^(?:gh[a-z]|github_pat|glpat|xox[a-z]|[sp]k)[-_][0-9A-Za-z_-]{16,}$'"
      " or c.kind = 'local_phone' and c.value rlike '^[(]?[2-9]'"
      " or c.kind = 'national_id' and not c.value rlike '^(?:000|666|9)'",
-     "c.value rlike '^[(]?(?:000|0+1?234)' or c.value rlike '^([0-9A-Za-z])\\\\1+$'"),
+     "c.value rlike '^[(]?(?:000|0+1?234)' or c.value rlike '^([0-9A-Za-z])\\\\1+$'"
+     " or c.kind = 'password' and lower(c.value) rlike "
+     "'^(?:[$%{<\\\\[*].*|none|null|true|false|required|optional|changeme|your.*|[.]+|x+)$'"),
     ("random_shape",
      "c.kind = 'secret' and (c.value rlike '^[0-9a-f]{16,}$' or "
-     "length(regexp_replace(regexp_replace(c.value, '[0-9]+', '0'), '[A-Za-z]+', '')) >= 3)",
-     "c.kind = 'secret' and c.value rlike '^[A-Za-z]+[0-9]{1,4}$|^[0-9]{1,4}[A-Za-z]+$'"),
+     "length(regexp_replace(regexp_replace(c.value, '[0-9]+', '0'), '[A-Za-z]+', '')) >= 3)"
+     " or c.kind = 'key' and c.value rlike '[A-Za-z][0-9]+[A-Za-z].*[0-9][A-Za-z]'"
+     " or c.kind = 'password' and (c.value rlike '[0-9]' and c.value rlike '[A-Za-z]' or "
+     "c.value rlike '^[0-9]{4,}$|[A-Za-z0-9][!#$%&*+?@^_~-]|[a-z][A-Z]')",
+     "c.kind = 'secret' and c.value rlike '^[A-Za-z]+[0-9]{1,4}$|^[0-9]{1,4}[A-Za-z]+$'"
+     " or c.kind = 'key' and c.value rlike "   # words and numbers: paths, dates, names
+     "'^[_+/-]*+(?:(?:[A-Za-z]++[0-9]{0,4}+|[0-9]++)(?:[_+/-]++|$))++$'"
+     " or c.kind = 'password' and c.value rlike '^[^0-9]{0,3}$|^[\\\\p{L}][\\\\p{Ll}]*$'"),
     # gazetteer in front
     ("named",
-     f"c.kind = 'secret' and c.before rlike '(?:{SECRET_WORDS})[^a-z0-9]{{1,6}}$' or "
+     f"c.kind in ('secret', 'key') and c.before rlike '(?:{SECRET_WORDS})[^a-z0-9]{{1,6}}$' or "
+     f"c.kind = 'password' and c.before rlike '(?:{SURE_WORDS})[^a-z0-9]{{1,6}}$' or "
      f"c.kind = 'local_phone' and c.before rlike '(?:^|[^a-z])(?:{PHONE_WORDS})[^a-z0-9]{{1,6}}$' or "
      f"c.kind = 'national_id' and c.before rlike '(?:^|[^a-z])(?:{ID_WORDS})[^a-z0-9]{{1,6}}$'",
+     "c.kind = 'password' or "   # every one follows a naming word; these are also words of prose
      "c.before rlike '(?:isbn|doi|sha|commit|version|build|page|vol|http[^ ]*)[^a-z0-9]{0,6}$'"),
     # context
     ("assigned",
-     "c.before rlike '[=:] ?[\"\\']?$'",
+     "c.before rlike '[=:] ?[\"\\']?$' and (c.kind != 'password' or c.before rlike '[=\"\\']$|= $')",
      "c.before rlike '[/#_.]$' or c.after rlike '^[/_]'"),
     ("stands_alone",
      "(c.before = '' or c.before rlike '[ \"\\'=:(\\n]$') and c.after rlike '^(?:$|[ \"\\',.;)\\n])'",
@@ -197,6 +228,10 @@ def _votes(bits: int) -> list[int]:
     return [bits >> 2 * k & 3 for k in range(len(LABELERS))]
 
 
+def _kind_bit(kind: str) -> int:
+    return 2 * len(LABELERS) + len(EXTRA) + [c[0] for c in CANDIDATES].index(kind)
+
+
 def _kind(bits: int) -> int:
     return (bits >> (2 * len(LABELERS) + len(EXTRA))).bit_length() - 1
 
@@ -267,6 +302,14 @@ def _score(weights: list[float]) -> str:
     return f"1 / (1 + exp(-({' + '.join(terms)})))"
 
 
+def _outvoted() -> str:
+    """Paths, dates and words of prose become keys and passwords too: without more
+    votes for than against they stay, also if the corpus teaches nothing on them."""
+    yes = sum(1 << 2 * k for k in range(len(LABELERS)))
+    return (f"c.bits & {sum(1 << _kind_bit(k) for k in ('key', 'password'))} > 0 and "
+            f"bit_count(c.bits & {yes}) <= bit_count(c.bits & {2 * yes})")
+
+
 def find(docs: DataFrame, weights: list[float] | None = None, text: str = "text") -> DataFrame:
     """Add to ``docs`` the base spans ``s_<kind>`` and ``added`` (kind, start,
     end, score); ``docs`` should have no other columns of these names.
@@ -277,7 +320,7 @@ def find(docs: DataFrame, weights: list[float] | None = None, text: str = "text"
         "_text", F.coalesce(text, F.lit(""))), "_text"), "_text")
     scored = found.withColumn("added", F.expr(
         f"filter(transform(candidates, c -> struct(c.kind as kind, c.start as start, c.end as end, "
-        f"{_score(weights)} as score)), c -> c.score >= {THRESHOLD}D)"))
+        f"if({_outvoted()}, 0D, {_score(weights)}) as score)), c -> c.score >= {THRESHOLD}D)"))
     return scored.drop("candidates", "_text")
 
 
