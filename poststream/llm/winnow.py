@@ -1,7 +1,12 @@
 """Winnowing fingerprints with native expressions.
 
-A text is a row of tokens: runs of non-blank characters, cut after 16.  Every
-run of ``K`` tokens (a k-gram) is hashed; of every ``WINDOW`` neighbouring
+A text is a row of tokens: runs of non-blank characters, cut after 16.  Text
+without blanks (a run over 48 characters, or over 16 if letters of scripts
+written without blanks are in it) has a token at each character instead, the
+``ROLL`` characters from there on, so that its k-grams roll character by
+character wherever the run began; ``K`` such tokens are ``ROLL + K - 1``
+characters.  (A shorter run, as an address, has at most three pieces, counted
+from the blank before it.)  Every run of ``K`` tokens (a k-gram) is hashed; of every ``WINDOW`` neighbouring
 k-grams the least hash is chosen, the rightmost of equal ones, and kept with
 its position.  So two texts that share ``K + WINDOW - 1`` tokens in a row share
 a chosen hash (the match guarantee), while about ``2 / (WINDOW + 1)`` of the
@@ -24,7 +29,13 @@ from poststream.llm.tables import stored
 
 K = 5
 WINDOW = 8
-TOKEN = r"[^\x20\x09-\x0D]{1,16}"
+ROLL = 8
+BLANK = r"\x20\x09-\x0D"
+UNSPACED = "".join(rf"\p{{Is{s}}}" for s in (
+    "Han", "Hiragana", "Katakana", "Thai", "Lao", "Khmer", "Myanmar", "Tibetan"))
+# the end of a run or a short one, a whole run of unspaced text, 16 characters of another run
+PIECE = (rf"[^{BLANK}]{{1,16}}+(?![^{BLANK}])|[^{BLANK}]{{49,}}+"
+         rf"|(?=[^{BLANK}{UNSPACED}]{{0,47}}+[{UNSPACED}])[^{BLANK}]{{17,}}+|[^{BLANK}]{{16}}")
 POSITIONS = (1 << 31) - 1
 GROUP_ROWS = 512
 MAX_GROUPS = 8192
@@ -35,10 +46,16 @@ def with_winnow(df: DataFrame, text: str, out: str, k: int = K, window: int = WI
 
     Each step is a column of its own, so no step is evaluated twice.
     """
-    t, g, v = f"_{out}_t", f"_{out}_g", f"_{out}_v"
+    p, t, g, v = f"_{out}_p", f"_{out}_t", f"_{out}_g", f"_{out}_v"
     grams = ", ".join(f"get({t}, i + {j})" for j in range(k))
+    rolled = ", ".join(f"get(c, i + {j})" for j in range(ROLL))
+    df = df.withColumn(p, F.expr(f"regexp_extract_all({text}, r'{PIECE}', 0)"))
     df = df.withColumn(t, F.expr(
-        f"transform(regexp_extract_all({text}, r'{TOKEN}', 0), x -> xxhash64(x))"))
+        f"if(exists({p}, x -> char_length(x) > 16), "
+        f"flatten(transform({p}, x -> if(char_length(x) <= 16, array(xxhash64(x)), "
+        f"get(transform(array(transform(split(x, ''), y -> xxhash64(y))), "
+        f"c -> transform(sequence(0, size(c) - {ROLL}), i -> xxhash64({rolled}))), 0)))), "
+        f"transform({p}, x -> xxhash64(x)))"))
     df = df.withColumn(g, F.expr(
         f"if(size({t}) = 0, array(), "
         f"transform(sequence(0, greatest(size({t}) - {k}, 0)), i -> xxhash64({grams})))"))

@@ -96,6 +96,23 @@ def test_match_guarantee(spark):
     assert got[0] & got[1]
 
 
+def test_shifted_copies_of_unspaced_text(spark):
+    import random
+    rng = random.Random(4)
+    han, thai = [chr(0x4E00 + k) for k in range(900)], [chr(0x0E01 + k) for k in range(40)]
+    texts = ["".join(rng.choices(letters, k=3000)) for letters in (
+        han, thai, "abcdefghijklmnopqrstuvwxyzABCDEFGH0123456789+/", han + ["\U0001F600", "\U00020000"])]
+    cut = [texts[0][k: k + 40] for k in range(0, 3000, 40)]
+    rows = [(i, shift, "x" * shift + t) for i, t in enumerate(texts) for shift in (0, 1, 7, 15, 16)]
+    rows += [(9, 0, "\n".join(cut)), (9, 1, "\n".join("x" + line for line in cut))]
+    frame = spark.createDataFrame(rows, "i int, shift int, text string")
+    got = {(r["i"], r["shift"]): {e["hash"] for e in r["own"]}
+           for r in W.with_winnow(frame, "text", "own").collect()}
+    for (i, shift), hashes in got.items():
+        least = 0.95 if i < 9 else 0.5
+        assert len(hashes & got[i, 0]) > least * len(got[i, 0]), (i, shift)
+
+
 def test_single_row_and_empty(spark, no_docs):
     assert W.fingerprint_pairs(no_docs).count() == 0
     one = spark.createDataFrame([(3, "abcdef")], "doc_id long, text string")
