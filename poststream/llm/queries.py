@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from poststream.llm import compression, dac, langid, licenses, mixing, packing, pii, resample, \
-    simhash, winnow
+from poststream.llm import compression, dac, langid, licenses, merkle, mixing, packing, pii, \
+    resample, simhash, winnow
 from poststream.llm.tokens import tokenizer_path
 from poststream.session import scratch_path
 
@@ -98,3 +98,9 @@ def op10_harmonic_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     packed = packing.pack(documents(spark, sf_dir), tokenizer_path("byte_bpe_50k.json"))
     return packed.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"),
                          "doc_tokens", "sequence_id", "offset")
+
+
+@_query("op11_merkle_manifest", merkle.MERKLE_SQL)
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's leaf, proof and the root folded from its (tampered) leaf."""
+    return merkle.tamper_check(documents(spark, sf_dir), scratch_path(spark, "manifest"))
