@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from poststream.llm import compression, dac, langid, licenses, merkle, mixing, packing, pii, \
-    resample, simhash, winnow
+from poststream.llm import compression, dac, langid, licenses, lines, merkle, mixing, packing, \
+    pii, resample, simhash, winnow
 from poststream.llm.tokens import tokenizer_path
 from poststream.session import scratch_path
 
@@ -104,3 +104,10 @@ def op10_harmonic_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's leaf, proof and the root folded from its (tampered) leaf."""
     return merkle.tamper_check(documents(spark, sf_dir), scratch_path(spark, "manifest"))
+
+
+@_query("op12_line_dedup", lines.LINES_SQL)
+def op12_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the lines that ten documents or more share."""
+    return lines.drop_common_lines(documents(spark, sf_dir)).select(
+        "doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
