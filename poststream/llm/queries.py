@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from poststream.llm import compression, dac, langid, licenses, lines, merkle, mixing, packing, \
-    pii, resample, simhash, winnow
+    pii, resample, simhash, trie, winnow
 from poststream.llm.tokens import tokenizer_path
 from poststream.session import scratch_path
 
@@ -111,3 +111,10 @@ def op12_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document without the lines that ten documents or more share."""
     return lines.drop_common_lines(documents(spark, sf_dir)).select(
         "doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@_query("op13_prefix_trie", trie.TRIE_SQL)
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every node of the prefix trie of the rebuilt conversations."""
+    conversations = spark.read.parquet(f"{sf_dir}/conversations.parquet")
+    return trie.prefix_trie(trie.rebuilt(conversations))
