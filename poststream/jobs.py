@@ -7,8 +7,9 @@
     python -m poststream.jobs ingest --posts posts.parquet --ledger out/ledger \
         --out out/messages --as-of 2024-01-03T00:00:00
     python -m poststream.jobs publish --messages out/messages --bootstrap broker:9092
-    python -m poststream.jobs compact --index out/index --out out/base
-    python -m poststream.jobs panels --index out/index --out out/panels
+    python -m poststream.jobs compact --index out/index --base out/base
+    python -m poststream.jobs retire --index out/index --base out/base
+    python -m poststream.jobs panels --index out/index --base out/base --out out/panels
     python -m poststream.jobs loop --posts posts.parquet --ledger out/ledger \
         --out out/messages            # backfill, then increments every 60 s
 
@@ -34,10 +35,12 @@ from .operators import ingest as ig
 from .operators import lexicon as lx
 from .operators import model as ml
 from .operators import terms
-from .session import get_session, materialize, scratch_path
+from .session import get_session, materialize, scratch_path, stored
+from .sources import buckets as bk
 from .sources import ledger as lg
 from .sources import wire
 from .sources.files import read_training
+from .streaming import deltas as dl
 from .streaming import stream as st
 
 
@@ -61,8 +64,8 @@ def classify(spark: SparkSession, lexicon_path: str, model_path: str, index_path
              checkpoint: str | None = None, source_format: str = "kafka",
              source_options: dict[str, str] | None = None, source_path: str | None = None,
              quarantine_path: str | None = None, trigger: dict | None = None,
-             sink_format: str | None = None, sink_options: dict[str, str] | None = None
-             ) -> StreamingQuery:
+             sink_format: str | None = None, sink_options: dict[str, str] | None = None,
+             deltas_path: str | None = None, base_path: str | None = None) -> StreamingQuery:
     """Messages -> parse -> skills -> model -> category -> keyed index.
 
     One query: each micro-batch is parsed once (persisted), good messages
@@ -71,7 +74,8 @@ def classify(spark: SparkSession, lexicon_path: str, model_path: str, index_path
     replay, so a restart from the checkpoint is idempotent.  With
     ``sink_format`` the documents go to that document-index connector instead
     (``index_path`` is its resource; the id as document key makes a replay
-    write the same documents)."""
+    write the same documents).  With ``deltas_path`` each batch also stores its
+    signed panel counts (``base_path``: the base that ``compact`` keeps)."""
     matcher = lx.lexicon_matcher(lx.read_lexicon_csv(spark, lexicon_path))
     model = ml.load_model(model_path)
     raw = st.read_posts_stream(spark, source_format, source_options, source_path)
@@ -84,6 +88,8 @@ def classify(spark: SparkSession, lexicon_path: str, model_path: str, index_path
             if sink_format:
                 (docs.write.format(sink_format).mode("append")
                  .options(**st.index_options(index_path, options=sink_options)).save())
+            elif deltas_path:
+                dl.delta_writer(index_path, deltas_path, base_path)(docs, batch_id)
             else:
                 docs.write.mode("overwrite").parquet(f"{index_path}/batch_id={batch_id}")
             if quarantine_path:
@@ -122,22 +128,32 @@ def publish(spark: SparkSession, messages_path: str, fmt: str = "kafka",
     return (writer.trigger(**trigger) if trigger else writer).start()
 
 
-def compact(spark: SparkSession, index_path: str, out: str, base: str | None = None,
-            since: int = -1, retire: bool = False) -> int:
-    """Fold the index log into a new base; ``retire`` also deletes the folded
-    batches (only when no reader uses the old base any more)."""
-    last = st.compact(spark, index_path, out, base, since)
-    if retire:
-        st.retire(spark, index_path, last)
+def compact(spark: SparkSession, index_path: str, base: str, buckets: int = bk.BUCKETS,
+            deltas_path: str | None = None, sums_path: str | None = None) -> int:
+    """Fold the index log into its base, rewriting the buckets that have
+    changed, and the panel deltas into their sums.  The folded batches stay
+    until ``retire``.  Returns the last folded batch."""
+    last = st.fold_log(spark, index_path, base, buckets=buckets)
+    if deltas_path and sums_path:
+        dl.fold_deltas(spark, deltas_path, sums_path)
     return last
 
 
+def retire(spark: SparkSession, index_path: str, base: str) -> int:
+    """Delete the batches that the base holds; a step of its own, for when no
+    reader that began before the last ``compact`` still runs."""
+    now = bk.state(spark, base)
+    return st.retire(spark, index_path, now.since) if now else 0
+
+
 def panels(spark: SparkSession, index_path: str, out: str, base: str | None = None,
-           since: int = -1) -> dict[str, int]:
-    """Refresh all dashboard panels from the index; rows written per panel."""
-    index = st.read_keyed(spark, index_path, base=base, since=since)
+           deltas_path: str | None = None, sums_path: str | None = None) -> dict[str, int]:
+    """Refresh all dashboard panels from the index; rows written per panel.
+    With the panel deltas only rest buckets read the index."""
+    index = st.read_keyed(spark, index_path, base=base)
+    counts = stored(dl.read_counts(spark, deltas_path, sums_path)) if deltas_path else None
     rows = {}
-    for name, df in terms.panels(index).items():
+    for name, df in terms.panels(index, counts=counts).items():
         df.write.mode("overwrite").json(f"{out}/{name}")
         rows[name] = spark.read.schema(df.schema).json(f"{out}/{name}").count()
     return rows
@@ -187,6 +203,8 @@ def parser() -> argparse.ArgumentParser:
     c.add_argument("--bootstrap")
     c.add_argument("--topic", default=TOPIC)
     c.add_argument("--quarantine")
+    c.add_argument("--deltas", help="keep panel counts by batch here")
+    c.add_argument("--base", help="the base that compact keeps")
     c.add_argument("--sink-format", help="document-index connector; default: Parquet log")
     c.add_argument("--sink-option", action="append", default=[], metavar="KEY=VALUE")
     c.add_argument("--max-per-trigger", type=int, help="offsets per micro-batch")
@@ -202,13 +220,17 @@ def parser() -> argparse.ArgumentParser:
     pn.add_argument("--index", required=True)
     pn.add_argument("--out", required=True)
     pn.add_argument("--base")
-    pn.add_argument("--since", type=int, default=-1)
+    pn.add_argument("--deltas", help="panel counts by batch, as classify writes them")
+    pn.add_argument("--sums", help="the folded ones")
     cp = sub.add_parser("compact")
     cp.add_argument("--index", required=True)
-    cp.add_argument("--out", required=True)
-    cp.add_argument("--base")
-    cp.add_argument("--since", type=int, default=-1)
-    cp.add_argument("--retire", action="store_true")
+    cp.add_argument("--base", required=True)
+    cp.add_argument("--buckets", type=int, default=bk.BUCKETS, help="of a new base")
+    cp.add_argument("--deltas")
+    cp.add_argument("--sums")
+    rt = sub.add_parser("retire")
+    rt.add_argument("--index", required=True)
+    rt.add_argument("--base", required=True)
     i = sub.add_parser("ingest")
     i.add_argument("--posts", required=True)
     i.add_argument("--ledger", required=True)
@@ -243,17 +265,20 @@ def main(argv: Sequence[str] | None = None) -> None:
         st.run_until_stopped(lambda: classify(spark, args.lexicon, args.model, args.index, ckpt,
                                               args.source_format, opts, args.source_path,
                                               args.quarantine, sink_format=args.sink_format,
-                                              sink_options=sink))
+                                              sink_options=sink, deltas_path=args.deltas,
+                                              base_path=args.base))
     elif args.cmd == "publish":
         opts = {"kafka.bootstrap.servers": args.bootstrap, "topic": args.topic} \
             if args.format == "kafka" else {}
         ckpt = args.checkpoint or scratch_path(spark, "publish-ckpt")
         st.run_until_stopped(lambda: publish(spark, args.messages, args.format, opts, args.out, ckpt))
     elif args.cmd == "panels":
-        print(json.dumps(panels(spark, args.index, args.out, args.base, args.since)))
+        print(json.dumps(panels(spark, args.index, args.out, args.base, args.deltas, args.sums)))
     elif args.cmd == "compact":
-        print(json.dumps({"folded": compact(spark, args.index, args.out, args.base, args.since,
-                                            args.retire)}))
+        print(json.dumps({"folded": compact(spark, args.index, args.base, args.buckets, args.deltas,
+                                            args.sums)}))
+    elif args.cmd == "retire":
+        print(json.dumps({"retired": retire(spark, args.index, args.base)}))
     elif args.cmd == "ingest":
         n = ingest(spark, spark.read.parquet(args.posts), args.ledger, args.out, args.as_of,
                    limit=args.limit)

@@ -40,8 +40,11 @@ def _distinct_values(col: str) -> Column:
     return F.array_distinct(F.array_compact(F.col(col)))
 
 
-def total_posts(df: DataFrame) -> DataFrame:
-    """Number of posts; no posts gives NULL, not 0."""
+def total_posts(df: DataFrame, counts: DataFrame | None = None) -> DataFrame:
+    """Number of posts; no posts gives NULL, not 0.  ``counts``: see ``panels``."""
+    if counts is not None:
+        return (counts.where("skill IS NULL")
+                .agg(F.nullif(F.coalesce(F.sum("posts"), F.lit(0)), F.lit(0)).alias("total_posts")))
     return df.agg(F.nullif(F.count(F.lit(1)), F.lit(0)).alias("total_posts"))
 
 
@@ -95,17 +98,27 @@ def _top_values(counts: DataFrame, name: str, n: int, other: bool, share: bool)
     return _with_rest(top, rest, name, n, share)
 
 
+def _values_of(counts: DataFrame, col: str, name: str) -> DataFrame:
+    """Posts per category or per skill from (category, skill, posts) counts."""
+    own = counts.where("skill IS NULL" if col == "category" else "skill IS NOT NULL")
+    return (own.where(F.col(col).isNotNull()).groupBy(F.col(col).alias(name))
+            .agg(F.sum("posts").alias("posts")).where("posts > 0"))
+
+
 def top_terms(df: DataFrame, col: str, n: int, other: bool = True, share: bool = False,
-              name: str | None = None) -> DataFrame:
+              name: str | None = None, counts: DataFrame | None = None) -> DataFrame:
     """Top ``n`` values of ``col`` by posts, plus a rest bucket.
 
     Ties: posts descending, then value ascending.  Rest bucket of an array
     column: posts that have a value but none of the top values (not the sum
     of the tail); of a plain column: the posts of all other values.  A rest
     bucket with no post is left out.  ``share`` is posts / panel total.
+    ``counts`` (value, posts) may be given; ``df`` is then read for the rest
+    bucket of an array column only.
     """
     name = name or col
-    counts = _term_counts(df, col, name)
+    if counts is None:
+        counts = _term_counts(df, col, name)
     if not _is_array(df, col):
         return _top_values(counts, name, n, other, share)
     top = _ranked_top(counts, name, n)
@@ -120,16 +133,21 @@ def top_terms(df: DataFrame, col: str, n: int, other: bool = True, share: bool =
 
 def nested_terms(df: DataFrame, outer: str, inner: str, n_outer: int, n_inner: int,
                  other: bool = True, share: bool = False,
-                 outer_name: str | None = None, inner_name: str | None = None) -> DataFrame:
+                 outer_name: str | None = None, inner_name: str | None = None,
+                 counts: DataFrame | None = None) -> DataFrame:
     """Top ``n_outer`` values of ``outer``; inside each, top ``n_inner`` of
     the array column ``inner``; rest buckets at both levels.
 
     The outer rest bucket pools all remaining outer values and is split by
     ``inner`` the same way.  The inner rest bucket of a group counts the
     group's posts that have an inner value but none of the group's top list.
+    ``counts`` (category, skill, posts; see ``panels``) may be given; ``df`` is
+    then read for the rest buckets only.
     """
     outer_name, inner_name = outer_name or outer, inner_name or inner
-    outer_top = (_term_counts(df, outer, outer_name)
+    outer_counts = _term_counts(df, outer, outer_name) if counts is None \
+        else _values_of(counts, "category", outer_name)
+    outer_top = (outer_counts
                  .orderBy(F.desc("posts"), F.asc(outer_name)).limit(n_outer))
     outer_list = outer_top.select(F.collect_list(outer_name)).scalar()
     bucket = (F.when(F.col(outer).isNull(), F.lit(None).cast("string"))
@@ -138,9 +156,15 @@ def nested_terms(df: DataFrame, outer: str, inner: str, n_outer: int, n_inner: i
         bucket = bucket.otherwise(F.lit(OTHER_BUCKET))
     based = df.select(bucket.alias(outer_name), _distinct_values(inner).alias("_values"))
 
-    pairs = based.select(outer_name, F.explode("_values").alias(inner_name))
-    counts = (pairs.groupBy(outer_name, inner_name)
-              .agg(F.count(outer_name).alias("posts")).where(F.col("posts") > 0))
+    if counts is None:
+        pairs = based.select(outer_name, F.explode("_values").alias(inner_name))
+        counts = (pairs.groupBy(outer_name, inner_name)
+                  .agg(F.count(outer_name).alias("posts")).where(F.col("posts") > 0))
+    else:
+        counts = (counts.where("skill IS NOT NULL").toDF(outer, "_skill", "_posts")
+                  .select(bucket.alias(outer_name), F.col("_skill").alias(inner_name), "_posts")
+                  .groupBy(outer_name, inner_name).agg(F.sum("_posts").alias("posts"))
+                  .where((F.col("posts") > 0) & F.col(outer_name).isNotNull()))
     # per group at most |lexicon| rows: the window sorts small groups
     w = Window.partitionBy(outer_name).orderBy(F.desc("posts"), F.asc(inner_name))
     top = counts.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= n_inner)
@@ -160,9 +184,14 @@ def nested_terms(df: DataFrame, outer: str, inner: str, n_outer: int, n_inner: i
 
 
 def panels(df: DataFrame, category: str = "category", skills: str = "skills_array",
-           sizes: dict | None = None, store: bool = True) -> dict[str, DataFrame]:
+           sizes: dict | None = None, store: bool = True,
+           counts: DataFrame | None = None) -> dict[str, DataFrame]:
     """All dashboard panels of an index.
 
+    ``counts`` (category, skill, posts; NULL skill: the posts of a category),
+    kept by ``streaming.deltas``, spares counting: total, shares and top lists
+    come from it, and the index is read for rest buckets alone.
+
     Only the two columns that they read are taken; by default those are written
     below ``spark.checkpoint.dir`` first, so an index that is still a plan
     extracts its skills once for all panels (``store=False`` for one that is
@@ -173,14 +202,17 @@ def panels(df: DataFrame, category: str = "category", skills: str = "skills_arra
     index = df.select(category, skills)
     if store:
         index = stored(index, "panel-index")
+    by_category = by_skill = None
+    if counts is not None:
+        by_category, by_skill = _values_of(counts, "category", category), _values_of(counts, "skill", "skill")
     return {
-        "total_posts": total_posts(index),
-        "category_share": top_terms(index, category, sz["pie"], share=True),
-        "top_skills": top_terms(index, skills, sz["cloud"], name="skill"),
+        "total_posts": total_posts(index, counts),
+        "category_share": top_terms(index, category, sz["pie"], share=True, counts=by_category),
+        "top_skills": top_terms(index, skills, sz["cloud"], name="skill", counts=by_skill),
         "category_skill_treemap": nested_terms(index, category, skills, *sz["treemap"], share=True,
-                                               inner_name="skill"),
+                                               inner_name="skill", counts=counts),
         "category_skill_bars": nested_terms(index, category, skills, *sz["bars"],
-                                            inner_name="skill"),
+                                            inner_name="skill", counts=counts),
     }
 
 

@@ -11,7 +11,9 @@ from ..functions.text import clean_text, post_text, skill_matcher, skills_text
 from ..operators import lexicon as lx
 from ..operators import terms as tm
 from ..operators.enrich import ENRICHED_COLUMNS, category_override, with_skills
-from ..session import stored
+from ..session import scratch_path, stored
+from ..streaming import deltas as dl
+from ..streaming import stream as st
 from . import fixtures as fx
 from .registry import query
 
@@ -37,11 +39,11 @@ def index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return idx.select(*ENRICHED_COLUMNS, "subreddit", "label")
 
 
-def panel_index(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The columns the dashboard panels read, as a stored table: panels go over
+def panel_index(spark: SparkSession, sf_dir: str,
+                columns: tuple[str, ...] = ("category", "skills_array")) -> DataFrame:
+    """The columns that a panel reads, as a stored table: panels go over
     it twice, and the skills are extracted once."""
-    return stored(index(spark, sf_dir).select("id", "category", "created_utc", "skills_array"),
-                  "panel-index")
+    return stored(index(spark, sf_dir).select(*columns), "panel-index")
 
 
 # ----------------------------------------------------------------- text ----
@@ -168,7 +170,7 @@ panel AS (SELECT {name}, posts, CAST(rank AS INTEGER) AS rank FROM top
 @query("top_skills", PRELUDE + ",\n" + _top_sql("idx", "skills_array", "skill",
                                                 SKILL_CLOUD_SIZE, False, True))
 def q_top_skills(spark, sf_dir):
-    return tm.top_terms(panel_index(spark, sf_dir), "skills_array", SKILL_CLOUD_SIZE,
+    return tm.top_terms(panel_index(spark, sf_dir, ("skills_array",)), "skills_array", SKILL_CLOUD_SIZE,
                         name="skill")
 
 
@@ -254,14 +256,14 @@ sliced AS (SELECT idx.* FROM idx, bounds
 @query("time_slice_all", PRELUDE + " SELECT id, created_utc FROM idx WHERE created_utc IS NOT NULL")
 def q_time_slice_all(spark, sf_dir):
     """The whole range, newest post included."""
-    return tm.time_slice(panel_index(spark, sf_dir), "created_utc", 0.0, 1.0,
+    return tm.time_slice(panel_index(spark, sf_dir, ("id", "created_utc")), "created_utc", 0.0, 1.0,
                          bounds_from=fx.posts(spark, sf_dir)).select("id", "created_utc")
 
 
 @query("time_slice_opening", PRELUDE + " SELECT id, created_utc FROM idx WHERE created_utc IS NOT NULL")
 def q_time_slice_opening(spark, sf_dir):
     """The state the dashboard opens in: fractions just outside the range."""
-    return tm.time_slice(panel_index(spark, sf_dir), "created_utc", *fx.OPENING_SLICE,
+    return tm.time_slice(panel_index(spark, sf_dir, ("id", "created_utc")), "created_utc", *fx.OPENING_SLICE,
                          bounds_from=fx.posts(spark, sf_dir)).select("id", "created_utc")
 
 
@@ -277,14 +279,14 @@ CHOSEN = ["en", "fr"]
 
 @query("category_filter", PRELUDE + " SELECT id, category FROM idx WHERE category IN ('en', 'fr')")
 def q_category_filter(spark, sf_dir):
-    return tm.choose(panel_index(spark, sf_dir), "category", CHOSEN).select("id", "category")
+    return tm.choose(panel_index(spark, sf_dir, ("id", "category")), "category", CHOSEN).select("id", "category")
 
 
 @query("filtered_categories", PRELUDE + ",\n" + _slice_sql(*fx.SLICE)
        + ",\nchosen AS (SELECT * FROM sliced WHERE category IN ('en', 'fr')),\n"
        + _top_sql("chosen", "category", "category", CATEGORY_PIE_SIZE, True, False))
 def q_filtered_categories(spark, sf_dir):
-    panel = tm.panel_filter(panel_index(spark, sf_dir), "created_utc", *fx.SLICE, "category",
+    panel = tm.panel_filter(panel_index(spark, sf_dir, ("category", "created_utc")), "created_utc", *fx.SLICE, "category",
                             CHOSEN, bounds_from=fx.posts(spark, sf_dir))
     return tm.top_terms(panel, "category", CATEGORY_PIE_SIZE, share=True)
 
@@ -295,7 +297,7 @@ def _sub(body: str) -> str:
     return "(WITH " + body + ")"
 
 
-DASHBOARD_SQL = PRELUDE + f"""
+_DASHBOARD = f"""
 SELECT 'total_posts' AS panel, CAST(NULL AS VARCHAR) AS category, CAST(NULL AS VARCHAR) AS skill,
        nullif(count(*), 0) AS posts, CAST(NULL AS INTEGER) AS rank, CAST(NULL AS DOUBLE) AS share
 FROM idx
@@ -311,12 +313,11 @@ FROM {_sub(_nested_sql("idx", *TREEMAP_SIZES, True))}
 UNION ALL
 SELECT 'category_skill_bars', category, skill, posts, rank, NULL
 FROM {_sub(_nested_sql("idx", *BARS_SIZES, False))}"""
+DASHBOARD_SQL = PRELUDE + _DASHBOARD
 
 
-@query("dashboard_panels", DASHBOARD_SQL)
-def q_dashboard_panels(spark, sf_dir):
-    """All five panels from one stored index, stacked with a ``panel`` column."""
-    got = tm.panels(panel_index(spark, sf_dir), store=False)
+def _stacked(got: dict[str, DataFrame]) -> DataFrame:
+    """All panels under each other, with a ``panel`` column."""
     cols = ["panel", "category", "skill", "posts", "rank", "share"]
 
     def shape(name: str, df: DataFrame) -> DataFrame:
@@ -334,3 +335,48 @@ def q_dashboard_panels(spark, sf_dir):
         part = shape(name, df)
         stacked = part if stacked is None else stacked.unionByName(part)
     return stacked
+
+
+@query("dashboard_panels", DASHBOARD_SQL)
+def q_dashboard_panels(spark, sf_dir):
+    """All five panels from one stored index, stacked with a ``panel`` column."""
+    return _stacked(tm.panels(panel_index(spark, sf_dir), store=False))
+
+
+EDIT = "CAST(id AS BIGINT) % 5 = 0"
+EDITED_PRELUDE = f"""WITH {fx.POSTS_CTE},
+txt AS (SELECT *, concat_ws(' ', title, selftext) AS text
+        FROM (SELECT id, title, subreddit, created_utc,
+                     CASE WHEN {EDIT} THEN NULL ELSE selftext END AS selftext,
+                     CASE WHEN {EDIT} THEN subreddit ELSE category END AS category FROM posts)),
+sk AS (SELECT *, {fx.duck_skills('text')} AS skills_array FROM txt),
+idx AS (SELECT CASE WHEN len(skills_array) = 0 THEN 'other' ELSE category END AS category,
+               id, skills_array FROM sk)"""
+
+
+def edited_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Second versions of a fifth of all posts: no body, the source as category."""
+    edits = fx.posts(spark, sf_dir).where(EDIT).select(
+        "id", "title", F.lit(None).cast("string").alias("selftext"), F.col("subreddit").alias("category"),
+        (F.col("created_utc") + F.expr("INTERVAL 1 MINUTE")).alias("created_utc"))
+    return category_override(with_skills(edits, MATCHER), "category").select(*ENRICHED_COLUMNS)
+
+
+@query("panels_incremental", EDITED_PRELUDE + _DASHBOARD)
+def q_panels_incremental(spark, sf_dir):
+    """The dashboard after edits of a fifth of all posts, in three batches of the
+    keyed log with a folded base and folded sums in between: the counts come
+    from signed deltas, the index is read for the rest buckets alone."""
+    log, deltas, base, sums = (scratch_path(spark, f"delta-{n}") for n in ("log", "counts", "base", "sums"))
+    write = dl.delta_writer(log, deltas, base)
+    write(index(spark, sf_dir).select(*ENRICHED_COLUMNS), 0)
+    st.fold_log(spark, log, base)
+    dl.fold_deltas(spark, deltas, sums)
+    edits = edited_posts(spark, sf_dir)
+    early = F.col("id").cast("long") % 2 == 0
+    # the first batch of edits is edited once more by the second
+    write(edits.where(early).withColumn("category", F.lit("draft")), 1)
+    write(edits, 2)
+    counts = stored(dl.read_counts(spark, deltas, sums), "panel-counts")
+    current = st.read_keyed(spark, log, base=base)
+    return _stacked(tm.panels(current, counts=counts))

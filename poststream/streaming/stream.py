@@ -8,8 +8,9 @@ The keyed document store is an append-only log of micro-batches: each batch
 lands in its own ``batch_id=N`` folder, written with overwrite, so a replayed
 batch after a crash rewrites the same folder (idempotent).  Readers take the
 latest row per key, chosen on narrow columns (a partial limit per key on the
-map side).  ``compact`` folds the log into a new base folder, and ``retire``
-removes folded batches once readers use it.
+map side).  ``fold_log`` folds the log into a base by buckets of the key (or
+``compact`` into a new flat folder), and ``retire`` removes folded batches once
+readers use it.
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ from collections.abc import Callable, Sequence
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
@@ -27,7 +28,8 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 from ..defaults import FLUSH_EVERY, TOPIC
 from ..operators.enrich import category_override, enriched, with_skills
 from ..operators.model import score
-from ..session import delete_path, list_folders, path_exists
+from ..session import delete_path, list_folders, path_exists, stored
+from ..sources import buckets as bk
 from ..sources.ledger import read_ledger
 from ..sources.wire import RECORD_SCHEMA, decode_json, encode_json, split_tagged, tag_messages
 
@@ -274,34 +276,72 @@ def latest_per_id(df: DataFrame, key: Sequence[str] | str = "id",
               .select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)],
                       F.xxhash64(*keys).alias("_at"), F.col("_row").alias("_best")))
     # joined on two hashes, so that the rows lie as the last step needs them
-    same_key = reduce(and_, [F.coalesce(F.col(k) == F.col(f"_k{i}"),
-                                        F.col(k).isNull() & F.col(f"_k{i}").isNull())
-                             for i, k in enumerate(keys)])
+    equal = reduce(and_, [F.coalesce(F.col(k) == F.col(f"_k{i}"),
+                                     F.col(k).isNull() & F.col(f"_k{i}").isNull())
+                          for i, k in enumerate(keys)])
     back = df.withColumns({"_row": row, "_key": F.xxhash64(*keys)}).join(
-        winner, (F.col("_key") == F.col("_at")) & (F.col("_row") == F.col("_best")) & same_key)
+        winner, (F.col("_key") == F.col("_at")) & (F.col("_row") == F.col("_best")) & equal)
     # equal rows of a key: one of them
     one = Window.partitionBy("_key", "_row", *keys).orderBy("_row")
     return (back.withColumn("_nth", F.row_number().over(one)).where("_nth = 1")
             .select(*keys, *rest))
 
 
-def read_log(spark: SparkSession, path: str, since: int = -1) -> DataFrame:
+def batches(spark: SparkSession, path: str) -> list[int]:
+    """Numbers of the batch folders of a log (a listing, no data read)."""
+    names = [n.removeprefix("batch_id=") for n in list_folders(spark, path) if n.startswith("batch_id=")]
+    return sorted(int(n) for n in names if n.isdigit())
+
+
+def read_log(spark: SparkSession, path: str, since: int = -1,
+             schema: T.StructType | None = None) -> DataFrame:
     """Micro-batch folders of a keyed log newer than ``since``, with their
-    ``batch_id`` (the filter prunes whole folders)."""
-    log = spark.read.option("basePath", path).parquet(f"{path}/batch_id=*")
+    ``batch_id`` (the filter prunes whole folders).  A log without any folder
+    (all folded and retired) is empty; it needs the ``schema`` of its rows."""
+    if not batches(spark, path):
+        if schema is None:
+            raise ValueError(f"no batch in {path}, and no schema given")
+        fields = [f for f in schema.fields if f.name != "batch_id"]
+        return spark.createDataFrame([], T.StructType(fields + [T.StructField("batch_id", T.LongType())]))
+    log = spark.read.option("basePath", path).parquet(f"{path}/batch_id=*") \
+        .withColumn("batch_id", F.col("batch_id").cast("long"))
     return log.where(F.col("batch_id") > since) if since >= 0 else log
 
 
+def same_key(keys: Sequence[str], left: str, right: str) -> Column:
+    """Equal keys, NULL being one of them."""
+    return reduce(and_, [F.col(f"{left}.{k}").eqNullSafe(F.col(f"{right}.{k}")) for k in keys])
+
+
+def without(rows: DataFrame, newer: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``rows`` whose key is not in ``newer``."""
+    return rows.alias("l").join(newer.select(*keys).alias("r"), same_key(keys, "l", "r"), "left_anti")
+
+
+def _base(spark: SparkSession, base: str | None, since: int) -> tuple[DataFrame | None, int]:
+    """Rows of a base and the last batch folded into them: a base by buckets
+    (``fold_log``) knows that itself."""
+    if not base or not path_exists(spark, base):
+        return None, since
+    now = bk.state(spark, base)
+    if now is None:
+        return spark.read.parquet(base), since
+    return bk.read(spark, base).drop(bk.BUCKET), now.since
+
+
 def read_keyed(spark: SparkSession, path: str, key: Sequence[str] | str = "id",
                order: Sequence[str] = ("batch_id", "created_utc"),
                base: str | None = None, since: int = -1) -> DataFrame:
-    """Current documents: latest row per key over the base (folded up to
-    batch ``since``) and the newer log batches."""
-    log = read_log(spark, path, since)
-    if base and path_exists(spark, base):
-        log = spark.read.parquet(base).withColumn("batch_id", F.lit(since).cast("long")) \
-            .unionByName(log.withColumn("batch_id", F.col("batch_id").cast("long")))
-    return latest_per_id(log, key, order).drop("batch_id")
+    """Current documents: base rows whose key has no newer version, and the
+    newest version of each key in the log batches after ``since``.  The base
+    has each key once, so only the newer batches are ranked; while those are
+    small the base isn't shuffled either."""
+    keys = [key] if isinstance(key, str) else list(key)
+    rows, since = _base(spark, base, since)
+    if rows is None:
+        return latest_per_id(read_log(spark, path, since), key, order).drop("batch_id")
+    newer = latest_per_id(read_log(spark, path, since, rows.schema), keys, order).drop("batch_id")
+    return without(rows, newer, keys).unionByName(newer)
 
 
 def compact(spark: SparkSession, path: str, out: str, base: str | None = None,
@@ -311,18 +351,15 @@ def compact(spark: SparkSession, path: str, out: str, base: str | None = None,
     """Fold the log batches newer than ``since`` into a new base at ``out``:
     base rows whose key has no newer version, plus the newest of the newer
     versions.  The old base stays readable until readers switch.  Returns the
-    last folded batch id (pass it as ``since`` next time)."""
+    last folded batch id (pass it as ``since`` next time).  ``fold_log`` keeps
+    one base and rewrites only what has changed."""
     keys = [key] if isinstance(key, str) else list(key)
-    log = read_log(spark, path, since)
-    last = log.agg(F.max("batch_id")).first()[0]
-    if last is None:
-        last = since
-    newer = latest_per_id(log.where(F.col("batch_id") <= last), keys, order).drop("batch_id")
-    if base and path_exists(spark, base):
-        kept = spark.read.parquet(base).join(newer.select(*keys), keys, "left_anti")
-        folded = kept.unionByName(newer)
-    else:
-        folded = newer
+    rows, since = _base(spark, base, since)
+    last = max([since, *batches(spark, path)])
+    log = read_log(spark, path, since, rows.schema if rows is not None else None)
+    folded = latest_per_id(log.where(F.col("batch_id") <= last), keys, order).drop("batch_id")
+    if rows is not None:
+        folded = without(rows, folded, keys).unionByName(folded)
     writer = folded.write.mode("overwrite")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
@@ -330,15 +367,34 @@ def compact(spark: SparkSession, path: str, out: str, base: str | None = None,
     return int(last)
 
 
+def fold_log(spark: SparkSession, path: str, base: str, key: Sequence[str] | str = "id",
+             order: Sequence[str] = ("batch_id", "created_utc"), buckets: int = bk.BUCKETS) -> int:
+    """Fold the new log batches into the one base at ``base``, laid out by the
+    hash of the key: only the buckets that the new versions fall in are read and
+    rewritten.  The base keeps the last folded batch beside its rows, so readers
+    need no more than its path.  Returns that batch."""
+    keys = [key] if isinstance(key, str) else list(key)
+    bk.finish(spark, base)
+    now = bk.state(spark, base)
+    since, buckets = (now.since, now.buckets) if now else (bk.NEVER, buckets)
+    last = max([since, *batches(spark, path)])
+    if last == since:
+        return since
+    log = read_log(spark, path, since).where(F.col("batch_id") <= last)
+    newer = stored(latest_per_id(log, keys, order).drop("batch_id")
+                   .withColumn(bk.BUCKET, bk.bucket_of(keys, buckets)), "newer")
+    rows = newer
+    if now:
+        old = bk.read(spark, base, bk.touched(newer))
+        rows = without(old, newer, keys).unionByName(newer)
+    bk.replace(spark, base, rows, last, buckets)
+    return last
+
+
 def retire(spark: SparkSession, path: str, upto: int) -> int:
-    """Delete the log batches up to ``upto`` that ``compact`` has folded; call
-    it after readers have switched to the new base.  Returns their number."""
-    gone = 0
-    for name in list_folders(spark, path):
-        number = name.removeprefix("batch_id=")
-        if name.startswith("batch_id=") and number.isdigit() and int(number) <= upto:
-            gone += delete_path(spark, f"{path}/{name}")
-    return gone
+    """Delete the log batches up to ``upto`` that a base has folded; call
+    it after readers have switched to that base.  Returns their number."""
+    return sum(delete_path(spark, f"{path}/batch_id={n}") for n in batches(spark, path) if n <= upto)
 
 
 # --------------------------------------------------------------- lifecycle ----

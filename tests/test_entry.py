@@ -10,7 +10,7 @@ from conftest import SF_SMALL
 sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(__file__)), "tools"))
 import check_oracle as check  # noqa: E402
 
-TABLES = ["documents", "events", "labels"]
+TABLES = check.TABLES
 
 
 def test_entry_runs(spark):
