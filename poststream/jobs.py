@@ -107,13 +107,15 @@ def ingest(spark: SparkSession, posts: DataFrame, ledger_path: str, out_path: st
            keywords: Sequence[str] = JOB_KEYWORDS, limit: int = FIRST_RUN_LIMIT,
            days: int = DAYS_BACK) -> int:
     """One ingest run: decide what to send, write the messages, then record
-    the sent ids in the ledger (in that order: at least once)."""
-    sent = ig.prepare(posts, lg.read_ledger(spark, ledger_path), as_of, sources, keywords,
-                      limit, days)
+    the sent ids in the ledger by buckets (in that order: at least once), which is
+    folded every few runs."""
+    if len(lg.runs(spark, ledger_path)) >= lg.FOLD_EVERY:
+        lg.fold_ledger(spark, ledger_path)
+    sent = ig.prepare(posts, ledger_path, as_of, sources, keywords, limit, days)
     sent = materialize(sent)
     routed = ig.route(ig.with_tag(sent)).drop("tag")      # emitted as reddit.jobs.post
     wire.encode_json(routed).write.mode("append").parquet(out_path)
-    lg.append_ledger(sent, ledger_path)
+    lg.append_run(sent, ledger_path)
     return sent.count()
 
 

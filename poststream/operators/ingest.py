@@ -19,6 +19,7 @@ from ..defaults import (BODY_CHARS, DAYS_BACK, FIRST_RUN_LIMIT, JOB_KEYWORDS, TA
                         TAG_SUFFIX)
 from ..functions.text import is_relevant, iso_timestamp, job_text, truncate_body
 from ..session import stored
+from ..sources import ledger as lg
 from ..sources.wire import RECORD_FIELDS
 from .topn import top_n_per_group
 
@@ -58,14 +59,17 @@ def recent(df: DataFrame, as_of: datetime | str | Column, days: int = DAYS_BACK,
     return df.where(F.col(ts) >= limit)
 
 
-def unseen(df: DataFrame, ledger: DataFrame, key: str = "id",
+def unseen(df: DataFrame, ledger: DataFrame | str, key: str = "id",
            ledger_key: str | None = None) -> DataFrame:
-    """Drop posts whose id is in the ledger.
+    """Drop posts whose id is in the ledger: a table, or the path of a ledger by
+    buckets, whose filters then spare most of its reading (``sources.ledger``).
 
     A plain anti join on the ledger's rows: repeats in the ledger change
     nothing, and with no aggregate between the shuffle and the join AQE can
     split a hot id on the post side.  Spark sizes the join itself.
     """
+    if isinstance(ledger, str):
+        return lg.unseen(df, ledger, key)
     ids = ledger.select(F.col(ledger_key or key).cast("string").alias(key))
     return df.join(ids, key, "left_anti")
 
@@ -164,7 +168,7 @@ def sent_counts(df: DataFrame, source: str = "subreddit") -> DataFrame:
     return df.groupBy(source).agg(F.count(F.lit(1)).alias("sent"))
 
 
-def candidates(df: DataFrame, ledger: DataFrame, as_of: datetime | str | Column,
+def candidates(df: DataFrame, ledger: DataFrame | str, as_of: datetime | str | Column,
                sources: Sequence[str], limit: int = FIRST_RUN_LIMIT, days: int = DAYS_BACK,
                key: str = "id", source: str = "subreddit", ts: str = "created_utc") -> DataFrame:
     """(id, source, created) of the posts that pass newest-n, age and ledger.
@@ -175,10 +179,12 @@ def candidates(df: DataFrame, ledger: DataFrame, as_of: datetime | str | Column,
     """
     narrow = select_sources(df, sources, source).select(key, source, ts)
     picked = recent(newest_per_source(narrow, limit, source, ts, key), as_of, days, ts)
+    if isinstance(ledger, str):
+        picked = stored(picked, "picked")     # asked twice: the filters, then the anti join
     return unseen(picked, ledger, key).dropDuplicates([key, source, ts])
 
 
-def prepare(df: DataFrame, ledger: DataFrame, as_of: datetime | str | Column,
+def prepare(df: DataFrame, ledger: DataFrame | str, as_of: datetime | str | Column,
             sources: Sequence[str], keywords: Sequence[str] = JOB_KEYWORDS,
             limit: int = FIRST_RUN_LIMIT, days: int = DAYS_BACK, key: str = "id",
             source: str = "subreddit", ts: str = "created_utc",

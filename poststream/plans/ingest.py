@@ -10,6 +10,7 @@ from ..functions.text import (epoch_to_utc, iso_timestamp, job_text, keyword_hit
                               title_preview, truncate_body)
 from ..operators import ingest as ig
 from ..operators import terms as tm
+from ..session import scratch_path
 from ..sources import ledger as lg
 from ..sources import wire
 from . import fixtures as fx
@@ -167,6 +168,21 @@ def q_unseen_posts(spark, sf_dir):
     return ig.unseen(fx.posts(spark, sf_dir), _ledger(spark, sf_dir)).select("id")
 
 
+@query("unseen_posts_bucketed", BASE + """ SELECT id FROM posts p
+ WHERE NOT EXISTS (SELECT 1 FROM labels l WHERE CAST(l.doc_id AS VARCHAR) = p.id)""")
+def q_unseen_posts_bucketed(spark, sf_dir):
+    """The same with a ledger by buckets, grown in four runs: two folded one after
+    the other, one folded with the next, one not folded yet."""
+    path, sent = scratch_path(spark, "ledger"), _ledger(spark, sf_dir)
+    for run in range(4):
+        lg.append_run(sent.where(F.pmod(F.xxhash64("id", F.lit(run)), F.lit(3)) != 0)
+                      if run % 2 else sent.where(F.pmod(F.xxhash64("id"), F.lit(2)) == run // 2), path)
+        if run in (0, 2):
+            lg.fold_ledger(spark, path)
+    return ig.unseen(fx.doc_posts(spark, sf_dir).join(
+        fx.event_times(spark, sf_dir), "id").select("id"), path).select("id")
+
+
 @query("distinct_ids", BASE + " SELECT DISTINCT id, title, created_utc FROM posts")
 def q_distinct_ids(spark, sf_dir):
     p = fx.posts(spark, sf_dir).select("id", "title", "created_utc")

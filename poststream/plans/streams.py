@@ -166,7 +166,7 @@ def q_stream_dedup_batches(spark, sf_dir):
     folder = _topic(spark, _messages(spark, sf_dir))
     _topic(spark, _messages(spark, sf_dir, _labelled(spark, sf_dir)), folder)  # re-sends
     out, seen = scratch_path(spark, "dedup-out"), scratch_path(spark, "dedup-seen")
-    writer = st.dedup_writer(out, seen, "id", keep=["id", "title", "created_utc"])
+    writer = st.dedup_writer(out, seen, "id", keep=["id", "title", "created_utc"], order=["event_time"])
     _run(_posts_stream(spark, folder).writeStream.foreachBatch(writer)
          .option("checkpointLocation", scratch_path(spark, "dedup-ckpt"))
          .trigger(availableNow=True))
@@ -184,7 +184,8 @@ def q_stream_dedup_late(spark, sf_dir):
     append_ledger(p.where(F.col("id").cast("long") % 7 == 0), ledger)
     out, seen = scratch_path(spark, "late-out"), scratch_path(spark, "late-seen")
     ckpt = scratch_path(spark, "late-ckpt")
-    writer = st.dedup_writer(out, seen, "id", keep=["id", "title", "created_utc"], ledger_path=ledger)
+    writer = st.dedup_writer(out, seen, "id", keep=["id", "title", "created_utc"], ledger_path=ledger,
+                             order=["event_time"])
     folder = None
     for part in (p.where(newer), p.where(~newer).unionByName(p.where(newer))):
         folder = _topic(spark, _messages(spark, sf_dir, part), folder)
@@ -193,6 +194,25 @@ def q_stream_dedup_late(spark, sf_dir):
     return st.read_log(spark, out).drop("batch_id")
 
 
+@query("stream_dedup_bounded", BASE + f""" SELECT id, title, {_iso_sql('created_utc')} AS created_utc
+ FROM posts WHERE CAST(id AS BIGINT) % 7 <> 0""")
+def q_stream_dedup_bounded(spark, sf_dir):
+    """``stream_dedup_late`` with a state that ends six hours behind the newest
+    post: the older posts of the second run go around it to the ledger."""
+    p = fx.posts(spark, sf_dir)
+    newer = F.col("created_utc") >= F.lit(fx.AS_OF)
+    ledger = scratch_path(spark, "bounded-ledger")
+    append_ledger(p.where(F.col("id").cast("long") % 7 == 0), ledger)
+    out, seen, ckpt = (scratch_path(spark, f"bounded-{n}") for n in ("out", "seen", "ckpt"))
+    folder = None
+    for part in (p.where(newer), p.where(~newer).unionByName(p.where(newer))):
+        folder = _topic(spark, _messages(spark, sf_dir, part), folder)
+        _run(st.bounded_dedup(_posts_stream(spark, folder), out, seen, ckpt, "6 hours",
+                              keep=["id", "title", "created_utc"], ledger_path=ledger,
+                              order=["event_time"], fold_every=3).trigger(availableNow=True))
+    return st.read_log(spark, out).drop("batch_id")
+
+
 @query("stream_trend", BASE + """ SELECT date_trunc('hour', created_utc) AS bucket, subreddit,
  count(*) AS posts FROM posts GROUP BY ALL""")
 def q_stream_trend(spark, sf_dir):

@@ -30,6 +30,7 @@ from ..operators.enrich import category_override, enriched, with_skills
 from ..operators.model import score
 from ..session import delete_path, list_folders, path_exists, stored
 from ..sources import buckets as bk
+from ..sources import ledger as lg
 from ..sources.ledger import read_ledger
 from ..sources.wire import RECORD_SCHEMA, decode_json, encode_json, split_tagged, tag_messages
 
@@ -106,37 +107,99 @@ def dedup_stream(posts: DataFrame, key: str = "id") -> DataFrame:
     return posts.dropDuplicates([key])
 
 
+def first_per_id(df: DataFrame, key: str = "id", order: Sequence[str] = ()) -> DataFrame:
+    """One row per key: the least ``order`` tuple (NULL last), then the least hash
+    of the row, so equal candidates give one fixed answer.  A partial minimum on
+    the map side cuts a hot key down; NULL is a key like others."""
+    hashed = df.withColumn("_row", F.xxhash64(*df.columns))
+    rank = F.struct(*[x for c in order for x in (F.col(c).isNull(), F.col(c))], F.col("_row"))
+    one = F.min_by(F.struct(*df.columns), rank).alias("_first")
+    return hashed.groupBy(F.col(key).alias("_key")).agg(one).select("_first.*")
+
+
 def dedup_writer(out_path: str, seen_path: str, key: str = "id",
-                 keep: Sequence[str] | None = None, ledger_path: str | None = None
+                 keep: Sequence[str] | None = None, ledger_path: str | None = None,
+                 order: Sequence[str] = (), fold_every: int = lg.FOLD_EVERY
                  ) -> Callable[[DataFrame, int], None]:
     """foreachBatch dedup that survives a hot key.
 
-    Each micro-batch is deduplicated with a batch aggregation (partial
-    combine, so a post re-sent millions of times is cut down on the map side
-    instead of landing in one task), then anti-joined with the ids seen in
-    earlier batches.  New rows go to ``out_path/batch_id=N`` and their ids to
-    ``seen_path/batch_id=N``, both overwritten, and only batches below N count
-    as seen, so a replayed batch N produces the same output again.  Ids in
-    the ledger at ``ledger_path``, read anew for each batch, count as seen too.
-    The anti joins take the ids as they are, so AQE can split a hot one.
+    Of a key's rows in a micro-batch the first by ``order`` stays
+    (``first_per_id``: a partial minimum, so a post re-sent millions of times is
+    cut down on the map side), unless an earlier batch has had it.  New rows go to
+    ``out_path/batch_id=N`` and their ids, as run N, to the ledger by buckets at
+    ``seen_path``; only runs below N count as seen, so a replayed batch N produces
+    the same output again.  Its filters spare most of the reading, and every
+    ``fold_every`` batches the earlier runs are folded.  Ids in the flat ledger at
+    ``ledger_path``, read anew for each batch, count as seen too.
     """
+    def write(batch: DataFrame, batch_id: int) -> None:
+        _write_unseen(first_per_id(batch, key, order), batch_id, out_path, seen_path, key, keep,
+                      ledger_path, fold_every)
+    return write
+
+
+def _write_unseen(first: DataFrame, batch_id: int, out_path: str, seen_path: str, key: str,
+                  keep: Sequence[str] | None, ledger_path: str | None, fold_every: int) -> None:
+    """Write the rows of ``first`` (one per key) that no earlier run has had."""
+    spark = first.sparkSession
+    if sum(n < batch_id for n in lg.runs(spark, seen_path)) >= fold_every:
+        lg.fold_ledger(spark, seen_path, before=batch_id)
+    if ledger_path:
+        ledger = read_ledger(spark, ledger_path)
+        first = first.join(ledger.select(F.col("id").alias(key)), key, "left_anti")
+    rows = first.persist()
+    fresh = lg.unseen(rows, seen_path, key, before=batch_id).persist()
+    try:
+        out = fresh.select(*keep) if keep else fresh
+        out.write.mode("overwrite").parquet(f"{out_path}/batch_id={batch_id}")
+        lg.append_run(fresh, seen_path, batch_id, key)
+    finally:
+        fresh.unpersist()
+        rows.unpersist()
+
+
+def bounded_dedup(posts: DataFrame, out_path: str, seen_path: str, checkpoint: str,
+                  span: str = "7 days", key: str = "id", ts: str = "event_time",
+                  keep: Sequence[str] | None = None, ledger_path: str | None = None,
+                  order: Sequence[str] = (), fold_every: int = lg.FOLD_EVERY) -> DataStreamWriter:
+    """Each key once, with a state that ends: a writer to be started.
+
+    The keys alone pass ``dropDuplicatesWithinWatermark``, whose state forgets a key
+    that lies ``span`` behind the newest post; a row that old would be dropped there
+    unseen.  So whole rows take a way around the state: in each micro-batch those are
+    taken whose key the state let through, or that are older than the newest time of
+    all earlier batches less ``span`` (kept in ``seen_path/newest``), or have no time.
+    What is taken is checked against the ledger by buckets at ``seen_path`` (and the
+    flat one at ``ledger_path``): an unseen key is kept however late it comes, and a
+    key whose state has ended does not come twice.  Of a key's rows in a batch the
+    first by ``order`` stays."""
+    rows = posts.withColumn("_way", F.lit(1))
+    keys = (posts.where(F.col(ts).isNotNull()).select(key, ts).withWatermark(ts, span)
+            .dropDuplicatesWithinWatermark([key]).withColumn("_way", F.lit(0)))
+    both = rows.unionByName(keys, allowMissingColumns=True)
+
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        first = batch.dropDuplicates([key])
-        if path_exists(spark, seen_path):
-            seen = read_log(spark, seen_path).where(F.col("batch_id") < batch_id)
-            first = first.join(seen.select(key), key, "left_anti")
-        if ledger_path:
-            ledger = read_ledger(spark, ledger_path)
-            first = first.join(ledger.select(F.col("id").alias(key)), key, "left_anti")
-        fresh = first.persist()
+        marks = f"{seen_path}/newest"
+        bound = F.lit(None).cast("timestamp")
+        if any(n < batch_id for n in batches(spark, marks)):
+            newest = read_log(spark, marks).where(F.col("batch_id") < batch_id).agg(F.max("newest")).first()[0]
+            bound = F.lit(newest) - F.expr(f"INTERVAL {span}")
+        held = batch.persist()
         try:
-            out = fresh.select(*keep) if keep else fresh
-            out.write.mode("overwrite").parquet(f"{out_path}/batch_id={batch_id}")
-            fresh.select(key).write.mode("overwrite").parquet(f"{seen_path}/batch_id={batch_id}")
+            own = held.where("_way = 1").drop("_way")
+            passed = held.where("_way = 0").select(F.col(key).alias("_key")).distinct()
+            late = F.coalesce(F.col(ts) <= bound, F.lit(False)) | F.col(ts).isNull()
+            taken = own.where(late).unionByName(
+                own.where(~late).join(passed, F.col(key).eqNullSafe(F.col("_key")), "left_semi"))
+            _write_unseen(first_per_id(taken, key, order), batch_id, out_path, seen_path, key, keep,
+                          ledger_path, fold_every)
+            (own.agg(F.max(ts).alias("newest")).write.mode("overwrite")
+             .parquet(f"{marks}/batch_id={batch_id}"))
         finally:
-            fresh.unpersist()
-    return write
+            held.unpersist()
+    return (both.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+            .outputMode("append"))
 
 
 def trend_counts(posts: DataFrame, ts: str = "event_time", every: str = "1 hour",
