@@ -12,10 +12,12 @@ from pyspark.sql import functions as F
 
 from ..defaults import CSV_MISSING_MARKERS
 from ..functions.text import SkillMatcher, clean_text, skill_matcher
+from ..session import stored
 from .topn import global_rank
 
-# an atom of cleaned text: a run of word characters, or one other character
-ATOM = "[a-z0-9_]+|[^a-z0-9_]"
+# a word, a kept sign, or a run of what cleaning turns into one blank
+ATOM = "[a-z0-9]+|[+#./-]|[^a-z0-9+#./-]+"
+SIEVE_BITS = 1 << 16
 
 
 def read_lexicon_csv(spark: SparkSession, path: str) -> DataFrame:
@@ -65,36 +67,81 @@ def lexicon_matcher(lexicon: DataFrame) -> SkillMatcher:
     return skill_matcher(lexicon_terms(lexicon))
 
 
+def anchored(lexicon: DataFrame) -> DataFrame:
+    """(skill, atom, offset, size, head, tail): each term once, under the rarest of
+    its atoms, with its text before and after that atom.
+
+    Rarest: contained in the fewest terms; of equals the longer, and words before
+    other characters, for blanks and single signs stand in every text.  The choice
+    decides how many places of a text are looked at, never what is found."""
+    terms = lexicon.select("skill").where("skill <> ''").distinct().withColumn(
+        "a", F.expr(f"regexp_extract_all(skill, r'{ATOM}', 0)"))
+    atoms = terms.select("skill", "a", F.posexplode("a").alias("offset", "atom"))
+    # terms per atom: pre-aggregated, so that a blank in most terms is no hot key
+    spread = atoms.select("skill", "atom").distinct().groupBy("atom").agg(F.count(F.lit(1)).alias("n"))
+    rank = F.struct(~F.col("atom").rlike("^[a-z0-9]"), "n", -F.length("atom"), "offset")
+    return (atoms.join(spread, "atom").groupBy("skill", "a")
+            .agg(F.min_by(F.struct("atom", "offset"), rank).alias("m"))
+            .select("skill", "m.atom", "m.offset", F.size("a").alias("size"),
+                    F.expr("array_join(slice(a, 1, m.offset), '')").alias("head"),
+                    F.expr("array_join(slice(a, m.offset + 2, size(a)), '')").alias("tail")))
+
+
+def _sieve(anchors: DataFrame) -> list[int]:
+    """A bit for the hash of each anchor, in words of 64: always SIEVE_BITS bits,
+    however many terms there are."""
+    bit = F.pmod(F.xxhash64("atom"), F.lit(SIEVE_BITS)).alias("bit")
+    words = (anchors.select(bit).groupBy(F.expr("cast(bit div 64 as int)").alias("w"))
+             .agg(F.bit_or(F.expr("shiftleft(1L, cast(bit % 64 as int))")).alias("bits")).collect())
+    out = [0] * (SIEVE_BITS // 64)
+    for r in words:
+        out[r["w"]] = r["bits"]
+    return out
+
+
 def match_by_join(posts: DataFrame, lexicon: DataFrame, key: str = "id", text: str = "text",
                   out: str = "skills_array") -> DataFrame:
     """(key, ``out``): the same terms as ``extract_skills``, for a lexicon of
     any size that stays a table.
 
-    Every run of atoms of the cleaned text that could be a term (no longer than
-    the longest term, word edges at both ends) is joined to the lexicon; from a
-    post's hits the leftmost is taken, of those the longest, then the next one
-    that begins after it.  The lexicon has each term once, so the join makes at
-    most one row per run, and a frequent term is split by AQE like any hot key.
-    ``key`` must be unique.
+    A term is looked for only where its rarest atom stands.  A text's atoms pass a
+    sieve of fixed size (a bit per hash of an anchor); those that pass leave their
+    text with as many neighbours as the longest term has, and are joined to the
+    anchors; the rest of the term is compared with the neighbours.  The join is
+    Spark's choice: a small lexicon is broadcast, a large one shuffled, where AQE
+    splits a frequent atom.  From a post's hits the leftmost is taken, of those the
+    longest, then the next one that begins after it.  ``key`` must be unique.
     """
-    terms = lexicon.select("skill").where("skill <> ''").distinct()
-    atoms = f"regexp_extract_all(%s, '{ATOM}', 0)"
-    longest = terms.agg(F.max(F.size(F.expr(atoms % "skill")))).first()[0] or 0
-    cut = posts.select(F.col(key), F.expr(atoms % "clean").alias("a")) if "clean" in posts.columns \
-        else posts.select(F.col(key), clean_text(text).alias("clean")).select(
-            F.col(key), F.expr(atoms % "clean").alias("a"))
-    word = "%s rlike '^[a-z0-9_]'"
-    opens = f"({word % 'get(a, i)'} or not coalesce({word % 'get(a, i - 1)'}, false))"
-    closes = f"({word % 'get(a, i + n - 1)'} or not coalesce({word % 'get(a, i + n)'}, false))"
-    runs = F.expr(
-        f"flatten(transform(filter(sequence(0, greatest(size(a) - 1, 0)), i -> size(a) > 0 and {opens}), "
-        f"i -> transform(filter(sequence(1, greatest(least({longest}, size(a) - i), 1)), n -> {closes}), "
-        f"n -> struct(i as start, -n as size, array_join(slice(a, i + 1, n), '') as skill))))")
-    hits = (cut.select(F.col(key), F.explode_outer(runs).alias("r"))
-            .select(F.col(key), "r.start", "r.size", "r.skill").where("skill is not null")
-            .join(terms, "skill"))
+    anchors = stored(anchored(lexicon), "anchors")
+    before, after, blank = anchors.agg(F.max("offset"), F.max(F.expr("size - offset - 1")),
+                                       F.max(F.expr("trim(skill) = ''"))).first()
+    before, after = (before or 0) + 1, (after or 0) + 1
+    # matched as cleaned text: what is not kept is one blank, none at the ends
+    raw = F.col("clean") if "clean" in posts.columns else F.lower(F.col(text))
+    cut = posts.select(F.col(key), raw.alias("t")).select(
+        F.col(key), F.expr(f"regexp_extract_all(t, r'{ATOM}', 0)").alias("a"))
+    kept = "x rlike '^[a-z0-9+#./-]'"
+    as_clean = f"transform(%s, x -> if({kept}, x, ' '))"
+    if blank:       # a term of blanks alone
+        cut = cut.select(F.col(key), F.expr(as_clean % "a").alias("a"))
+    sieve = ", ".join(f"{w}L" if w > -2 ** 63 else "bigint('-9223372036854775808')" for w in _sieve(anchors))
+    bit = f"pmod(xxhash64(get(a, i)), {SIEVE_BITS}L)"
+    passes = (f"getbit(get(array({sieve}), cast(shiftright({bit}, 6) as int)), cast({bit} & 63 as int)) = 1")
+    left = as_clean % f"slice(a, greatest(i - {before}, 0) + 1, least(i, {before}))"
+    right = as_clean % f"slice(a, i + 2, {after})"
+    places = F.expr(
+        f"if(size(a) = 0, array(), transform(filter(sequence(0, size(a) - 1), i -> {passes}), i -> struct("
+        f"i as at, get(a, i) as atom, if(i <= {before}, ltrim(array_join({left}, '')), array_join({left}, '')) "
+        f"as before, if(i + {after} >= size(a) - 1, rtrim(array_join({right}, '')), array_join({right}, '')) "
+        f"as after, i in (0, size(a) - 1) as edge)))")
+    free = "not coalesce(%s rlike '[a-z0-9]', false)"
+    hits = (cut.select(F.col(key), F.explode(places).alias("p")).select(F.col(key), "p.*")
+            .join(anchors, "atom")
+            .where("endswith(before, head) and startswith(after, tail) and not (edge and atom = ' ')")
+            .where(free % "substr(before, char_length(before) - char_length(head), if(char_length(before) > char_length(head), 1, 0))")
+            .where(free % "substr(after, char_length(tail) + 1, 1)"))
     fold = F.expr(
-        "aggregate(array_sort(collect_list(struct(start, size, skill))), "
+        "aggregate(array_sort(collect_list(struct(at - offset as start, -size as size, skill))), "
         "named_struct('upto', 0, 'got', cast(array() as array<string>)), "
         "(s, x) -> if(x.start >= s.upto, named_struct('upto', x.start - x.size, "
         "'got', concat(s.got, array(x.skill))), s), s -> s.got)")

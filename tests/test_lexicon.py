@@ -30,16 +30,26 @@ def test_order_and_size(spark):
 
 def test_match_by_join_equals_the_pattern(spark):
     terms = ["c", "c++", "c#", "java", "node.js", "node", ".net", "ci/cd", "machine learning",
-             "javascript", "go", "of the", "of", "the", " aws", "###", "+1", "a b c"]
+             "javascript", "go", "of the", "of", "the", " aws", "###", "+1", "a b c", "a_b", "a  b", "x,y",
+             "learning machine", "## +", "the end", " "]
     texts = ["C++, Java & java; Node.js\tMachine\nLearning asp.net .NET CI/CD c++11 Go-lang", "", None,
              "Java Script JAVASCRIPT _java_ \u00e9 go c#", "of the of the the of", "###+1 +1 a b c a b",
-             "x aws .net.net go/go go.go", "machine  learning machine learning"]
+             "x aws .net.net go/go go.go", "machine  learning machine learning", "+ + a_b a  b x,y",
+             " aws aws, aws ", "\u00a0of \u2014 the of_the Of-The 1of the2", "## + c++ ++c c +", "the end",
+             "lathe end", "\n", " + "]
     posts = spark.createDataFrame(list(enumerate(texts)), "id long, text string")
     lexicon = spark.createDataFrame([(t,) for t in terms], "skill string")
     want = {r.id: r.k for r in posts.select("id", extract_skills(
         F.coalesce("text", F.lit("")), pattern=skill_pattern(terms)).alias("k")).collect()}
     got = {r.id: r.skills_array for r in lx.match_by_join(posts, lexicon).collect()}
     assert got == want
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        large = lx.match_by_join(posts, lexicon).collect()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert {r.id: r.skills_array for r in large} == want
     none = lx.match_by_join(posts, lexicon.where("false"))
     assert {tuple(r.skills_array) for r in none.collect()} == {()}
 
