@@ -15,12 +15,13 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import LogisticRegression
+from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.feature import HashingTF, IndexToString, RegexTokenizer, StringIndexer
 from pyspark.ml.feature import StringIndexerModel
+from pyspark.ml.functions import vector_to_array
 from pyspark.ml.tuning import CrossValidator, CrossValidatorModel, ParamGridBuilder
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..defaults import (BEST_MAX_ITER, BEST_REG_PARAM, GRID_MAX_ITER, GRID_REG_PARAM, NUM_FEATURES,
@@ -142,6 +143,60 @@ def score(df: DataFrame, model: PipelineModel) -> DataFrame:
     return model.transform(df)
 
 
+def _stage(model: PipelineModel, kind: type):
+    return next(s for s in model.stages if isinstance(s, kind))
+
+
+def weights_table(spark: SparkSession, model: PipelineModel) -> tuple[DataFrame, DataFrame]:
+    """The fitted regression as tables: (slot, label, weight) without zeros, and
+    (label, category, intercept).  At most slots x categories rows.  Of two labels
+    the regression holds one row of margins: the other's are zero."""
+    lr = _stage(model, LogisticRegressionModel)
+    matrix, base = lr.coefficientMatrix.toArray(), lr.interceptVector.toArray()
+    first = lr.numClasses - len(base)           # 1 if there are two labels
+    rows = [(int(slot), int(label) + first, float(matrix[label, slot]))
+            for label, slot in zip(*matrix.nonzero())]
+    names = _stage(model, IndexToString).getLabels()
+    labels = [(i, names[i], float(base[i - first]) if i >= first else 0.0) for i in range(lr.numClasses)]
+    return (spark.createDataFrame(rows, "slot int, label int, weight double"),
+            spark.createDataFrame(labels, "label int, category string, intercept double"))
+
+
+def slot_table(tokens: DataFrame, model: PipelineModel) -> DataFrame:
+    """(token, slot) of the distinct ``tokens``, by the pipeline's own hashing stage."""
+    hashing = _stage(model, HashingTF)
+    one = hashing.transform(tokens.select("token").distinct()
+                            .withColumn(hashing.getInputCol(), F.array("token")))
+    slots = vector_to_array(F.col(hashing.getOutputCol()))
+    return one.select("token", (F.array_position(slots, 1.0) - 1).cast("int").alias("slot"))
+
+
+def score_by_join(df: DataFrame, model: PipelineModel, key: str = "id", skills: str = "skills"
+                  ) -> DataFrame:
+    """(key, margin, predicted_category): what the fitted pipeline predicts, from its
+    weights as a table.  Tokens join slots and weights, margins are sums, the category
+    is the one of the largest margin (of equal ones the more frequent).  ``key`` must be
+    unique; a frequent token is cut down to a row per post before it meets its weights,
+    and the tables are as small as the model, so posts are shuffled by key alone."""
+    spark = df.sparkSession
+    tokenizer = _stage(model, RegexTokenizer)
+    weights, labels = weights_table(spark, model)
+    pattern = tokenizer.getPattern()
+    split = F.filter(F.split(F.col(skills), pattern, -1),
+                     lambda t: F.length(t) >= tokenizer.getMinTokenLength())
+    tokens = df.select(F.col(key), F.explode(split).alias("token"))
+    shares = (tokens.join(slot_table(tokens, model), "token").join(weights, "slot")
+              .select(key, "label", F.col("weight").alias("part")))
+    # every category of every post, so that a post without tokens has its intercepts
+    base = F.array(*[F.struct(F.lit(r["label"]).alias("label"), F.lit(r["intercept"]).alias("part"))
+                     for r in labels.collect()])
+    whole = df.select(F.col(key), F.explode(base).alias("b")).select(key, "b.label", "b.part")
+    margins = shares.unionByName(whole).groupBy(key, "label").agg(F.sum("part").alias("margin"))
+    best = margins.groupBy(key).agg(F.max(F.struct("margin", (-F.col("label")).alias("label"))).alias("m"))
+    return (best.select(key, "m.margin", (-F.col("m.label")).alias("label")).join(labels, "label")
+            .select(key, "margin", F.col("category").alias("predicted_category")))
+
+
 def sample(df: DataFrame, n: int = 20) -> DataFrame:
     """A few predictions to eyeball, the same ones in every run."""
     cols = ["skills", "category", "predicted_category"]

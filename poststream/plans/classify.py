@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import tokenize_skills
 from ..operators import model as ml
-from ..session import materialize
+from ..session import materialize, scratch_path
 from .dashboard import PRELUDE, index
 from .registry import query
 
@@ -107,6 +107,34 @@ def q_predicted_categories(spark, sf_dir):
     return ml.score(data, model).select("id", "category", "predicted_category", "split")
 
 
+def _differences(left: DataFrame, right: DataFrame) -> DataFrame:
+    """Posts of both sides, and how many of them are predicted differently."""
+    a = left.select("id", F.col("predicted_category").alias("left"))
+    b = right.select("id", F.col("predicted_category").alias("right"))
+    return a.join(b, "id", "full").agg(
+        F.count("left").alias("posts"),
+        F.count_if(~F.col("left").eqNullSafe(F.col("right"))).alias("differences"))
+
+
+SAME_SQL = TRAIN_SQL + " SELECT count(*) AS posts, CAST(0 AS BIGINT) AS differences FROM kept"
+
+
+@query("score_by_join", SAME_SQL)
+def q_score_by_join(spark, sf_dir):
+    """Predictions from the weights as a table against the fitted pipeline's."""
+    data, model = _fit(spark, sf_dir)
+    return _differences(ml.score_by_join(data, model), ml.score(data, model))
+
+
+@query("saved_model_parity", SAME_SQL)
+def q_saved_model_parity(spark, sf_dir):
+    """The pipeline, saved and loaded, predicts what it did before."""
+    data, model = _fit(spark, sf_dir)
+    path = scratch_path(spark, "saved-model")
+    ml.save_model(model, path)
+    return _differences(ml.score(data, ml.load_model(path)), ml.score(data, model))
+
+
 @query("holdout_accuracy")
 def q_holdout_accuracy(spark, sf_dir):
     data, model = _fit(spark, sf_dir)
