@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from ..functions.text import tokenize_skills
 from ..operators import model as ml
 from ..session import materialize, scratch_path
+from ..sources.files import read_training
+from . import fixtures as fx
 from .dashboard import PRELUDE, index
 from .registry import query
 
@@ -29,6 +31,21 @@ def _split_training(spark: SparkSession, sf_dir: str) -> DataFrame:
     return materialize(ml.holdout(_training(spark, sf_dir)))
 
 
+_CSV_TEXT = "say \"hi\", ok"
+
+
+@query("training_csv", f"WITH {fx.POSTS_CTE} SELECT title || chr(10) || '{_CSV_TEXT}' AS skills, "
+       "category FROM posts WHERE category IS NOT NULL")
+def q_training_csv(spark, sf_dir):
+    """A training CSV whose fields hold quotes, commas and line breaks, written and read."""
+    path = scratch_path(spark, "training-csv")
+    rows = fx.texts(spark, sf_dir).select(
+        F.concat("title", F.lit("\n" + _CSV_TEXT)).alias("skills"), "category")
+    rows.where("category IS NOT NULL").write.option("header", True).option("escape", '"').option(
+        "quoteAll", True).csv(path)
+    return read_training(spark, path, multi_line=True)
+
+
 @query("tokenize_skills", TRAIN_SQL + """ SELECT id,
  list_filter(regexp_split_to_array(skills, '\\s*,\\s*'), lambda t: length(t) > 0) AS tokens
  FROM train_rows""")

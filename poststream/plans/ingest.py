@@ -13,6 +13,7 @@ from ..operators import terms as tm
 from ..session import scratch_path
 from ..sources import ledger as lg
 from ..sources import wire
+from ..sources.files import read_sources
 from . import fixtures as fx
 from .registry import query
 
@@ -144,11 +145,29 @@ def q_configured_sources(spark, sf_dir):
     return ig.select_sources(fx.texts(spark, sf_dir), fx.SOURCES).select("id", "subreddit")
 
 
-@query("union_sources", BASE + f""" SELECT id, subreddit FROM posts
- WHERE subreddit IN ({_SOURCES_SQL})""")
+@query("union_sources", BASE + f""" SELECT id, subreddit,
+ CASE WHEN subreddit <> 'src1' THEN created_utc END AS created_utc,
+ CASE WHEN subreddit = 'src2' THEN kind END AS kind FROM posts
+ WHERE subreddit IN ({_SOURCES_SQL}) AND subreddit <> 'src4'""")
 def q_union_sources(spark, sf_dir):
-    # one scan: the configured sources lie in one table here
-    return ig.select_sources(fx.timed(spark, sf_dir), fx.SOURCES).select("id", "subreddit")
+    """A folder per source: one without times, one with a column more, one whose id
+    is a number, and one (src4) that can't be read and is skipped."""
+    root, p = scratch_path(spark, "sources"), fx.with_time(
+        fx.doc_posts(spark, sf_dir).select("doc_id", "id", "subreddit"), spark, sf_dir).select(
+        "id", "subreddit", "created_utc", "kind")
+    p = ig.select_sources(p, fx.SOURCES)
+    own = {"src1": ["id"], "src2": ["id", "created_utc", "kind"],
+           "src3": [F.col("id").cast("long").alias("id"), "created_utc"]}
+    rest = [n for n in fx.SOURCES if n not in own]
+    ig.select_sources(p, rest).select("id", "created_utc", "subreddit").write.partitionBy("subreddit").parquet(root)
+    for name, columns in own.items():
+        ig.select_sources(p, [name]).select(*columns).write.parquet(f"{root}/subreddit={name}")
+    spark.range(1).select(F.lit("not a Parquet file").alias("value")).write.mode("overwrite").text(
+        f"{root}/subreddit=src4")
+    frames, broken = read_sources(spark, root, fx.SOURCES)
+    if set(broken) != {"src4"}:
+        raise RuntimeError(f"expected src4 to be reported, got {broken}")
+    return ig.union_sources(frames).select("id", "subreddit", "created_utc", "kind")
 
 
 @query("newest_per_source", BASE + f""" SELECT id, subreddit, created_utc,

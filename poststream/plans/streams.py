@@ -10,9 +10,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import ingest as ig
-from ..session import count_files, scratch_path
+from .. import jobs
+from ..session import count_files, scratch_path, stored
 from ..sources import wire
 from ..sources.ledger import append_ledger
+from ..streaming import metrics as mx
 from ..streaming import stream as st
 from . import fixtures as fx
 from .classify import _fit
@@ -20,7 +22,7 @@ from ..operators.enrich import with_skills
 from ..operators.model import load_model, save_model
 from .dashboard import MATCHER, PRELUDE
 from .ingest import bad_messages
-from .ingest import BASE, _iso_sql
+from .ingest import BASE, SENT, _iso_sql, _sent
 from .registry import query
 
 BATCHES = 4        # micro-batches per run (files per trigger follow from the file count)
@@ -224,6 +226,67 @@ def q_stream_trend(spark, sf_dir):
     return st.read_keyed(spark, log, ["bucket", "subreddit"], order=("batch_id",))
 
 
+@query("stream_sent_metrics", BASE + """ SELECT subreddit AS source, count(*) AS sent
+ FROM posts GROUP BY 1""")
+def q_stream_sent_metrics(spark, sf_dir):
+    """Posts per source as the listener saw them go by, batch after batch."""
+    folder = _topic(spark, _messages(spark, sf_dir))
+    sources = [f"src{i}" for i in range(20)]
+    path, out = scratch_path(spark, "metrics"), scratch_path(spark, "sent")
+    listener = mx.SentMetrics(spark, path, sources)
+    spark.streams.addListener(listener)
+    try:
+        q = (mx.observe_sources(_posts_stream(spark, folder), sources).select("id").writeStream
+             .format("parquet").option("path", out)
+             .option("checkpointLocation", scratch_path(spark, "sent-ckpt")).trigger(availableNow=True)
+             .start())
+        q.awaitTermination()
+        if not listener.wait(q) or listener.errors:
+            raise RuntimeError(f"metrics not written: {listener.errors}")
+    finally:
+        spark.streams.removeListener(listener)
+    return mx.read_metrics(spark, path).groupBy("source").agg(F.sum("sent").alias("sent"))
+
+
+@query("stream_publish", BASE + SENT + " SELECT id AS key, id, title, created_utc, selftext, subreddit FROM sent")
+def q_stream_publish(spark, sf_dir):
+    """The messages of ingest runs on their way to a topic (a folder here): half of
+    them, a stop, the other half on the same checkpoint, and a run with nothing new."""
+    messages, out, ckpt = (scratch_path(spark, f"publish-{n}") for n in ("log", "topic", "ckpt"))
+    sent = stored(wire.encode_json(ig.route(ig.with_tag(_sent(spark, sf_dir))).drop("tag")), "sent")
+    even = F.col("key").cast("long") % 2 == 0
+    for half in (sent.where(even), sent.where(~even), None):
+        if half is not None:
+            half.write.mode("append").parquet(messages)
+        jobs.publish(spark, messages, "parquet", {}, out, ckpt,
+                     trigger={"availableNow": True}).awaitTermination()
+    topic = spark.read.schema(st.TEXT_MESSAGES).parquet(out)
+    parsed = F.from_json("value", wire.RECORD_SCHEMA).alias("m")
+    return topic.select("key", parsed).select("key", "m.id", "m.title", "m.created_utc", "m.selftext",
+                                              "m.subreddit")
+
+
+@query("stream_restart", BASE + f""" SELECT id, title, {_iso_sql('created_utc')} AS created_utc
+ FROM posts""")
+def q_stream_restart(spark, sf_dir):
+    """A batch function that fails half-way, its rows already written: the query
+    starts again from its checkpoint, and the batch replaces what it had left."""
+    folder = _topic(spark, _messages(spark, sf_dir))
+    log, ckpt, failed = scratch_path(spark, "restart-log"), scratch_path(spark, "restart-ckpt"), []
+    whole = st.batch_writer(log)
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        if batch_id == 1 and not failed:
+            failed.append(batch_id)
+            whole(batch.where(F.xxhash64("id") % 2 == 0), batch_id)
+            raise RuntimeError("stopped half-way")
+        whole(batch, batch_id)
+    posts = _posts_stream(spark, folder).select("id", "title", "created_utc")
+    st.run_until_stopped(lambda: posts.writeStream.foreachBatch(write).option("checkpointLocation", ckpt)
+                         .trigger(availableNow=True).start(), retries=1, sleep=lambda s: None)
+    return st.read_log(spark, log).drop("batch_id")
+
+
 def _versions(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """First versions of all posts; edited second versions (title + ' v2',
     one minute later) of the labelled ones."""
