@@ -11,9 +11,17 @@ wanted), the same share of texts of each language as far as there are enough.
 A fifth of the sample is not trained on; the temperature that makes its
 predicted probabilities most likely scales the scores.
 
+The model tells at most ``SAMPLE_DOCS // LEAST_PER_LANG`` languages apart, those with
+the most training rows (of equal ones the first by name), since each wants
+``LEAST_PER_LANG`` rows of the sample.  A language value with fewer training rows than
+that, and than one in ``RARE`` of all, is left out, so that stray values of a dirty
+column are not learned; if that leaves none, all count.  So the model (buckets x
+languages), the sample and what the driver sees have a bound, whatever the table holds.
+
 A NULL text, or one without a letter, is ``und`` with score 0.  A table with no
 labelled row gives ``und`` for all texts.  Rows with NULL language are not
-learned from.  Equal texts get equal results.
+learned from.  Equal texts get equal results.  An empty table gives no rows.  Texts of
+any length are read whole.  Extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -28,12 +36,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from poststream.llm.arrowtext import whole_texts
+from poststream.llm.tables import stored
 from poststream.llm.vectors import gather
 
 BUCKETS = 1 << 14
 ORDERS = (1, 2, 3)
 SAMPLE_DOCS = 4000
 LEAST_PER_LANG = 20
+RARE = 100
 EPOCHS = 3
 ALPHA, BETA, L1, L2 = 0.5, 1.0, 0.02, 0.05
 HELD_SHARE = 5          # one sampled row in five sets the temperature
@@ -158,12 +168,22 @@ def best_temperature(logits: np.ndarray, labels: np.ndarray) -> float:
     return float(np.exp((a + b) / 2))
 
 
+def learned_languages(rows: DataFrame) -> dict[str, int]:
+    """The languages to learn, with their rows (see above)."""
+    counts = stored(rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")), "languages")
+    total = counts.agg(F.sum("n")).first()[0] or 0
+    most = counts.orderBy(F.desc("n"), "lang").limit(SAMPLE_DOCS // LEAST_PER_LANG).collect()
+    sizes = {r["lang"]: r["n"] for r in most}
+    least = min(LEAST_PER_LANG, total / RARE)
+    return {name: n for name, n in sizes.items() if n >= least} or sizes
+
+
 def train(rows: DataFrame, lang: str = "lang", key: str = "doc_id") -> Model:
     """Train on all ``rows`` with a text and a language."""
     rows = whole_texts(rows, F.col(lang).alias("lang"),
                        F.pmod(F.xxhash64(key, F.lit("langid")), F.lit(1 << 30)).alias("draw")) \
         .where("text is not null and lang is not null")
-    sizes = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    sizes = learned_languages(rows)
     langs = sorted(sizes)
     if not langs:
         return Model([], np.zeros(BUCKETS), np.zeros((BUCKETS, 0)), np.zeros(0))
@@ -176,9 +196,9 @@ def train(rows: DataFrame, lang: str = "lang", key: str = "doc_id") -> Model:
     seen = gather(rows.select("text"), BUCKETS + 1, presence)
     idf = np.log((1.0 + seen[-1]) / (1.0 + seen[:-1])) + 1.0
 
-    share = F.lit(0)
-    for name, n in sizes.items():
-        share = F.when(F.col("lang") == name, int((1 << 30) * min(1.0, want / n))).otherwise(share)
+    shares = rows.sparkSession.createDataFrame(
+        [(name, int((1 << 30) * min(1.0, want / n))) for name, n in sizes.items()],
+        "lang string, share long")
 
     def count_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -188,13 +208,15 @@ def train(rows: DataFrame, lang: str = "lang", key: str = "doc_id") -> Model:
                  pa.array([p.astype(np.uint16).tobytes() for p, _ in got], pa.binary()),
                  pa.array([c.astype(np.uint32).tobytes() for _, c in got], pa.binary())],
                 ["lang", "draw", "present", "counts"])
-    sample = (rows.where(F.col("draw") < share).select("text", "lang", "draw")
+    sample = (rows.join(F.broadcast(shares), "lang")     # a row per learned language
+              .where(F.col("draw") < F.col("share")).select("text", "lang", "draw")
               .mapInArrow(count_rows, "lang string, draw long, present binary, counts binary")
               .orderBy("draw", "lang", "present").limit(2 * want * len(langs)).collect())
     model = Model(langs, idf, np.zeros((BUCKETS, len(langs))), np.zeros(len(langs)))
     pairs = [(np.frombuffer(r["present"], np.uint16).astype(np.int64),
               np.frombuffer(r["counts"], np.uint32)) for r in sample]
-    y = np.array([langs.index(r["lang"]) for r in sample])
+    number = {name: i for i, name in enumerate(langs)}
+    y = np.array([number[r["lang"]] for r in sample])
     held = np.array([r["draw"] % HELD_SHARE == 0 for r in sample], bool)
     if held.all() or not held.any():
         held = np.zeros(len(sample), bool)

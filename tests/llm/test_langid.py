@@ -57,3 +57,42 @@ def test_ftrl_weights_are_sparse():
     order = np.random.default_rng(0).permutation(200)
     w, bias = G.ftrl([rows[i] for i in order], labels[order], 2)
     assert (w[200:] == 0).all() and w[0, 0] > w[0, 1] and w[1, 1] > w[1, 0]
+
+
+def test_thousands_of_language_values(spark, docs):
+    """A dirty column: the stray values are not learned."""
+    stray = spark.range(5000).selectExpr(
+        "id + 100000 as doc_id", "concat('text number ', id) as text", "concat('x', id) as lang")
+    table = docs.select("doc_id", "text", "lang").where("doc_id < 9000").union(stray)
+    sizes = G.learned_languages(table.where("lang is not null"))
+    assert len(sizes) <= G.SAMPLE_DOCS // G.LEAST_PER_LANG and "en" in sizes
+    got = G.identify(table)
+    assert {r["lang_pred"] for r in got.select("lang_pred").distinct().collect()} <= set(sizes)
+    only = G.identify(stray.where("doc_id < 101500"))      # none is frequent: the first by name
+    assert only.count() == 1500 and only.select("lang_pred").distinct().count() <= 200
+
+
+def test_scores_equal_a_plain_evaluation(spark, docs, rows):
+    """Every score from the n-gram counts, weights and temperature by definition."""
+    model = G.train(docs.where("doc_id < 9000"))
+    told = {r["doc_id"]: r["p"] for r in docs.where("doc_id < 150").select(
+        "doc_id", G.predictor(model)("text").alias("p")).collect()}
+    for r in rows:
+        if r["doc_id"] is None or r["doc_id"] >= 150 or not G.has_letter(r["text"]):
+            continue
+        points = [c if c >= 0x3100 else int(G._READ[c]) for c in map(ord, f" {r['text'].lower()} ")]
+        counts = {}
+        for n in G.ORDERS:
+            for i in range(len(points) - n + 1):
+                h = n
+                for c in points[i: i + n]:
+                    h = (h ^ c) * 0x01000193 % 2 ** 32
+                h ^= h >> 15
+                b = h * 0x85EBCA6B % 2 ** 32 >> 18
+                counts[b] = counts.get(b, 0) + 1
+        x = {b: np.log(1 + c) * model.idf[b] for b, c in counts.items()}
+        size = np.sqrt(sum(v * v for v in x.values()))
+        z = (sum(v / size * model.weights[b] for b, v in x.items()) + model.bias) / model.temperature
+        p = np.exp(z - z.max()) / np.exp(z - z.max()).sum()
+        assert told[r["doc_id"]]["lang"] == model.langs[int(p.argmax())]
+        assert abs(told[r["doc_id"]]["score"] - p.max()) < 1e-3
