@@ -34,6 +34,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 BLOCK = 64
+NOWHERE = 1 << 40       # behind every text
 LEFT, RIGHT = 24, 8     # code points of context
 
 # kind, pattern, condition to look at all, check of a match x
@@ -142,18 +143,22 @@ THRESHOLD = 0.5
 def _prefix(df: DataFrame, array: str, out: str, fold: str = "s + x", zero: str = "0L") -> DataFrame:
     """Add ``out``: the fold over each array's elements before each place (one
     more than the array is long), by blocks."""
-    b, e = f"_{out}_b", f"_{out}_e"
-    inner = f"aggregate(slice({array}, %s, %s), {zero}, (s, x) -> {fold})"
-    df = df.withColumn(b, F.expr(
-        f"transform(sequence(0, size({array}) div {BLOCK}), k -> "
-        + inner % (f"k * {BLOCK} + 1", str(BLOCK)) + ")"))
-    df = df.withColumn(e, F.expr(
-        f"transform(sequence(0, size({b}) - 1), k -> "
-        f"aggregate(slice({b}, 1, k), {zero}, (s, x) -> {fold}))"))
-    tail = f"aggregate(slice({array}, (i div {BLOCK}) * {BLOCK} + 1, i % {BLOCK}), " \
-           f"get({e}, i div {BLOCK}), (s, x) -> {fold})"
-    df = df.withColumn(out, F.expr(f"transform(sequence(0, size({array})), i -> {tail})"))
-    return df.drop(b, e)
+    inner = f"aggregate(slice(v, %s, %s), {zero}, (s, x) -> {fold})"
+    blocks = f"transform(sequence(0, size(v) div {BLOCK}), k -> " \
+        + inner % (f"k * {BLOCK} + 1", str(BLOCK)) + ")"
+    before = _bound(blocks, "b", f"transform(sequence(0, size(b) - 1), k -> "
+                                 f"aggregate(slice(b, 1, k), {zero}, (s, x) -> {fold}))")
+    tail = f"aggregate(slice(v, (i div {BLOCK}) * {BLOCK} + 1, i % {BLOCK}), " \
+           f"get(e, i div {BLOCK}), (s, x) -> {fold})"
+    return df.withColumn(out, F.expr(_bound(array, "v", _bound(
+        before, "e", f"transform(sequence(0, size(v)), i -> {tail})"))))
+
+
+def _bound(value: str, name: str, body: str) -> str:
+    """``body`` with ``name`` standing for ``value``, which is evaluated once.  (A column
+    of its own that only a lambda reads would be inlined into the lambda, and
+    evaluated for every element.)"""
+    return f"get(transform(array({value}), {name} -> {body}), 0)"
 
 
 def _sql(text: str) -> str:
@@ -167,16 +172,19 @@ def _with_matches(df: DataFrame, text: str, kind: str, pattern: str, when: str,
     m, g, a, p = (f"_{kind}_{x}" for x in "mgap")
     df = df.withColumn(m, F.expr(
         f"if({when.format(t=text)}, regexp_extract_all({text}, {_sql(pattern)}, 0), array())"))
-    # the texts between the matches give the places
-    df = df.withColumn(g, F.expr(f"if(size({m}) = 0, array(), split({text}, {_sql(pattern)}, -1))"))
-    df = df.withColumn(a, F.expr(
-        f"transform({m}, (x, i) -> cast(char_length(get({g}, i)) + "
-        f"coalesce(char_length(get({m}, i - 1)), 0) as bigint))"))
+    # the texts between the matches give the places, and the context
+    around = f", lower(right(get(g, i), {LEFT})) as before, left(get(g, i + 1), {RIGHT}) as after"
+    df = df.withColumn(g, F.expr(
+        f"if(size({m}) = 0, array(), " + _bound(
+            f"split({text}, {_sql(pattern)}, -1)", "g",
+            f"transform({m}, (x, i) -> struct(cast(char_length(get(g, i)) + "
+            f"coalesce(char_length(get({m}, i - 1)), 0) as bigint) as step"
+            f"{around if context else ''}))") + ")"))
+    df = df.withColumn(a, F.expr(f"{g}.step"))
     df = _prefix(df, a, p)
     fields = f"'{kind}' as kind, get({p}, i + 1) as start, get({p}, i + 1) + char_length(x) as end"
     if context:
-        fields += (f", x as value, lower(right(get({g}, i), {LEFT})) as before, "
-                   f"left(get({g}, i + 1), {RIGHT}) as after")
+        fields += f", x as value, get({g}, i).before as before, get({g}, i).after as after"
     df = df.withColumn(f"s_{kind}", F.expr(
         f"filter(transform({m}, (x, i) -> if({check}, struct({fields}), null)), x -> x is not null)"))
     return df.drop(m, g, a, p)
@@ -196,14 +204,34 @@ def with_candidates(df: DataFrame, text: str = "text") -> DataFrame:
         df = _with_matches(df, text, kind, pattern, when, "true", context=True)
     df = df.withColumn("_base", F.expr(
         "concat(" + ", ".join(f"s_{b[0]}" for b in BASE) + ")"))
-    df = df.withColumn("_all", F.expr(
-        "filter(concat(" + ", ".join(f"s_{c[0]}" for c in CANDIDATES) + "), "
-        "c -> not exists(_base, b -> b.start < c.end and c.start < b.end))"))
+    df = df.withColumn("_found", F.expr(
+        "concat(" + ", ".join(f"s_{c[0]}" for c in CANDIDATES) + ")"))
+    df = _apart(df, "_found", "_base", "_all")
     bits = [f"cast({cond} as int) * {1 << i}" for i, cond in enumerate(_conditions())]
     df = df.withColumn("candidates", F.expr(
         f"transform(_all, c -> struct(c.kind as kind, c.start as start, c.end as end, "
         f"{' + '.join(bits)} as bits))"))
-    return df.drop("_base", "_all", *[f"s_{c[0]}" for c in CANDIDATES])
+    return df.drop("_base", "_found", "_all", *[f"s_{c[0]}" for c in CANDIDATES])
+
+
+def _apart(df: DataFrame, spans: str, others: str, out: str) -> DataFrame:
+    """Add ``out``: the elements of ``spans`` that overlap none of ``others``.  Both are
+    laid in one row by their starts; what a span must not overlap is then the farthest
+    end of the others before it and the next start of one behind it."""
+    row, ends, starts, far, near = (f"_{out}_{x}" for x in ("row", "ends", "starts", "far", "near"))
+    df = df.withColumn(row, F.expr(
+        f"array_sort(concat(transform({others}, b -> struct(b.start as start, -1 as i, b.end as end)), "
+        f"transform({spans}, (c, i) -> struct(c.start as start, i, c.end as end))))"))
+    df = df.withColumn(ends, F.expr(f"transform({row}, x -> if(x.i < 0, x.end, 0L))"))
+    df = df.withColumn(starts, F.expr(f"reverse(transform({row}, x -> if(x.i < 0, x.start, {NOWHERE}L)))"))
+    df = _prefix(df, ends, far, "greatest(s, x)")
+    df = _prefix(df, starts, near, "least(s, x)", f"{NOWHERE}L")
+    free = "x.i >= 0 and get(f, k) <= x.start and get(n, size(r) - 1 - k) >= x.end"
+    kept = _bound(row, "r", _bound(far, "f", _bound(
+        near, "n", f"filter(transform(r, (x, k) -> if({free}, x.i, -1)), i -> i >= 0)")))
+    return df.withColumn(out, F.expr(_bound(
+        spans, "z", f"transform(array_sort({kept}), i -> get(z, i))"))).drop(
+        row, ends, starts, far, near)
 
 
 def _conditions() -> list[str]:

@@ -1,5 +1,6 @@
 import hashlib
 import random
+import time
 import re
 
 from poststream.llm import pii as P
@@ -114,3 +115,29 @@ def test_label_model_trusts_agreeing_labelers():
 
 def test_empty(no_docs):
     assert P.summary(no_docs).count() == 0 and P.redact(no_docs).count() == 0
+
+
+def test_very_many_matches_cost_no_square(spark):
+    def seconds(n):
+        text = " ".join(f"u{i}@mail.example.com key=a{i:07d}b{i:07d}c" for i in range(n))
+        frame = spark.createDataFrame([(1, text)], "doc_id long, text string")
+        begin = time.time()
+        row = P.summary(frame).collect()[0]
+        assert row["n_email"] == n and row["spans"].count(":") == 4 * n
+        return time.time() - begin
+    seconds(100)                                    # code is compiled
+    small, large = seconds(8000), seconds(16_000)
+    assert large < 3 * small + 1
+
+
+def test_candidates_apart_from_base_spans(spark):
+    rng = random.Random(9)
+    rows = []
+    for i in range(200):
+        spans = lambda n: [(a, a + rng.randint(1, 9)) for a in (rng.randint(0, 60) for _ in range(n))]
+        rows.append((i, spans(rng.randint(0, 9)), spans(rng.randint(0, 9))))
+    frame = spark.createDataFrame(rows, "id int, spans array<struct<start: long, end: long>>, "
+                                        "others array<struct<start: long, end: long>>")
+    got = {r["id"]: [tuple(s) for s in r["free"]] for r in P._apart(frame, "spans", "others", "free").collect()}
+    for i, spans, others in rows:
+        assert got[i] == [s for s in spans if not any(o[0] < s[1] and s[0] < o[1] for o in others)]
