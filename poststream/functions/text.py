@@ -47,6 +47,7 @@ def clean_text(c: ColumnOrName) -> Column:
 
 # characters that survive cleaning; everything else (and whitespace) turns
 # into the single blank between tokens
+# fixed values: the characters that cleaning keeps
 KEPT = "abcdefghijklmnopqrstuvwxyz0123456789+#./-"
 GAP = r"[^a-z0-9+#./\-]+"
 

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from ..defaults import NO_SKILL_CATEGORY
 from ..functions.text import SkillMatcher, extract_skills, post_text, skill_matcher, skills_text
 
+# fixed values: the columns of an index document, in this order
 ENRICHED_COLUMNS = ["category", "id", "title", "selftext", "created_utc", "skills_array"]
 
 

@@ -15,9 +15,9 @@ from pyspark.sql import types as T
 
 CORRUPT = "_corrupt_record"
 
-# The message fields the stream job reads in the original application.
+# fixed values: the message fields the stream job reads in the original application
 STREAM_FIELDS = ["id", "title", "created_utc", "selftext"]
-# All fields a record carries on the wire.
+# fixed values: all fields a record carries on the wire
 RECORD_FIELDS = ["id", "title", "created_utc", "selftext", "subreddit", "url"]
 
 
