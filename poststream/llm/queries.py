@@ -38,8 +38,11 @@ def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query("op2_compression_bands")
 def op2_compression_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Base counts, base rule and the compression verdict of every document."""
-    return compression.compression_bands(documents(spark, sf_dir)).select(
+    """Base counts, base rule and the compression verdict of every document, by
+    limits learned from the labels."""
+    docs = documents(spark, sf_dir)
+    bands = compression.fit_bands(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return compression.compression_bands(docs, bands).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
         "base_failed", "kept", "ratio", "odd_chunks")
 
