@@ -12,7 +12,7 @@ def test_registered():
     names = E.queries()
     assert "pipeline" in names
     assert sorted(n.split("_")[0] for n in names if n.startswith("op")) == sorted(
-        f"op{i}" for i in range(1, 11))
+        f"op{i}" for i in range(1, 14))
     assert "op1_mix_sources" in E.oracle_sql()
 
 
