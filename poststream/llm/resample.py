@@ -3,9 +3,9 @@
 Two generative models over hashed word 1- and 2-grams are counted: one of the
 target (texts labelled good and not toxic) and one of all raw texts.  A text's
 weight is the log of its probability ratio under the two models, that is the
-sum over its n-grams of ``log target / raw``.  The sum is divided by the root of the
-number of n-grams, so that a long text does not win or lose by length alone.
-Adding Gumbel noise from a hash of the id and keeping the ``k`` largest draws
+sum over its n-grams of ``log target / raw``.  (``tempered`` divides the sum by the root
+of the number of n-grams, so that a long text does not win or lose by length alone;
+it is then no longer the models' ratio.)  Adding Gumbel noise from a hash of the id and keeping the ``k`` largest draws
 ``k`` documents without replacement in proportion to their weights.
 
 The raw model counts every document.  The target model is fitted on at most
@@ -17,7 +17,8 @@ The k-th largest key is found by histograms: keys are counted in ranges, and
 only the range that holds the k-th is split again.  Nothing is sorted but the
 last range.  Rows with equal keys (repeated rows) stay or go together.  NULL and
 empty texts weigh 0 words and get the least key.  Without good labels all
-weights are 0 and the draw is uniform.
+weights are 0 and the draw is uniform.  An empty table gives no rows; texts of any
+length count whole; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -95,7 +96,7 @@ def log_ratio(docs: DataFrame, ids: DataFrame) -> np.ndarray:
     return np.log(target / target.sum()) - np.log(raw / raw.sum())
 
 
-def weighed(docs: DataFrame, ratio: np.ndarray) -> DataFrame:
+def weighed(docs: DataFrame, ratio: np.ndarray, tempered: bool = False) -> DataFrame:
     """(doc_id, n_grams, log_weight) of every document."""
     def task(batches):
         for batch in batches:
@@ -104,8 +105,10 @@ def weighed(docs: DataFrame, ratio: np.ndarray) -> DataFrame:
                 upto = np.concatenate(([0.0], np.cumsum(ratio[found])))
                 end = np.cumsum(n)
                 total = upto[end] - upto[end - n]
+                if tempered:
+                    total = total / np.sqrt(np.maximum(n, 1))
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array(n), pa.array(total / np.sqrt(np.maximum(n, 1)))],
+                    [part.column(0), pa.array(n), pa.array(total)],
                     ["doc_id", "n_grams", "log_weight"])
     return whole_texts(docs).mapInArrow(
         task, "doc_id long, n_grams long, log_weight double")
@@ -144,11 +147,11 @@ def kth_largest(keys: DataFrame, key: str, k: int) -> float | None:
 
 
 def resample(docs: DataFrame, labels: DataFrame, k: int | None = None,
-             seed: str = "resample") -> DataFrame:
+             seed: str = "resample", tempered: bool = False) -> DataFrame:
     """(doc_id, n_grams, log_weight, key, kept) of every document."""
     ids, share = good_ids(labels)
     ratio = log_ratio(docs, ids)
-    keyed = stored(weighed(docs, ratio).withColumn("key", F.when(
+    keyed = stored(weighed(docs, ratio, tempered).withColumn("key", F.when(
         F.col("n_grams") > 0, F.col("log_weight") + gumbel(F.col("doc_id"), seed))
         .otherwise(F.lit(-1e300))), "resample-keys")
     if k is None:

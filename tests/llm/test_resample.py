@@ -1,4 +1,6 @@
 import math
+import re
+from collections import Counter
 
 import pyarrow as pa
 import pytest
@@ -42,5 +44,38 @@ def test_ngrams_count():
     assert n.tolist() == [5, 0, 0, 1, 5] and found[:5].tolist() == found[6:].tolist()
 
 
+def plain_buckets(text):
+    """Bucket of every 1- and 2-gram by the definition, one word at a time."""
+    words = re.findall(rb"[^\x20\x09-\x0D]+", (text or "").encode())
+    step, mix, hashes = int(R.STEP), int(R.MIX), []
+    for w in words:
+        h = sum((c + 32 * (65 <= c <= 90) + 1) * step ** i for i, c in enumerate(w)) % 2 ** 64
+        hashes.append((h ^ h >> 29) * mix % 2 ** 64)
+    pairs = [(a * step + b) * mix % 2 ** 64 for a, b in zip(hashes, hashes[1:])]
+    return [h >> 64 - R.BITS for h in hashes + pairs]
+
+
+@pytest.mark.parametrize("tempered", [False, True])
+def test_weights_and_keys_equal_a_plain_count(spark, labels, tempered):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text")
+    docs = docs.unionByName(spark.createDataFrame([(None, "Some Words here"), (7001, None)], docs.schema))
+    good = {r["doc_id"] for r in labels.collect() if r["quality"] == 1 and not r["toxic"]}
+    grams = {r["doc_id"]: plain_buckets(r["text"]) for r in docs.collect()}
+    raw, target = Counter(), Counter()
+    for i, g in grams.items():
+        raw.update(g)
+        if i in good:
+            target.update(g)
+    n_raw, n_target = sum(raw.values()) + R.BUCKETS, sum(target.values()) + R.BUCKETS
+    for r in R.resample(docs, labels, k=40, tempered=tempered).collect():
+        g = grams[r["doc_id"]]
+        want = sum(math.log((target[b] + 1) / n_target) - math.log((raw[b] + 1) / n_raw) for b in g)
+        if tempered:
+            want /= math.sqrt(max(1, len(g)))
+        assert r["n_grams"] == len(g) and r["log_weight"] == pytest.approx(want, abs=1e-6)
+        if g:
+            assert -6 < r["key"] - r["log_weight"] < 40      # Gumbel noise
+
+
 def test_empty(no_docs, labels):
     assert R.resample(no_docs, labels).count() == 0
