@@ -186,9 +186,12 @@ def build(docs: DataFrame, folder: str, extra: dict[str, Column] | None = None,
     computed with the leaves and kept in the ``leaves`` table."""
     rows = docs.select(tree_of(F.col("lang")).alias("tree"), F.col("doc_id").cast("long").alias("doc_id"),
                        leaf().alias("digest"), *[c.alias(n) for n, c in (extra or {}).items()])
-    placed = place(rows, [F.col("doc_id").asc_nulls_first(), F.col("digest")], f"{folder}/order")
-    placed.write.parquet(f"{folder}/leaves")
+    # the range sort looks at its rows twice: texts are hashed before it, once
+    rows.write.parquet(f"{folder}/hashed")
     spark = docs.sparkSession
+    placed = place(spark.read.parquet(f"{folder}/hashed"),
+                   [F.col("doc_id").asc_nulls_first(), F.col("digest")], f"{folder}/order")
+    placed.write.parquet(f"{folder}/leaves")
     subroots = _build(spark.read.parquet(f"{folder}/leaves"), f"{folder}/trees", deep)
     named = subroots.select(F.lit("").alias("tree"), F.col("tree").alias("name"), "digest")
     place(named, [F.col("name")], f"{folder}/top-order").write.parquet(f"{folder}/subroots")
