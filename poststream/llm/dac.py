@@ -180,15 +180,27 @@ def read_documents(spark: SparkSession, folder: str) -> DataFrame:
             .mapInArrow(_documents, DOCS))
 
 
+PLACES = "task long, segment long, doc_id long, n long, at long"
+ARROW_PLACES = pa.schema([(n, pa.int64()) for n in ("task", "segment", "doc_id", "n", "at")])
+
+
+def _places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Where each document's ids begin in its segment."""
+    for batch in batches:
+        for row in batch.to_pylist():
+            counts = np.array(row["doc_tokens"], np.int64)
+            yield pa.RecordBatch.from_arrays([
+                pa.array([row["task"]] * len(counts), pa.int64()),
+                pa.array([row["segment"]] * len(counts), pa.int64()), pa.array(row["doc_ids"], pa.int64()),
+                pa.array(counts), pa.array(np.cumsum(counts) - counts)], schema=ARROW_PLACES)
+
+
 def read_places(spark: SparkSession, folder: str, wanted: DataFrame) -> DataFrame:
     """(doc_id, place, token) for ``wanted`` (doc_id, place) pairs: only the
     bytes of the wanted tokens are looked at.  Places outside a document give
     no row."""
-    docs = read_segments(spark, folder).select(
-        "task", "segment", F.posexplode(F.arrays_zip("doc_ids", "doc_tokens")).alias("i", "d"),
-        "doc_tokens").select(
-        "task", "segment", F.col("d.doc_ids").alias("doc_id"), F.col("d.doc_tokens").alias("n"),
-        F.expr("aggregate(slice(doc_tokens, 1, i), 0L, (s, x) -> s + x)").alias("at"))
+    docs = (spark.read.schema(SEGMENTS).parquet(f"{folder}/segments")
+            .select("task", "segment", "doc_ids", "doc_tokens").mapInArrow(_places, PLACES))
     hits = (wanted.join(docs, "doc_id").where("place >= 0 and place < n")
             .groupBy("task", "segment", (F.col("place") % 64).alias("part"))
             .agg(F.collect_list(F.struct("doc_id", "place", (F.col("at") + F.col("place"))

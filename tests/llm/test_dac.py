@@ -1,3 +1,4 @@
+import time
 import zlib
 
 import numpy as np
@@ -44,6 +45,16 @@ def test_files_equal_plain_encode(spark, docs, rows, monkeypatch):
     assert found == {(d, p): ids[d][p] for d, p in places if p < len(ids[d])}
 
 
+def test_many_tiny_documents(spark):
+    docs = spark.range(16_000).selectExpr("id as doc_id", "'' as text")
+    folder = scratch_path(spark, "dac-tiny")
+    dac.write_ids(docs, folder, tokenizer_path("word_bpe_49k.json"))
+    wanted = spark.createDataFrame([(15_999, 0), (3, 0), (3, 1)], "doc_id long, place long")
+    begin = time.time()
+    got = dac.read_places(spark, folder, wanted).collect()
+    assert sorted(tuple(r) for r in got) == [(3, 0, 1), (15_999, 0, 1)] and time.time() - begin < 8
+
+
 def test_empty(spark, no_docs):
     folder = scratch_path(spark, "dac-empty")
     dac.write_ids(no_docs, folder, tokenizer_path("word_bpe_49k.json"))
