@@ -2,16 +2,17 @@
 
 Each source gets a target number of words.  Whole multiples of the source are
 taken as repeats of every document; for the rest, documents are ordered by a
-60-bit hash of their id and a prefix is taken.  The end of the prefix is found
+60-bit hash of their id and text and a prefix is taken.  The end of the prefix is found
 without sorting: words are summed by source and hash bucket (12 bits), the
 bucket in which the budget is used up is found, and only that bucket is split
 further (five levels of 12 bits reach single hash values).  A document is then
 taken if its hash is at or below its source's threshold.
 
 Prefixes are nested: a larger budget only adds documents.  The hash value that
-crosses the budget is taken if that ends nearer to the target.  Equal ids have
-equal hashes and are taken or left together.  NULL is a source of its own
-(last); NULL and empty texts have no words.  Rows with a NULL id share one hash.
+crosses the budget is taken if that ends nearer to the target.  Rows of equal id and
+text have equal hashes and are taken or left together; rows that share an id, or
+have none, are told apart by their texts.  NULL is a source of its own
+(last); NULL and empty texts have no words.  An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -29,10 +30,11 @@ MAX_REPEAT = 3
 WEIGHTS = 3
 
 
-def id_hash(id_col: Column) -> Column:
-    """60 bits of the MD5 of an id (15 hex digits), the same in any engine."""
-    text = F.coalesce(id_col.cast("string"), F.lit(""))
-    return F.conv(F.substring(F.md5(text), 1, HASH_BITS // 4), 16, 10).cast("long")
+def row_hash() -> Column:
+    """60 bits of the MD5 of a row's id and text (15 hex digits), the same in any engine."""
+    row = F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(":"),
+                   F.coalesce("text", F.lit("")))
+    return F.conv(F.substring(F.md5(row), 1, HASH_BITS // 4), 16, 10).cast("long")
 
 
 def sized(docs: DataFrame) -> DataFrame:
@@ -40,7 +42,7 @@ def sized(docs: DataFrame) -> DataFrame:
     return docs.select(
         "doc_id", "source",
         F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
-        id_hash(F.col("doc_id")).alias("hash"))
+        row_hash().alias("hash"))
 
 
 def targets(docs_sized: DataFrame, max_repeat: int = MAX_REPEAT) -> DataFrame:
@@ -148,7 +150,7 @@ def mixed(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that the mix takes, each as often as it is taken."""
     _, sources = plan(docs)
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), "source",
-                       id_hash(F.col("doc_id")).alias("hash"))
+                       row_hash().alias("hash"))
     return (rows.join(sources, F.expr("source <=> name"))
             .select("row", F.explode(F.array_repeat(F.lit(True), _times().cast("int"))).alias("copy"))
             .select("row.*"))
@@ -158,7 +160,7 @@ MIX_SQL = r"""
 WITH sized AS (
   SELECT doc_id, source,
          CAST(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS BIGINT) AS size,
-         CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '')), 1, 15) AS BIGINT) AS hash
+         CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || coalesce(text, '')), 1, 15) AS BIGINT) AS hash
   FROM documents),
 sizes AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM sized GROUP BY source),
 weighed AS (

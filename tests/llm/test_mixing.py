@@ -47,5 +47,15 @@ def test_budgets_nest(spark):
     assert abs(sum(i % 7 for i in small) - 100) <= 3 and abs(sum(i % 7 for i in large) - 400) <= 3
 
 
+def test_targets_are_met_where_ids_are_missing_or_equal(spark):
+    rows = [(None if i % 3 == 0 else i % 50 if i % 3 == 1 else i, f"s{i % 4}", f"word{i} " * (1 + i % 9))
+            for i in range(3000)]
+    docs = spark.createDataFrame(rows, "doc_id long, source string, text string")
+    got = mixing.mix(docs).groupBy("source", "target").agg({"taken": "sum"}).collect()
+    assert len(got) == 4
+    for r in got:
+        assert abs(r["sum(taken)"] - r["target"]) <= 0.01 * r["target"]
+
+
 def test_empty(no_docs):
     assert mixing.mix(no_docs).count() == 0 and mixing.mixed(no_docs).count() == 0
