@@ -5,7 +5,8 @@ level 1 the next chunk of the ids that have one, and so on; a bitmap per level
 marks the ids that continue, and a rank directory (ones before each block of
 512 bits) finds the place of an id on the next level.  So any single token is
 read with one byte per level and one popcount inside a block, without decoding
-its neighbours.
+its neighbours, and a document with its own bytes on each level: the ranks at
+both ends of its range are its range on the next level (``ids_between``).
 
 Files are Parquet tables below one folder, written by Spark's own committed
 writer (any store, any lost executor):
@@ -64,29 +65,45 @@ def encode_levels(ids: np.ndarray) -> list[dict[str, bytes]]:
         rest = high[more]
 
 
+def rank_at(level: dict[str, bytes], place: int) -> int:
+    """How many of the ids before ``place`` go on: the directory's count before
+    the block and one popcount inside it."""
+    block = place // BLOCK_BITS
+    if 4 * block == len(level["rank"]):   # the end of a full last block
+        if not block:
+            return 0
+        block -= 1
+    before = int.from_bytes(level["rank"][4 * block: 4 * block + 4], "little")
+    begin = block * BLOCK_BITS // 8
+    inside = int.from_bytes(level["more"][begin: begin + BLOCK_BITS // 8], "little")
+    return before + (inside & ((1 << (place - block * BLOCK_BITS)) - 1)).bit_count()
+
+
 def token_at(levels: list, place: int) -> int:
     """The id at ``place``, read without decoding any other."""
     value = 0
     for k, level in enumerate(levels):
         value |= level["chunks"][place] << (CHUNK_BITS * k)
-        more = level["more"]
-        if not more[place >> 3] >> (place & 7) & 1:
+        if not level["more"][place >> 3] >> (place & 7) & 1:
             return value
-        block = place // BLOCK_BITS
-        at = int.from_bytes(level["rank"][4 * block: 4 * block + 4], "little")
-        begin = block * BLOCK_BITS // 8
-        inside = int.from_bytes(more[begin: begin + BLOCK_BITS // 8], "little")
-        place = at + (inside & ((1 << (place % BLOCK_BITS)) - 1)).bit_count()
+        place = rank_at(level, place)
     raise ValueError("the last level says that the id goes on")
 
 
-def decode_levels(levels: list) -> np.ndarray:
-    """All ids of a segment."""
+def ids_between(levels: list, begin: int, end: int) -> np.ndarray:
+    """The ids at places ``begin`` to ``end`` (exclusive), reading the bytes of
+    that range alone on each level."""
+    parts = []
+    for level in levels:
+        own = np.frombuffer(level["chunks"], np.uint8, end - begin, begin).astype(np.uint32)
+        bits = np.frombuffer(level["more"], np.uint8, ((end + 7) >> 3) - (begin >> 3), begin >> 3)
+        more = np.unpackbits(bits, bitorder="little")[begin & 7: (begin & 7) + end - begin].astype(bool)
+        parts.append((own, more))
+        if not more.any():
+            break
+        begin, end = rank_at(level, begin), rank_at(level, end)
     value = np.zeros(0, np.uint32)
-    for level in reversed(levels):
-        own = np.frombuffer(level["chunks"], np.uint8).astype(np.uint32)
-        more = np.unpackbits(np.frombuffer(level["more"], np.uint8), count=len(own),
-                             bitorder="little").astype(bool)
+    for own, more in reversed(parts):
         if more.any():
             own[more] |= value << CHUNK_BITS
         value = own
@@ -164,18 +181,19 @@ def _documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for i in range(batch.num_rows):
             row = batch.slice(i, 1).to_pylist()[0]
-            raw = decode_levels(row["levels"]).astype("<u4").tobytes()
             counts = np.array(row["doc_tokens"], np.int64)
             ends = np.cumsum(counts)
             yield pa.RecordBatch.from_arrays([
                 pa.array(row["doc_ids"], pa.int64()),
                 pa.array(row["start"] + ends - counts), pa.array(counts),
-                pa.array([raw[4 * int(e - c): 4 * int(e)] for e, c in zip(ends, counts)], pa.binary()),
+                pa.array([ids_between(row["levels"], int(e - c), int(e)).astype("<u4").tobytes()
+                          for e, c in zip(ends, counts)], pa.binary()),
             ], schema=ARROW_DOCS)
 
 
 def read_documents(spark: SparkSession, folder: str) -> DataFrame:
-    """(doc_id, start, n_tokens, ids) of every document, read from the files."""
+    """(doc_id, start, n_tokens, ids) of every document, each read from the files
+    by its own range through the rank directories."""
     return (read_segments(spark, folder).select("doc_ids", "doc_tokens", "levels", "start")
             .mapInArrow(_documents, DOCS))
 

@@ -14,10 +14,35 @@ def test_levels_round_trip_and_random_access():
     for n, top in ((0, 1), (1, 3), (5000, 200), (5000, 1 << 16), (5000, 1 << 31)):
         ids = rng.integers(0, top, n, dtype=np.uint32)
         levels = dac.encode_levels(ids)
-        assert (dac.decode_levels(levels) == ids).all() and len(levels) == 1 + max(
+        assert (dac.ids_between(levels, 0, n) == ids).all() and len(levels) == 1 + max(
             0, (int(ids.max(initial=0)).bit_length() - 1) // 8)
         for place in rng.integers(0, max(1, n), min(n, 300)).tolist():
             assert dac.token_at(levels, place) == ids[place]
+            end = int(rng.integers(place, n + 1))
+            assert (dac.ids_between(levels, place, end) == ids[place:end]).all()
+
+
+def test_ranges_at_the_edges_of_blocks():
+    for n in (1, 511, 512, 513, 1024, 1536):
+        for ids in (np.arange(n, dtype=np.uint32) * 97 + 255, np.full(n, 70_000, np.uint32)):
+            levels = dac.encode_levels(ids)
+            edges = sorted({min(n, e) for b in range(0, n + 512, 512) for e in (b, b + 1, max(0, b - 1))})
+            for a in edges:
+                for b in edges:
+                    if a <= b:
+                        assert (dac.ids_between(levels, a, b) == ids[a:b]).all(), (n, a, b)
+
+
+def test_a_range_reads_no_other_bytes():
+    ids = np.random.default_rng(1).integers(0, 1 << 20, 4000, dtype=np.uint32)
+    levels = dac.encode_levels(ids)
+    spoiled = [dict(level) for level in levels]
+    a, b = 1000, 1200
+    for level in spoiled:   # everything but the range is overwritten
+        lo, hi = a, b
+        a, b = dac.rank_at(level, a), dac.rank_at(level, b)
+        level["chunks"] = b"\xff" * lo + level["chunks"][lo:hi] + b"\xff" * (len(level["chunks"]) - hi)
+    assert (dac.ids_between(spoiled, 1000, 1200) == ids[1000:1200]).all()
 
 
 def test_files_equal_plain_encode(spark, docs, rows, monkeypatch):
