@@ -44,7 +44,7 @@ SHINGLE = 5
 CONTAINMENT = 0.8
 SIZES = (1, 4, 16)
 BANDS = 4
-PLAN_WORDS = 20_000
+PLAN_WORDS = 5_000
 SIEVE_BITS = 1 << 20
 
 # fixed values: identifiers of short lines (SPDX-License-Identifier: <id>)
