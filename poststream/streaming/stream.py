@@ -184,7 +184,8 @@ def bounded_dedup(posts: DataFrame, out_path: str, seen_path: str, checkpoint: s
         bound = F.lit(None).cast("timestamp")
         if any(n < batch_id for n in batches(spark, marks)):
             newest = read_log(spark, marks).where(F.col("batch_id") < batch_id).agg(F.max("newest")).first()[0]
-            bound = F.lit(newest) - F.expr(f"INTERVAL {span}")
+            # no time in all earlier batches (an empty file, say): nothing is late yet
+            bound = F.lit(newest).cast("timestamp") - F.expr(f"INTERVAL {span}")
         held = batch.persist()
         try:
             own = held.where("_way = 1").drop("_way")

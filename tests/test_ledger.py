@@ -1,6 +1,7 @@
 """The seen ledger by buckets, its filters, and the dedup that uses it."""
 import datetime as dt
 import random
+import time
 
 from pyspark.sql import functions as F
 
@@ -118,3 +119,20 @@ def test_bounded_state_and_no_loss_over_ten_batches(spark):
     dropped = sum(p["stateOperators"][0]["numRowsDroppedByWatermark"] for p in q.recentProgress)
     assert len(held) == 10 and dropped > 0
     assert max(held) <= 5 * 45 < len(want)       # posts of about two days, not of five
+
+
+def test_bounded_dedup_begins_with_batches_without_a_time(spark):
+    """First an empty file, then posts without a time: no newest time is known yet."""
+    topic, out, seen, ckpt = (scratch_path(spark, f"t-timeless-{n}") for n in "abcd")
+    rows = [[], [("a", None)], [("a", None), ("b", "2024-01-02T00:00:00+00:00")],
+            [("b", "2024-01-02T00:00:00+00:00"), ("c", "2024-01-01T00:00:00+00:00"), ("d", None)]]
+    record = "id string, title string, created_utc string, selftext string, subreddit string, url string"
+    for part in rows:
+        df = spark.createDataFrame([(i, "t", at, None, "s", None) for i, at in part], record)
+        wire.encode_json(df, binary=True).coalesce(1).write.mode("append").parquet(topic)
+        time.sleep(0.01)        # files are taken by their time
+    good, _ = st.parse_posts(st.read_posts_stream(spark, "parquet", path=topic, max_files_per_trigger=1))
+    q = st.bounded_dedup(good, out, seen, ckpt, "6 hours", keep=["id"], order=["event_time"]).trigger(
+        availableNow=True).start()
+    q.awaitTermination()
+    assert sorted(r.id for r in st.read_log(spark, out).collect()) == ["a", "b", "c", "d"]
