@@ -8,9 +8,8 @@ Repetitive text compresses too well, random text (keys, encoded binaries) hardly
 at all, and a short text less than a long one, so the limits depend on the
 length.  ``BANDS`` are limits set by hand, wide enough for any prose; ``fit_bands``
 learns the lowest ratio of each length from good labelled texts: it lies just under
-the ``LOW_QUANTILE`` of their ratios, in classes of doubling length, from at most about
-``FIT_DOCS`` texts drawn by the hash of their id (a class with fewer than
-``LEAST_GOOD`` keeps the set limit).  A text is rejected if its whole ratio lies outside the band
+the ``LOW_QUANTILE`` of the ratios of all of them, in classes of doubling length (a
+class with fewer than ``LEAST_GOOD`` keeps the set limit).  A text is rejected if its whole ratio lies outside the band
 of its length, or if, at one of the chunk lengths, more than a quarter of its
 bytes are in chunks outside the band of that length: so a good text with a
 spoiled half, or the reverse, is judged by its parts too, from 512 bytes on (a
@@ -32,12 +31,13 @@ from pyspark.sql import functions as F
 
 from poststream.llm.arrowtext import IS_BLANK, codes, per_text, pieces, release, slices, text_buffer, \
     whole_texts, word_bounds
+from poststream.session import stored
 
 LEVEL = 3
 CHUNK = 4096
 SHORT_CHUNKS = (256, 1024)
-FIT_DOCS = 20_000
 LEAST_GOOD = 10
+BINS = 4096
 LOW_QUANTILE, MARGIN = 0.002, 0.99
 CLASSES = (256, 512, 1024, 2048, 4096, 8192, 16384)
 CHUNK_SHARE = 0.25
@@ -154,35 +154,71 @@ def measure(part: pa.RecordBatch, compressor, bands: list = BANDS) -> pa.RecordB
         [c.split()[0] for c in COLUMNS.split(", ")])
 
 
+def low_quantiles(sizes: DataFrame) -> dict[int, tuple[int, float]]:
+    """Per class of (least, ratio): its count and the ``LOW_QUANTILE`` of its ratios,
+    interpolated.  Exact, without a class in one group: counts per bin of ratios say
+    in which bins the two ranks lie, and only those bins' values are counted singly."""
+    bins = sizes.withColumn("bin", F.floor(F.least(F.col("ratio"), F.lit(2.0)) * BINS))
+    count = F.count(F.lit(1)).alias("n")
+    of: dict[int, list[tuple]] = {}
+    for r in sorted(bins.groupBy("least", "bin").agg(count).collect()):     # at most 2 * BINS a class
+        of.setdefault(r["least"], []).append((r["bin"], r["n"]))
+
+    def at(values: list[tuple], rank: int):
+        for value, n in values:
+            if rank < n:
+                return value, rank
+            rank -= n
+    ranks, wanted = {}, set()
+    for c, counts in of.items():
+        n = sum(k for _, k in counts)
+        place = LOW_QUANTILE * (n - 1)
+        ranks[c] = n, place, [at(counts, int(place)), at(counts, min(int(place) + 1, n - 1))]
+        wanted |= {(c, b) for b, _ in ranks[c][2]}
+    if not wanted:
+        return {}
+    chosen = F.concat_ws(":", "least", "bin").isin([f"{c}:{b}" for c, b in wanted])
+    single: dict[tuple, list[tuple]] = {}
+    for r in sorted(bins.where(chosen).groupBy("least", "bin", "ratio").agg(count).collect()):
+        single.setdefault((r["least"], r["bin"]), []).append((r["ratio"], r["n"]))
+    out = {}
+    for c, (n, place, (low, high)) in ranks.items():
+        a, b = (at(single[c, k], rank)[0] for k, rank in (low, high))
+        out[c] = n, a + (b - a) * (place - int(place))
+    return out
+
+
 def fit_bands(docs: DataFrame, labels: DataFrame) -> list[tuple[int, float, float]]:
     """Limits with the lowest ratios learned from the texts that ``labels`` (doc_id,
     quality) call good (1).  Labels of no text, rows without an id, and texts under
     256 bytes teach nothing; without a good text the set limits come back."""
     good = labels.where("quality = 1").select("doc_id").distinct()
-    known = whole_texts(docs).where("doc_id IS NOT NULL AND text IS NOT NULL").join(good, "doc_id", "left_semi")
-    drawn = F.pmod(F.xxhash64("doc_id", F.lit("bands")), F.lit(1 << 30))
-    share = min(1.0, FIT_DOCS / max(1, good.count()))
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import zstandard
         compressor = zstandard.ZstdCompressor(level=LEVEL)
         for batch in batches:
-            data, off = text_buffer(batch.column(1))
-            view = memoryview(np.ascontiguousarray(data))
-            cuts = [(int(a), int(b)) for a, b in zip(off[:-1], off[1:]) if b - a >= CLASSES[0]]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([b - a for a, b in cuts], pa.int64()),
-                 pa.array([len(compressor.compress(view[a:b])) / (b - a) for a, b in cuts], pa.float64())],
-                ["size", "ratio"])
-    sizes = known.where(drawn < int(share * (1 << 30))).mapInArrow(task, "size long, ratio double")
+            for part in slices(batch):
+                data, off = text_buffer(part.column(1))
+                size = np.diff(off)
+                view = memoryview(np.ascontiguousarray(data))
+                at = np.flatnonzero(size >= CLASSES[0])
+                ratio = [len(compressor.compress(view[int(off[r]): int(off[r + 1])])) / int(size[r]) for r in at]
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0).take(pa.array(at)), pa.array(size[at], pa.int64()),
+                     pa.array(ratio, pa.float64())], ["doc_id", "size", "ratio"])
+        release()
+    # every text is measured where it lies; only its ratio meets the labels
     least = F.greatest(*[F.when(F.col("size") >= c, c).otherwise(0) for c in CLASSES])
-    found = {r["least"]: r for r in sizes.groupBy(least.alias("least")).agg(
-        F.count(F.lit(1)).alias("n"), F.expr(f"percentile(ratio, {LOW_QUANTILE})").alias("low")).collect()}
+    sizes = stored(whole_texts(docs).where("doc_id IS NOT NULL AND text IS NOT NULL")
+                   .mapInArrow(task, "doc_id long, size long, ratio double")
+                   .join(good, "doc_id", "left_semi").select(least.alias("least"), "ratio"), "good-ratios")
+    found = low_quantiles(sizes)
     out = [BANDS[0]]
     for c in CLASSES:
         _, low, high = [b for b in BANDS if b[0] <= c][-1]
-        if c in found and found[c]["n"] >= LEAST_GOOD:
-            low = float(found[c]["low"]) * MARGIN
+        if c in found and found[c][0] >= LEAST_GOOD:
+            low = found[c][1] * MARGIN
         out.append((c, low, high))
     return out
 

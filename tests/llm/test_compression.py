@@ -1,6 +1,7 @@
 import re
 from collections import Counter
 
+import numpy as np
 import zstandard
 
 from conftest import SF_SMALL
@@ -85,6 +86,36 @@ def test_limits_learned_from_labels(spark, labels):
         (c, *[b[1:] for b in C.BANDS if b[0] <= c][-1]) for c in C.CLASSES]
 
 
+def test_every_good_text_counts_for_the_limits(spark):
+    """20,400 good texts: a few at the low end move the quantile, wherever their ids lie."""
+    import zstandard
+    same, plain = "abc " * 70, " ".join(f"{i * i % 9973:x}{i}" for i in range(40))[:280]
+    for low in (range(0, 40), range(20_360, 20_400)):
+        rows = spark.range(20_400).selectExpr(
+            "id AS doc_id", f"IF(id BETWEEN {low[0]} AND {low[-1]}, '{same}', '{plain}') AS text")
+        marks = spark.range(20_400).selectExpr("id AS doc_id", "1 AS quality")
+        got = {b[0]: b[1] for b in C.fit_bands(rows, marks)}
+        # 0.002 * 20,399 = 40.8: between the last low text's rank, 39, and 41
+        ratio = len(zstandard.ZstdCompressor(level=C.LEVEL).compress(plain.encode())) / len(plain)
+        assert abs(got[256] - ratio * C.MARGIN) < 1e-9
+        got = {b[0]: b[1] for b in C.fit_bands(
+            rows.unionByName(rows.where(f"doc_id = {low[0]}")).unionByName(rows.where(f"doc_id = {low[1]}")), marks)}
+        ratio = len(zstandard.ZstdCompressor(level=C.LEVEL).compress(same.encode())) / len(same)
+        assert abs(got[256] - ratio * C.MARGIN) < 1e-9
+
+
+def test_low_quantiles_equal_sorting(spark):
+    import random
+    rng = random.Random(8)
+    values = [(c, rng.choice([rng.random() * 2.5, 0.25, 0.25 + rng.random() / 5000]))
+              for c in (256, 1024) for _ in range(1 if c == 256 else 1700)]
+    got = C.low_quantiles(spark.createDataFrame(values, "least int, ratio double").repartition(3))
+    for c in (256, 1024):
+        mine = [v for k, v in values if k == c]
+        assert got[c][0] == len(mine) and abs(got[c][1] - np.quantile(mine, C.LOW_QUANTILE)) < 1e-12
+    assert C.low_quantiles(spark.createDataFrame([], "least int, ratio double")) == {}
+
+
 def test_bands_reject_both_ends(spark):
     import base64
     import random
