@@ -89,7 +89,7 @@ def test_limits_learned_from_labels(spark, labels):
 def test_every_good_text_counts_for_the_limits(spark):
     """20,400 good texts: a few at the low end move the quantile, wherever their ids lie."""
     import zstandard
-    same, plain = "abc " * 70, " ".join(f"{i * i % 9973:x}{i}" for i in range(40))[:280]
+    same, plain = "abc " * 70, " ".join(f"{i * i % 9973:x}{i}" for i in range(70))[:280]
     for low in (range(0, 40), range(20_360, 20_400)):
         rows = spark.range(20_400).selectExpr(
             "id AS doc_id", f"IF(id BETWEEN {low[0]} AND {low[-1]}, '{same}', '{plain}') AS text")
