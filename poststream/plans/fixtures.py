@@ -12,6 +12,8 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import stored
+
 # Fixture parameters (chosen for the driver's tables).
 LEXICON = ["the", "of the", "of", "and", "license", "apache", "mit", "data", "share",
            "###", "+1", "le", "la", "der", "und", "el", "los", "c++", ".net"]
@@ -50,9 +52,16 @@ def doc_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def with_time(df: DataFrame, spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Join the event side: created_utc (UTC timestamp), created_epoch, kind."""
+def with_time(df: DataFrame, spark: SparkSession, sf_dir: str, labels: bool = False) -> DataFrame:
+    """Join the event side: created_utc (UTC timestamp), created_epoch, kind.  With
+    ``labels`` also ``labelled``, asked of the narrow event side, so that no text is
+    shuffled once more for it."""
     events = table(spark, sf_dir, "events").select("event_id", "ts", "event_type")
+    if labels:
+        marks = table(spark, sf_dir, "labels").select(
+            F.col("doc_id").cast("string").alias("_id"), F.lit(True).alias("labelled")).distinct()
+        events = stored(events.join(marks, F.col("event_id").cast("string") == F.col("_id"), "left")
+                        .withColumn("labelled", F.coalesce("labelled", F.lit(False))).drop("_id"), "labelled-events")
     created = F.col("ts").cast("timestamp")
     joined = df.join(events, df.doc_id == events.event_id, "inner")
     return joined.select(
@@ -60,6 +69,7 @@ def with_time(df: DataFrame, spark: SparkSession, sf_dir: str) -> DataFrame:
         created.alias("created_utc"),
         F.floor(F.unix_micros(created) / F.lit(1_000_000)).cast("long").alias("created_epoch"),
         F.col("event_type").alias("kind"),
+        *(["labelled"] if labels else []),
     )
 
 
@@ -82,9 +92,10 @@ def timed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_time(doc_posts(spark, sf_dir).select("doc_id", "id", "subreddit"), spark, sf_dir)
 
 
-def posts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """id, title, selftext, subreddit, category, created_utc, created_epoch, kind."""
-    return with_time(doc_posts(spark, sf_dir).drop("text"), spark, sf_dir)
+def posts(spark: SparkSession, sf_dir: str, labels: bool = False) -> DataFrame:
+    """id, title, selftext, subreddit, category, created_utc, created_epoch, kind
+    (and ``labelled``)."""
+    return with_time(doc_posts(spark, sf_dir).drop("text"), spark, sf_dir, labels)
 
 
 EVENT_TIMES_CTE = """times AS (

@@ -35,6 +35,19 @@ def _messages(spark: SparkSession, sf_dir: str, posts: DataFrame | None = None)
     return wire.encode_json(ig.shape_record(p, body_chars=None), binary=True)
 
 
+def _marked_topic(spark: SparkSession, sf_dir: str) -> str:
+    """A topic of all posts, each message with ``labelled`` beside it (readers of
+    messages don't see that): the labelled ones can be told and taken again from the
+    topic, without joining and shuffling all texts a second time."""
+    p = ig.shape_record(fx.posts(spark, sf_dir, labels=True), body_chars=None, keep=["labelled"])
+    return _topic(spark, wire.encode_json(p, binary=True, beside=["labelled"]))
+
+
+def _labelled_messages(spark: SparkSession, folder: str) -> DataFrame:
+    """The messages of a marked topic whose post has a label."""
+    return spark.read.parquet(folder).where("labelled").select("key", "value")
+
+
 def _topic(spark: SparkSession, messages: DataFrame, folder: str | None = None) -> str:
     """Append messages to a folder of files, one file per input partition
     (no shuffle: the write scales with the scan)."""
@@ -145,15 +158,14 @@ def q_stream_quarantine(spark, sf_dir):
 
 
 def _labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ids = fx.table(spark, sf_dir, "labels").select(F.col("doc_id").cast("string").alias("id"))
-    return fx.posts(spark, sf_dir).join(ids, "id", "left_semi")
+    return fx.posts(spark, sf_dir, labels=True).where("labelled").drop("labelled")
 
 
 @query("stream_dedup", BASE + f""" SELECT id, title, {_iso_sql('created_utc')} AS created_utc
  FROM posts""")
 def q_stream_dedup(spark, sf_dir):
-    folder = _topic(spark, _messages(spark, sf_dir))
-    _topic(spark, _messages(spark, sf_dir, _labelled(spark, sf_dir)), folder)  # re-sends
+    folder = _marked_topic(spark, sf_dir)
+    _topic(spark, _labelled_messages(spark, folder), folder)  # re-sends
     unique = st.dedup_stream(_posts_stream(spark, folder), "id")
     out, writer = _to_folder(unique.select("id", "title", "created_utc"), "dedup")
     _run(writer)
@@ -165,8 +177,8 @@ def q_stream_dedup(spark, sf_dir):
 def q_stream_dedup_batches(spark, sf_dir):
     """R3 without per-key state: each micro-batch is deduplicated by a batch
     aggregation and anti-joined with the ids of earlier batches."""
-    folder = _topic(spark, _messages(spark, sf_dir))
-    _topic(spark, _messages(spark, sf_dir, _labelled(spark, sf_dir)), folder)  # re-sends
+    folder = _marked_topic(spark, sf_dir)
+    _topic(spark, _labelled_messages(spark, folder), folder)  # re-sends
     out, seen = scratch_path(spark, "dedup-out"), scratch_path(spark, "dedup-seen")
     writer = st.dedup_writer(out, seen, "id", keep=["id", "title", "created_utc"], order=["event_time"])
     _run(_posts_stream(spark, folder).writeStream.foreachBatch(writer)

@@ -29,12 +29,14 @@ STREAM_SCHEMA = text_schema(STREAM_FIELDS)
 RECORD_SCHEMA = text_schema(RECORD_FIELDS)
 
 
-def encode_json(df: DataFrame, key: str = "id", binary: bool = False) -> DataFrame:
-    """``df[key, value]``: every column of the record as one JSON object."""
-    value = F.to_json(F.struct(*[F.col(c) for c in df.columns]))
+def encode_json(df: DataFrame, key: str = "id", binary: bool = False,
+                beside: Sequence[str] = ()) -> DataFrame:
+    """``df[key, value]``: every column of the record as one JSON object, but those
+    that stay ``beside`` it."""
+    value = F.to_json(F.struct(*[F.col(c) for c in df.columns if c not in beside]))
     if binary:
         value = value.cast("binary")
-    return df.select(F.col(key).cast("string").alias("key"), value.alias("value"))
+    return df.select(F.col(key).cast("string").alias("key"), value.alias("value"), *beside)
 
 
 def tag_messages(df: DataFrame, schema: T.StructType = RECORD_SCHEMA, value: str = "value",

@@ -107,13 +107,22 @@ def dedup_stream(posts: DataFrame, key: str = "id") -> DataFrame:
     return posts.dropDuplicates([key])
 
 
+def with_row_hash(df: DataFrame, only: Sequence[str] = ()) -> DataFrame:
+    """``df`` with the hash ``_row`` of its whole rows, then cut to ``only`` these
+    columns: a choice by the hash needs no wide rows any more."""
+    hashed = df.withColumn("_row", F.xxhash64(*df.columns))
+    return hashed.select(*dict.fromkeys([*only, "_row"])) if only else hashed
+
+
 def first_per_id(df: DataFrame, key: str = "id", order: Sequence[str] = ()) -> DataFrame:
     """One row per key: the least ``order`` tuple (NULL last), then the least hash
-    of the row, so equal candidates give one fixed answer.  A partial minimum on
-    the map side cuts a hot key down; NULL is a key like others."""
-    hashed = df.withColumn("_row", F.xxhash64(*df.columns))
+    of the row (``with_row_hash``, if it is not there yet), so equal candidates give
+    one fixed answer.  A partial minimum on the map side cuts a hot key down; NULL is
+    a key like others."""
+    hashed = df if "_row" in df.columns else with_row_hash(df)
+    names = [c for c in df.columns if c != "_row"]
     rank = F.struct(*[x for c in order for x in (F.col(c).isNull(), F.col(c))], F.col("_row"))
-    one = F.min_by(F.struct(*df.columns), rank).alias("_first")
+    one = F.min_by(F.struct(*names), rank).alias("_first")
     return hashed.groupBy(F.col(key).alias("_key")).agg(one).select("_first.*")
 
 
@@ -125,7 +134,8 @@ def dedup_writer(out_path: str, seen_path: str, key: str = "id",
 
     Of a key's rows in a micro-batch the first by ``order`` stays
     (``first_per_id``: a partial minimum, so a post re-sent millions of times is
-    cut down on the map side), unless an earlier batch has had it.  New rows go to
+    cut down on the map side; of the columns only ``keep`` and those that decide are
+    shuffled), unless an earlier batch has had it.  New rows go to
     ``out_path/batch_id=N`` and their ids, as run N, to the ledger by buckets at
     ``seen_path``; only runs below N count as seen, so a replayed batch N produces
     the same output again.  Its filters spare most of the reading, and every
@@ -133,7 +143,8 @@ def dedup_writer(out_path: str, seen_path: str, key: str = "id",
     ``ledger_path``, read anew for each batch, count as seen too.
     """
     def write(batch: DataFrame, batch_id: int) -> None:
-        _write_unseen(first_per_id(batch, key, order), batch_id, out_path, seen_path, key, keep,
+        rows = with_row_hash(batch, [key, *order, *keep] if keep else ())
+        _write_unseen(first_per_id(rows, key, order), batch_id, out_path, seen_path, key, keep,
                       ledger_path, fold_every)
     return write
 
@@ -173,7 +184,7 @@ def bounded_dedup(posts: DataFrame, out_path: str, seen_path: str, checkpoint: s
     flat one at ``ledger_path``): an unseen key is kept however late it comes, and a
     key whose state has ended does not come twice.  Of a key's rows in a batch the
     first by ``order`` stays."""
-    rows = posts.withColumn("_way", F.lit(1))
+    rows = with_row_hash(posts, [key, ts, *order, *keep] if keep else ()).withColumn("_way", F.lit(1))
     keys = (posts.where(F.col(ts).isNotNull()).select(key, ts).withWatermark(ts, span)
             .dropDuplicatesWithinWatermark([key]).withColumn("_way", F.lit(0)))
     both = rows.unionByName(keys, allowMissingColumns=True)

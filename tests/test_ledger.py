@@ -136,3 +136,17 @@ def test_bounded_dedup_begins_with_batches_without_a_time(spark):
         availableNow=True).start()
     q.awaitTermination()
     assert sorted(r.id for r in st.read_log(spark, out).collect()) == ["a", "b", "c", "d"]
+
+
+def test_dedup_shuffles_no_column_that_is_not_kept(spark, tmp_path):
+    """Of a wide batch only the kept columns and those that decide cross the shuffle;
+    the choice among equal candidates still follows the whole row."""
+    path = str(tmp_path / "wide")
+    spark.range(60).selectExpr("cast(id % 20 AS string) AS id", "concat('t', id) AS title",
+                               "repeat(concat('body', id), 50) AS selftext").write.parquet(path)
+    batch = spark.read.parquet(path)
+    cut = st.first_per_id(st.with_row_hash(batch, ["id", "title"]), "id")
+    plan = cut._jdf.queryExecution().optimizedPlan().toString()
+    assert "selftext" not in plan.split("Project")[0]
+    whole = st.first_per_id(batch, "id").select("id", "title")
+    assert sorted(cut.collect()) == sorted(whole.collect()) and cut.count() == 20
