@@ -309,6 +309,15 @@ def _versions(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     return p, edited
 
 
+def _edited_messages(spark: SparkSession, folder: str) -> DataFrame:
+    """The second versions of ``_versions``, made of the marked topic's messages."""
+    first, _ = wire.decode_json(_labelled_messages(spark, folder))
+    edited = first.select(
+        "id", F.concat(F.col("title"), F.lit(" v2")).alias("title"), "selftext", "subreddit",
+        (F.col("created_utc").cast("timestamp") + F.expr("INTERVAL 1 MINUTE")).alias("created_utc"))
+    return wire.encode_json(ig.shape_record(edited, body_chars=None), binary=True)
+
+
 UPSERT_SQL = BASE + f""",
 lab AS (SELECT CAST(doc_id AS VARCHAR) AS id FROM labels),
 cur AS (SELECT p.id,
@@ -323,9 +332,8 @@ _DOC = ["id", "title", "created_utc", "selftext", "subreddit"]
 
 @query("stream_upsert_latest", UPSERT_SQL)
 def q_stream_upsert_latest(spark, sf_dir):
-    first, second = _versions(spark, sf_dir)
-    folder = _topic(spark, _messages(spark, sf_dir, first))
-    _topic(spark, _messages(spark, sf_dir, second), folder)
+    folder = _marked_topic(spark, sf_dir)
+    _topic(spark, _edited_messages(spark, folder), folder)
     log, ckpt = scratch_path(spark, "index-log"), scratch_path(spark, "index-ckpt")
     _run(st.upsert_by_key(_posts_stream(spark, folder).select(*_DOC), log, ckpt))
     return st.read_keyed(spark, log).select("id", "title", "created_utc")
@@ -335,13 +343,12 @@ def q_stream_upsert_latest(spark, sf_dir):
 def q_compact_latest(spark, sf_dir):
     """Two runs on one checkpoint (the second resumes where the first ended),
     a compaction after each."""
-    first, second = _versions(spark, sf_dir)
-    folder = _topic(spark, _messages(spark, sf_dir, first))
+    folder = _marked_topic(spark, sf_dir)
     log, ckpt = scratch_path(spark, "index-log"), scratch_path(spark, "index-ckpt")
     _run(st.upsert_by_key(_posts_stream(spark, folder).select(*_DOC), log, ckpt))
     base1 = scratch_path(spark, "index-base")
     since = st.compact(spark, log, base1)
-    _topic(spark, _messages(spark, sf_dir, second), folder)
+    _topic(spark, _edited_messages(spark, folder), folder)
     _run(st.upsert_by_key(_posts_stream(spark, folder).select(*_DOC), log, ckpt))
     base2 = scratch_path(spark, "index-base")
     st.compact(spark, log, base2, base=base1, since=since)
