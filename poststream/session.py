@@ -122,6 +122,16 @@ def delete_path(spark: SparkSession, path: str) -> bool:
     return bool(fs.delete(jpath, True))
 
 
+def move_folder(spark: SparkSession, source: str, target: str) -> None:
+    """Put a folder in the place of another (on any Hadoop file system)."""
+    jsource, fs = _fs_path(spark, source)
+    jtarget, _ = _fs_path(spark, target)
+    fs.delete(jtarget, True)
+    fs.mkdirs(jtarget.getParent())
+    if not fs.rename(jsource, jtarget):
+        raise OSError(f"cannot move {source} to {target}")
+
+
 def list_folders(spark: SparkSession, folder: str) -> list[str]:
     """Names of the folders directly in a folder."""
     jpath, fs = _fs_path(spark, folder)

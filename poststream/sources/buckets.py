@@ -4,9 +4,10 @@
 table ``path/state/at=N`` beside it says up to which batch they are folded, the
 number of buckets and the rows' schema (the newest ``at`` counts).  A change
 brings all rows of the buckets that it touches: they are written to
-``path/_pending`` first, then Spark's dynamic partition overwrite replaces those
-folders and no others.  A run that stops in between leaves ``_pending``, and the
-next one begins by finishing it, so no row is lost with a half-replaced folder.
+``path/_pending`` first, laid out the same way, then those folders and no others are
+moved into their places: no row is read, shuffled or written again.  A run that
+stops in between leaves what it has not moved in ``_pending``, and the next one
+begins by finishing it, so no row is lost with a half-replaced folder.
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import delete_path, list_folders, path_exists
+from ..session import delete_path, list_folders, move_folder, path_exists
 
 BUCKET = "bucket"
 BUCKETS = 64
@@ -92,8 +93,9 @@ def finish(spark: SparkSession, path: str) -> bool:
     if now is None:             # not fully prepared: the table is as it was
         delete_path(spark, pending)
         return False
-    (read(spark, pending).hint("rebalance", BUCKET).write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic").partitionBy(BUCKET).parquet(f"{path}/rows"))
+    for name in list_folders(spark, f"{pending}/rows"):
+        if name.startswith(f"{BUCKET}="):
+            move_folder(spark, f"{pending}/rows/{name}", f"{path}/rows/{name}")
     _write_state(spark, path, now)
     for name in list_folders(spark, f"{path}/state"):
         if name != f"at={now.since}":

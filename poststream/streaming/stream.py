@@ -456,10 +456,9 @@ def fold_log(spark: SparkSession, path: str, base: str, key: Sequence[str] | str
     if last == since:
         return since
     log = read_log(spark, path, since).where(F.col("batch_id") <= last)
-    newer = stored(latest_per_id(log, keys, order).drop("batch_id")
-                   .withColumn(bk.BUCKET, bk.bucket_of(keys, buckets)), "newer")
-    rows = newer
+    rows = latest_per_id(log, keys, order).drop("batch_id").withColumn(bk.BUCKET, bk.bucket_of(keys, buckets))
     if now:
+        newer = stored(rows, "newer")
         old = bk.read(spark, base, bk.touched(newer))
         rows = without(old, newer, keys).unionByName(newer)
     bk.replace(spark, base, rows, last, buckets)

@@ -163,3 +163,22 @@ def test_jobs_keep_and_use_the_deltas(spark):
     assert rows["category_share"] == 2
     share = {r.category: r.posts for r in spark.read.json(out + "/category_share").collect()}
     assert share == {"a": 4, "b": 1}
+
+
+def test_replace_moves_the_prepared_files(spark, tmp_path):
+    """The prepared buckets are moved into their places, not written a second time;
+    what an interrupted move has left is brought in by the next one."""
+    path = str(tmp_path / "table")
+    rows = spark.range(200).selectExpr("id", "cast(id % 4 AS int) AS bucket")
+    done, bk.finish = bk.finish, lambda *a: False
+    try:
+        bk.replace(spark, path, rows, 1, 4)
+    finally:
+        bk.finish = done
+    names = {p.name for p in (tmp_path / "table/_pending/rows").rglob("*.parquet")}
+    bk.move_folder(spark, f"{path}/_pending/rows/bucket=2", f"{path}/rows/bucket=2")    # stopped here
+    assert bk.finish(spark, path) and not bk.finish(spark, path)
+    assert {p.name for p in (tmp_path / "table/rows").rglob("*.parquet")} == names
+    assert sorted(r.id for r in bk.read(spark, path).collect()) == list(range(200))
+    bk.replace(spark, path, rows.where("bucket = 1").limit(3), 2, 4)
+    assert bk.read(spark, path).count() == 153 and bk.state(spark, path).since == 2

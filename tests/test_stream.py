@@ -235,3 +235,16 @@ def test_day_partitioned_log_prunes_folders(spark):
     base = scratch_path(spark, "t-days-base")
     st.compact(spark, log, base, partition_by=["day"])
     assert spark.read.parquet(base).where(F.col("day") == dt.date(2024, 1, 2)).count() == 6
+
+
+def test_second_versions_come_from_the_marked_topic(spark):
+    from poststream.plans import streams as q
+    sf = "/root/testdata/sf0.001"
+    folder = q._marked_topic(spark, sf)
+    first, second = q._versions(spark, sf)
+    assert sorted(spark.read.parquet(folder).select("key", "value").collect()) == \
+        sorted(q._messages(spark, sf, first).collect())
+    want = sorted(q._messages(spark, sf, second).collect())
+    assert want and sorted(q._edited_messages(spark, folder).collect()) == want
+    assert sorted(q._labelled_messages(spark, folder).collect()) == \
+        sorted(q._messages(spark, sf, q._labelled(spark, sf)).collect())
