@@ -108,8 +108,13 @@ def pieces(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> pa.Array:
         data = data[starts[0]: ends[-1]]
     else:
         data = data[:0]
-    return pa.Array.from_buffers(pa.large_binary(), len(starts),
-                                 [None, pa.py_buffer(out), pa.py_buffer(np.ascontiguousarray(data))])
+    return bytes_column(np.ascontiguousarray(data), out)
+
+
+def bytes_column(data: bytes | np.ndarray, edges: np.ndarray) -> pa.Array:
+    """Byte runs that lie end to end, the i-th from ``edges[i]``, as an Arrow binary column."""
+    return pa.Array.from_buffers(pa.large_binary(), len(edges) - 1,
+                                 [None, pa.py_buffer(edges), pa.py_buffer(data)])
 
 
 def codes(values: pa.Array) -> tuple[np.ndarray, pa.Array]:
